@@ -96,6 +96,7 @@ METRIC_DIM_SCHEMA = T.StructType(
         T.StructField("abs_delta_min", T.DoubleType(), True),
         T.StructField("abs_delta_scale", T.DoubleType(), True),
         T.StructField("category", T.StringType(), True),
+        T.StructField("range_text", T.StringType(), False),
     ]
 )
 
@@ -116,6 +117,7 @@ def metric_dim(spark: SparkSession, catalog: Catalog) -> DataFrame:
             m.abs_delta_min,
             m.abs_delta_scale,
             m.category,
+            f"[{m.lo}, {m.hi}]",
         )
         for i, m in enumerate(catalog.metrics)
     ]
