@@ -583,3 +583,315 @@ SELECT section, section_rank, type, category, zone, country, metric, metric_b, s
 FROM (SELECT *, row_number() OVER (PARTITION BY section ORDER BY list_pos) AS section_rank FROM ins)
 WHERE section_rank <= 8""", ai)
     return S
+
+
+# =============================================================== text jobs (X*)
+from ..catalog import REFERENCE_CATALOG as RCAT  # noqa: E402
+from ..functions import text_rules as TR  # noqa: E402
+from ..sources import requests as RQ  # noqa: E402
+
+
+def _strlist(items) -> str:
+    return "[" + ", ".join("NULL" if x is None else _lit(str(x)) for x in items) + "]"
+
+
+def _pick(items, n=None) -> str:
+    return f"list_extract({_strlist(items)}, CAST(((conv_id * 7 + turn) % {len(items)}) + 1 AS INTEGER))"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _any(q: str, words) -> str:
+    return "(" + " OR ".join(f"contains({q}, {_lit(w)})" for w in words) + ")"
+
+
+def _fold(x: str) -> str:
+    return f"translate({x}, {_lit(TR.FOLD_FROM)}, {_lit(TR.FOLD_TO)})"
+
+
+def _capped(d: str, cap=None) -> str:
+    n = f"(CASE WHEN {d} = '' THEN NULL WHEN length({d}) > 18 THEN 1000000000000000000 ELSE CAST({d} AS BIGINT) END)"
+    return f"(CASE WHEN {n} IS NOT NULL THEN least({n}, {cap}) END)" if cap is not None else n
+
+
+def _text_prefix() -> str:
+    me = ", ".join(
+        f"({_lit(m.name)}, {i}, {_lit(m.name.lower())}, 'canonical', 0)"
+        + "".join(f", ({_lit(m.name)}, {i}, {_lit(a.lower())}, 'alias', {j + 1})" for j, a in enumerate(m.aliases))
+        for i, m in enumerate(RCAT.metrics))
+
+    def alias_rows(groups, with_code=False):
+        rows = []
+        for i, (c, al) in enumerate(groups):
+            rows += [f"({_lit(c)}, {i}, {_lit(a)})" for a in al]
+            if with_code:
+                rows.append(f"({_lit(c)}, {i}, {_lit(c.lower())})")
+        return ", ".join(rows)
+
+    req_fields = RQ.REQUEST_FIELDS
+    structs = ", ".join(
+        "{" + ", ".join(f"'{f}': " + (f"CAST({'NULL' if v is None else v} AS BIGINT)" if f == "n_weeks"
+                                      else f"CAST({_lit(v)} AS VARCHAR)") for f, v in zip(req_fields, r)) + "}"
+        for r in RQ.REQUESTS)
+    return f"""
+msg AS (SELECT conv_id, turn, role,
+          lower({_pick(RQ.QUESTIONS)} || chr(10) || coalesce(text, '')) AS q FROM conversations),
+lab AS (SELECT conv_id, turn, {_pick(RQ.LABELS)} AS label, {_pick(RQ.COUNTRY_LABELS)} AS country_label,
+          {_pick(RQ.ZONE_TYPE_LABELS)} AS zone_type_label, {_pick(RQ.PRIORITY_LABELS)} AS priority_label
+        FROM conversations),
+req AS (SELECT conv_id, turn, {', '.join(f's.{f} AS {f}' for f in req_fields)}
+        FROM (SELECT conv_id, turn, list_extract([{structs}], CAST(((conv_id * 7 + turn) % {len(RQ.REQUESTS)}) + 1
+              AS INTEGER)) AS s FROM conversations)),
+me(canonical, metric_pos, entry, kind, sub_pos) AS (VALUES {me}),
+ctry(canonical, pos, alias) AS (VALUES {alias_rows(RCAT.countries, True)}),
+zty(canonical, pos, alias) AS (VALUES {alias_rows(RCAT.zone_types)}),
+pri(canonical, pos, alias) AS (VALUES {alias_rows(RCAT.prioritizations)}),
+gz AS (SELECT DISTINCT name, kind FROM (SELECT lower(ZONE) AS name, 'zone' AS kind FROM mw
+        UNION ALL SELECT lower(CITY), 'city' FROM mw) WHERE length(name) >= 4),
+gz_hits AS (SELECT m.conv_id, m.turn, g.name, g.kind FROM msg m JOIN gz g ON contains(m.q, g.name)),
+gz_z AS (SELECT conv_id, turn, name FROM gz_hits WHERE kind = 'zone'
+         QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY length(name) DESC, name) = 1),
+gz_c AS (SELECT conv_id, turn, name FROM gz_hits WHERE kind = 'city'
+         QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY length(name) DESC, name) = 1),
+places AS (SELECT m.conv_id, m.turn, z.name AS zone, CASE WHEN z.name IS NULL THEN c.name END AS city
+           FROM msg m LEFT JOIN gz_z z USING (conv_id, turn) LEFT JOIN gz_c c USING (conv_id, turn))"""
+
+
+def _resolve_sql(src: str, col: str, name: str) -> str:
+    """CTE ``name``(col, canonical, step): ordered resolution of distinct values of src.col."""
+    r, e = "_r", "entry"
+    sim = (f"(1.0 - levenshtein({_fold(r)}, {_fold(e)}) / greatest(length({_fold(r)}), length({_fold(e)})))")
+    return f"""
+{name}_raw AS (SELECT DISTINCT {col} AS _raw, lower({_strip(col)}) AS _r FROM {src}
+               WHERE {col} IS NOT NULL AND {col} <> ''),
+{name}_cand AS (
+  SELECT _raw, canonical, metric_pos, sub_pos, {sim} AS sim,
+    CASE WHEN kind = 'canonical' AND _r = entry THEN 1
+         WHEN kind = 'alias' AND _r = entry THEN 2
+         WHEN kind = 'canonical' AND contains(entry, _r) THEN 3
+         WHEN kind = 'alias' AND (contains(entry, _r) OR contains(_r, entry)) THEN 3
+         WHEN kind = 'alias' AND {sim} >= 0.6 THEN 4 END AS step
+  FROM {name}_raw, me),
+{name} AS (
+  SELECT _raw AS {col}, canonical, CAST(step AS INTEGER) AS step FROM {name}_cand WHERE step IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY _raw ORDER BY step, CASE WHEN step = 4 THEN -sim ELSE 0 END,
+                             metric_pos, sub_pos) = 1)"""
+
+
+def _intent_expr(q: str, has_place: str) -> str:
+    base = (f"CASE WHEN {_any(q, TR.GROWTH_WORDS)} AND {_any(q, TR.ORDER_WORDS)} THEN 'growth_explanation'"
+            f" WHEN {_any(q, TR.AGG_WORDS)} THEN 'aggregation' WHEN {_any(q, TR.COMPARE_WORDS)} THEN 'comparison'"
+            f" ELSE 'ranking' END")
+    b2 = (f"CASE WHEN ({base}) = 'ranking' AND {_any(q, TR.TREND_WORDS)} THEN 'trend'"
+          f" WHEN ({base}) = 'ranking' AND regexp_matches({q}, {_lit(TR.LAST_N_WEEKS)}) AND {has_place} THEN 'trend'"
+          f" ELSE ({base}) END")
+    b3 = f"CASE WHEN {_any(q, TR.HIGH_WORDS)} AND {_any(q, TR.LOW_WORDS)} THEN 'multivariable' ELSE ({b2}) END"
+    return f"CASE WHEN {_any(q, TR.ANOMALY_WORDS)} THEN 'anomaly' ELSE ({b3}) END"
+
+
+def _params_cte() -> str:
+    q = "q"
+    g1 = f"regexp_extract({q}, {_lit(TR.LAST_N_WEEKS_CAPTURE)}, 1)"
+    g2 = f"regexp_extract({q}, {_lit(TR.LAST_N_WEEKS_CAPTURE)}, 2)"
+    n = _capped(f"(CASE WHEN {g1} <> '' THEN {g1} ELSE {g2} END)", 8)
+    k1 = f"regexp_extract({q}, {_lit(TR.TOP_K)}, 1)"
+    k2 = f"regexp_extract({q}, {_lit(TR.TOP_K)}, 2)"
+    topk = f"coalesce({_capped(f'(CASE WHEN {k1} <> {_lit(chr(0))[:0] or chr(39)*2} THEN {k1} ELSE {k2} END)')}, 5)"
+    codes = " ".join(f"WHEN contains(' ' || {q} || ' ', {_lit(' ' + c.lower() + ' ')}) THEN {_lit(c)}"
+                     for c in TR.COUNTRY_CODES)
+    names = " ".join(f"WHEN contains({q}, {_lit(nm)}) THEN {_lit(c)}" for nm, c in TR.COUNTRY_NAMES)
+    return f"""
+pr_in AS (SELECT m.conv_id, m.turn, m.q, p.zone, p.city,
+            {_intent_expr('m.q', '(p.zone IS NOT NULL OR p.city IS NOT NULL)')} AS intent
+          FROM msg m JOIN places p USING (conv_id, turn)),
+params AS (
+  SELECT conv_id, turn, intent, {n} AS n_weeks,
+    CASE WHEN {n} IS NOT NULL THEN 'L' || CAST({n} AS VARCHAR) || 'W-L0W' ELSE 'L0W' END AS time_scope,
+    CAST({topk} AS BIGINT) AS top_k,
+    CASE WHEN {_any(q, TR.GROUP_COUNTRY)} THEN 'country'
+         WHEN contains(q, 'zone type') OR (contains(q, 'wealthy') AND intent = 'comparison') THEN 'ZONE_TYPE'
+         WHEN {_any(q, TR.GROUP_CITY)} THEN 'city' WHEN {_any(q, TR.GROUP_PRIORITY)} THEN 'ZONE_PRIORITIZATION'
+    END AS group_by,
+    CASE WHEN contains(q, 'non wealthy') OR contains(q, 'no wealthy') THEN 'Non Wealthy'
+         WHEN contains(q, 'wealthy') THEN 'Wealthy' END AS zone_type,
+    CASE WHEN contains(q, 'high priority') OR contains(q, 'alta prioridad') THEN 'High Priority'
+         WHEN contains(q, 'not prioritized') OR contains(q, 'sin prioridad') OR contains(q, 'no priorizado')
+           THEN 'Not Prioritized'
+         WHEN contains(q, 'prioritized') OR contains(q, 'priorizado') THEN 'Prioritized' END AS prioritization,
+    CASE {names} ELSE CASE {codes} END END AS country,
+    zone, city
+  FROM pr_in)"""
+
+
+def _metric_tag_cte() -> str:
+    direct = "CASE " + " ".join(f"WHEN contains(q, {_lit(n.lower())}) THEN {_lit(n)}" for n in RCAT.names) + " END"
+    return f"""
+mt_base AS (SELECT conv_id, turn, q, {direct} AS direct FROM msg),
+mt_chunks AS (
+  SELECT conv_id, turn, cpos, {_strip('chunk')} AS chunk FROM (
+    SELECT conv_id, turn, unnest(arr) AS chunk, generate_subscripts(arr, 1) AS cpos
+    FROM (SELECT conv_id, turn, regexp_extract_all(q, {_lit(TR.CHUNK_PATTERN)}, 0) AS arr
+          FROM mt_base WHERE direct IS NULL))),
+{_resolve_sql('mt_chunks', 'chunk', 'mt_res').strip()},
+mt_first AS (SELECT c.conv_id, c.turn, arg_min(r.canonical, c.cpos) AS from_chunk
+             FROM mt_chunks c JOIN mt_res r ON c.chunk = r.chunk GROUP BY c.conv_id, c.turn),
+mtag AS (SELECT b.conv_id, b.turn, coalesce(b.direct, f.from_chunk) AS metric
+         FROM mt_base b LEFT JOIN mt_first f USING (conv_id, turn))"""
+
+
+def _norm_alias(src_col: str, table: str, out: str) -> str:
+    return (f"(SELECT arg_min(canonical, pos) FROM {table} WHERE alias = lower({_strip(src_col)}))")
+
+
+def build_text(S: dict) -> None:
+    tp = _text_prefix()
+    S["resolve_labels"] = q(
+        "SELECT l.conv_id, l.turn, l.label, r.canonical, r.step FROM lab l LEFT JOIN rl r ON l.label = r.label",
+        tp + "," + _resolve_sql("lab", "label", "rl"))
+
+    def by_alias(col, table, out, fallback):
+        fb = f"coalesce(a.hit, {fallback})" if fallback else "a.hit"
+        return q(f"""
+SELECT l.conv_id, l.turn, l.{col}, CASE WHEN l.{col} IS NOT NULL AND l.{col} <> '' THEN {fb} END AS {out}
+FROM (SELECT *, lower({_strip(col)}) AS _r FROM lab) l
+LEFT JOIN (SELECT alias, arg_min(canonical, pos) AS hit FROM {table} GROUP BY alias) a ON a.alias = l._r""", tp)
+    S["resolve_country"] = by_alias("country_label", "ctry", "country", None)
+    S["resolve_zone_type"] = by_alias(
+        "zone_type_label", "zty", "zone_type",
+        "CASE WHEN contains(_r, 'wealthy') AND NOT contains(_r, 'non') THEN 'Wealthy'"
+        " WHEN contains(_r, 'non') OR contains(_r, 'no') THEN 'Non Wealthy' END")
+    S["resolve_priority"] = by_alias(
+        "priority_label", "pri", "prioritization",
+        "CASE WHEN contains(_r, 'high') THEN 'High Priority'"
+        " WHEN contains(_r, 'not') OR contains(_r, 'sin') OR contains(_r, 'no ') THEN 'Not Prioritized'"
+        " WHEN contains(_r, 'priorit') THEN 'Prioritized' END")
+    n1 = _capped(f"regexp_extract(q, {_lit(TR.SCOPE_LAST_N)}, 1)", 8)
+    n2 = _capped(f"regexp_extract(q, {_lit(TR.SCOPE_N)}, 1)", 8)
+    n = f"coalesce({n1}, {n2})"
+    S["week_scope"] = q(f"""
+SELECT conv_id, turn, CASE WHEN {n} IS NOT NULL THEN 'range' ELSE 'single' END AS scope_type,
+  CASE WHEN {n} IS NOT NULL THEN 'L' || CAST({n} AS VARCHAR) || 'W'
+       WHEN {_any('q', TR.SCOPE_THIS_WEEK)} THEN 'L0W' WHEN {_any('q', TR.SCOPE_LAST_WEEK)} THEN 'L1W'
+       ELSE 'L0W' END AS start_week, 'L0W' AS end_week, {n} AS n_weeks
+FROM msg""", tp)
+    S["concept_tag"] = q(f"""
+SELECT conv_id, turn, CASE WHEN {_any('q', TR.CONCEPT_PROBLEM)} THEN 'zonas_problematicas'
+  WHEN {_any('q', TR.CONCEPT_HIGH_LEAD)} AND {_any('q', TR.CONCEPT_LOW_PERFECT)} THEN 'alto_lead_bajo_perfect'
+  WHEN {_any('q', TR.CONCEPT_GROWTH)} THEN 'zonas_en_crecimiento' END AS concept
+FROM msg""", tp)
+    S["gazetteer_tag"] = q("SELECT conv_id, turn, zone, city FROM places", tp)
+    S["intent_tag"] = q("SELECT conv_id, turn, intent FROM pr_in", tp + "," + _params_cte())
+    S["extract_params"] = q("SELECT * FROM params", tp + "," + _params_cte())
+    S["metric_tag"] = q("SELECT * FROM mtag", tp + "," + _metric_tag_cte())
+    S["context_carry"] = q(f"""
+SELECT conv_id, turn, intent,
+  CASE WHEN intent = 'multivariable' THEN NULL ELSE coalesce(metric,
+    last_value(CASE WHEN intent <> 'multivariable' THEN metric END IGNORE NULLS) OVER w) END AS metric,
+  coalesce(country, CASE WHEN {_any('q', TR.COUNTRY_FOLLOWUP)} THEN last_value(country IGNORE NULLS) OVER w END)
+    AS country,
+  coalesce(zone, CASE WHEN {_any('q', TR.ZONE_FOLLOWUP)} THEN last_value(zone IGNORE NULLS) OVER w END) AS zone
+FROM params JOIN mtag USING (conv_id, turn) JOIN msg USING (conv_id, turn)
+WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+        tp + "," + _params_cte() + "," + _metric_tag_cte())
+    found = "flatten([" + ", ".join(f"CASE WHEN contains(q, {_lit(n.lower())}) THEN [{_lit(n)}] ELSE [] END"
+                                   for n in RCAT.names) + "])"
+    lead, qual = RCAT.lead, RCAT.quality
+    S["metric_pair_tag"] = q(f"""
+SELECT conv_id, turn, intent,
+  CASE WHEN intent = 'multivariable' THEN CASE WHEN len(f) >= 1 THEN f[1] ELSE {_lit(lead)} END END AS metric_a,
+  CASE WHEN intent = 'multivariable' THEN CASE WHEN len(f) >= 2 THEN f[2]
+    WHEN len(f) = 1 THEN CASE WHEN f[1] <> {_lit(qual)} THEN {_lit(qual)} ELSE {_lit(lead)} END
+    ELSE {_lit(qual)} END END AS metric_b
+FROM (SELECT conv_id, turn, {found} AS f, {_intent_expr('q', 'false')} AS intent FROM msg)""", tp)
+    S["zone_catalog"] = q("""
+SELECT zone_lower, ZONE, CITY, COUNTRY, n_places, n_places = 1 AS is_unique
+FROM (SELECT *, lower(ZONE) AS zone_lower FROM (SELECT DISTINCT ZONE, CITY, COUNTRY FROM mw)) i
+JOIN (SELECT lower(ZONE) AS zone_lower, CAST(count(*) AS BIGINT) AS n_places
+      FROM (SELECT DISTINCT ZONE, CITY, COUNTRY FROM mw) GROUP BY 1) c USING (zone_lower)""", tp)
+    S["repair_location"] = q(f"""
+SELECT conv_id, turn,
+  CASE WHEN hit AND (city IS NULL OR city = '') THEN uc ELSE city END AS city,
+  CASE WHEN hit THEN uz ELSE zone END AS zone,
+  CASE WHEN hit AND (country IS NULL OR country = '') THEN uk ELSE country END AS country,
+  city_to_zone, hit AS unique_zone
+FROM (
+  SELECT s.*, u.zl IS NOT NULL AND lower({_strip("coalesce(s.zone, '')")}) <> '' AS hit, u.uz, u.uc, u.uk
+  FROM (
+    SELECT conv_id, turn, country,
+      CASE WHEN mv THEN NULL ELSE city END AS city, CASE WHEN mv THEN cv ELSE zone END AS zone, mv AS city_to_zone
+    FROM (SELECT r.*, lower({_strip("coalesce(r.city, '')")}) AS cv,
+            lower({_strip("coalesce(r.city, '')")}) <> ''
+            AND lower({_strip("coalesce(r.city, '')")}) NOT IN (SELECT lower(CITY) FROM mw)
+            AND lower({_strip("coalesce(r.city, '')")}) IN (SELECT lower(ZONE) FROM mw)
+            AND (r.zone IS NULL OR r.zone = '') AS mv
+          FROM req r)) s
+  LEFT JOIN (SELECT lower(ZONE) AS zl, ZONE AS uz, CITY AS uc, COUNTRY AS uk
+             FROM (SELECT DISTINCT ZONE, CITY, COUNTRY FROM mw)
+             QUALIFY count(*) OVER (PARTITION BY lower(ZONE)) = 1) u
+    ON u.zl = lower({_strip("coalesce(s.zone, '')")})) x""", tp)
+    has = lambda c: f"({c} IS NOT NULL AND {c} <> '')"
+    r1 = "(group_by = 'ZONE_TYPE' AND intent IN ('comparison', 'aggregation'))"
+    r1c = f"coalesce({r1}, false)"
+    r2 = f"(NOT {r1c} AND intent IN ('trend', 'multivariable') AND {has('zone')})"
+    drop = f"({r1c} OR coalesce({r2}, false))"
+    S["filter_policy"] = q(f"""
+SELECT conv_id, turn,
+  CASE WHEN {has('country')} THEN country WHEN {has('sb_country')} THEN sb_country ELSE country END AS eff_country,
+  city AS eff_city, zone AS eff_zone,
+  CASE WHEN {drop} THEN NULL WHEN {has('zone_type')} THEN zone_type WHEN {has('sb_zone_type')} THEN sb_zone_type
+       ELSE zone_type END AS eff_zone_type,
+  CASE WHEN {has('prioritization')} THEN prioritization WHEN {has('sb_prioritization')} THEN sb_prioritization
+       ELSE prioritization END AS eff_prioritization,
+  CAST(CASE WHEN {drop} THEN CAST({has('zone_type')} AS INTEGER) + CAST({has('sb_zone_type')} AS INTEGER) ELSE 0 END
+       AS BIGINT) AS n_warnings,
+  CASE WHEN {r1c} THEN 'group_by_zone_type' WHEN coalesce({r2}, false) THEN 'named_zone' ELSE 'sidebar_fills' END
+    AS rule
+FROM req""", tp)
+    S["trivial_filter_flag"] = q(f"""
+SELECT conv_id, turn, intent,
+  CASE WHEN intent = 'aggregation' AND {has('country')}
+         THEN 'ℹ️ Filtro activo: país=' || country || '. La agregación por país mostrará solo un grupo.'
+       WHEN intent = 'comparison' AND {has('zone_type')}
+         THEN 'ℹ️ Filtro tipo=' || zone_type || ' activo en comparación.' END AS warning
+FROM req""", tp)
+    gmap = "CASE " + " ".join(f"WHEN lower(group_by) = {_lit(k)} THEN {_lit(v)}" for k, v in TR.GROUP_MAP) + " END"
+    scope_n = _capped("regexp_extract(coalesce(time_scope, ''), 'L(\\d+)W', 1)")
+    zt = (f"coalesce((SELECT arg_min(canonical, pos) FROM zty WHERE alias = lower({_strip('r.zone_type')})),"
+          f" CASE WHEN contains(lower({_strip('r.zone_type')}), 'wealthy') AND NOT contains(lower({_strip('r.zone_type')}), 'non') THEN 'Wealthy'"
+          f" WHEN contains(lower({_strip('r.zone_type')}), 'non') OR contains(lower({_strip('r.zone_type')}), 'no') THEN 'Non Wealthy' END)")
+    pn = f"lower({_strip('r.prioritization')})"
+    pr = (f"coalesce((SELECT arg_min(canonical, pos) FROM pri WHERE alias = {pn}),"
+          f" CASE WHEN contains({pn}, 'high') THEN 'High Priority'"
+          f" WHEN contains({pn}, 'not') OR contains({pn}, 'sin') OR contains({pn}, 'no ') THEN 'Not Prioritized'"
+          f" WHEN contains({pn}, 'priorit') THEN 'Prioritized' END)")
+    mres = "\n".join(f"LEFT JOIN nr {a} ON {a}.v = r.{c}" for c, a in
+                     [("metric", "m0"), ("metric_a", "m1"), ("metric_b", "m2")])
+    S["normalize_requests"] = q(f"""
+SELECT r.conv_id, r.turn, r.intent,
+  CASE WHEN {has('r.metric')} THEN coalesce(m0.canonical, r.metric) ELSE r.metric END AS metric,
+  CASE WHEN {has('r.metric_a')} THEN coalesce(m1.canonical, r.metric_a) ELSE r.metric_a END AS metric_a,
+  CASE WHEN {has('r.metric_b')} THEN coalesce(m2.canonical, r.metric_b) ELSE r.metric_b END AS metric_b,
+  CASE WHEN {has('r.country')} THEN coalesce((SELECT arg_min(canonical, pos) FROM ctry
+       WHERE alias = lower({_strip('r.country')})), r.country) ELSE r.country END AS country,
+  CASE WHEN {has('r.zone_type')} THEN coalesce({zt}, r.zone_type) ELSE r.zone_type END AS zone_type,
+  CASE WHEN {has('r.prioritization')} THEN coalesce({pr}, r.prioritization) ELSE r.prioritization END
+    AS prioritization,
+  CASE WHEN {has('r.group_by')} THEN coalesce({gmap.replace('group_by', 'r.group_by')}, r.group_by)
+       ELSE r.group_by END AS group_by,
+  CAST(CASE WHEN r.n_weeks IS NOT NULL AND r.n_weeks <> 0 THEN r.n_weeks
+       WHEN {scope_n.replace('time_scope', 'r.time_scope')} > 0 THEN {scope_n.replace('time_scope', 'r.time_scope')}
+       ELSE r.n_weeks END AS BIGINT) AS n_weeks
+FROM req r
+{mres}""", tp + ",\nnv AS (SELECT metric AS v FROM req UNION ALL SELECT metric_a FROM req UNION ALL"
+            " SELECT metric_b FROM req)," + _resolve_sql("nv", "v", "nr0") + ",\nnr AS (SELECT v, canonical FROM nr0)")
+
+
+_build_core = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    S = _build_core()
+    build_text(S)
+    return S

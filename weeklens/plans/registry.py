@@ -21,6 +21,8 @@ from ..operators import report as R
 from ..operators import streaks as S
 from ..operators.filters import Filters, apply_filters, week_range
 from ..functions.scalar import out_of_range, r6
+from ..operators import text as X
+from ..sources import requests as RQ
 from ..sources import testdata
 
 LEAD, QUAL, PROFIT, VOL = CAT.lead, CAT.quality, CAT.profit, CAT.volume_metric
@@ -137,6 +139,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insight_counts": lambda s, sf: R.insight_counts(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
     "diversified_top5": lambda s, sf: R.diversified_top5(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
     "report_sections": lambda s, sf: R.report_sections(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
+    # --- text jobs over the conversations table (X*)
+    "resolve_labels": lambda s, sf: X.resolve_labels(RQ.labels(s, sf)),
+    "resolve_country": lambda s, sf: X.resolve_country(RQ.labels(s, sf)),
+    "resolve_zone_type": lambda s, sf: X.resolve_zone_type(RQ.labels(s, sf)),
+    "resolve_priority": lambda s, sf: X.resolve_priority(RQ.labels(s, sf)),
+    "week_scope": lambda s, sf: X.week_scope(RQ.messages(s, sf)),
+    "concept_tag": lambda s, sf: X.concept_tag(RQ.messages(s, sf)),
+    "intent_tag": lambda s, sf: X.intent_tag(RQ.messages(s, sf), _fr(s, sf).metrics_wide),
+    "extract_params": lambda s, sf: X.extract_params(RQ.messages(s, sf), _fr(s, sf).metrics_wide),
+    "gazetteer_tag": lambda s, sf: X.gazetteer_tag(RQ.messages(s, sf), _fr(s, sf).metrics_wide),
+    "context_carry": lambda s, sf: X.context_carry(RQ.messages(s, sf), _fr(s, sf).metrics_wide),
+    "zone_catalog": lambda s, sf: X.zone_catalog(_fr(s, sf).metrics_wide),
+    "repair_location": lambda s, sf: X.repair_location(RQ.requests(s, sf), _fr(s, sf).metrics_wide),
+    "filter_policy": lambda s, sf: X.filter_policy(RQ.requests(s, sf)),
+    "trivial_filter_flag": lambda s, sf: X.trivial_filter_flag(RQ.requests(s, sf)),
+    "metric_tag": lambda s, sf: X.metric_tag(RQ.messages(s, sf)),
+    "metric_pair_tag": lambda s, sf: X.metric_pair_tag(RQ.messages(s, sf)),
+    "normalize_requests": lambda s, sf: X.normalize_requests(RQ.requests(s, sf)),
 }
 
 __all__ = ["QUERIES", "FACT_COLUMNS"]
