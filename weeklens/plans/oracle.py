@@ -895,3 +895,122 @@ def build() -> dict[str, str]:  # noqa: F811
     S = _build_core()
     build_text(S)
     return S
+
+
+# =============================================================== formats
+def _fnum(x: str, d: int, plus: bool = False, commas: bool = False) -> str:
+    scale = 10 ** d
+    n = f"CAST(round_even(abs({x}) * {scale}, 0) AS BIGINT)"
+    ip = f"({n} // {scale})" if d else n
+    itxt = f"format('{{:,}}', {ip})" if commas else f"CAST({ip} AS VARCHAR)"
+    body = itxt if d == 0 else f"{itxt} || '.' || lpad(CAST({n} % {scale} AS VARCHAR), {d}, '0')"
+    sign = f"CASE WHEN {x} < 0 THEN '-' ELSE '{'+' if plus else ''}' END"
+    return f"(CASE WHEN {x} IS NOT NULL THEN {sign} || {body} END)"
+
+
+def _fpct(x: str, d: int = 1, plus: bool = False) -> str:
+    return f"({_fnum(f'({x}) * 100', d, plus)} || '%')"
+
+
+def _fcur(x: str) -> str:
+    return f"('$' || {_fnum(x, 2, commas=True)})"
+
+
+def build_formats(S: dict) -> None:
+    from ..operators import report as REP
+
+    unit = "coalesce(md.unit, 'ratio')"
+    base = "FROM fact LEFT JOIN md USING (METRIC)"
+    v = "L0W"
+    S["format_value"] = q(f"""
+SELECT COUNTRY, CITY, ZONE, METRIC, round({v}, 6) AS value,
+  CASE WHEN {v} IS NULL THEN 'N/A' WHEN {unit} = 'ratio' THEN {_fpct(v)} WHEN {unit} = 'currency' THEN {_fcur(v)}
+       WHEN {unit} = 'count' THEN {_fnum(v, 0, commas=True)} ELSE {_fnum(v, 4)} END AS text
+{base}""")
+    S["format_value_decimal"] = q(f"""
+SELECT COUNTRY, CITY, ZONE, METRIC, round({v}, 6) AS value,
+  CASE WHEN {v} IS NULL THEN 'N/A' WHEN {unit} = 'count' THEN {_fnum(v, 0, commas=True)}
+       WHEN {unit} = 'currency' THEN {_fcur(v)} WHEN {unit} = 'decimal' THEN {_fnum(v, 2)}
+       ELSE {_fpct(v)} END AS text
+{base}""")
+    c = "((L0W - L1W) / nullif(abs(L1W), 0))"
+    S["format_change"] = q(f"""
+SELECT COUNTRY, CITY, ZONE, METRIC, round({c}, 6) AS value,
+  CASE WHEN {c} IS NULL THEN 'N/A' ELSE (CASE WHEN {c} > 0 THEN '+' ELSE '' END) || {_fpct(c)} END AS text
+{base}""")
+    lit = _lit
+    action = "CASE " + " ".join(f"WHEN metric = {lit(m)} THEN {lit(a)}" for m, a in REP.METRIC_ACTIONS) + \
+        f" ELSE {lit(REP.DEFAULT_ACTION)} END"
+    zone, country, metric = "coalesce(zone, '')", "coalesce(country, '')", "coalesce(metric, '')"
+    delta = "(value_to - value_from)"
+    is_abs = f"(metric = {lit(CAT.profit)})"
+    change = (f"CASE WHEN {is_abs} THEN (CASE WHEN {delta} < 0 THEN 'cayó' ELSE 'subió' END) || ' ' ||"
+              f" {_fnum(f'abs({delta})', 2)} || ' unidades (' || {_fnum('value_from', 2)} || ' → ' ||"
+              f" {_fnum('value_to', 2)} || ')'"
+              f" ELSE 'cambió ' || {_fpct('pct_change', 1, True)} || ' WoW (' || {_fnum('value_from', 3)} || ' → ' ||"
+              f" {_fnum('value_to', 3)} || ')' END")
+    under = "(performance = 'underperformer')"
+    n = "CAST(consecutive_weeks AS VARCHAR)"
+    growth = f"coalesce({_fpct('order_growth', 1, True)}, 'N/A')"
+    basef = f"coalesce({_fnum('CAST(CAST(orders_base AS BIGINT) AS DOUBLE)', 0, commas=True)}, 'N/A')"
+    interp = (f"CASE WHEN type = 'opportunity' THEN 'Alta oferta vs. pares (' || country || '/' ||"
+              f" coalesce(zone_type, '') || ') — Lead Pen: ' || {_fpct('lead_penetration')} || ', Perfect Orders: ' ||"
+              f" {_fpct('perfect_orders')} || ' (umbral peers: ' || {_fpct('peer_perfect_threshold')} ||"
+              f" '). Crecimiento órdenes (4w): ' || {growth} || ' sobre base de ' || {basef} || ' órdenes.'"
+              f" ELSE interpretation END")
+    cat = "CASE " + " ".join(f"WHEN type = {lit(k)} THEN {lit(v)}" for k, v in REP.CARD_CATEGORY) + " ELSE 'General' END"
+    S["insight_card"] = q(f"""
+SELECT section, list_pos, type,
+  CASE WHEN type = 'anomaly' THEN category || ' brusca en ' || {metric} || ' — ' || {zone} || ' (' || {country} || ')'
+       WHEN type = 'consistent_deterioration' THEN 'Deterioro sostenido de ' || {metric} || ' — ' || {zone} || ' ('
+         || {country} || ')'
+       WHEN type = 'benchmarking' THEN (CASE WHEN {under} THEN 'Sub' ELSE 'Sobre' END) || 'performance en ' ||
+         {metric} || ' — ' || {zone} || ' (' || {country} || ')'
+       WHEN type = 'correlation' THEN 'Correlación ' || coalesce(direction, '') || ' entre ' || {metric} || ' y ' ||
+         coalesce(metric_b, '')
+       WHEN type = 'opportunity' THEN 'Oportunidad de mejora en calidad — ' || {zone} || ' (' || {country} || ')'
+       WHEN type = 'data_quality' THEN 'Valor fuera de rango: ' || {metric} || ' = ' || {_fnum('value', 3)} ||
+         ' en ' || {zone} || ' (' || {country} || ')' END AS title,
+  {cat} AS card_category,
+  CASE WHEN type = 'anomaly' THEN {metric} || ' ' || ({change}) || ' en ' || {zone} || '.'
+       WHEN type = 'consistent_deterioration' THEN {metric} || ' ha caído ' || {n} || ' semanas consecutivas en ' ||
+         {zone} || ' (' || {country} || '). Cambio acumulado: ' || {_fpct('total_pct_change', 1, True)} ||
+         '. Valor actual: ' || {_fnum('current_value', 3)} || '.'
+       WHEN type = 'benchmarking' THEN {zone} || ': ' || {metric} || ' = ' || {_fnum('current_value', 3)} ||
+         ' vs. promedio de pares (' || coalesce(zone_type, '') || ', ' || {country} || ') = ' ||
+         {_fnum('group_mean', 3)} || '. Z-score: ' || {_fnum('z_score', 2, True)} || '.'
+       WHEN type = 'correlation' THEN 'Correlación Pearson = ' || {_fnum('correlation', 2)} || ' (' ||
+         {_fpct('abs(correlation)', 0)} || ' de fuerza asociativa).'
+       WHEN type = 'opportunity' THEN interp
+       WHEN type = 'data_quality' THEN {metric} || ' reporta ' || {_fnum('value', 3)} || ' en ' || {zone} ||
+         '. Rango esperado: ' || expected_range || '.' END AS evidence,
+  CASE WHEN type = 'anomaly' THEN {lit(REP.WHY_ANOMALY)}
+       WHEN type = 'consistent_deterioration' THEN 'Un deterioro de ' || {n} ||
+         '+ semanas sugiere un problema estructural, no un evento puntual. Puede afectar retención y GMV.'
+       WHEN type = 'benchmarking' THEN {lit(REP.WHY_BENCH)}
+       WHEN type = 'correlation' THEN coalesce(interpretation, '')
+       WHEN type = 'opportunity' THEN {lit(REP.WHY_OPP)}
+       WHEN type = 'data_quality' THEN {lit(REP.WHY_DQ)} END AS why_it_matters,
+  CASE WHEN type = 'anomaly' THEN (CASE WHEN category = 'Deterioro' THEN 'Investigar causa del deterioro'
+         ELSE 'Validar y capitalizar la mejora' END) || ' en ' || {zone} || ': ' || ({action}) || '.'
+       WHEN type = 'consistent_deterioration' THEN 'Priorizar revisión en ' || {zone} || ': ' || ({action}) || '.'
+       WHEN type = 'benchmarking' THEN (CASE WHEN {under} THEN 'Investigar qué falla en'
+         ELSE 'Identificar best practices de' END) || ' ' || {zone} || ' y replicar al resto del grupo: ' ||
+         ({action}) || '.'
+       WHEN type = 'correlation' THEN {lit(REP.REC_CORR)}
+       WHEN type = 'opportunity' THEN 'Activar plan de calidad en ' || {zone} || ': ' || {lit(REP.DEFAULT_ACTION)}
+         || '.'
+       WHEN type = 'data_quality' THEN 'Validar fuente de datos para ' || {zone} || ' — ' || {metric} ||
+         '. Excluir de análisis comparativos hasta confirmar.' END AS recommendation,
+  CASE WHEN type = 'opportunity' THEN 'media' ELSE coalesce(severity, 'media') END AS severity
+FROM (SELECT * REPLACE ({interp} AS interpretation) FROM ins)""".replace("interp\n", "interpretation\n"),
+        _all_insights_cte())
+
+
+_build_with_text = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    S = _build_with_text()
+    build_formats(S)
+    return S

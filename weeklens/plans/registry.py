@@ -20,7 +20,8 @@ from ..operators import queries as Q
 from ..operators import report as R
 from ..operators import streaks as S
 from ..operators.filters import Filters, apply_filters, week_range
-from ..functions.scalar import out_of_range, r6
+from ..functions import fmt as FM
+from ..functions.scalar import out_of_range, pct_change_abs, r6
 from ..operators import text as X
 from ..sources import requests as RQ
 from ..sources import testdata
@@ -77,6 +78,27 @@ def _metric_dictionary(spark, sf):
     )
 
 
+def _formats(kind: str):
+    def run(spark, sf):
+        fr = _fr(spark, sf)
+        df = fr.fact.join(F.broadcast(fr.mdim.select("METRIC", "unit")), "METRIC", "left")
+        unit = F.coalesce(F.col("unit"), F.lit("ratio"))
+        if kind == "value":
+            v, text = F.col("L0W"), FM.format_value(F.col("L0W"), unit)
+        elif kind == "decimal":
+            v, text = F.col("L0W"), FM.format_value_decimal(F.col("L0W"), unit)
+        else:
+            v = pct_change_abs(F.col("L1W"), F.col("L0W"))
+            text = FM.format_change(v)
+        return df.select("COUNTRY", "CITY", "ZONE", "METRIC", r6(v).alias("value"), text.alias("text"))
+    return run
+
+
+def _cards(spark, sf):
+    fr = _fr(spark, sf)
+    return R.insight_card(R.all_insights(fr, min_orders_base=MIN_BASE), [CAT.profit])
+
+
 def _expect(spark, sf):
     fr = _fr(spark, sf)
     return prep.expect_checks(fr.metrics_wide, fr.orders_wide, COUNTRIES, ZONE_TYPES)
@@ -139,6 +161,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insight_counts": lambda s, sf: R.insight_counts(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
     "diversified_top5": lambda s, sf: R.diversified_top5(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
     "report_sections": lambda s, sf: R.report_sections(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
+    "insight_card": _cards,
+    # --- display formats
+    "format_value": _formats("value"),
+    "format_value_decimal": _formats("decimal"),
+    "format_change": _formats("change"),
     # --- text jobs over the conversations table (X*)
     "resolve_labels": lambda s, sf: X.resolve_labels(RQ.labels(s, sf)),
     "resolve_country": lambda s, sf: X.resolve_country(RQ.labels(s, sf)),
