@@ -37,19 +37,29 @@ def metric_entries(spark: SparkSession, catalog: Catalog = REFERENCE_CATALOG) ->
     return spark.createDataFrame(rows, "canonical string, metric_pos int, entry string, kind string, sub_pos int")
 
 
-def _similarity(a: Column, b: Column) -> Column:
-    fa, fb = T.fold(a), T.fold(b)
-    return 1.0 - F.levenshtein(fa, fb) / F.greatest(F.length(fa), F.length(fb))
+def _similarity(fa: Column, fb: Column, la: Column, lb: Column) -> Column:
+    """1 - edit distance / longer length of accent-folded strings; NULL when the
+    lengths alone rule out >= 0.6 (distance >= |la - lb|), so the edit distance
+    is only computed for strings of similar length."""
+    longer = F.greatest(la, lb)
+    return F.when(F.least(la, lb) >= longer * 0.6, 1.0 - F.levenshtein(fa, fb) / longer)
 
 
 def resolve_metric_table(values: DataFrame, col: str, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
-    """Distinct raw values of ``col`` -> canonical metric (ordered steps 1-4), as (col, canonical, step)."""
+    """Distinct raw values of ``col`` -> canonical metric (ordered steps 1-4), as (col, canonical, step).
+
+    Folding and lengths are computed once per distinct value and once per
+    dictionary entry, so the per-pair work in the (catalogue-sized) broadcast
+    join is a few comparisons."""
     spark = values.sparkSession
-    d = F.broadcast(metric_entries(spark, catalog))  # catalogue-sized
+    entries = metric_entries(spark, catalog)
+    entries = entries.withColumns({"ef": T.fold(F.col("entry")), "el": F.length("entry")})
+    d = F.broadcast(entries)  # catalogue-sized
     raw = values.select(F.col(col).alias("_raw")).filter(F.col("_raw").isNotNull() & (F.col("_raw") != "")) \
         .distinct().withColumn("_r", _norm(F.col("_raw")))
+    raw = raw.withColumns({"_rf": T.fold(F.col("_r")), "_rl": F.length("_r")})
     r, e, kind = F.col("_r"), F.col("entry"), F.col("kind")
-    sim = _similarity(r, e)
+    sim = _similarity(F.col("_rf"), F.col("ef"), F.col("_rl"), F.col("el"))
     step = (
         F.when((kind == "canonical") & (r == e), 1)
         .when((kind == "alias") & (r == e), 2)
@@ -58,7 +68,7 @@ def resolve_metric_table(values: DataFrame, col: str, catalog: Catalog = REFEREN
         .when((kind == "alias") & (sim >= 0.6), 4)
     )
     cand = raw.join(d, step.isNotNull()).select("_raw", "canonical", "metric_pos", "sub_pos", step.alias("step"),
-                                                 sim.alias("sim"))
+                                                 F.when(step == 4, sim).alias("sim"))
     key = F.struct(
         F.col("step"), F.when(F.col("step") == 4, -F.col("sim")).otherwise(F.lit(0.0)),
         F.col("metric_pos"), F.col("sub_pos"),
@@ -141,21 +151,40 @@ def concept_tag(messages: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ X9 gazetteer
 def gazetteer(metrics_wide: DataFrame) -> DataFrame:
-    """Known place names (lower-cased zones and cities, length >= 4) with their kind."""
+    """Known place names (lower-cased zones and cities, length >= 4) with their kind.
+
+    The anchor is the name's last four characters (more selective than a prefix,
+    which place names often share)."""
     zones = metrics_wide.select(F.lower("ZONE").alias("name"), F.lit("zone").alias("kind"))
     cities = metrics_wide.select(F.lower("CITY").alias("name"), F.lit("city").alias("kind"))
     g = zones.unionByName(cities).distinct().filter(F.length("name") >= ANCHOR)
-    return g.withColumns({"anchor": F.substring("name", 1, ANCHOR), "name_len": F.length("name")})
+    return g.withColumns({"anchor": F.substring("name", -ANCHOR, ANCHOR), "name_len": F.length("name")})
 
 
 def gazetteer_tag(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
-    """Longest zone name contained in the text, else longest city name."""
-    pos = messages.select("conv_id", "turn", "q", F.explode(F.sequence(F.lit(1), F.greatest(
-        F.length("q") - ANCHOR + 1, F.lit(1)))).alias("pos"))
-    grams = pos.select("conv_id", "turn", "q", "pos", F.substring("q", F.col("pos"), ANCHOR).alias("anchor"))
+    """Longest zone name contained in the text, else longest city name.
+
+    Exact substring semantics without a (text x name) nested loop: every text
+    position yields its 4-character gram (only the gram and its position move
+    through the shuffle), grams are equi-joined to name anchors, and the few
+    candidates are verified against the text.
+    """
+    grams = messages.select(
+        "conv_id", "turn",
+        F.posexplode(F.split(F.col("q"), "")).alias("p0", "ch"),
+        F.col("q"),
+    ).select("conv_id", "turn", (F.col("p0") + 1).alias("pos"),
+             F.substring(F.col("q"), F.col("p0") + 1, ANCHOR).alias("anchor"))
+    grams = grams.filter(F.length("anchor") == ANCHOR)
     g = gazetteer(metrics_wide)
-    hits = grams.join(g, "anchor").filter(F.substring(F.col("q"), F.col("pos"), F.col("name_len")) == F.col("name"))
-    hits = hits.select("conv_id", "turn", "name", "kind", "name_len").distinct()
+    cand = grams.join(g, "anchor").select(
+        "conv_id", "turn", "name", "kind", "name_len",
+        (F.col("pos") - F.col("name_len") + ANCHOR).alias("start"),
+    ).filter(F.col("start") >= 1)
+    texts = messages.select("conv_id", "turn", "q")
+    hits = cand.join(texts, ["conv_id", "turn"]).filter(
+        F.substring(F.col("q"), F.col("start"), F.col("name_len")) == F.col("name")
+    ).select("conv_id", "turn", "name", "kind", "name_len").distinct()
     key = F.struct(-F.col("name_len"), F.col("name"))
     best = hits.groupBy("conv_id", "turn").agg(
         F.min_by(F.when(F.col("kind") == "zone", F.col("name")), F.when(F.col("kind") == "zone", key)).alias("zone"),

@@ -83,8 +83,13 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, turn, role, q: lower-cased question + newline + the row's whole text."""
-    c = conversations(spark, sf_dir)
+    """conv_id, turn, role, q: lower-cased question + newline + the row's whole text.
+
+    Text jobs fan every message out into many rows (positions, chunks), so the
+    messages are hash-spread on (conv_id, turn) over all cores first: a small
+    file would otherwise be one task, and a per-message key cannot be skewed.
+    """
+    c = conversations(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "conv_id", "turn")
     return c.select(
         "conv_id", "turn", "role",
         F.lower(F.concat(pick(QUESTIONS, _key()), F.lit("\n"), F.coalesce(F.col("text"), F.lit("")))).alias("q"),
