@@ -121,7 +121,9 @@ def metric_dim(spark: SparkSession, catalog: Catalog) -> DataFrame:
         )
         for i, m in enumerate(catalog.metrics)
     ]
-    return spark.createDataFrame(rows, METRIC_DIM_SCHEMA)
+    from .functions.literal import literal_table
+
+    return literal_table(spark, rows, METRIC_DIM_SCHEMA)
 
 
 def alias_rows(catalog: Catalog) -> list[tuple[str, int, str, int]]:

@@ -15,6 +15,7 @@ import hashlib
 import threading
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,11 +77,21 @@ def build_fact(raw_metrics: DataFrame, raw_orders: DataFrame) -> DataFrame:
     return mw.select(*FACT_COLUMNS).unionByName(owe.select(*FACT_COLUMNS))
 
 
-def materialize(fact: DataFrame, path: str) -> DataFrame:
-    """Write the fact table partitioned by METRIC and read it back."""
+def materialize(fact: DataFrame, path: str, keep_in_memory: bool = False) -> DataFrame:
+    """Write the fact table partitioned by METRIC and read it back.
+
+    ``keep_in_memory`` additionally persists the read-back table (memory, then
+    disk): every detector scans it, and it is zones x metrics rows, far smaller
+    than the inputs. Lost blocks are recomputed from the written parquet, not
+    from the source joins.
+    """
     fact.write.mode("overwrite").partitionBy("METRIC").parquet(path)
     spark = fact.sparkSession
-    return spark.read.parquet(path).select(*FACT_COLUMNS)
+    out = spark.read.parquet(path).select(*FACT_COLUMNS)
+    if keep_in_memory:
+        out = out.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+        out.count()  # fill the cache once, in parallel, from the written files
+    return out
 
 
 def frames_from_raw(
@@ -88,7 +99,7 @@ def frames_from_raw(
 ) -> Frames:
     fact = build_fact(raw_metrics, raw_orders)
     if path is not None:
-        fact = materialize(fact, path)
+        fact = materialize(fact, path, keep_in_memory=True)
     return Frames(spark, fact, catalog)
 
 

@@ -77,9 +77,14 @@ def anomalies(
     cap = top_n * 2
     others = df.filter(~F.col("_gp")).orderBy(*order).limit(cap)
     gp = df.filter(F.col("_gp")).orderBy(*order).limit(reserved)
-    n_gp = gp.select(F.count(F.lit(1))).scalar()
-    others = _number(others, order).filter(F.col("position") <= F.lit(cap) - n_gp).drop("position")
-    final = _number(others.unionByName(gp), order).filter(F.col("position") <= cap)
+    # Both lists are already limited (<= cap + reserved rows), so these
+    # windows only number a handful of rows
+    both = others.unionByName(gp).withColumns({
+        "_n_gp": F.count_if(F.col("_gp")).over(Window.partitionBy(F.lit(1))),
+        "_pos": F.row_number().over(Window.partitionBy("_gp").orderBy(*order)),
+    })
+    kept = both.filter(F.col("_gp") | (F.col("_pos") <= F.lit(cap) - F.col("_n_gp")))
+    final = _number(kept, order).filter(F.col("position") <= cap)
     return final.select(
         F.lit("anomaly").alias("type"),
         F.when(F.col("_det"), "Deterioro").otherwise("Mejora").alias("category"),

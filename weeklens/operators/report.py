@@ -69,7 +69,9 @@ def all_insights(fr: Frames, min_orders_base: float = 50) -> DataFrame:
 def insight_counts(insights: DataFrame) -> DataFrame:
     """Findings per section; ``total`` leaves data_quality out."""
     spark = insights.sparkSession
-    names = spark.createDataFrame([(s, i) for i, s in enumerate(SECTIONS)], "section string, section_pos int")
+    from ..functions.literal import literal_table
+
+    names = literal_table(spark, [(s, i) for i, s in enumerate(SECTIONS)], "section string, section_pos int")
     counts = insights.groupBy("section").agg(F.count(F.lit(1)).alias("n"))
     per = names.join(counts, "section", "left").select(
         "section", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_findings")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import REFERENCE_CATALOG, Catalog
 from ..functions import text_rules as T
+from ..functions.literal import literal_table
 from .prep import strip_all
 
 ANCHOR = 4  # names shorter than this are never matched (original rule: len >= 4)
@@ -34,7 +35,7 @@ def metric_entries(spark: SparkSession, catalog: Catalog = REFERENCE_CATALOG) ->
         rows.append((m.name, i, m.name.lower(), "canonical", 0))
         for j, a in enumerate(m.aliases):
             rows.append((m.name, i, a.lower(), "alias", j + 1))
-    return spark.createDataFrame(rows, "canonical string, metric_pos int, entry string, kind string, sub_pos int")
+    return literal_table(spark, rows, "canonical string, metric_pos int, entry string, kind string, sub_pos int")
 
 
 def _similarity(fa: Column, fb: Column, la: Column, lb: Column) -> Column:
@@ -93,7 +94,7 @@ def _alias_table(spark: SparkSession, groups, with_code: bool = False) -> DataFr
             rows.append((canon, i, a))
         if with_code:
             rows.append((canon, i, canon.lower()))
-    return spark.createDataFrame(rows, "canonical string, pos int, alias string")
+    return literal_table(spark, rows, "canonical string, pos int, alias string")
 
 
 def _resolve_by_alias(df: DataFrame, col: str, table: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from ..operators import report as R
 from ..operators import streaks as S
 from ..operators.filters import Filters, apply_filters, week_range
 from ..functions import fmt as FM
+from ..functions.literal import literal_table
 from ..functions.scalar import out_of_range, pct_change_abs, r6
 from ..operators import text as X
 from ..sources import requests as RQ
@@ -68,7 +69,8 @@ def _range_predicate(spark, sf):
 def _metric_dictionary(spark, sf):
     fr = _fr(spark, sf)
     seen = fr.fact.groupBy("METRIC").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-    aliases = spark.createDataFrame(
+    aliases = literal_table(
+        spark,
         [(m.name, len(m.aliases), "|".join(m.aliases)) for m in CAT.metrics],
         "METRIC string, n_aliases int, aliases string",
     )
