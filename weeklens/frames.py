@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +32,7 @@ class Frames:
     spark: SparkSession
     fact: DataFrame
     catalog: Catalog
+    memo: dict = field(default_factory=dict, repr=False, compare=False)
 
     @property
     def volume(self) -> str:

@@ -66,6 +66,20 @@ def all_insights(fr: Frames, min_orders_base: float = 50) -> DataFrame:
     return out
 
 
+def insights_table(fr: Frames, min_orders_base: float = 50) -> DataFrame:
+    """The insight union computed once per Frames and checkpointed (reliable, to
+    ``spark.checkpoint.dir``): report selections then read a short lineage
+    instead of re-running every detector. The table is bounded by the
+    detectors' top-n limits."""
+    from ..session import ensure_checkpoint_dir
+
+    key = ("insights", min_orders_base)
+    if key not in fr.memo:
+        ensure_checkpoint_dir(fr.spark)
+        fr.memo[key] = all_insights(fr, min_orders_base).checkpoint(eager=True)
+    return fr.memo[key]
+
+
 def insight_counts(insights: DataFrame) -> DataFrame:
     """Findings per section; ``total`` leaves data_quality out."""
     spark = insights.sparkSession

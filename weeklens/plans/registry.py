@@ -98,7 +98,7 @@ def _formats(kind: str):
 
 def _cards(spark, sf):
     fr = _fr(spark, sf)
-    return R.insight_card(R.all_insights(fr, min_orders_base=MIN_BASE), [CAT.profit])
+    return R.insight_card(R.insights_table(fr, min_orders_base=MIN_BASE), [CAT.profit])
 
 
 def _expect(spark, sf):
@@ -160,9 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "opportunities": lambda s, sf: D.opportunities(_fr(s, sf), min_orders_base=MIN_BASE),
     "data_quality": lambda s, sf: D.data_quality(_fr(s, sf)),
     "all_insights": lambda s, sf: R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE),
-    "insight_counts": lambda s, sf: R.insight_counts(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
-    "diversified_top5": lambda s, sf: R.diversified_top5(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
-    "report_sections": lambda s, sf: R.report_sections(R.all_insights(_fr(s, sf), min_orders_base=MIN_BASE)),
+    "insight_counts": lambda s, sf: R.insight_counts(R.insights_table(_fr(s, sf), min_orders_base=MIN_BASE)),
+    "diversified_top5": lambda s, sf: R.diversified_top5(R.insights_table(_fr(s, sf), min_orders_base=MIN_BASE)),
+    "report_sections": lambda s, sf: R.report_sections(R.insights_table(_fr(s, sf), min_orders_base=MIN_BASE)),
     "insight_card": _cards,
     # --- display formats
     "format_value": _formats("value"),
