@@ -70,13 +70,15 @@ def melt_long(wide: DataFrame) -> DataFrame:
     weeks = week_columns(wide)
     ids = [c for c in wide.columns if c not in weeks]
     long = wide.unpivot(ids, weeks, "week_label", "value")
-    ago = F.regexp_extract("week_label", r"^L(\d+)W$", 1)
+    # labels are the known week columns: map them directly (L8W -> 0 ... L0W -> 8)
+    index = F.lit(-1)
+    ago = F.lit(None).cast("int")
+    for w in weeks:
+        i = int(w[1:-1])
+        index = F.when(F.col("week_label") == w, F.lit(8 - i)).otherwise(index)
+        ago = F.when(F.col("week_label") == w, F.lit(i)).otherwise(ago)
     return long.withColumns(
-        {
-            "week_index": F.when(ago != "", 8 - ago.cast("int")).otherwise(F.lit(-1)),
-            "weeks_ago": F.when(ago != "", ago.cast("int")),
-            "has_value": F.col("value").isNotNull(),
-        }
+        {"week_index": index, "weeks_ago": ago, "has_value": F.col("value").isNotNull()}
     )
 
 
