@@ -1,0 +1,3 @@
+"""weeklens: zone/metric weekly analytics as lazy Spark DataFrame operators."""
+
+__version__ = "0.1.0"
