@@ -15,6 +15,7 @@ from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
 from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, r6, rq
 from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default, week_range
+from ..session import ensure_checkpoint_dir
 from .scale import average_percent_rank
 
 GROUP_COLUMNS = {
@@ -244,18 +245,23 @@ def high_low(
     merged = a.join(b, IDS, "inner").filter(F.col("value_a").isNotNull() & F.col("value_b").isNotNull())
     if metric_a == fr.catalog.lead:
         merged = merged.filter(F.col("value_a") < fr.catalog.outlier_limit())
-    # Exact linear-interpolated quantiles as scalar subqueries (no join)
-    th_a = merged.select(F.percentile("value_a", percentile_high)).scalar()
-    th_b = merged.select(F.percentile("value_b", percentile_low)).scalar()
-    if direction_a == "high":
-        mask_a = F.col("value_a") >= th_a
-    else:
-        mask_a = F.col("value_a") <= merged.select(F.percentile("value_a", 1 - percentile_high)).scalar()
-    if direction_b == "low":
-        mask_b = F.col("value_b") <= th_b
-    else:
-        mask_b = F.col("value_b") >= merged.select(F.percentile("value_b", 1 - percentile_low)).scalar()
-    result = merged.filter(mask_a & mask_b)
+    # Exact linear-interpolated quantiles, all four in one scalar subquery (no join)
+    th = merged.select(F.struct(
+        F.percentile("value_a", percentile_high).alias("a_high"),
+        F.percentile("value_b", percentile_low).alias("b_low"),
+        F.percentile("value_a", 1 - percentile_high).alias("a_low"),
+        F.percentile("value_b", 1 - percentile_low).alias("b_high"),
+    )).scalar()
+    mask_a = F.col("value_a") >= th["a_high"] if direction_a == "high" else F.col("value_a") <= th["a_low"]
+    mask_b = F.col("value_b") <= th["b_low"] if direction_b == "low" else F.col("value_b") >= th["b_high"]
+    result = merged.filter(mask_a & mask_b).select(
+        *IDS, "ZONE_TYPE", "ZONE_PRIORITIZATION", "value_a", "value_b",
+        th["a_high"].alias("threshold_a"), th["b_low"].alias("threshold_b"),
+    )
+    # the selection is bounded by the quantile intersection; cut its lineage
+    # (reliable checkpoint) so the two rank computations below do not re-plan it
+    ensure_checkpoint_dir(fr.spark)
+    result = result.checkpoint(eager=True)
     spec_a, spec_b = fr.catalog.get(metric_a), fr.catalog.get(metric_b)
     ra = (spec_a.lo, spec_a.hi) if spec_a else (0.0, 1.0)
     rb = (spec_b.lo, spec_b.hi) if spec_b else (0.0, 1.0)
@@ -267,8 +273,8 @@ def high_low(
         r6("value_b").alias("value_b"),
         r6("percentile_a").alias("percentile_a"),
         r6("percentile_b").alias("percentile_b"),
-        rq(th_a).alias("threshold_a"),
-        rq(th_b).alias("threshold_b"),
+        rq("threshold_a").alias("threshold_a"),
+        rq("threshold_b").alias("threshold_b"),
         F.lit(metric_a).alias("metric_a"),
         F.lit(metric_b).alias("metric_b"),
         F.lit("").alias("data_quality_note"),
