@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .catalog import IDS, TESTDATA_CATALOG, WEEK_LABELS, ZONE_ATTRS, Catalog, metric_dim
 from .operators import prep
-from .session import scratch_path
+from .session import ensure_checkpoint_dir, scratch_path
 from .sources import testdata
 
 FACT_COLUMNS = [*IDS, *ZONE_ATTRS, "METRIC", *WEEK_LABELS]
@@ -115,7 +115,10 @@ def testdata_frames(spark: SparkSession, sf_dir: str, catalog: Catalog = TESTDAT
         cached = _CACHE.get(key)
         if cached is not None:
             return cached
-        cells = testdata.order_cells(spark, sf_dir)
+        # one pass over the source tables: the (zone, period) cell table is tiny
+        # next to orders/lineitem and feeds both sheets, so cut its lineage once
+        ensure_checkpoint_dir(spark)
+        cells = testdata.order_cells(spark, sf_dir).checkpoint(eager=True)
         tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
         path = scratch_path(spark, f"weeklens-tables/{key[0]}/{tag}/fact_wide")
         frames = frames_from_raw(
