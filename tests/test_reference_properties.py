@@ -87,3 +87,9 @@ def test_location_repair_and_filter_policy(spark, fr):
     assert fixed[0].city_to_zone and fixed[0].unique_zone
     pol = {r.turn: r for r in X.filter_policy(req.withColumn("zone", F.when(F.col("turn") == 0, "x"))).collect()}
     assert pol[0].eff_zone_type is None and pol[1].eff_zone_type is None and pol[1].n_warnings == 2
+
+
+def test_high_low_approx_close_to_exact(fr):
+    exact = Q.high_low(fr, CAT.lead, CAT.quality).first()
+    approx = Q.high_low(fr, CAT.lead, CAT.quality, approx=True).first()
+    assert approx is not None and abs(approx.threshold_a - exact.threshold_a) < 0.1

@@ -20,6 +20,15 @@ def rq(c: Column | str) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, 9)
 
 
+def quantile(c: str, p: float, approx: bool = False, accuracy: int = 10000) -> Column:
+    """Exact linear-interpolated quantile (default), or the sketch-based estimate.
+
+    The exact aggregate keeps a value -> count map per group; for groups with a
+    very large number of distinct values ``approx=True`` bounds the memory.
+    """
+    return F.percentile_approx(c, p, accuracy) if approx else F.percentile(c, p)
+
+
 def pct_change_abs(v_from: Column, v_to: Column) -> Column:
     """(to - from) / |from|; zero base -> NULL (dropped)."""
     return F.try_divide(v_to - v_from, F.abs(v_from))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS
 from ..frames import Frames
-from ..functions.scalar import clamp, out_of_range, peer_key, r6, robust_pct_change, rq
+from ..functions.scalar import clamp, out_of_range, peer_key, quantile, r6, robust_pct_change, rq
 from .streaks import trend_rows
 
 LOWER_IDS = {"ZONE": "zone", "COUNTRY": "country", "CITY": "city",
@@ -252,7 +252,7 @@ def correlations(fr: Frames, week: str = "L0W", top_n: int = 5, min_abs_r: float
 
 # ---------------------------------------------------------------- D5 opportunities
 def opportunity_rows(fr: Frames, week: str = "L0W", n_weeks_growth: int = 4,
-                     min_orders_base: float = 50) -> DataFrame:
+                     min_orders_base: float = 50, approx: bool = False) -> DataFrame:
     """Lead x quality rows with order growth and peer percentiles (before selection)."""
     cat = fr.catalog
     lead_spec, qual_spec = cat.by_role("lead"), cat.by_role("quality")
@@ -273,16 +273,16 @@ def opportunity_rows(fr: Frames, week: str = "L0W", n_weeks_growth: int = 4,
     )
     merged = merged.join(growth, IDS, "left").withColumn("peer_key", peer_key(F.col("COUNTRY"), F.col("ZONE_TYPE")))
     peers = merged.groupBy("peer_key").agg(
-        F.percentile("lead_pen", 0.75).alias("lead_peer_p75"),
-        F.percentile("perfect_orders", 0.40).alias("perf_peer_p40"),
+        quantile("lead_pen", 0.75, approx).alias("lead_peer_p75"),
+        quantile("perfect_orders", 0.40, approx).alias("perf_peer_p40"),
     )
     return merged.join(peers, "peer_key", "inner")
 
 
 def opportunities(fr: Frames, week: str = "L0W", n_weeks_growth: int = 4, min_orders_base: float = 50,
-                  top_n: int = 8) -> DataFrame:
+                  top_n: int = 8, approx: bool = False) -> DataFrame:
     """High lead vs peers, low quality vs peers, growing orders."""
-    df = opportunity_rows(fr, week, n_weeks_growth, min_orders_base)
+    df = opportunity_rows(fr, week, n_weeks_growth, min_orders_base, approx)
     df = df.filter((F.col("lead_pen") >= F.col("lead_peer_p75")) & (F.col("perfect_orders") < F.col("perf_peer_p40")))
     df = df.filter(F.col("order_growth") > 0)
     order = [F.col("order_growth").desc(), *[F.col(c).asc() for c in IDS]]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
-from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, r6, rq
+from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, quantile, r6, rq
 from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default, week_range
 from ..session import ensure_checkpoint_dir
 from .scale import average_percent_rank
@@ -235,6 +235,7 @@ def high_low(
     filters: Filters | None = None,
     percentile_high: float = 0.75,
     percentile_low: float = 0.25,
+    approx: bool = False,
 ) -> DataFrame:
     """Q5: zones where metric_a is high (or low) and metric_b low (or high), by global quantiles."""
     a = apply_filters(fr.wide(metric_a), filters)
@@ -247,10 +248,10 @@ def high_low(
         merged = merged.filter(F.col("value_a") < fr.catalog.outlier_limit())
     # Exact linear-interpolated quantiles, all four in one scalar subquery (no join)
     th = merged.select(F.struct(
-        F.percentile("value_a", percentile_high).alias("a_high"),
-        F.percentile("value_b", percentile_low).alias("b_low"),
-        F.percentile("value_a", 1 - percentile_high).alias("a_low"),
-        F.percentile("value_b", 1 - percentile_low).alias("b_high"),
+        quantile("value_a", percentile_high, approx).alias("a_high"),
+        quantile("value_b", percentile_low, approx).alias("b_low"),
+        quantile("value_a", 1 - percentile_high, approx).alias("a_low"),
+        quantile("value_b", 1 - percentile_low, approx).alias("b_high"),
     )).scalar()
     mask_a = F.col("value_a") >= th["a_high"] if direction_a == "high" else F.col("value_a") <= th["a_low"]
     mask_b = F.col("value_b") <= th["b_low"] if direction_b == "low" else F.col("value_b") >= th["b_high"]
