@@ -245,7 +245,7 @@ def intent_tag(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
     return intent_tag_columns(messages, places).select("conv_id", "turn", "intent")
 
 
-def extract_params(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
+def extract_params(messages: DataFrame, metrics_wide: DataFrame, keep_text: bool = False) -> DataFrame:
     """n_weeks, time_scope, top_k, group_by, zone type, prioritisation, country."""
     places = gazetteer_tag(messages, metrics_wide)
     df = intent_tag_columns(messages, places)
@@ -268,6 +268,7 @@ def extract_params(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
         T.country_of(q).alias("country"),
         "zone",
         "city",
+        *(["q"] if keep_text else []),
     )
 
 
@@ -293,9 +294,9 @@ def carry_last(df: DataFrame, part: str, order: str, cols: list[str], chunk: int
 
 def context_carry(messages: DataFrame, metrics_wide: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
     """Metric carries when absent; country only after a follow-up phrase; zone after 'same'."""
-    params = extract_params(messages, metrics_wide)
+    params = extract_params(messages, metrics_wide, keep_text=True)
     metrics = metric_tag(messages, catalog)
-    df = params.join(metrics, ["conv_id", "turn"]).join(messages.select("conv_id", "turn", "q"), ["conv_id", "turn"])
+    df = params.join(metrics, ["conv_id", "turn"])
     multi = F.col("intent") == "multivariable"
     df = df.withColumn("ctx_metric", F.when(~multi, F.col("metric")))
     df = carry_last(df, "conv_id", "turn", ["ctx_metric", "country", "zone"])
