@@ -63,7 +63,10 @@ class Frames:
 
     @property
     def mdim(self) -> DataFrame:
-        return metric_dim(self.spark, self.catalog)
+        # one plan instance per Frames, so identical broadcasts are reused
+        if "mdim" not in self.memo:
+            self.memo["mdim"] = metric_dim(self.spark, self.catalog)
+        return self.memo["mdim"]
 
     @property
     def zones(self) -> DataFrame:
