@@ -93,3 +93,18 @@ def test_high_low_approx_close_to_exact(fr):
     exact = Q.high_low(fr, CAT.lead, CAT.quality).first()
     approx = Q.high_low(fr, CAT.lead, CAT.quality, approx=True).first()
     assert approx is not None and abs(approx.threshold_a - exact.threshold_a) < 0.1
+
+
+def test_invariants(fr):
+    from weeklens.operators import detectors as D
+
+    # outlier sets are disjoint from the ranking
+    ranked = {r.ZONE for r in Q.top_zones(fr, CAT.lead, top_k=1000).collect()}
+    outliers = {r.ZONE for r in Q.outlier_split(fr).filter("is_outlier").collect()}
+    assert ranked and outliers and not (ranked & outliers)
+    # group counts add up to the rows that were grouped
+    n = sum(r.n_zones for r in Q.compare_groups(fr, CAT.quality, "country").collect())
+    assert n == fr.wide(CAT.quality).filter(F.col("L0W").isNotNull()).count()
+    # correlations are bounded, anomaly lists capped at 2 x top_n
+    assert all(abs(r.correlation) <= 1 for r in D.correlations(fr, top_n=50, min_abs_r=0.0).collect())
+    assert D.anomalies(fr).count() <= 20
