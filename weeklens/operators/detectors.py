@@ -117,26 +117,25 @@ def trends_insight(fr: Frames, min_weeks: int = 3, top_n: int = 10) -> DataFrame
 
 
 # ---------------------------------------------------------------- D3 benchmarking
-def benchmark_rows(fr: Frames, metric: str, week: str = "L0W") -> DataFrame:
-    """Peer z-scores per (COUNTRY, ZONE_TYPE) for one metric."""
-    df = _attrs(fr, fr.wide(metric)).filter(F.col(week).isNotNull() & ~_oor(F.col(week)))
-    df = df.withColumn("_v", F.col(week))
-    peers = df.groupBy("COUNTRY", "ZONE_TYPE").agg(
+def benchmark_rows(fr: Frames, metrics: list[str], week: str = "L0W") -> DataFrame:
+    """Peer z-scores per (METRIC, COUNTRY, ZONE_TYPE) for one or more metrics.
+
+    One partial aggregation for all requested metrics, joined back on the peer
+    key; AQE broadcasts the (small) statistics at runtime."""
+    df = _attrs(fr, fr.fact.filter(F.col("METRIC").isin(*metrics)))
+    df = df.filter(F.col(week).isNotNull() & ~_oor(F.col(week))).withColumn("_v", F.col(week))
+    peers = df.groupBy("METRIC", "COUNTRY", "ZONE_TYPE").agg(
         F.avg("_v").alias("group_mean"),
         F.stddev_samp("_v").alias("group_std"),
         F.count("_v").alias("group_count"),
     )
     # NULL peer keys never match: such rows have no peer statistics, as in the original
-    df = df.join(peers, ["COUNTRY", "ZONE_TYPE"], "inner")
+    df = df.join(peers, ["METRIC", "COUNTRY", "ZONE_TYPE"], "inner")
     return df.withColumn("z_score", (F.col("_v") - F.col("group_mean")) / (F.col("group_std") + 1e-9))
 
 
-def benchmarking(fr: Frames, metric: str | None = None, week: str = "L0W",
-                 z_threshold: float = 1.5, top_n: int = 10) -> DataFrame:
-    """D3: zones whose value is >= z_threshold peer standard deviations away (peers of >= 3)."""
-    metric = metric or fr.catalog.quality
-    df = benchmark_rows(fr, metric, week)
-    df = df.filter((F.abs("z_score") >= z_threshold) & (F.col("group_count") >= 3))
+def _benchmark_top(rows: DataFrame, metric: str, z_threshold: float, top_n: int) -> DataFrame:
+    df = rows.filter((F.col("METRIC") == metric) & (F.abs("z_score") >= z_threshold) & (F.col("group_count") >= 3))
     order = [F.abs("z_score").desc(), *[F.col(c).asc() for c in IDS]]
     top = df.orderBy(*order).limit(top_n)
     under = (F.col("z_score") < 0) & F.col("higher_is_better") | (F.col("z_score") > 0) & ~F.col("higher_is_better")
@@ -153,18 +152,30 @@ def benchmarking(fr: Frames, metric: str | None = None, week: str = "L0W",
     )
 
 
+def benchmarking(fr: Frames, metric: str | None = None, week: str = "L0W",
+                 z_threshold: float = 1.5, top_n: int = 10) -> DataFrame:
+    """D3: zones whose value is >= z_threshold peer standard deviations away (peers of >= 3)."""
+    metric = metric or fr.catalog.quality
+    return _benchmark_top(benchmark_rows(fr, [metric], week), metric, z_threshold, top_n)
+
+
 def benchmark_metrics(fr: Frames) -> list[str]:
     return [fr.catalog.quality, fr.catalog.lead, fr.catalog.profit]
 
 
 def benchmarking_all(fr: Frames, metrics: list[str] | None = None, week: str = "L0W",
-                     z_threshold: float = 1.5, top_n: int = 5) -> DataFrame:
-    """S3: top-n benchmarks for each of several metrics (one distributed top-k per metric)."""
+                     z_threshold: float = 1.5, top_n: int = 5, list_pos: bool = False) -> DataFrame:
+    """S3: top-n benchmarks for each of several metrics: one peer aggregation for
+    all of them, then one distributed top-k per metric (a hot metric never sits
+    in one window partition)."""
     metrics = metrics or benchmark_metrics(fr)
-    parts = [benchmarking(fr, m, week, z_threshold, top_n) for m in metrics]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    rows = benchmark_rows(fr, metrics, week)
+    out = None
+    for k, m in enumerate(metrics):
+        part = _benchmark_top(rows, m, z_threshold, top_n)
+        if list_pos:
+            part = part.withColumn("list_pos", F.col("position") + F.lit(k * 1000))
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -45,13 +45,7 @@ def _card(df: DataFrame, section: str) -> DataFrame:
 
 def all_insights(fr: Frames, min_orders_base: float = 50) -> DataFrame:
     """Every detector's findings in one card-shaped table."""
-    bench_parts = []
-    for k, m in enumerate(D.benchmark_metrics(fr)):
-        b = D.benchmarking(fr, m, top_n=5)
-        bench_parts.append(b.withColumn("list_pos", F.col("position") + F.lit(k * 1000)))
-    bench = bench_parts[0]
-    for p in bench_parts[1:]:
-        bench = bench.unionByName(p)
+    bench = D.benchmarking_all(fr, top_n=5, list_pos=True)
     parts = [
         _card(D.anomalies(fr), "anomalies"),
         _card(D.trends_insight(fr), "trends"),
