@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
 from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, quantile, r6, rq
-from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default, week_range
+from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default
 from ..session import ensure_checkpoint_dir
 from .scale import average_percent_rank
 
@@ -161,15 +161,27 @@ def trend(
     start_week: str = "L8W",
     end_week: str = "L0W",
 ) -> DataFrame:
-    """Q3: mean per week over matching zones (E6); per ZONE when a zone is named."""
+    """Q3: mean per week over matching zones (E6); per ZONE when a zone is named.
+
+    The per-week means are averages of the week columns (NULLs ignored), so the
+    rows are never expanded 9x into the long form; only the <= 9 results per
+    group are unpivoted.
+    """
     by_zone = bool(filters and filters.zone)
-    df = apply_filters(fr.long(metric), filters, exact_zone=by_zone)
-    df = week_range(df, start_week, end_week).filter(F.col("has_value"))
-    keys = ["week_label", "week_index"] + (["ZONE"] if by_zone else [])
-    agg = df.groupBy(*keys).agg(F.avg("value").alias("value"))
-    # a per-week mean has at most 9 rows (x zones named), so the window is tiny
-    out = _with_wow(agg, ["ZONE"] if by_zone else [])
-    return out.select(*keys, r6("value").alias("value"), "wow_change", F.lit(metric).alias("metric"))
+    df = apply_filters(fr.wide(metric), filters, exact_zone=by_zone)
+    lo, hi = WEEK_INDEX.get(start_week, 0), WEEK_INDEX.get(end_week, 8)
+    weeks = [w for w in WEEK_LABELS if w in df.columns and lo <= WEEK_INDEX[w] <= hi]
+    keys = ["ZONE"] if by_zone else []
+    means = df.groupBy(*keys).agg(*[F.avg(w).alias(w) for w in weeks])
+    long = means.unpivot(keys, weeks, "week_label", "value").filter(F.col("value").isNotNull())
+    index = F.lit(-1)
+    for w in weeks:
+        index = F.when(F.col("week_label") == w, F.lit(WEEK_INDEX[w])).otherwise(index)
+    long = long.withColumn("week_index", index)
+    out_keys = ["week_label", "week_index"] + keys
+    # at most 9 rows per named zone (or 9 rows overall), so the window is tiny
+    out = _with_wow(long, keys)
+    return out.select(*out_keys, r6("value").alias("value"), "wow_change", F.lit(metric).alias("metric"))
 
 
 def trend_from_wide(
