@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
 #: The six ASCII white-space characters; bytes.split() without arguments splits on the same set.
 SPACE = " \t\n\x0b\f\r"
@@ -23,6 +25,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stash(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it back: for tables with large binaries."""
+    path = scratch_path(df.sparkSession, f"weeklens-{name}/{uuid.uuid4().hex}")
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,4 +2,96 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from .reputation import STRENGTH
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _shrunk(level: str, key: str, parents: str) -> str:
+    """CTEs: the prior strength of a level by moments, and the level with its posterior means."""
+    lo, hi = STRENGTH
+    return f"""
+{level}_fit AS (
+  SELECT least(greatest(coalesce(CASE WHEN rho > 0 THEN 1 / rho - 1 ELSE {hi} END, {hi}), {lo}), {hi}) AS strength
+  FROM (SELECT CASE WHEN room = 0 THEN NULL ELSE (spread - (g - 1)) / room END AS rho
+        FROM (SELECT count(*)::DOUBLE AS g,
+                     sum(CASE WHEN mean * (1 - mean) = 0 THEN NULL
+                              ELSE n * pow(k / n - mean, 2) / (mean * (1 - mean)) END) AS spread,
+                     sum(n) - sum(n * n) / sum(n) - (count(*)::DOUBLE - 1) AS room
+              FROM {parents} WHERE n > 0))),
+{level}_post AS (
+  SELECT p.*, strength, (strength * mean + k) / (strength + n) AS post FROM {parents} p, {level}_fit)"""
+
+
+OP3 = rf"""
+WITH urls AS (
+  SELECT page_id,
+         coalesce({_LOWER.format("regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1)")}, '') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+counts AS (
+  SELECT host, count(*)::DOUBLE AS n, sum(quality)::DOUBLE AS k
+  FROM urls JOIN labels ON page_id = labels.doc_id WHERE quality IS NOT NULL GROUP BY host),
+hosts AS (
+  SELECT h.host, coalesce(n, 0) AS n, coalesce(k, 0) AS k,
+         array_to_string(string_split(h.host, '.')[-2:], '.') AS domain, string_split(h.host, '.')[-1] AS suffix
+  FROM (SELECT DISTINCT host FROM urls) h LEFT JOIN counts c ON h.host = c.host),
+domains AS (SELECT domain, suffix, sum(n) AS n, sum(k) AS k FROM hosts GROUP BY ALL),
+suffixes AS (
+  SELECT suffix, sum(n) AS n, sum(k) AS k,
+         (SELECT coalesce(sum(k) / nullif(sum(n), 0), 0.5) FROM domains) AS mean
+  FROM domains GROUP BY ALL),
+{_shrunk("suffix", "suffix", "suffixes")},
+domains_m AS (SELECT d.*, p.post AS mean FROM domains d JOIN suffix_post p USING (suffix)),
+{_shrunk("domain", "domain", "domains_m")},
+hosts_m AS (SELECT h.*, p.post AS mean FROM hosts h JOIN domain_post p ON h.domain = p.domain),
+{_shrunk("host", "host", "hosts_m")},
+bounds AS (
+  SELECT host, m + 2.0 * sqrt(m * (1 - m) / (ab + 1)) AS upper
+  FROM (SELECT host, strength + n AS ab, post AS m FROM host_post)),
+rules(verdict, host, path) AS (VALUES
+  ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+  ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+fits AS (
+  SELECT u.host, u.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule,
+         arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM urls) u
+  JOIN rules r ON (u.host = r.host OR ends_with(u.host, '.' || r.host)) AND starts_with(u.path, r.path)
+  GROUP BY ALL)
+SELECT u.page_id, u.host, u.path, f.rule,
+       coalesce(f.verdict, CASE WHEN b.upper < 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls u JOIN bounds b ON u.host = b.host LEFT JOIN fits f ON f.host = u.host AND f.path = u.path
+"""
+
+OP6 = f"""
+WITH lines AS (
+  SELECT d.rowid AS row, doc_id, g.i AS pos, l[g.i] AS line,
+         {_LOWER.format(f"trim(l[g.i], {_BLANKS})")} AS key, len(l) AS n_lines
+  FROM (SELECT row_number() OVER () AS rowid, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents) d,
+       LATERAL (SELECT unnest(range(1, len(l) + 1)) AS i) g),
+common AS (SELECT key FROM lines WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (c.key IS NULL), '')) AS kept_sha256
+FROM lines LEFT JOIN common c ON lines.key = c.key
+GROUP BY row
+"""
+
+OP10 = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+g AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS payload_digest,
+         CASE WHEN octet_length(payload) >= 1000 THEN max(page_id) OVER (PARTITION BY payload) ELSE page_id END AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM g
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_reputation": OP3,
+    "op6_linededup": OP6,
+    "op10_warc": OP10,
+}
