@@ -1,11 +1,12 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Examples. A sample of labelled rows is drawn by hash of the id, at most ``max_per_class`` of each
-class (the documented bound: everything that is collected or broadcast is limited by it). Terms are
-runs of letters, lower-cased. A term is used if it occurs in ``min_df`` different example texts or
-more and its log-likelihood ratio between the classes is at least ``min_g2``, so cosines compare
-what tells the classes apart and not the common vocabulary. Weights are (1 + ln tf) * ln(1 + N / df),
-normalised to length 1; document frequencies are those among the sample's distinct texts.
+class (the documented bound: everything that is collected or broadcast is limited by it). A term is
+a word (a run of letters, lower-cased) or a beginning of 4 to 7 letters of a longer word. Terms are
+used that occur in ``min_df`` different example texts or more and whose log-likelihood ratio between
+the classes is at least ``min_g2``, so cosines compare what tells the classes apart and not the common
+vocabulary. Weights are (1 + ln tf) * ln(1 + N / df), normalised to length 1; document frequencies are
+those among the sample's distinct texts.
 
 Index. Examples are grouped into blocks of ``block`` in order of their heaviest term; a term's
 posting list is cut by block, and each (term, block) keeps its largest weight. A query takes the sum
@@ -13,9 +14,11 @@ of its weights times these maxima as a bound for every block and visits blocks i
 the bound until it falls below the k-th best cosine: the neighbours are exactly those of a full
 comparison (ties by example id).
 
-Score. The k neighbours vote with weight cosine ** 2; ``prior_weight`` votes are cast for the base
-rate of the examples' labels in the whole training fold, so texts near nothing (empty ones too) score
-the base rate, and the score of a text grows with the number and closeness of toxic neighbours.
+Score. The k neighbours vote with weight cosine ** 2. A logistic curve, fitted on the examples
+themselves (each judged by the others, never by copies of its own text, and weighed to the class
+sizes of the whole training fold), turns the vote and the share of the text's words that carry terms
+of the toxic class into a probability. A text near nothing (an empty one too) has no votes; it gets
+the curve's value for that.
 """
 
 from __future__ import annotations
@@ -23,7 +26,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,26 +39,51 @@ from .common import cut, fold_of
 TERM = re.compile(r"[^\W\d_]+")
 
 
+#: Lengths of the word beginnings that are terms of their own.
+BEGINNINGS = (4, 5, 6, 7)
+
+
 @dataclass(frozen=True)
 class Index:
-    """terms: term -> number; idf by term; examples (CSR by example, in block order); block maxima."""
+    """terms: term -> number; idf and leaning by term; examples in block order; postings cut by block."""
 
     terms: dict[str, int]
     idf: np.ndarray
+    toxic: np.ndarray  # the term is more frequent in the toxic class
     ids: np.ndarray
     labels: np.ndarray
-    starts: np.ndarray  # of each (term, block) in the postings: shape (terms, blocks + 1)
+    texts: np.ndarray  # a hash of each example's text
+    starts: np.ndarray  # of each (term, block) in the postings
     example: np.ndarray
     weight: np.ndarray
     most: np.ndarray  # largest weight of each (term, block)
     block: int
-    base_rate: float
+    curve: tuple[float, ...]  # of the logistic calibration
+
+
+def word_terms(word: str) -> list[str]:
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+
+
+class Counts(dict):
+    """Term numbers of words, remembered by word (forgotten when too many)."""
+
+    def __init__(self, terms: dict[str, int], toxic: np.ndarray | None = None) -> None:
+        super().__init__()
+        self.terms, self.toxic = terms, toxic
 
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        if len(self) > 200_000:
+            self.clear()
+        out = self[word] = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
+        return out
 
-def term_counts(text: str | None, terms: dict[str, int]) -> Counter:
-    if not text:
-        return Counter()
-    return Counter([terms[w] for w in TERM.findall(text.lower()) if w in terms])
+    def of(self, text: str | None) -> tuple[dict[int, int], int, int]:
+        """Term counts of a text, its words that carry a toxic term, and all its words."""
+        words = TERM.findall(text.lower()) if text else []
+        found = [t for t in map(self.__getitem__, words) if t]
+        telling = sum(any(self.toxic[x] for x in t) for t in found) if self.toxic is not None else 0
+        return Counter(chain.from_iterable(found)), telling, len(words)
 
 
 def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,32 +94,31 @@ def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.nda
     return t, w / np.sqrt((w * w).sum())
 
 
-def build_index(examples: list[tuple[int, int, dict[int, int]]], terms: dict[str, int], df: np.ndarray, n_texts: int,
-                base_rate: float, block: int = 64) -> Index:
-    """examples: (id, label, counts by term number). Those without any term are near nothing and left out."""
+def build_index(examples: list[tuple[int, int, str, dict[int, int]]], terms: dict[str, int], df: np.ndarray,
+                toxic: np.ndarray, n_texts: int, block: int = 64) -> Index:
+    """examples: (id, label, hash of the text, counts by term number); each has a term at least."""
     idf = np.log(1 + n_texts / np.maximum(df, 1))
     rows = []
-    for i, label, counts in examples:
+    for i, label, text, counts in examples:
         t, w = _vector(counts, idf)
-        if len(t):
-            rows.append((int(t[np.argmax(w)]), i, label, t, w))
-    rows.sort(key=lambda r: (r[0], r[1]))
+        rows.append((int(t[np.argmax(w)]), i, label, text, t, w))
+    rows.sort(key=lambda r: r[:4])
     n, blocks = len(rows), max(1, -(-len(rows) // block))
-    ids, labels = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
-    t = np.concatenate([r[3] for r in rows]) if rows else np.zeros(0, np.int64)
-    w = np.concatenate([r[4] for r in rows]) if rows else np.zeros(0)
-    e = np.repeat(np.arange(n), [len(r[3]) for r in rows])
+    t = np.concatenate([r[4] for r in rows]) if rows else np.zeros(0, np.int64)
+    w = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0)
+    e = np.repeat(np.arange(n), [len(r[4]) for r in rows])
     order = np.lexsort((e, t))
     t, e, w = t[order], e[order], w[order]
     cell = t * blocks + e // block
     starts = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
     most = np.zeros(len(terms) * blocks)
     np.maximum.at(most, cell, w)
-    return Index(terms, idf, ids, labels, starts, e, w, most.reshape(len(terms), blocks), block, base_rate)
+    return Index(terms, idf, toxic, np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64),
+                 np.array([r[3] for r in rows], object), starts, e, w, most.reshape(len(terms), blocks), block, (0.0,) * 4)
 
 
-def nearest(index: Index, counts: Counter, k: int) -> list[tuple[float, int]]:
-    """The k examples of the largest positive cosine: (cosine, position), ties by example id."""
+def nearest(index: Index, counts: dict[int, int], k: int, but: str | None = None) -> list[tuple[float, int]]:
+    """The k examples of the largest positive cosine: (cosine, position), ties by example id; none with the text ``but``."""
     t, q = _vector(counts, index.idf)
     if not len(t) or not len(index.ids):
         return []
@@ -105,19 +133,43 @@ def nearest(index: Index, counts: Counter, k: int) -> list[tuple[float, int]]:
             at = slice(index.starts[x * blocks + b], index.starts[x * blocks + b + 1])
             cosine[index.example[at] - b * index.block] += weight * index.weight[at]
         for p in np.flatnonzero(cosine > 0).tolist():
+            if but is not None and index.texts[b * index.block + p] == but:
+                continue
             best.append((-round(float(cosine[p]), 9), int(index.ids[b * index.block + p]), b * index.block + p))
         best.sort()
         del best[k:]
     return [(-c, p) for c, _, p in best]
 
 
-def vote(index: Index, near: list[tuple[float, int]], prior_weight: float) -> float:
-    for_it = prior_weight * index.base_rate + sum(c * c * int(index.labels[p]) for c, p in near)
-    return for_it / (prior_weight + sum(c * c for c, _ in near))
+def features(index: Index, near: list[tuple[float, int]], telling: int, words: int) -> tuple[float, ...]:
+    """1, the vote (-1 clean, 1 toxic, 0 without neighbours), the log share of telling words, and their product."""
+    total = sum(c * c for c, _ in near)
+    vote = sum(c * c * (2 * int(index.labels[p]) - 1) for c, p in near) / total if total else 0.0
+    share = float(np.log((telling + 0.05) / (words + 10.0)) + 5.0)
+    return 1.0, vote, share, vote * share
+
+
+def calibrated(index: Index, x: tuple[float, ...]) -> float:
+    z = sum(a * b for a, b in zip(index.curve, x, strict=True))
+    return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
+
+
+def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
+    """Weighted logistic regression by Newton steps, with a ridge on all but the constant."""
+    b, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    penalty[0] = 1e-3
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
+        step = np.linalg.solve((x.T * (weight * p * (1 - p))) @ x + np.diag(penalty), x.T @ (weight * (y - p)) - penalty * b)
+        b = b + step
+        if np.abs(step).max() < 1e-8:
+            break
+    return tuple(b.tolist())
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_per_class: int = 8192, min_df: int = 3, min_g2: float = 30.0, max_terms: int = 4096, block: int = 64) -> Index:
+        max_per_class: int = 8192, min_df: int = 3, min_g2: float = 30.0, max_terms: int = 4096, block: int = 64,
+        k: int = 15) -> Index:
     """Index over a bounded sample of the labelled rows. ``labels`` holds the training fold only.
 
     Rows with a null id or label teach nothing; an id labelled twice counts as 1 if any label is 1.
@@ -126,31 +178,51 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     """
     told = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("y")).dropna().groupBy("id").agg(
         F.max("y").cast("int").alias("y"))
-    totals = told.agg(F.count(F.lit(1)), F.sum("y")).first()
-    base_rate = (totals[1] or 0) / totals[0] if totals[0] else 0.0
+    per_class = {r["y"]: r["count"] for r in told.groupBy("y").count().collect()}  # two rows
     sample = None
     for y in (0, 1):
         part = told.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_per_class)
         sample = part if sample is None else sample.unionAll(part)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
-    rows = cut(rows.join(F.broadcast(sample), F.col("doc") == F.col("id")).select("id", "y", "body"))
-    texts = rows.withColumn("h", F.md5("body")).dropDuplicates(["h", "y"]).select("y", "body")  # copies count once
+    rows = cut(rows.join(F.broadcast(sample), F.col("doc") == F.col("id")).select("id", "y", "body", F.md5("body").alias("h")))
+    texts = rows.dropDuplicates(["h", "y"]).select("y", "body")  # copies count once
     n1, n0 = texts.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
-    seen = F.pandas_udf(lambda col: col.map(lambda body: sorted(set(TERM.findall(body.lower())))), "array<string>")
+
+    def seen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            df: dict[int, Counter] = {0: Counter(), 1: Counter()}
+            for y, body in zip(pdf["y"], pdf["body"], strict=True):
+                df[int(y)].update({t for w in set(TERM.findall(body.lower())) for t in word_terms(w)})
+            for y, c in df.items():
+                yield pd.DataFrame({"term": list(c.keys()), "df": list(c.values()), "a": [n * y for n in c.values()]})
+
     passing = (
-        texts.select("y", F.explode(seen("body")).alias("term"))
-        .groupBy("term").agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("df"))
+        texts.mapInPandas(seen, "term string, df long, a long")
+        .groupBy("term").agg(F.sum("a").alias("a"), F.sum("df").alias("df"))
         .filter(F.col("df") >= min_df)
         .withColumn("g2", log_likelihood_ratio(F.col("a"), n1, F.col("df") - F.col("a"), n0))
         .filter(F.col("g2") >= min_g2)
         .orderBy(F.round("g2", 6).desc(), "term").limit(max_terms).collect()
     )
     terms = {r["term"]: i for i, r in enumerate(passing)}
-    counted = F.pandas_udf(lambda col: col.map(lambda body: dict(term_counts(body, terms))), "map<int,int>")
-    vectors = rows.select("id", "y", counted("body").alias("counts")).filter(F.size("counts") > 0).collect()
-    examples = sorted((r["id"], r["y"], tuple(sorted(r["counts"].items()))) for r in vectors)
-    return build_index([(i, y, dict(c)) for i, y, c in examples], terms, np.array([r["df"] for r in passing], float),
-                       n1 + n0, base_rate, block)
+    toxic = np.array([r["a"] * n0 > (r["df"] - r["a"]) * n1 for r in passing], bool)
+
+    def count(bodies: pd.Series) -> pd.DataFrame:
+        counts = Counts(terms, toxic)
+        return pd.DataFrame([counts.of(body) for body in bodies], columns=["counts", "telling", "words"])
+
+    counted = F.pandas_udf(count, "counts map<int,int>, telling int, words int")
+    vectors = rows.select("id", "y", "h", counted("body").alias("c")).select("id", "y", "h", "c.*").collect()
+    examples = sorted((r["id"], r["y"], r["h"], tuple(sorted(r["counts"].items()))) for r in vectors)
+    index = build_index([(i, y, h, dict(c)) for i, y, h, c in examples if c], terms,
+                        np.array([r["df"] for r in passing], float), toxic, n1 + n0, block)
+    if not vectors:
+        return index
+    x = np.array([features(index, nearest(index, r["counts"], k, r["h"]), r["telling"], r["words"]) for r in vectors])
+    y = np.array([r["y"] for r in vectors], float)
+    share = {v: per_class.get(v, 0) / max(1, int((y == v).sum())) for v in (0, 1)}
+    weight = np.where(y == 1, share[1], share[0])
+    return replace(index, curve=fit_curve(x, y, weight * len(y) / weight.sum()))
 
 
 def log_likelihood_ratio(a: Column, n1: int, b: Column, n0: int) -> Column:
@@ -166,11 +238,11 @@ def log_likelihood_ratio(a: Column, n1: int, b: Column, n0: int) -> Column:
 
 
 def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text: str = "text", k: int = 15,
-          prior_weight: float = 1.0, evidence: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+          evidence: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: ``id_col``, ``keep``, score (0 to 1), evidence (ids and cosines of the nearest examples).
 
-    Only the text decides. Null and empty texts and texts without any term score the base rate and
-    have no evidence. Repeated rows score alike. An empty table gives an empty result.
+    Only the text decides. Null and empty texts and texts without any term are near nothing and have
+    no evidence; without any labelled row every score is 1/2. Repeated rows score alike. An empty table gives an empty result.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # bounded by the sample and max_terms
     cols = [id_col, *keep]
@@ -178,9 +250,11 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text: str = "te
 
     def votes(texts: pd.Series) -> pd.DataFrame:
         ix, out = Index(**shared.value), []
+        counts = Counts(ix.terms, ix.toxic)
         for body in texts:
-            near = nearest(ix, term_counts(body if isinstance(body, str) else None, ix.terms), k)
-            out.append((vote(ix, near, prior_weight),
+            found, telling, words = counts.of(body if isinstance(body, str) else None)
+            near = nearest(ix, found, k)
+            out.append((calibrated(ix, features(ix, near, telling, words)),
                         [{"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]))
         return pd.DataFrame(out, columns=["score", "evidence"])
 
