@@ -42,6 +42,11 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """128-bit key of a row by content: rows of equal id and text share it."""
+    return F.unhex(F.md5(F.concat_ws("\x00", doc_id.cast("string"), text).cast("binary")))
+
+
 def fold_of(doc_id: Column, folds: int = 5) -> Column:
     """crc32(doc_id as text) mod ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

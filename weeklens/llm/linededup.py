@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, ascii_lower, cut, shuffle_width
+from .common import SPACE, ascii_lower, cut, row_key, shuffle_width
 
 
 def line_key(line: Column) -> Column:
@@ -127,7 +127,7 @@ def drop_common_lines(
     cols = [id_col, *keep]
     common = common_lines(docs, text, min_chars, min_docs, batches, fanout)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    row = F.unhex(F.md5(F.concat_ws("\x00", F.col(f"`{id_col}`").cast("string"), t).cast("binary")))
+    row = row_key(F.col(f"`{id_col}`"), t)
     lines = F.split(t, "\n", -1)
     at = docs.select(row.alias("row"), F.posexplode(_hashes(lines, min_chars)).alias("pos", "key"))
     drops = (
