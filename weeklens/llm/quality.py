@@ -1,10 +1,12 @@
 """Quality rules: base counts per text and a hashed n-gram log-likelihood ratio.
 
 Two multinomials over hashed n-grams (words and word pairs, A-Z lower-cased, 2 ** ``bits`` cells) are
-estimated: the raw corpus from every row, and the trusted target from labelled good rows. The target
-is smoothed towards the raw corpus, p_t = (c_t + s * p_r) / (n_t + s), so n-grams about which the
-target says nothing weigh nothing. A text's score is the mean over its n-grams of ln(p_t / p_r);
-``keep`` is score >= ``threshold``, a fixed number that treats every document alike.
+estimated: the raw corpus from every row, and the trusted target from labelled good rows. The ratio of
+a cell is shrunk to 1 by ``smoothing`` counts (the mean of a gamma-Poisson posterior): with e the
+target count that the raw corpus leads to expect, ln((c_t + smoothing) / (e + smoothing)). N-grams too
+rare for the target to tell anything weigh almost nothing, so texts outside the labelled sample are
+not held against it. A text's score is the mean over its n-grams; it is kept if the score is at least
+``threshold``, a fixed number that treats every document alike.
 
 Tasks send one row per cell they have seen to a grouped sum; the model is 2 ** ``bits`` numbers.
 The target is taken from at most ``max_trusted`` labelled rows, drawn by hash of the id (the
@@ -90,14 +92,13 @@ def count_cells(rows: DataFrame, bits: int) -> np.ndarray:
 
 
 def log_ratios(raw: np.ndarray, trusted: np.ndarray, smoothing: float) -> np.ndarray:
-    """ln(p_target / p_raw) of every cell; 0 where the raw corpus has nothing or no row is trusted."""
-    p_raw = (raw + 0.5) / (raw.sum() + 0.5 * len(raw))
-    p_target = (trusted + smoothing * p_raw) / (trusted.sum() + smoothing)
-    return np.where(raw + trusted > 0, np.log(p_target / p_raw), 0.0)
+    """ln(p_target / p_raw) of every cell, shrunk; 0 everywhere if no row is trusted."""
+    expected = raw * (trusted.sum() / max(1, raw.sum()))
+    return np.log((trusted + smoothing) / (expected + smoothing))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", good: str = "quality",
-        bits: int = 16, smoothing: float = 65536.0, max_trusted: int = 32768) -> np.ndarray:
+        bits: int = 16, smoothing: float = 30.0, max_trusted: int = 32768) -> np.ndarray:
     """The log ratios by cell. Labels with a null id or value, or of unknown rows, say nothing."""
     body = F.col(f"`{text}`").alias("t")
     raw = count_cells(docs.select(body), bits)
