@@ -201,8 +201,8 @@ REFERENCE_CATALOG = Catalog(
 # FIXTURES.md §2). Each stands in for one role of the original catalogue.
 TESTDATA_CATALOG = Catalog(
     metrics=(
-        MetricSpec("LinesPerOrder", True, "decimal", 0, 5.0, True, 0.02, "lead",
-                   ("lines per order", "lines", "lineas por orden"), "supply"),
+        MetricSpec("UnitsPerLine", True, "decimal", 0, 5.0, True, 0.02, "lead",
+                   ("units per line", "units", "unidades por linea"), "supply"),
         MetricSpec("Finished", True, "ratio", 0, 1.0, False, 0.02, "quality",
                    ("finished", "finished orders", "ordenes terminadas"), "quality"),
         MetricSpec("TicketDelta", True, "currency", -100, 15, False, 1.00, "profit",

@@ -61,6 +61,17 @@ class Frames:
     def orders_long(self) -> DataFrame:
         return prep.melt_long(self.orders_wide)
 
+    def metric_names(self) -> list[str]:
+        """The metrics of the metrics table: catalogued ones in order, then those that only the data has.
+
+        One distinct over the METRIC partitions; the number of metrics is bounded, not the rows.
+        """
+        if "metrics" not in self.memo:
+            known = self.catalog.non_volume()
+            seen = {r[0] for r in self.metrics_wide.select("METRIC").distinct().collect() if r[0] is not None}
+            self.memo["metrics"] = [*known, *sorted(seen - set(known))]
+        return self.memo["metrics"]
+
     @property
     def mdim(self) -> DataFrame:
         # one plan instance per Frames, so identical broadcasts are reused

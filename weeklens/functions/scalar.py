@@ -10,16 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def r6(c: Column | str) -> Column:
-    """Output rounding used on every floating result column."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
-
-
-def rq(c: Column | str) -> Column:
-    """Rounding for interpolated quantiles: midpoints of 6-decimal values need more digits."""
-    return F.round(F.col(c) if isinstance(c, str) else c, 9)
-
-
 def quantile(c: str, p: float, approx: bool = False, accuracy: int = 10000) -> Column:
     """Exact linear-interpolated quantile (default), or the sketch-based estimate.
 
@@ -30,8 +20,9 @@ def quantile(c: str, p: float, approx: bool = False, accuracy: int = 10000) -> C
 
 
 def pct_change_abs(v_from: Column, v_to: Column) -> Column:
-    """(to - from) / |from|; zero base -> NULL (dropped)."""
-    return F.try_divide(v_to - v_from, F.abs(v_from))
+    """(to - from) / |from|; a zero base gives +-inf, 0/0 NULL."""
+    up = F.when(v_to > 0, F.lit(float("inf"))).when(v_to < 0, F.lit(float("-inf")))
+    return F.when(v_from == 0, up).otherwise(F.try_divide(v_to - v_from, F.abs(v_from)))
 
 
 def floored_pct_change(v_from: Column, v_to: Column, floor: float = 1e-3) -> Column:

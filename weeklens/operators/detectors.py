@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS
 from ..frames import Frames
-from ..functions.scalar import clamp, out_of_range, peer_key, quantile, r6, robust_pct_change, rq
+from ..functions.scalar import clamp, out_of_range, peer_key, quantile, robust_pct_change
 from .streaks import trend_rows
 
 LOWER_IDS = {"ZONE": "zone", "COUNTRY": "country", "CITY": "city",
@@ -89,9 +89,9 @@ def anomalies(
         F.lit("anomaly").alias("type"),
         F.when(F.col("_det"), "Deterioro").otherwise("Mejora").alias("category"),
         *_lower_ids(["ZONE", "COUNTRY", "CITY", "ZONE_TYPE", "ZONE_PRIORITIZATION", "METRIC"]),
-        r6(from_week).alias("value_from"),
-        r6(to_week).alias("value_to"),
-        r6("_pct").alias("pct_change"),
+        F.col(from_week).alias("value_from"),
+        F.col(to_week).alias("value_to"),
+        F.col("_pct").alias("pct_change"),
         F.when(F.col("_abs") > 0.20, "alta").otherwise("media").alias("severity"),
         "position",
     )
@@ -109,8 +109,8 @@ def trends_insight(fr: Frames, min_weeks: int = 3, top_n: int = 10) -> DataFrame
         F.lit("Tendencia Preocupante").alias("category"),
         *_lower_ids(["ZONE", "COUNTRY", "CITY", "ZONE_TYPE", "ZONE_PRIORITIZATION", "METRIC"]),
         F.col("consecutive").alias("consecutive_weeks"),
-        r6(total).alias("total_pct_change"),
-        r6("L0W").alias("current_value"),
+        total.alias("total_pct_change"),
+        F.col("L0W").alias("current_value"),
         F.when(F.col("consecutive") >= 5, "alta").otherwise("media").alias("severity"),
         "position",
     )
@@ -143,9 +143,9 @@ def _benchmark_top(rows: DataFrame, metric: str, z_threshold: float, top_n: int)
         F.lit("benchmarking").alias("type"),
         F.lit("Benchmarking").alias("category"),
         *_lower_ids(["ZONE", "COUNTRY", "CITY", "ZONE_TYPE", "ZONE_PRIORITIZATION", "METRIC"]),
-        r6("_v").alias("current_value"),
-        r6("group_mean").alias("group_mean"),
-        r6("z_score").alias("z_score"),
+        F.col("_v").alias("current_value"),
+        "group_mean",
+        "z_score",
         F.when(under, "underperformer").otherwise("outperformer").alias("performance"),
         F.when(F.abs("z_score") >= 2.0, "alta").otherwise("media").alias("severity"),
         "position",
@@ -172,11 +172,11 @@ def benchmarking_all(fr: Frames, metrics: list[str] | None = None, week: str = "
     rows = benchmark_rows(fr, metrics, week)
     out = None
     for k, m in enumerate(metrics):
-        part = _benchmark_top(rows, m, z_threshold, top_n)
-        if list_pos:
-            part = part.withColumn("list_pos", F.col("position") + F.lit(k * 1000))
+        part = _benchmark_top(rows, m, z_threshold, top_n).withColumn("_metric_pos", F.lit(k))
         out = part if out is None else out.unionByName(part)
-    return out
+    if list_pos:  # numbers at most top_n rows of each metric
+        out = out.withColumn("list_pos", F.row_number().over(Window.orderBy("_metric_pos", "position")).cast("bigint"))
+    return out.drop("_metric_pos")
 
 
 # ---------------------------------------------------------------- D4 correlations
@@ -191,21 +191,21 @@ def correlation_stats(fr: Frames, week: str = "L0W") -> tuple[DataFrame, list[st
     The pivot is a group-by on the zone ids; everything after it is a single
     tree-reduced aggregate row, whatever the number of zones.
     """
-    metrics = sorted(fr.catalog.non_volume())
+    metrics = sorted(fr.metric_names())
     pv = fr.metrics_wide.groupBy(*IDS).agg(
-        *[F.first(F.when(F.col("METRIC") == m, F.col(week)), ignorenulls=True).alias(m) for m in metrics]
+        *[F.max(F.when(F.col("METRIC") == m, F.col(week))).alias(f"m_{i}") for i, m in enumerate(metrics)]
     )
     aggs = []
     for i, m in enumerate(metrics):
         spec = fr.catalog.get(m)
         lo, hi = (spec.lo, spec.hi) if spec else fr.catalog.unknown_range
         aggs += [
-            F.count(m).alias(f"n_{i}"),
-            F.avg(F.when(F.col(m).isNotNull(), _in_range_incl(F.col(m), lo, hi).cast("double"))).alias(f"s_{i}"),
+            F.count(f"m_{i}").alias(f"n_{i}"),
+            F.avg(_in_range_incl(F.col(f"m_{i}"), lo, hi).cast("double")).alias(f"s_{i}"),
         ]
     pairs = [(i, j) for i in range(len(metrics)) for j in range(i + 1, len(metrics))]
     for i, j in pairs:
-        a, b = F.col(metrics[i]), F.col(metrics[j])
+        a, b = F.col(f"m_{i}"), F.col(f"m_{j}")
         both = a.isNotNull() & b.isNotNull()
         aa, bb = F.when(both, a), F.when(both, b)
         aggs += [
@@ -226,7 +226,7 @@ def corr_clean_metrics(fr: Frames, week: str = "L0W") -> DataFrame:
     ])
     out = row.select(F.explode(items).alias("x")).select("x.*")
     return out.select(
-        "metric", "n_values", r6("share_in_range").alias("share_in_range"),
+        "metric", "n_values", "share_in_range",
         ((F.col("n_values") > 10) & F.coalesce(F.col("share_in_range") > 0.9, F.lit(False))).alias("is_clean"),
     )
 
@@ -251,7 +251,7 @@ def correlations(fr: Frames, week: str = "L0W", top_n: int = 5, min_abs_r: float
         F.lit("correlation").alias("type"),
         F.lit("Correlación").alias("category"),
         "metric_a", "metric_b",
-        r6("r").alias("correlation"),
+        F.col("r").alias("correlation"),
         F.when(positive, "positiva").otherwise("negativa").alias("direction"),
         F.when(F.abs("r") >= 0.7, "alta").otherwise("media").alias("severity"),
         F.concat(F.lit("Zonas con alto "), F.col("metric_a"), F.lit(" tienden a tener "),
@@ -302,11 +302,11 @@ def opportunities(fr: Frames, week: str = "L0W", n_weeks_growth: int = 4, min_or
         F.lit("opportunity").alias("type"),
         F.lit("Oportunidad").alias("category"),
         *_lower_ids(["ZONE", "COUNTRY", "CITY", "ZONE_TYPE", "ZONE_PRIORITIZATION"]),
-        r6("lead_pen").alias("lead_penetration"),
-        r6("perfect_orders").alias("perfect_orders"),
-        rq("perf_peer_p40").alias("peer_perfect_threshold"),
-        rq("lead_peer_p75").alias("peer_lead_threshold"),
-        r6("order_growth").alias("order_growth"),
+        F.col("lead_pen").alias("lead_penetration"),
+        "perfect_orders",
+        F.col("perf_peer_p40").alias("peer_perfect_threshold"),
+        F.col("lead_peer_p75").alias("peer_lead_threshold"),
+        "order_growth",
         F.col("orders_base"),
         F.lit("media").alias("severity"),
         "position",
@@ -324,7 +324,7 @@ def data_quality(fr: Frames, week: str = "L0W", top_n: int = 20) -> DataFrame:
         F.lit("data_quality").alias("type"),
         F.lit("Calidad de Datos").alias("category"),
         *_lower_ids(["ZONE", "COUNTRY", "CITY", "METRIC"]),
-        r6(week).alias("value"),
+        F.col(week).alias("value"),
         F.coalesce(F.col("range_text"), F.lit("[-1000000000.0, 1000000000.0]")).alias("expected_range"),
         F.when((v > F.col("range_hi") * 2) | (v < F.col("range_lo") * 2), "alta").otherwise("media").alias("severity"),
         "position",

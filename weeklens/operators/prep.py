@@ -17,6 +17,15 @@ METRIC_DIMS = ["COUNTRY", "CITY", "ZONE", "ZONE_TYPE", "ZONE_PRIORITIZATION", "M
 ORDER_DIMS = ["COUNTRY", "CITY", "ZONE", "METRIC"]
 
 
+# Every character that counts as white space at the ends of a text
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+# Fixed value: what counts as a number in a sheet cell
+NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(?i:inf|infinity)$"
+
+
 def strip_header(df: DataFrame) -> DataFrame:
     """A1/A2: strip blanks around column names (as read from a sheet header)."""
     return df.toDF(*[c.strip() for c in df.columns])
@@ -28,8 +37,8 @@ def clean_dedup(df: DataFrame) -> DataFrame:
 
 
 def strip_all(c: Column) -> Column:
-    """Strip every kind of leading/trailing whitespace (F.trim only strips blanks)."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Strip every kind of leading/trailing whitespace, Unicode's too (F.trim only strips blanks)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def clean_trim(df: DataFrame, dims: list[str]) -> DataFrame:
@@ -48,8 +57,8 @@ def clean_numeric(df: DataFrame) -> DataFrame:
     out = {}
     for w in WEEK_LABELS:
         if w in df.columns:
-            v = F.col(w).cast("string").try_cast("double")
-            out[w] = F.when(~F.isnan(v), v)
+            text = strip_all(F.col(w).cast("string"))
+            out[w] = F.when(text.rlike(NUMBER), text.try_cast("double"))
     return df.withColumns(out)
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
-from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, quantile, r6, rq
+from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, quantile
 from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default
 from ..session import ensure_checkpoint_dir
 from .scale import average_percent_rank
@@ -58,7 +58,7 @@ def top_zones(
     top = df.orderBy(*ordering).limit(top_k)
     return top.select(
         *IDS,
-        r6("value").alias("value"),
+        "value",
         F.row_number().over(Window.orderBy(*ordering)).cast("bigint").alias("rank"),
         F.lit(metric).alias("metric"),
         F.lit(week).alias("week"),
@@ -73,7 +73,7 @@ def outlier_split(fr: Frames, week: str = "L0W", filters: Filters | None = None)
     week = week_or_default(df, week)
     return df.filter(F.col(week).isNotNull()).select(
         *IDS,
-        r6(week).alias("value"),
+        F.col(week).alias("value"),
         (F.col(week) >= fr.catalog.outlier_limit()).alias("is_outlier"),
     )
 
@@ -90,9 +90,10 @@ def compare_groups(
     """Q2: one value per group at one week; n_zones counts rows; lead metric keeps <= limit."""
     gcol = group_column(group_by)
     base = fr.wide(metric)
+    known = week in base.columns  # the outlier rule is skipped for an unknown week, which falls back to L0W
     week = week_or_default(base, week)
     df = base
-    if metric == fr.catalog.lead:
+    if metric == fr.catalog.lead and known:
         limit = fr.catalog.outlier_limit()
         # Anything removed by the <= limit rule (NULLs count as removed)
         excluded = base.select(F.count_if(~F.coalesce(F.col(week) <= limit, F.lit(False))) > 0).scalar()
@@ -102,16 +103,15 @@ def compare_groups(
     df = apply_filters(df, filters)
     df = df.filter(F.col(week).isNotNull() & F.col(gcol).isNotNull())
     fn = {"median": F.median, "sum": F.sum}.get(agg, F.avg)
-    rounding = rq if agg == "median" else r6
     return df.groupBy(F.col(gcol).alias("group")).agg(
-        rounding(fn(week)).alias("value"),
+        fn(week).alias("value"),
         F.count(F.lit(1)).cast("bigint").alias("n_zones"),
     ).select(
         "group", "value", "n_zones",
         F.lit(metric).alias("metric"),
         F.lit(week).alias("week"),
         excluded.alias("outliers_excluded"),
-    )
+    ).orderBy(F.col("value").desc(), "group")
 
 
 def aggregate_metric(fr: Frames, metric: str, group_by: str = "country", week: str = "L0W",
@@ -137,10 +137,10 @@ def gap(fr: Frames, metric: str, group_by: str = "ZONE_TYPE", week: str = "L0W",
     return out.filter(F.col("n_groups") == 2).select(
         F.col("g0.group").alias("group_a"),
         F.col("g1.group").alias("group_b"),
-        r6("g0.value").alias("value_a"),
-        r6("g1.value").alias("value_b"),
-        r6(diff).alias("gap"),
-        r6(F.abs(diff) * 100).alias("gap_pp") if ratio else F.lit(None).cast("double").alias("gap_pp"),
+        F.col("g0.value").alias("value_a"),
+        F.col("g1.value").alias("value_b"),
+        diff.alias("gap"),
+        (F.abs(diff) * 100).alias("gap_pp") if ratio else F.lit(None).cast("double").alias("gap_pp"),
         F.when(diff > 0, F.col("g0.group")).otherwise(F.col("g1.group")).alias("leader"),
         F.lit(metric).alias("metric"),
     )
@@ -151,7 +151,7 @@ def _with_wow(df: DataFrame, partition: list[str]) -> DataFrame:
     """Change against the previous present week, signed denominator."""
     w = Window.partitionBy(*partition).orderBy("week_index") if partition else Window.orderBy("week_index")
     prev = F.lag("value").over(w)
-    return df.withColumn("wow_change", r6(F.try_divide(F.col("value") - prev, prev)))
+    return df.withColumn("wow_change", (F.try_divide(F.col("value") - prev, prev)))
 
 
 def trend(
@@ -181,7 +181,7 @@ def trend(
     out_keys = ["week_label", "week_index"] + keys
     # at most 9 rows per named zone (or 9 rows overall), so the window is tiny
     out = _with_wow(long, keys)
-    return out.select(*out_keys, r6("value").alias("value"), "wow_change", F.lit(metric).alias("metric"))
+    return out.select(*out_keys, "value", "wow_change", F.lit(metric).alias("metric"))
 
 
 def trend_from_wide(
@@ -209,7 +209,7 @@ def trend_from_wide(
     long = long.filter(F.col("week_index").between(lo, hi) & F.col("value").isNotNull())
     series = long.groupBy(*keys, "week_label", "week_index").agg(F.avg("value").alias("value"))
     out = _with_wow(series, [])
-    return out.select(*keys, "week_label", "week_index", r6("value").alias("value"), "wow_change",
+    return out.select(*keys, "week_label", "week_index", "value", "wow_change",
                       F.lit(metric).alias("metric"))
 
 
@@ -223,11 +223,11 @@ def trend_summary(
     total = F.when(first != 0, (last - first) / F.abs(first)).otherwise(F.lit(0.0))
     return series.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_points"),
-        r6(first).alias("first_value"),
-        r6(last).alias("last_value"),
-        r6(F.avg("value")).alias("mean_value"),
+        first.alias("first_value"),
+        last.alias("last_value"),
+        F.avg("value").alias("mean_value"),
         F.max_by("wow_change", "week_index").alias("last_wow"),
-        r6(total).alias("total_change"),
+        total.alias("total_change"),
     ).filter(F.col("n_points") > 0).withColumns(
         {
             "direction": F.when(F.col("total_change") > 0, "mejoró").otherwise("empeoró"),
@@ -282,12 +282,12 @@ def high_low(
     result = average_percent_rank(result, "value_b", "percentile_b", *rb)
     return result.select(
         *IDS, "ZONE_TYPE", "ZONE_PRIORITIZATION",
-        r6("value_a").alias("value_a"),
-        r6("value_b").alias("value_b"),
-        r6("percentile_a").alias("percentile_a"),
-        r6("percentile_b").alias("percentile_b"),
-        rq("threshold_a").alias("threshold_a"),
-        rq("threshold_b").alias("threshold_b"),
+        "value_a",
+        "value_b",
+        "percentile_a",
+        "percentile_b",
+        "threshold_a",
+        "threshold_b",
         F.lit(metric_a).alias("metric_a"),
         F.lit(metric_b).alias("metric_b"),
         F.lit("").alias("data_quality_note"),
@@ -315,7 +315,7 @@ def fastest_growing(
     """Q6: top-k zones by order growth over n weeks (base >= min_base)."""
     base = _growth_base(fr, n_weeks, filters, min_base)
     top = base.orderBy(F.col("growth_pct").desc(), *IDS).limit(top_k)
-    return top.select(*IDS, r6("growth_pct").alias("growth_pct"), "orders_start", "orders_end",
+    return top.select(*IDS, "growth_pct", "orders_start", "orders_end",
                       "orders_abs_growth")
 
 
@@ -335,7 +335,10 @@ def growth_explain(
                                 F.col("L0W").alias("value_end"))
     mw = mw.filter(F.col("value_start").isNotNull() & F.col("value_end").isNotNull())
     # top holds at most top_k rows; the metric dimension is catalogue-sized
-    joined = mw.join(F.broadcast(top), (mw.ZONE == top.t_zone) & (mw.COUNTRY == top.t_country)).join(
+    # a top zone without metric rows keeps one row with a NULL metric
+    found = mw.join(F.broadcast(top.select("t_zone", "t_country").distinct()),
+                    (mw.ZONE == F.col("t_zone")) & (mw.COUNTRY == F.col("t_country")), "left_semi")
+    joined = top.join(found, (found.ZONE == top.t_zone) & (found.COUNTRY == top.t_country), "left").join(
         F.broadcast(fr.mdim.select("METRIC", "higher_is_better")), "METRIC", "left"
     )
     pct = floored_pct_change(F.col("value_start"), F.col("value_end"))
@@ -346,10 +349,10 @@ def growth_explain(
     ranked = joined.withColumn("improvement_rank", F.row_number().over(w).cast("bigint"))
     return ranked.filter(F.col("improvement_rank") <= per_zone).select(
         F.col("t_zone").alias("zone"), F.col("t_country").alias("country"), F.col("t_city").alias("city"),
-        r6("growth_pct").alias("growth_pct"), "orders_start", "orders_end",
-        F.col("METRIC").alias("metric"), r6("value_start").alias("value_start"),
-        r6("value_end").alias("value_end"), r6("pct_change").alias("pct_change"),
-        r6("improvement").alias("improvement"), "improvement_rank",
+        "growth_pct", "orders_start", "orders_end",
+        F.col("METRIC").alias("metric"), "value_start",
+        "value_end", "pct_change",
+        "improvement", "improvement_rank",
     )
 
 
@@ -358,54 +361,63 @@ def pct_change_table(
     fr: Frames, metric: str | None = None, from_week: str = "L1W", to_week: str = "L0W",
     filters: Filters | None = None,
 ) -> DataFrame:
-    """Q7/F1: (to - from) / |from| per row; zero or missing base -> dropped."""
+    """Q7/F1: (to - from) / |from| per row; a zero base gives +-inf, 0/0 and missing values are dropped."""
     df = fr.fact if not metric else fr.wide(metric)
     df = apply_filters(df, filters)
     return df.select(
         *IDS, "METRIC", "ZONE_TYPE", "ZONE_PRIORITIZATION",
-        r6(pct_change_abs(F.col(from_week), F.col(to_week))).alias("wow_change"),
-        r6(from_week).alias(from_week),
-        r6(to_week).alias(to_week),
+        (pct_change_abs(F.col(from_week), F.col(to_week))).alias("wow_change"),
+        F.col(from_week).alias(from_week),
+        F.col(to_week).alias(to_week),
     ).filter(F.col("wow_change").isNotNull())
 
 
 # ------------------------------------------------------------------ E9-E13
 def zone_summary(fr: Frames) -> DataFrame:
-    """Distinct zones, countries and metrics (metrics table)."""
+    """Distinct zones, countries and metrics, and the sorted value lists of the small dimensions (metrics table)."""
     return fr.metrics_wide.agg(
         F.count_distinct("ZONE").cast("bigint").alias("n_zones"),
         F.count_distinct("COUNTRY").cast("bigint").alias("n_countries"),
         F.count_distinct("METRIC").cast("bigint").alias("n_metrics"),
         F.count_distinct("CITY").cast("bigint").alias("n_cities"),
+        F.array_join(F.array_sort(F.collect_set("COUNTRY")), "|").alias("countries"),
+        F.array_join(F.array_sort(F.collect_set("ZONE_TYPE")), "|").alias("zone_types"),
+        F.array_join(F.array_sort(F.collect_set("ZONE_PRIORITIZATION")), "|").alias("prioritizations"),
     )
 
 
 def zones_per_country(fr: Frames) -> DataFrame:
-    """Distinct ZONE per country."""
-    return fr.metrics_wide.groupBy("COUNTRY").agg(F.count_distinct("ZONE").cast("bigint").alias("n_zones"))
+    """Distinct ZONE per country, most zones first."""
+    counts = fr.metrics_wide.groupBy("COUNTRY").agg(F.count_distinct("ZONE").cast("bigint").alias("n_zones"))
+    return counts.orderBy(F.col("n_zones").desc(), "COUNTRY")
 
 
 def metric_histogram(fr: Frames, metric: str, week: str = "L0W", bins: int = 50,
                      lo: float | None = None, hi: float | None = None) -> DataFrame:
-    """Fixed-width histogram of a metric per ZONE_TYPE (bounds default to the metric range)."""
+    """Fixed-width histogram of a metric per ZONE_TYPE (bounds default to the metric range).
+
+    Values below the first or above the last bin are counted apart, in bins -1 and ``bins``, which are
+    open on that side; the last bin includes its upper bound.
+    """
     spec = fr.catalog.get(metric)
     lo = spec.lo if lo is None and spec else (lo if lo is not None else 0.0)
     hi = spec.hi if hi is None and spec else (hi if hi is not None else 1.0)
     df = fr.wide(metric).filter(F.col(week).isNotNull())
     width = (hi - lo) / bins
-    b = F.least(F.greatest(F.floor((F.col(week) - lo) / width), F.lit(0)), F.lit(bins - 1)).cast("bigint")
+    inside = F.least(F.greatest(F.floor((F.col(week) - lo) / width), F.lit(0)), F.lit(bins - 1))
+    b = F.when(F.col(week) < lo, -1).when(F.col(week) > hi, bins).otherwise(inside).cast("bigint")
     return df.groupBy("ZONE_TYPE", b.alias("bin")).agg(F.count(F.lit(1)).cast("bigint").alias("n")).select(
         "ZONE_TYPE", "bin",
-        r6(F.lit(lo) + F.col("bin") * width).alias("bin_lo"),
-        r6(F.lit(lo) + (F.col("bin") + 1) * width).alias("bin_hi"),
+        F.when(F.col("bin") >= 0, F.lit(lo) + F.col("bin") * width).alias("bin_lo"),
+        F.when(F.col("bin") < bins, F.lit(lo) + (F.col("bin") + 1) * width).alias("bin_hi"),
         "n",
     )
 
 
 def metric_pivot(fr: Frames, week: str = "L0W", metrics: list[str] | None = None) -> DataFrame:
-    """Zone x metric matrix at one week (first non-null per cell), all-null rows dropped."""
-    metrics = metrics or fr.catalog.non_volume()
+    """Zone x metric matrix at one week (largest value per cell), all-null rows dropped."""
+    metrics = metrics or fr.metric_names()
     pv = fr.metrics_wide.groupBy(*IDS).agg(
-        *[F.first(F.when(F.col("METRIC") == m, F.col(week)), ignorenulls=True).alias(m) for m in metrics]
+        *[F.max(F.when(F.col("METRIC") == m, F.col(week))).alias(m) for m in metrics]
     )
-    return pv.filter(F.greatest(*[F.col(m).isNotNull() for m in metrics]))
+    return pv.filter(F.coalesce(*[F.col(f"`{m}`") for m in metrics]).isNotNull())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
-from ..functions.scalar import out_of_range, r6
+from ..functions.scalar import out_of_range
 from .filters import Filters, apply_filters
 
 
@@ -68,20 +68,21 @@ def deterioration(fr: Frames, min_weeks: int = 3, filters: Filters | None = None
     return df.select(
         *IDS, "METRIC", "ZONE_TYPE", "ZONE_PRIORITIZATION",
         F.col("consecutive").alias("consecutive_deterioration_weeks"),
-        r6(total).alias("total_pct_change"),
-        r6("L0W").alias("L0W_value"),
+        total.alias("total_pct_change"),
+        F.col("L0W").alias("L0W_value"),
     )
 
 
 def deterioration_matrix(fr: Frames, min_weeks: int = 3, top_n: int = 20) -> DataFrame:
     """ZONE x METRIC matrix of run lengths (mean, missing -> 0), top zones by row max."""
     det = deterioration(fr, min_weeks)
-    metrics = fr.catalog.non_volume()
+    metrics = fr.metric_names()
     pv = det.groupBy("ZONE").agg(
         *[F.coalesce(F.avg(F.when(F.col("METRIC") == m, F.col("consecutive_deterioration_weeks"))), F.lit(0.0))
           .alias(m) for m in metrics]
     )
-    pv = pv.withColumn("max_weeks", F.greatest(*[F.col(m) for m in metrics]))
+    largest = F.greatest(*[F.col(f"`{m}`") for m in metrics]) if len(metrics) > 1 else F.col(f"`{metrics[0]}`")
+    pv = pv.withColumn("max_weeks", largest)
     return pv.orderBy(F.col("max_weeks").desc(), "ZONE").limit(top_n)
 
 

@@ -213,8 +213,8 @@ def metric_tag(messages: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> Dat
     return out.select("conv_id", "turn", F.coalesce("direct", "from_chunk").alias("metric"))
 
 
-def metric_pair_tag(messages: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
-    """Metric pair of 'high A but low B' questions (multivariable intent only)."""
+def metric_pair_tag(messages: DataFrame, metrics_wide: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
+    """Metric pair of 'high A but low B' questions (multivariable intent only; places decide intents)."""
     q = F.col("q")
     found = F.filter(F.array(*[F.lit(n) for n in catalog.names]), lambda m: q.contains(F.lower(m)))
     lead, qual = catalog.lead, catalog.quality
@@ -223,7 +223,7 @@ def metric_pair_tag(messages: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -
     b = (F.when(n >= 2, F.element_at(found, 2))
          .when(n == 1, F.when(F.element_at(found, 1) != qual, F.lit(qual)).otherwise(F.lit(lead)))
          .otherwise(F.lit(qual)))
-    tagged = intent_tag_columns(messages)
+    tagged = intent_tag_columns(messages, gazetteer_tag(messages, metrics_wide))
     multi = F.col("intent") == "multivariable"
     return tagged.select("conv_id", "turn", "intent", F.when(multi, a).alias("metric_a"),
                          F.when(multi, b).alias("metric_b"))
@@ -293,7 +293,11 @@ def carry_last(df: DataFrame, part: str, order: str, cols: list[str], chunk: int
 
 
 def context_carry(messages: DataFrame, metrics_wide: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
-    """Metric carries when absent; country only after a follow-up phrase; zone after 'same'."""
+    """Metric carries when absent; country only after a follow-up phrase; zone after 'same'.
+
+    Only the user's turns are questions: other roles neither feed the state nor get a row.
+    """
+    messages = messages.filter(F.col("role") == "user")
     params = extract_params(messages, metrics_wide, keep_text=True)
     metrics = metric_tag(messages, catalog)
     df = params.join(metrics, ["conv_id", "turn"])
@@ -399,7 +403,7 @@ def normalize_requests(requests: DataFrame, catalog: Catalog = REFERENCE_CATALOG
     spark = requests.sparkSession
     metric_values = requests.select(F.col("metric").alias("v")).unionByName(
         requests.select(F.col("metric_a").alias("v"))).unionByName(requests.select(F.col("metric_b").alias("v")))
-    resolved = F.broadcast(resolve_metric_table(metric_values, "v", catalog).select("v", "canonical"))
+    resolved = resolve_metric_table(metric_values, "v", catalog).select("v", "canonical")
     df = requests
     for c in ["metric", "metric_a", "metric_b"]:
         r = resolved.select(F.col("v").alias(f"_{c}_v"), F.col("canonical").alias(f"_{c}_c"))

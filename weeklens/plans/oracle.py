@@ -61,9 +61,9 @@ def _oor(v: str) -> str:
             f" false)")
 
 
-def _wow(order_part: str = "") -> str:
+def _wow(order_part: str = "", digits: int | None = 6) -> str:
     w = f"OVER ({order_part} ORDER BY week_index)"
-    return f"round((value - lag(value) {w}) / nullif(lag(value) {w}, 0), 6)"
+    return _rounded(f"(value - lag(value) {w}) / nullif(lag(value) {w}, 0)", digits)
 
 
 def _streak_ctes(src: str) -> str:
@@ -95,20 +95,24 @@ def _filter_rows(where: str, metric: str = QUAL) -> str:
              f" WHERE METRIC = {_lit(metric)} AND {where}")
 
 
-def _compare(metric: str, gcol: str, agg: str = "avg", src: str = "fact") -> tuple[str, str]:
+def _rounded(x: str, digits: int | None) -> str:
+    return x if digits is None else f"round({x}, {digits})"
+
+
+def _compare(metric: str, gcol: str, agg: str = "avg", src: str = "fact", digits: int | None = 10) -> tuple[str, str]:
     lead = metric == LEAD
     excluded = (f"(SELECT count_if(NOT coalesce(L0W <= {LIMIT}, false)) > 0 FROM {src} WHERE METRIC = {_lit(metric)})"
                 if lead else "false")
     lead_where = f" AND L0W <= {LIMIT}" if lead else ""
     cte = f"""cg AS (
-  SELECT {gcol} AS "group", round({agg}(L0W), {9 if agg == "median" else 6}) AS value, count(*) AS n_zones, {_lit(metric)} AS metric,
+  SELECT {gcol} AS "group", {_rounded(f"{agg}(L0W)", 9 if agg == "median" else 6 if agg == "sum" else digits)} AS value, count(*) AS n_zones, {_lit(metric)} AS metric,
     'L0W' AS week, {excluded} AS outliers_excluded
   FROM {src} WHERE METRIC = {_lit(metric)}{lead_where} AND L0W IS NOT NULL AND {gcol} IS NOT NULL
   GROUP BY {gcol})"""
     return cte, "SELECT * FROM cg"
 
 
-def _trend_cte(metric: str, zone: str | None) -> str:
+def _trend_cte(metric: str, zone: str | None, digits: int | None = 10) -> str:
     zone_where = f" AND lower(ZONE) = {_lit(zone.lower())}" if zone else ""
     keys = "week_label, week_index" + (", ZONE" if zone else "")
     part = "PARTITION BY ZONE" if zone else ""
@@ -116,7 +120,7 @@ def _trend_cte(metric: str, zone: str | None) -> str:
   SELECT {keys}, avg(value) AS value FROM fact_long
   WHERE METRIC = {_lit(metric)}{zone_where} AND week_index BETWEEN 0 AND 8 AND value IS NOT NULL
   GROUP BY {keys}),
-tr AS (SELECT {keys}, round(value, 6) AS value, {_wow(part)} AS wow_change, {_lit(metric)} AS metric FROM tr_in)"""
+tr AS (SELECT {keys}, {_rounded('value', digits)} AS value, {_wow(part, digits)} AS wow_change, {_lit(metric)} AS metric FROM tr_in)"""
 
 
 FACT_LONG = "fact_long AS (SELECT * FROM ml UNION ALL BY NAME SELECT * FROM ol)"
@@ -235,7 +239,7 @@ def _bench_cte(metric: str, name: str, z: float = 1.5, top_n: int = 5) -> str:
   SELECT 'benchmarking' AS type, 'Benchmarking' AS category,
     ZONE AS zone, COUNTRY AS country, CITY AS city, ZONE_TYPE AS zone_type,
     ZONE_PRIORITIZATION AS zone_prioritization, METRIC AS metric,
-    round(v, 6) AS current_value, round(group_mean, 6) AS group_mean, round(z, 6) AS z_score,
+    round(v, 6) AS current_value, round(group_mean, 10) AS group_mean, round(z, 6) AS z_score,
     CASE WHEN (z < 0 AND hib) OR (z > 0 AND NOT hib) THEN 'underperformer' ELSE 'outperformer' END AS performance,
     CASE WHEN abs(z) >= 2.0 THEN 'alta' ELSE 'media' END AS severity,
     row_number() OVER (ORDER BY abs(z) DESC, COUNTRY, CITY, ZONE) AS position
@@ -246,8 +250,9 @@ def _bench_cte(metric: str, name: str, z: float = 1.5, top_n: int = 5) -> str:
 def _bench_all_cte(top_n: int = 5) -> str:
     metrics = [CAT.quality, CAT.lead, CAT.profit]
     parts = [_bench_cte(m, f"bm{k}", top_n=top_n) for k, m in enumerate(metrics)]
-    union = " UNION ALL ".join(f"SELECT *, position + {k * 1000} AS list_pos FROM bm{k}" for k in range(len(metrics)))
-    return ",".join(parts) + f",\nbench AS ({union})"
+    union = " UNION ALL ".join(f"SELECT *, {k} AS metric_pos FROM bm{k}" for k in range(len(metrics)))
+    return ",".join(parts) + (f",\nbench AS (SELECT * EXCLUDE (metric_pos), row_number() OVER (ORDER BY metric_pos, position)"
+                              f" AS list_pos FROM ({union}))")
 
 
 def _corr_ctes() -> str:
@@ -437,7 +442,7 @@ UNION ALL SELECT 'week_index_range', CAST(count_if(NOT week_index BETWEEN 0 AND
     # --- filters
     S["filter_country"] = _filter_rows("upper(COUNTRY) = 'AMERICA'")
     S["filter_city"] = _filter_rows("lower(CITY) = 'nation_3'")
-    S["filter_zone_contains"] = _filter_rows("contains(lower(ZONE), 'building')")
+    S["filter_zone_contains"] = _filter_rows("contains(lower(ZONE), '00007')")
     S["filter_zone_exact"] = _filter_rows(f"lower(ZONE) = {_lit(TREND_ZONE)}")
     S["filter_zone_type"] = _filter_rows("lower(ZONE_TYPE) = 'wealthy'")
     S["filter_priority"] = _filter_rows("lower(ZONE_PRIORITIZATION) = 'high priority'")
@@ -479,15 +484,15 @@ tw_long AS ({unp})""")
     S["trend_summary"] = q(f"""
 SELECT CAST(count(*) AS BIGINT) AS n_points, round(arg_min(value, week_index), 6) AS first_value,
   round(arg_max(value, week_index), 6) AS last_value, round(avg(value), 6) AS mean_value,
-  arg_max(wow_change, week_index) AS last_wow,
+  round(arg_max(wow_change, week_index), 6) AS last_wow,
   round(CASE WHEN arg_min(value, week_index) <> 0
         THEN (arg_max(value, week_index) - arg_min(value, week_index)) / abs(arg_min(value, week_index))
         ELSE 0.0 END, 6) AS total_change,
-  CASE WHEN round(CASE WHEN arg_min(value, week_index) <> 0
+  CASE WHEN CASE WHEN arg_min(value, week_index) <> 0
         THEN (arg_max(value, week_index) - arg_min(value, week_index)) / abs(arg_min(value, week_index))
-        ELSE 0.0 END, 6) > 0 THEN 'mejoró' ELSE 'empeoró' END AS direction,
+        ELSE 0.0 END > 0 THEN 'mejoró' ELSE 'empeoró' END AS direction,
   {_lit(QUAL)} AS metric
-FROM tr HAVING count(*) > 0""", FACT_LONG + ",\n" + _trend_cte(QUAL, TREND_ZONE))
+FROM tr HAVING count(*) > 0""", FACT_LONG + ",\n" + _trend_cte(QUAL, TREND_ZONE, None))
     S["high_low"] = q(f"""
 SELECT COUNTRY, CITY, ZONE, ZONE_TYPE, ZONE_PRIORITIZATION, round(value_a, 6) AS value_a, round(value_b, 6) AS value_b,
   {_pct_rank('value_a')} AS percentile_a, {_pct_rank('value_b')} AS percentile_b,
@@ -514,13 +519,14 @@ FROM (
       (m.L0W - m.L5W) / greatest(abs(m.L5W), 0.001) AS pct_change,
       CASE WHEN coalesce(md.higher_is_better, true) THEN 1 ELSE -1 END
         * (m.L0W - m.L5W) / greatest(abs(m.L5W), 0.001) AS improvement
-    FROM mw m JOIN gtop t ON m.ZONE = t.ZONE AND m.COUNTRY = t.COUNTRY LEFT JOIN md ON md.METRIC = m.METRIC
-    WHERE m.L5W IS NOT NULL AND m.L0W IS NOT NULL))
+    FROM gtop t LEFT JOIN (SELECT * FROM mw WHERE L5W IS NOT NULL AND L0W IS NOT NULL) m
+      ON m.ZONE = t.ZONE AND m.COUNTRY = t.COUNTRY LEFT JOIN md ON md.METRIC = m.METRIC))
 WHERE improvement_rank <= 3""", _growth_top())
     S["pct_change_abs"] = q("""
 SELECT COUNTRY, CITY, ZONE, METRIC, ZONE_TYPE, ZONE_PRIORITIZATION,
-  round((L0W - L1W) / nullif(abs(L1W), 0), 6) AS wow_change, round(L1W, 6) AS L1W, round(L0W, 6) AS L0W
-FROM fact WHERE (L0W - L1W) / nullif(abs(L1W), 0) IS NOT NULL""")
+  round(ch, 6) AS wow_change, round(L1W, 6) AS L1W, round(L0W, 6) AS L0W
+FROM (SELECT *, CASE WHEN L1W = 0 THEN CASE WHEN L0W > 0 THEN 'inf'::DOUBLE WHEN L0W < 0 THEN '-inf'::DOUBLE END
+                ELSE (L0W - L1W) / abs(L1W) END AS ch FROM fact) WHERE ch IS NOT NULL""")
     S["deterioration"] = q("SELECT * FROM det", _det_cte())
     cols = ", ".join(f"coalesce(avg(CASE WHEN METRIC = {_lit(m)} THEN consecutive_deterioration_weeks END), 0.0)"
                      f" AS {_quote(m)}" for m in NON_VOL)
@@ -530,23 +536,26 @@ FROM fact WHERE (L0W - L1W) / nullif(abs(L1W), 0) IS NOT NULL""")
         _det_cte() + f",\ndm AS (SELECT ZONE, {cols} FROM det GROUP BY ZONE)")
     S["zone_summary"] = q("SELECT CAST(count(DISTINCT ZONE) AS BIGINT) AS n_zones, CAST(count(DISTINCT COUNTRY) AS BIGINT)"
                           " AS n_countries, CAST(count(DISTINCT METRIC) AS BIGINT) AS n_metrics,"
-                          " CAST(count(DISTINCT CITY) AS BIGINT) AS n_cities FROM mw")
+                          " CAST(count(DISTINCT CITY) AS BIGINT) AS n_cities,"
+                          + ",".join(f" array_to_string(list_sort(list(DISTINCT {c})), '|') AS {a}" for c, a in
+                                     (("COUNTRY", "countries"), ("ZONE_TYPE", "zone_types"),
+                                      ("ZONE_PRIORITIZATION", "prioritizations"))) + " FROM mw")
     S["zones_per_country"] = q("SELECT COUNTRY, CAST(count(DISTINCT ZONE) AS BIGINT) AS n_zones FROM mw GROUP BY COUNTRY")
     qs = CAT.get(QUAL)
     width = (qs.hi - qs.lo) / 50
     S["metric_histogram"] = q(f"""
-SELECT ZONE_TYPE, bin, round({_lit(qs.lo)} + bin * {_lit(width)}, 6) AS bin_lo,
-  round({_lit(qs.lo)} + (bin + 1) * {_lit(width)}, 6) AS bin_hi, count(*) AS n
-FROM (SELECT ZONE_TYPE, CAST(least(greatest(floor((L0W - {_lit(qs.lo)}) / {_lit(width)}), 0), 49) AS BIGINT) AS bin
+SELECT ZONE_TYPE, bin, CASE WHEN bin >= 0 THEN round({_lit(qs.lo)} + bin * {_lit(width)}, 6) END AS bin_lo,
+  CASE WHEN bin < 50 THEN round({_lit(qs.lo)} + (bin + 1) * {_lit(width)}, 6) END AS bin_hi, count(*) AS n
+FROM (SELECT ZONE_TYPE, CAST(CASE WHEN L0W < {_lit(qs.lo)} THEN -1 WHEN L0W > {_lit(qs.hi)} THEN 50 ELSE least(greatest(floor((L0W - {_lit(qs.lo)}) / {_lit(width)}), 0), 49) END AS BIGINT) AS bin
       FROM fact WHERE METRIC = {_lit(QUAL)} AND L0W IS NOT NULL)
 GROUP BY ZONE_TYPE, bin""")
     pcols = ", ".join(f"round(max(CASE WHEN METRIC = {_lit(m)} THEN L0W END), 6) AS {_quote(m)}" for m in NON_VOL)
     anyn = " OR ".join(f"{_quote(m)} IS NOT NULL" for m in NON_VOL)
     S["metric_pivot"] = q(f"SELECT * FROM (SELECT COUNTRY, CITY, ZONE, {pcols} FROM mw GROUP BY COUNTRY, CITY, ZONE)"
                           f" WHERE {anyn}")
-    cte, _ = _compare(QUAL, "ZONE_TYPE", "avg")
+    cte, _ = _compare(QUAL, "ZONE_TYPE", "avg", digits=None)
     S["gap"] = q(f"""
-SELECT a."group" AS group_a, b."group" AS group_b, a.value AS value_a, b.value AS value_b,
+SELECT a."group" AS group_a, b."group" AS group_b, round(a.value, 6) AS value_a, round(b.value, 6) AS value_b,
   round(a.value - b.value, 6) AS gap, round(abs(a.value - b.value) * 100, 6) AS gap_pp,
   CASE WHEN a.value - b.value > 0 THEN a."group" ELSE b."group" END AS leader, {_lit(QUAL)} AS metric
 FROM go a JOIN go b ON a.rn = 1 AND b.rn = 2 WHERE a.n = 2""",
@@ -599,8 +608,12 @@ def _pick(items, n=None) -> str:
     return f"list_extract({_strlist(items)}, CAST(((conv_id * 7 + turn) % {len(items)}) + 1 AS INTEGER))"
 
 
+# Code points of white space (written out again, not taken from the operators)
+_SPACES = [*range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+
+
 def _strip(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, {_lit(''.join(map(chr, _SPACES)))})"
 
 
 def _any(q: str, words) -> str:
@@ -631,6 +644,7 @@ def _text_prefix() -> str:
         return ", ".join(rows)
 
     req_fields = RQ.REQUEST_FIELDS
+    own = {"metric": "w2", "city": "nation", "zone": "s_name"}
     structs = ", ".join(
         "{" + ", ".join(f"'{f}': " + (f"CAST({'NULL' if v is None else v} AS BIGINT)" if f == "n_weeks"
                                       else f"CAST({_lit(v)} AS VARCHAR)") for f, v in zip(req_fields, r)) + "}"
@@ -638,12 +652,19 @@ def _text_prefix() -> str:
     return f"""
 msg AS (SELECT conv_id, turn, role,
           lower({_pick(RQ.QUESTIONS)} || chr(10) || coalesce(text, '')) AS q FROM conversations),
-lab AS (SELECT conv_id, turn, {_pick(RQ.LABELS)} AS label, {_pick(RQ.COUNTRY_LABELS)} AS country_label,
-          {_pick(RQ.ZONE_TYPE_LABELS)} AS zone_type_label, {_pick(RQ.PRIORITY_LABELS)} AS priority_label
-        FROM conversations),
-req AS (SELECT conv_id, turn, {', '.join(f's.{f} AS {f}' for f in req_fields)}
-        FROM (SELECT conv_id, turn, list_extract([{structs}], CAST(((conv_id * 7 + turn) % {len(RQ.REQUESTS)}) + 1
-              AS INTEGER)) AS s FROM conversations)),
+wds AS (SELECT *, conv_id * 7 + turn AS k, string_split(coalesce(text, ''), ' ') AS ws FROM conversations),
+wd AS (SELECT *, ws[(k % len(ws)) + 1] AS w1,
+         array_to_string(ws[(k % len(ws)) + 1:(k % len(ws)) + 2], ' ') AS w2 FROM wds),
+lab AS (SELECT conv_id, turn, {', '.join(
+        f"CASE WHEN k % 3 = 0 THEN {_pick(lst)} ELSE {w} END AS {c}" for lst, w, c in (
+            (RQ.LABELS, 'w2', 'label'), (RQ.COUNTRY_LABELS, 'w1', 'country_label'),
+            (RQ.ZONE_TYPE_LABELS, 'w1', 'zone_type_label'), (RQ.PRIORITY_LABELS, 'w1', 'priority_label')))}
+        FROM wd),
+req AS (SELECT conv_id, turn, {', '.join(
+        f"CASE WHEN k % 2 = 1 THEN {own[f]} ELSE s.{f} END AS {f}" if f in own else f's.{f} AS {f}' for f in req_fields)}
+        FROM (SELECT conv_id, turn, k, w2, lower(n_name) AS nation, s_name, list_extract([{structs}], CAST(((conv_id * 7 + turn) % {len(RQ.REQUESTS)}) + 1
+              AS INTEGER)) AS s FROM wd LEFT JOIN nation ON k % 25 = n_nationkey
+              LEFT JOIN supplier ON conv_id = s_suppkey)),
 me(canonical, metric_pos, entry, kind, sub_pos) AS (VALUES {me}),
 ctry(canonical, pos, alias) AS (VALUES {alias_rows(RCAT.countries, True)}),
 zty(canonical, pos, alias) AS (VALUES {alias_rows(RCAT.zone_types)}),
@@ -792,7 +813,7 @@ SELECT conv_id, turn, intent,
   coalesce(country, CASE WHEN {_any('q', TR.COUNTRY_FOLLOWUP)} THEN last_value(country IGNORE NULLS) OVER w END)
     AS country,
   coalesce(zone, CASE WHEN {_any('q', TR.ZONE_FOLLOWUP)} THEN last_value(zone IGNORE NULLS) OVER w END) AS zone
-FROM params JOIN mtag USING (conv_id, turn) JOIN msg USING (conv_id, turn)
+FROM params JOIN mtag USING (conv_id, turn) JOIN msg USING (conv_id, turn) WHERE role = 'user'
 WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
         tp + "," + _params_cte() + "," + _metric_tag_cte())
     found = "flatten([" + ", ".join(f"CASE WHEN contains(q, {_lit(n.lower())}) THEN [{_lit(n)}] ELSE [] END"
@@ -804,7 +825,8 @@ SELECT conv_id, turn, intent,
   CASE WHEN intent = 'multivariable' THEN CASE WHEN len(f) >= 2 THEN f[2]
     WHEN len(f) = 1 THEN CASE WHEN f[1] <> {_lit(qual)} THEN {_lit(qual)} ELSE {_lit(lead)} END
     ELSE {_lit(qual)} END END AS metric_b
-FROM (SELECT conv_id, turn, {found} AS f, {_intent_expr('q', 'false')} AS intent FROM msg)""", tp)
+FROM (SELECT conv_id, turn, {found} AS f, intent
+      FROM msg JOIN (SELECT conv_id, turn, intent FROM pr_in) USING (conv_id, turn))""", tp + "," + _params_cte())
     S["zone_catalog"] = q("""
 SELECT zone_lower, ZONE, CITY, COUNTRY, n_places, n_places = 1 AS is_unique
 FROM (SELECT *, lower(ZONE) AS zone_lower FROM (SELECT DISTINCT ZONE, CITY, COUNTRY FROM mw)) i

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 QUESTIONS = [
     "¿Cuáles son las top 5 zonas con mayor lead penetration esta semana?",
     "Compara el perfect order entre zonas wealthy vs non wealthy en colombia",
-    "Muestra la evolución de gross profit ue en nation_1 building en las últimas 8 semanas",
+    "Muestra la evolución de gross profit ue en supplier#000000001 en las últimas 8 semanas",
     "¿Cuál es el promedio de lead penetration por país?",
     "¿Qué zonas tienen alto lead penetration pero bajo perfect order?",
     "¿Cuáles son las zonas que más crecen en órdenes en las últimas 5 semanas?",
@@ -30,7 +30,7 @@ QUESTIONS = [
     "compare retail cvr by zone type",
     "trend of ordenes perfectas in nation_3 last 3 weeks",
     "zonas problemáticas con cambio brusco",
-    "¿Cuál es la tendencia de surtido en nation_12 machinery?",
+    "¿Cuál es la tendencia de surtido en supplier#000000003?",
     "high gp ue but low turbo",
     "3 zonas con peor non pro ptc sin prioridad",
     "evolución de lead pen también en esa zona",
@@ -52,9 +52,9 @@ PRIORITY_LABELS = ["high priority", "alta prioridad", "not prioritized", "sin pr
 REQUESTS = [
     ("comparison", "ZONE_TYPE", None, None, "CO", "Non Wealthy", None, None, "Non Wealthy", None,
      "perfect order", None, None, "L0W", None),
-    ("trend", None, "NATION_1 BUILDING", None, None, "Non Wealthy", None, None, "Non Wealthy", None,
+    ("trend", None, "SUPPLIER#000000001", None, None, "Non Wealthy", None, None, "Non Wealthy", None,
      "gp ue", None, None, "L8W-L0W", None),
-    ("trend", None, None, "nation_3 machinery", None, None, None, "AMERICA", None, None,
+    ("trend", None, None, "supplier#000000002", None, None, None, "AMERICA", None, None,
      "lead pen", None, None, "L5W-L0W", None),
     ("aggregation", "country", None, None, "colombia", None, None, None, None, "High Priority",
      "Lead Penetration", None, None, "L0W", None),
@@ -64,7 +64,7 @@ REQUESTS = [
      "turbo", None, None, "L3W-L0W", 2),
     ("comparison", "zone_type", None, None, None, "rico", None, "CO", None, None,
      "markdowns", None, None, "L0W", None),
-    ("growth_explanation", None, "nation_20 building", "nation_2", "mx", None, "sin prioridad", None, None,
+    ("growth_explanation", None, "supplier#000000007", "nation_2", "mx", None, "sin prioridad", None, None,
      None, "zxkqwerty", None, None, "L4W", None),
 ]
 
@@ -85,27 +85,36 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conv_id, turn, role, q: lower-cased question + newline + the row's whole text.
 
-    Text jobs fan every message out into many rows (positions, chunks), so the
-    messages are hash-spread on (conv_id, turn) over all cores first: a small
-    file would otherwise be one task, and a per-message key cannot be skewed.
+    The width of the text jobs follows the input's splits; map-only jobs do not shuffle.
     """
-    c = conversations(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "conv_id", "turn")
+    c = conversations(spark, sf_dir)
     return c.select(
         "conv_id", "turn", "role",
         F.lower(F.concat(pick(QUESTIONS, _key()), F.lit("\n"), F.coalesce(F.col("text"), F.lit("")))).alias("q"),
     )
 
 
+def _words(n: int) -> Column:
+    """``n`` neighbouring words of the row's text, from a place picked by (conv_id, turn)."""
+    words = F.split(F.coalesce(F.col("text"), F.lit("")), " ", -1)
+    return F.array_join(F.slice(words, (_key() % F.size(words) + 1).cast("int"), n), " ")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, turn and one raw label of each kind per conversation row."""
+    """conv_id, turn and one raw label of each kind per conversation row: a word or two of the row's
+    text, or (every third row) an entry of the literal lists, so distinct labels grow with the data."""
     c = conversations(spark, sf_dir)
     k = _key()
+
+    def either(literals: list, n: int) -> Column:
+        return F.when(k % 3 == 0, pick(literals, k)).otherwise(_words(n))
+
     return c.select(
         "conv_id", "turn",
-        pick(LABELS, k).alias("label"),
-        pick(COUNTRY_LABELS, k).alias("country_label"),
-        pick(ZONE_TYPE_LABELS, k).alias("zone_type_label"),
-        pick(PRIORITY_LABELS, k).alias("priority_label"),
+        either(LABELS, 2).alias("label"),
+        either(COUNTRY_LABELS, 1).alias("country_label"),
+        either(ZONE_TYPE_LABELS, 1).alias("zone_type_label"),
+        either(PRIORITY_LABELS, 1).alias("priority_label"),
     )
 
 
@@ -115,12 +124,22 @@ REQUEST_FIELDS = ["intent", "group_by", "city", "zone", "country", "zone_type",
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, turn and one structured request per conversation row."""
-    c = conversations(spark, sf_dir)
+    """conv_id, turn and one structured request per conversation row. In every other row the metric is
+    two words of the row's text, the city a nation and the zone a supplier of the tables."""
+    nation = spark.read.parquet(f"{sf_dir.rstrip('/')}/nation.parquet").select("n_nationkey", F.lower("n_name").alias("nation"))
+    supplier = spark.read.parquet(f"{sf_dir.rstrip('/')}/supplier.parquet").select("s_suppkey", "s_name")
+    c = conversations(spark, sf_dir).join(nation, _key() % 25 == F.col("n_nationkey"), "left")
+    c = c.join(supplier, F.col("conv_id") == F.col("s_suppkey"), "left")
     structs = [
         F.struct(*[(F.lit(v).cast("bigint") if f == "n_weeks" else F.lit(v).cast("string")).alias(f)
                    for f, v in zip(REQUEST_FIELDS, r)])
         for r in REQUESTS
     ]
     req = F.element_at(F.array(*structs), (_key() % len(REQUESTS) + 1).cast("int"))
-    return c.select("conv_id", "turn", req.alias("r")).select("conv_id", "turn", "r.*")
+    odd = _key() % 2 == 1
+    made = {"metric": _words(2), "city": F.col("nation"), "zone": F.col("s_name")}
+    out = c.select("conv_id", "turn", req.alias("r"), odd.alias("odd"), *[v.alias(f"own_{k}") for k, v in made.items()])
+    return out.select(
+        "conv_id", "turn",
+        *[F.when(F.col("odd"), F.col(f"own_{f}")).otherwise(F.col(f"r.{f}")).alias(f) if f in made else F.col(f"r.{f}")
+          for f in REQUEST_FIELDS])

@@ -1,16 +1,15 @@
 """Raw weekly tables derived from the TPC-H-like test tables (FIXTURES.md §2).
 
-orders ⋈ customer ⋈ nation ⋈ region gives a zone per order (COUNTRY=region,
-CITY=nation, ZONE=nation + market segment); the order date gives one of nine
-268-day periods counted back from the newest order. Per (zone, period) cell we
-count orders, finished orders, large orders, lines and returned lines, and
-derive five ratio metrics plus the order count.
-
-Scale plan: lineitem is pre-aggregated per order (map-side partial aggregate)
-before it meets orders, so the big join carries one row per order; nation and
-region are fixed 25/5-row dimensions (broadcast); customer is joined on its key
-and left to AQE (broadcast when small at runtime, skew-split otherwise). The
-newest order date is a scalar subquery, not a join. Rounding is done with
+A zone is a supplier: COUNTRY = region, CITY = nation, ZONE = supplier name, so the
+zones and the fact table grow with the tables. Every order line belongs to the zone
+that ships it; its ship date gives one of nine equal periods between the oldest and
+the newest line. Per (zone, period) cell we count lines, finished, large and returned
+lines, units and cents, and derive five ratio metrics plus the line count.
+
+Scale plan: lineitem is read once, column-pruned, and aggregated by (supplier,
+period) with map-side combine before it meets the supplier dimension; nation and
+region are fixed 25/5-row dimensions (broadcast); the supplier join is left to AQE.
+The oldest and newest dates are scalar subqueries, not joins. Rounding is done with
 integer arithmetic (half-up) so every engine produces identical doubles.
 """
 
@@ -19,11 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PERIOD_DAYS = 268
-MIN_ORDERS_PER_CELL = 5
-LARGE_ORDER_PRICE = 300000
-TICKET_CENTER = 250000
-TICKET_SCALE = 10000
+LARGE_LINE_PRICE = 80000
+TICKET_CENTER = 50000
+TICKET_SCALE = 2000
+UNIT_SCALE_X2 = 11  # units per line are counted in steps of 5.5
 WEEKS = 9
 
 
@@ -40,79 +38,59 @@ def _ratio6(num: Column, den: Column) -> Column:
 
 def order_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per (zone, period) with the integer counts behind every metric."""
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_suppkey", "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus", "l_shipdate"
     )
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    lines = (
-        read_table(spark, sf_dir, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("li_n"), F.count_if(F.col("l_returnflag") == "R").alias("li_ret"))
+    newest = lines.select(F.max("l_shipdate")).scalar()
+    days = lines.select(F.datediff(F.max("l_shipdate"), F.min("l_shipdate")) + 1).scalar()
+    period = F.ceil(days / WEEKS)
+    ago = F.floor(F.datediff(newest, F.col("l_shipdate")) / period).cast("int")
+    by_zone = lines.groupBy("l_suppkey", ago.alias("weeks_ago")).agg(
+        F.count(F.lit(1)).alias("n_ord"),
+        F.count_if(F.col("l_linestatus") == "F").alias("n_fin"),
+        F.count_if(F.col("l_extendedprice") >= LARGE_LINE_PRICE).alias("n_large"),
+        F.count_if(F.col("l_returnflag") == "R").alias("n_ret"),
+        F.sum(F.round("l_quantity").cast("bigint")).alias("units"),
+        F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("cents"),
     )
-    newest = orders.select(F.max("o_orderdate")).scalar()
     geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name"
     )
-    zoned = (
-        orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return (
+        by_zone.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("r_name").alias("COUNTRY"),
             F.col("n_name").alias("CITY"),
-            F.concat_ws(" ", "n_name", "c_mktsegment").alias("ZONE"),
-            F.when(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING"), "Wealthy")
-            .otherwise("Non Wealthy")
-            .alias("ZONE_TYPE"),
+            F.col("s_name").alias("ZONE"),
+            F.when(F.col("s_suppkey") % 5 < 2, "Wealthy").otherwise("Non Wealthy").alias("ZONE_TYPE"),
             F.when(F.col("n_nationkey") % 3 == 0, "High Priority")
             .when(F.col("n_nationkey") % 3 == 1, "Prioritized")
             .otherwise("Not Prioritized")
             .alias("ZONE_PRIORITIZATION"),
-            (F.col("n_nationkey") % 12 != 11).alias("has_metrics"),
-            F.least(
-                F.floor(F.datediff(newest, F.col("o_orderdate")) / PERIOD_DAYS), F.lit(8)
-            ).cast("int").alias("weeks_ago"),
-            "o_orderstatus",
-            "o_totalprice",
-            "li_n",
-            "li_ret",
+            "weeks_ago", "n_ord", "n_fin", "n_large", "n_ret", "units", "cents",
         )
     )
-    return zoned.groupBy(
-        "COUNTRY", "CITY", "ZONE", "ZONE_TYPE", "ZONE_PRIORITIZATION", "has_metrics", "weeks_ago"
-    ).agg(
-        F.count(F.lit(1)).alias("n_ord"),
-        F.count_if(F.col("o_orderstatus") == "F").alias("n_fin"),
-        F.count_if(F.col("o_totalprice") >= LARGE_ORDER_PRICE).alias("n_large"),
-        F.coalesce(F.sum("li_n"), F.lit(0)).alias("n_lines"),
-        F.count("li_n").alias("n_with_lines"),
-        F.coalesce(F.sum("li_ret"), F.lit(0)).alias("n_ret"),
-        F.sum(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("cents"),
-    )
 
 
 def _cell_metrics(cells: DataFrame) -> DataFrame:
-    enough = F.col("n_ord") >= MIN_ORDERS_PER_CELL
-    n = F.col("n_ord").cast("double")
-    offset = F.col("cents") - F.lit(TICKET_CENTER * 100) * F.col("n_ord")
-    ticket = F.floor((offset.cast("double") * 2.0 + n) / (n * 2.0)) / 1e6
-    # TICKET_SCALE * 100 cents = 1e6 is folded into the 1e6 divisor above
-    assert TICKET_SCALE * 100 == 1_000_000
+    n = F.col("n_ord")
+    offset = F.col("cents") - F.lit(TICKET_CENTER * 100) * n
     metrics = {
-        "Finished": _ratio6(F.col("n_fin"), F.col("n_ord")),
-        "Returned": _ratio6(F.col("n_ret"), F.col("n_lines")),
-        "LargeOrders": _ratio6(F.col("n_large"), F.col("n_ord")),
-        "LinesPerOrder": _ratio6(F.col("n_lines"), F.col("n_with_lines")),
-        "TicketDelta": ticket,
+        "Finished": _ratio6(F.col("n_fin"), n),
+        "Returned": _ratio6(F.col("n_ret"), n),
+        "LargeOrders": _ratio6(F.col("n_large"), n),
+        "UnitsPerLine": _ratio6(F.col("units") * 2, n * UNIT_SCALE_X2),
+        "TicketDelta": _ratio6(offset, n * (TICKET_SCALE * 100)),
     }
     stacked = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("METRIC"), F.when(enough, v).alias("value")) for k, v in metrics.items()])
+        F.array(*[F.struct(F.lit(k).alias("METRIC"), v.alias("value")) for k, v in metrics.items()])
     )
     return cells.select(
-        "COUNTRY", "CITY", "ZONE", "ZONE_TYPE", "ZONE_PRIORITIZATION", "has_metrics", "weeks_ago",
-        stacked.alias("m"),
+        "COUNTRY", "CITY", "ZONE", "ZONE_TYPE", "ZONE_PRIORITIZATION", "weeks_ago", stacked.alias("m"),
     ).select("*", "m.METRIC", "m.value").drop("m")
 
 
@@ -125,7 +103,7 @@ def _to_wide(long: DataFrame, keys: list[str], suffix: str) -> DataFrame:
 def raw_metrics(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
     """Raw metrics sheet: ids, zone attributes, METRIC, L8W_ROLL .. L0W_ROLL."""
     cells = cells if cells is not None else order_cells(spark, sf_dir)
-    long = _cell_metrics(cells.filter("has_metrics"))
+    long = _cell_metrics(cells)
     return _to_wide(long, ["COUNTRY", "CITY", "ZONE", "ZONE_TYPE", "ZONE_PRIORITIZATION", "METRIC"], "_ROLL")
 
 
@@ -160,17 +138,14 @@ def _sql_weeks(expr_value: str, suffix: str) -> str:
 def fixture_sql() -> str:
     metric_exprs = {
         "Finished": _sql_ratio6("n_fin", "n_ord"),
-        "Returned": _sql_ratio6("n_ret", "n_lines"),
+        "Returned": _sql_ratio6("n_ret", "n_ord"),
         "LargeOrders": _sql_ratio6("n_large", "n_ord"),
-        "LinesPerOrder": _sql_ratio6("n_lines", "n_with_lines"),
-        "TicketDelta": (
-            f"floor((CAST(cents - {TICKET_CENTER * 100} * n_ord AS DOUBLE) * 2.0 + CAST(n_ord AS DOUBLE))"
-            " / (CAST(n_ord AS DOUBLE) * 2.0)) / 1e6"
-        ),
+        "UnitsPerLine": _sql_ratio6("units * 2", f"(n_ord * {UNIT_SCALE_X2})"),
+        "TicketDelta": _sql_ratio6(f"(cents - {TICKET_CENTER * 100} * n_ord)", f"(n_ord * {TICKET_SCALE * 100})"),
     }
     unions = "\n  UNION ALL ".join(
         f"SELECT COUNTRY, CITY, ZONE, ZONE_TYPE, ZONE_PRIORITIZATION, weeks_ago, '{k}' AS METRIC,"
-        f" CASE WHEN n_ord >= {MIN_ORDERS_PER_CELL} THEN {v} END AS value FROM fx_cells WHERE has_metrics"
+        f" {v} AS value FROM fx_cells"
         for k, v in metric_exprs.items()
     )
     trim = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
@@ -190,36 +165,30 @@ def fixture_sql() -> str:
         for i in range(8, -1, -1)
     )
     return f"""WITH
-fx_newest AS (SELECT max(o_orderdate) AS d FROM orders),
-fx_lines AS (
-  SELECT l_orderkey, count(*) AS li_n, count_if(l_returnflag = 'R') AS li_ret
-  FROM lineitem GROUP BY l_orderkey),
-fx_zoned AS (
-  SELECT r_name AS COUNTRY, n_name AS CITY, n_name || ' ' || c_mktsegment AS ZONE,
-    CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'Wealthy' ELSE 'Non Wealthy' END AS ZONE_TYPE,
+fx_span AS (
+  SELECT CAST(max(l_shipdate) AS DATE) AS newest,
+    CAST(ceil((date_diff('day', CAST(min(l_shipdate) AS DATE), CAST(max(l_shipdate) AS DATE)) + 1) / {WEEKS}.0) AS BIGINT)
+      AS period
+  FROM lineitem),
+fx_counts AS (
+  SELECT l_suppkey, CAST(date_diff('day', CAST(l_shipdate AS DATE), newest) // period AS INTEGER) AS weeks_ago,
+    count(*) AS n_ord,
+    count_if(l_linestatus = 'F') AS n_fin,
+    count_if(l_extendedprice >= {LARGE_LINE_PRICE}) AS n_large,
+    count_if(l_returnflag = 'R') AS n_ret,
+    sum(CAST(round(l_quantity) AS BIGINT)) AS units,
+    sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS cents
+  FROM lineitem CROSS JOIN fx_span GROUP BY ALL),
+fx_cells AS (
+  SELECT r_name AS COUNTRY, n_name AS CITY, s_name AS ZONE,
+    CASE WHEN s_suppkey % 5 < 2 THEN 'Wealthy' ELSE 'Non Wealthy' END AS ZONE_TYPE,
     CASE n_nationkey % 3 WHEN 0 THEN 'High Priority' WHEN 1 THEN 'Prioritized' ELSE 'Not Prioritized' END
       AS ZONE_PRIORITIZATION,
-    (n_nationkey % 12 <> 11) AS has_metrics,
-    CAST(least(floor(date_diff('day', CAST(o_orderdate AS DATE), CAST(fx_newest.d AS DATE)) / {PERIOD_DAYS}), 8)
-      AS INTEGER) AS weeks_ago,
-    o_orderstatus, o_totalprice, li_n, li_ret
-  FROM orders
-  JOIN customer ON o_custkey = c_custkey
-  JOIN nation ON c_nationkey = n_nationkey
-  JOIN region ON n_regionkey = r_regionkey
-  LEFT JOIN fx_lines ON o_orderkey = l_orderkey
-  CROSS JOIN fx_newest),
-fx_cells AS (
-  SELECT COUNTRY, CITY, ZONE, ZONE_TYPE, ZONE_PRIORITIZATION, has_metrics, weeks_ago,
-    count(*) AS n_ord,
-    count_if(o_orderstatus = 'F') AS n_fin,
-    count_if(o_totalprice >= {LARGE_ORDER_PRICE}) AS n_large,
-    coalesce(sum(li_n), 0) AS n_lines,
-    count(li_n) AS n_with_lines,
-    coalesce(sum(li_ret), 0) AS n_ret,
-    sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS cents
-  FROM fx_zoned
-  GROUP BY ALL),
+    weeks_ago, n_ord, n_fin, n_large, n_ret, units, cents
+  FROM fx_counts
+  JOIN supplier ON l_suppkey = s_suppkey
+  JOIN nation ON s_nationkey = n_nationkey
+  JOIN region ON n_regionkey = r_regionkey),
 fx_mlong AS (
   {unions}),
 fx_mraw AS (
