@@ -4,7 +4,8 @@
 enriched) orders rows: ids, ZONE_TYPE, ZONE_PRIORITIZATION, METRIC, L8W..L0W.
 It is written once per session as parquet partitioned by METRIC into the
 shared checkpoint folder (A13 ``materialize``), then read back, so every
-query starts from a short lineage, gets METRIC partition pruning and column
+query starts from a short lineage, gets METRIC partition pruning, pushed
+filters (``filters.KEYS``: case-folded copies of the filter columns) and column
 pruning at the scan, and survives executor loss without recomputing the
 TPC-H joins.
 """
@@ -15,12 +16,12 @@ import hashlib
 import threading
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import IDS, TESTDATA_CATALOG, WEEK_LABELS, ZONE_ATTRS, Catalog, metric_dim
 from .operators import prep
+from .operators.filters import KEYS
 from .session import ensure_checkpoint_dir, scratch_path
 from .sources import testdata
 
@@ -51,15 +52,7 @@ class Frames:
 
     def long(self, metric: str | None = None) -> DataFrame:
         base = self.fact if metric is None else self.wide(metric)
-        return prep.melt_long(base)
-
-    @property
-    def metrics_long(self) -> DataFrame:
-        return prep.melt_long(self.metrics_wide)
-
-    @property
-    def orders_long(self) -> DataFrame:
-        return prep.melt_long(self.orders_wide)
+        return prep.melt_long(base.select(*FACT_COLUMNS))
 
     def metric_names(self) -> list[str]:
         """The metrics of the metrics table: catalogued ones in order, then those that only the data has.
@@ -92,21 +85,16 @@ def build_fact(raw_metrics: DataFrame, raw_orders: DataFrame) -> DataFrame:
     return mw.select(*FACT_COLUMNS).unionByName(owe.select(*FACT_COLUMNS))
 
 
-def materialize(fact: DataFrame, path: str, keep_in_memory: bool = False) -> DataFrame:
-    """Write the fact table partitioned by METRIC and read it back.
+def materialize(fact: DataFrame, path: str) -> DataFrame:
+    """Write the fact table partitioned by METRIC, with its filter keys, and read it back.
 
-    ``keep_in_memory`` additionally persists the read-back table (memory, then
-    disk): every detector scans it, and it is zones x metrics rows, far smaller
-    than the inputs. Lost blocks are recomputed from the written parquet, not
-    from the source joins.
+    Rows are dealt by (METRIC, a salt of the zone) before the write: a metric that holds a third of
+    the rows is several files, and no task writes a small file for every metric.
     """
-    fact.write.mode("overwrite").partitionBy("METRIC").parquet(path)
-    spark = fact.sparkSession
-    out = spark.read.parquet(path).select(*FACT_COLUMNS)
-    if keep_in_memory:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-        out.count()  # fill the cache once, in parallel, from the written files
-    return out
+    salt = F.pmod(F.xxhash64("ZONE"), F.lit(16))
+    keyed = fact.withColumns({key: fold(F.col(c)) for key, (c, fold) in KEYS.items()})
+    keyed.repartition("METRIC", salt).write.mode("overwrite").partitionBy("METRIC").parquet(path)
+    return fact.sparkSession.read.parquet(path).select(*FACT_COLUMNS, *KEYS)
 
 
 def frames_from_raw(
@@ -114,7 +102,7 @@ def frames_from_raw(
 ) -> Frames:
     fact = build_fact(raw_metrics, raw_orders)
     if path is not None:
-        fact = materialize(fact, path, keep_in_memory=True)
+        fact = materialize(fact, path)
     return Frames(spark, fact, catalog)
 
 
@@ -144,11 +132,3 @@ def testdata_frames(spark: SparkSession, sf_dir: str, catalog: Catalog = TESTDAT
         )
         _CACHE[key] = frames
         return frames
-
-
-def raw_frames(spark: SparkSession, sf_dir: str, catalog: Catalog = TESTDATA_CATALOG) -> Frames:
-    """Un-materialized frames (full lineage from the test tables); used to time the load."""
-    cells = testdata.order_cells(spark, sf_dir)
-    return frames_from_raw(
-        spark, testdata.raw_metrics(spark, sf_dir, cells), testdata.raw_orders(spark, sf_dir, cells), catalog
-    )

@@ -134,12 +134,15 @@ def benchmark_rows(fr: Frames, metrics: list[str], week: str = "L0W") -> DataFra
     return df.withColumn("z_score", (F.col("_v") - F.col("group_mean")) / (F.col("group_std") + 1e-9))
 
 
-def _benchmark_top(rows: DataFrame, metric: str, z_threshold: float, top_n: int) -> DataFrame:
-    df = rows.filter((F.col("METRIC") == metric) & (F.abs("z_score") >= z_threshold) & (F.col("group_count") >= 3))
-    order = [F.abs("z_score").desc(), *[F.col(c).asc() for c in IDS]]
-    top = df.orderBy(*order).limit(top_n)
+def _benchmark_top(rows: DataFrame, metrics: list[str], z_threshold: float, top_n: int) -> DataFrame:
+    """The top_n rows of each metric in one pass: a window group limit keeps top_n rows per metric and
+    task before the shuffle, so a metric with very many rows is never ranked whole."""
+    df = rows.filter((F.abs("z_score") >= z_threshold) & (F.col("group_count") >= 3))
+    w = Window.partitionBy("METRIC").orderBy(F.abs("z_score").desc(), *[F.col(c).asc() for c in IDS])
+    top = df.withColumn("position", F.row_number().over(w).cast("bigint")).filter(F.col("position") <= top_n)
+    metric_pos = F.array_position(F.array(*[F.lit(m) for m in metrics]), F.col("METRIC"))
     under = (F.col("z_score") < 0) & F.col("higher_is_better") | (F.col("z_score") > 0) & ~F.col("higher_is_better")
-    return _number(top, order).select(
+    return top.select(
         F.lit("benchmarking").alias("type"),
         F.lit("Benchmarking").alias("category"),
         *_lower_ids(["ZONE", "COUNTRY", "CITY", "ZONE_TYPE", "ZONE_PRIORITIZATION", "METRIC"]),
@@ -149,6 +152,7 @@ def _benchmark_top(rows: DataFrame, metric: str, z_threshold: float, top_n: int)
         F.when(under, "underperformer").otherwise("outperformer").alias("performance"),
         F.when(F.abs("z_score") >= 2.0, "alta").otherwise("media").alias("severity"),
         "position",
+        metric_pos.alias("_metric_pos"),
     )
 
 
@@ -156,7 +160,7 @@ def benchmarking(fr: Frames, metric: str | None = None, week: str = "L0W",
                  z_threshold: float = 1.5, top_n: int = 10) -> DataFrame:
     """D3: zones whose value is >= z_threshold peer standard deviations away (peers of >= 3)."""
     metric = metric or fr.catalog.quality
-    return _benchmark_top(benchmark_rows(fr, [metric], week), metric, z_threshold, top_n)
+    return _benchmark_top(benchmark_rows(fr, [metric], week), [metric], z_threshold, top_n).drop("_metric_pos")
 
 
 def benchmark_metrics(fr: Frames) -> list[str]:
@@ -165,15 +169,9 @@ def benchmark_metrics(fr: Frames) -> list[str]:
 
 def benchmarking_all(fr: Frames, metrics: list[str] | None = None, week: str = "L0W",
                      z_threshold: float = 1.5, top_n: int = 5, list_pos: bool = False) -> DataFrame:
-    """S3: top-n benchmarks for each of several metrics: one peer aggregation for
-    all of them, then one distributed top-k per metric (a hot metric never sits
-    in one window partition)."""
+    """S3: top-n benchmarks for each of several metrics: one peer aggregation and one top-n pass for all."""
     metrics = metrics or benchmark_metrics(fr)
-    rows = benchmark_rows(fr, metrics, week)
-    out = None
-    for k, m in enumerate(metrics):
-        part = _benchmark_top(rows, m, z_threshold, top_n).withColumn("_metric_pos", F.lit(k))
-        out = part if out is None else out.unionByName(part)
+    out = _benchmark_top(benchmark_rows(fr, metrics, week), metrics, z_threshold, top_n)
     if list_pos:  # numbers at most top_n rows of each metric
         out = out.withColumn("list_pos", F.row_number().over(Window.orderBy("_metric_pos", "position")).cast("bigint"))
     return out.drop("_metric_pos")

@@ -1,12 +1,25 @@
-"""Zone filters (B1-B9). All are plain predicates that Catalyst pushes to the scan."""
+"""Zone filters.
+
+Filters ignore case. On a materialized fact table they compare the case-folded key columns with
+plain equalities, which Catalyst pushes to the parquet scan; on other tables they fold the column.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Case-folded copies of the filter columns that a materialized fact table carries.
+KEYS = {
+    "COUNTRY_KEY": ("COUNTRY", F.upper),
+    "CITY_KEY": ("CITY", F.lower),
+    "ZONE_KEY": ("ZONE", F.lower),
+    "ZONE_TYPE_KEY": ("ZONE_TYPE", F.lower),
+    "ZONE_PRIORITIZATION_KEY": ("ZONE_PRIORITIZATION", F.lower),
+}
+
 WEEK_INDEX = {f"L{i}W": 8 - i for i in range(9)}
 
 
@@ -18,8 +31,10 @@ class Filters:
     zone_type: str | None = None
     prioritization: str | None = None
 
-    def as_dict(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if v}
+
+def _key(df: DataFrame, column: str) -> Column:
+    name, fold = f"{column}_KEY", KEYS[f"{column}_KEY"][1]
+    return F.col(name) if name in df.columns else fold(F.col(column))
 
 
 def apply_filters(df: DataFrame, f: Filters | None, exact_zone: bool = False) -> DataFrame:
@@ -28,18 +43,18 @@ def apply_filters(df: DataFrame, f: Filters | None, exact_zone: bool = False) ->
         return df
     cond = F.lit(True)
     if f.country:
-        cond = cond & (F.upper("COUNTRY") == f.country.upper())  # B1
+        cond = cond & (_key(df, "COUNTRY") == f.country.upper())  # B1
     if f.city:
-        cond = cond & (F.lower("CITY") == f.city.lower())  # B2
+        cond = cond & (_key(df, "CITY") == f.city.lower())  # B2
     if f.zone:
         if exact_zone:
-            cond = cond & (F.lower("ZONE") == f.zone.lower())  # B4
+            cond = cond & (_key(df, "ZONE") == f.zone.lower())  # B4
         else:
-            cond = cond & F.lower("ZONE").contains(f.zone.lower())  # B3
+            cond = cond & _key(df, "ZONE").contains(f.zone.lower())  # B3
     if f.zone_type and "ZONE_TYPE" in df.columns:
-        cond = cond & (F.lower("ZONE_TYPE") == f.zone_type.lower())  # B5
+        cond = cond & (_key(df, "ZONE_TYPE") == f.zone_type.lower())  # B5
     if f.prioritization and "ZONE_PRIORITIZATION" in df.columns:
-        cond = cond & (F.lower("ZONE_PRIORITIZATION") == f.prioritization.lower())  # B6
+        cond = cond & (_key(df, "ZONE_PRIORITIZATION") == f.prioritization.lower())  # B6
     return df.filter(cond)
 
 

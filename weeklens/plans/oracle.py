@@ -428,6 +428,7 @@ def build() -> dict[str, str]:
     S["melt_long"] = q("SELECT * FROM mlh")
     S["zone_dim"] = q("SELECT * FROM zd")
     S["orders_enriched"] = q("SELECT * FROM owe")
+    S["materialize"] = q("SELECT * FROM fact")
     S["key_uniqueness"] = q("SELECT COUNTRY, CITY, ZONE, METRIC, count(*) AS n_rows FROM fact"
                             " GROUP BY COUNTRY, CITY, ZONE, METRIC HAVING count(*) <> 1")
     cl = ", ".join(_lit(c) for c in COUNTRIES)
@@ -910,11 +911,16 @@ FROM req r
             " SELECT metric_b FROM req)," + _resolve_sql("nv", "v", "nr0") + ",\nnr AS (SELECT v, canonical FROM nr0)")
 
 
+def _build_sinks(S: dict) -> None:
+    S["export_csv"] = S["top_zones"]
+
+
 _build_core = build
 
 
 def build() -> dict[str, str]:  # noqa: F811
     S = _build_core()
+    _build_sinks(S)
     build_text(S)
     return S
 

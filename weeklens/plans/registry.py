@@ -7,13 +7,14 @@ values; what is rounded for comparison between engines is rounded here.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import TESTDATA_CATALOG as CAT
-from ..frames import FACT_COLUMNS, testdata_frames
+from ..frames import FACT_COLUMNS, Frames, testdata_frames
 from ..operators import detectors as D
 from ..operators import prep
 from ..operators import queries as Q
@@ -21,11 +22,11 @@ from ..operators import report as R
 from ..operators import streaks as S
 from ..operators.filters import Filters, apply_filters, week_range
 from ..functions import fmt as FM
-from ..functions.literal import literal_table
 from ..functions.scalar import out_of_range, pct_change_abs
 from ..operators import text as X
+from ..session import scratch_path
 from ..sources import requests as RQ
-from ..sources import testdata
+from ..sources import sinks, tables, testdata
 
 LEAD, QUAL, PROFIT, VOL = CAT.lead, CAT.quality, CAT.profit, CAT.volume_metric
 TREND_ZONE = "supplier#000000001"
@@ -38,12 +39,31 @@ def _fr(spark: SparkSession, sf: str):
     return testdata_frames(spark, sf, CAT)
 
 
-def _raw_m(spark, sf):
-    return testdata.raw_metrics(spark, sf)
+def _raw_m(spark, sf, cells=None):
+    return testdata.raw_metrics(spark, sf, cells)
 
 
-def _raw_o(spark, sf):
-    return testdata.raw_orders(spark, sf)
+def _raw_o(spark, sf, cells=None):
+    return testdata.raw_orders(spark, sf, cells)
+
+
+def _orders_enriched(spark, sf):
+    cells = testdata.order_cells(spark, sf)  # one plan instance: both sheets read the same exchange
+    return prep.orders_enriched(prep.clean_orders(_raw_o(spark, sf, cells)),
+                                prep.zone_dim(prep.clean_metrics(_raw_m(spark, sf, cells))))
+
+
+def _materialized(spark, sf):
+    """The fact table as it was written and read back."""
+    return _fr(spark, sf).fact.select(*FACT_COLUMNS)
+
+
+def _exported(spark, sf):
+    """The top zones written as CSV into the shared folder and read back."""
+    top = QUERIES["top_zones"](spark, sf)
+    path = _scratch(spark, "export")
+    sinks.export_csv(top, path)
+    return sinks.read_csv(spark, path, top.schema).fillna("")  # CSV keeps no difference of empty and missing text
 
 
 def _filter_rows(f: Filters, exact: bool = False, metric: str = QUAL):
@@ -66,18 +86,36 @@ def _range_predicate(spark, sf):
                      .alias("out_of_range"))
 
 
+def _scratch(spark, name):
+    return scratch_path(spark, f"weeklens-{name}/{uuid.uuid4().hex}")
+
+
+def _sheet(raw):
+    """A1/A2: the raw sheet as a CSV file, read back with its header."""
+    def run(spark, sf):
+        df = raw(spark, sf)
+        path = _scratch(spark, "sheet")
+        sinks.export_csv(df, path)
+        return prep.strip_header(tables.load_sheet(spark, path, df.schema, "csv"))
+    return run
+
+
 def _metric_dictionary(spark, sf):
+    """A3: the dictionary read from a JSON file, with the rows that each metric has in the fact table."""
     fr = _fr(spark, sf)
+    path = _scratch(spark, "dictionary")
+    tables.write_metric_dictionary(spark, CAT, path)
+    attrs, aliases = tables.load_metric_dictionary(spark, path)
+    live = Frames(spark, fr.fact, tables.load_catalog(spark, path, CAT)).mdim.select("METRIC", "hi_strict", "min_abs_change")
+    listed = aliases.groupBy("METRIC").agg(
+        F.count(F.lit(1)).alias("n_aliases"), F.sort_array(F.collect_list(F.struct("alias_pos", "alias"))).alias("a"))
     seen = fr.fact.groupBy("METRIC").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
-    aliases = literal_table(
-        spark,
-        [(m.name, len(m.aliases), "|".join(m.aliases)) for m in CAT.metrics],
-        "METRIC string, n_aliases int, aliases string",
-    )
-    return seen.join(F.broadcast(fr.mdim), "METRIC", "left").join(F.broadcast(aliases), "METRIC", "left").select(
-        "METRIC", "n_rows", "higher_is_better", "unit", "range_lo", "range_hi", "hi_strict", "min_abs_change",
-        "category", F.col("n_aliases").cast("bigint").alias("n_aliases"), "aliases",
-    )
+    # dictionary tables: one row per catalogued metric
+    out = seen.join(F.broadcast(attrs), "METRIC", "left").join(F.broadcast(listed), "METRIC", "left").join(
+        F.broadcast(live), "METRIC", "left")
+    return out.select(
+        "METRIC", "n_rows", "higher_is_better", "unit", "range_lo", "range_hi", "hi_strict", "min_abs_change", "category",
+        "n_aliases", F.array_join("a.alias", "|").alias("aliases"))
 
 
 def _formats(kind: str):
@@ -108,16 +146,17 @@ def _expect(spark, sf):
 
 EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # --- sources, cleaning, reshape (A*)
-    "load_metrics": lambda s, sf: prep.strip_header(_raw_m(s, sf)),
-    "load_orders": lambda s, sf: prep.strip_header(_raw_o(s, sf)),
+    "load_metrics": _sheet(_raw_m),
+    "load_orders": _sheet(_raw_o),
     "metric_dictionary": _metric_dictionary,
     "clean_dedup": lambda s, sf: prep.clean_dedup(_raw_m(s, sf)),
     "clean_trim": lambda s, sf: prep.clean_trim(prep.clean_dedup(_raw_m(s, sf)), prep.METRIC_DIMS),
     "clean_numeric": lambda s, sf: prep.clean_metrics(_raw_m(s, sf)),
     "melt_long": lambda s, sf: prep.melt_long(prep.clean_metrics(_raw_m(s, sf))),
     "zone_dim": lambda s, sf: prep.zone_dim(prep.clean_metrics(_raw_m(s, sf))),
-    "orders_enriched": lambda s, sf: prep.orders_enriched(
-        prep.clean_orders(_raw_o(s, sf)), prep.zone_dim(prep.clean_metrics(_raw_m(s, sf)))),
+    "orders_enriched": _orders_enriched,
+    "materialize": _materialized,
+    "export_csv": _exported,
     "key_uniqueness": lambda s, sf: prep.key_uniqueness(_fr(s, sf).fact),
     "expect_checks": _expect,
     # --- filters (B*)
