@@ -116,3 +116,28 @@ def test_cells_without_values_stay_null(spark):
     fr = make_frames(spark, [{"ZONE": "A", "METRIC": PO, "weeks": [0.5, None, 0.4]}, orders("B", None, None)])
     long = {(r.ZONE, r.week_label): r.has_value for r in fr.long().filter(F.col("week_label").isin("L1W", "L0W", "L2W")).collect()}
     assert long["A", "L1W"] is False and long["A", "L0W"] is True and long["B", "L0W"] is False
+
+
+def test_exact_quantiles_and_ranks_on_skewed_values(spark):
+    import random
+
+    import numpy as np
+
+    from weeklens.operators.scale import average_percent_ranks, group_quantiles
+
+    rnd = random.Random(3)
+    rows = [("hot", 1.0) for _ in range(1900)] + [("hot", rnd.random()) for _ in range(100)] + [("one", 2.5), ("null", None)]
+    rows += [("wide", rnd.choice([-1, 1]) * 10 ** rnd.uniform(-6, 8)) for _ in range(500)]  # counts like order volumes
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: r for r in group_quantiles(df, {"a": ("v", 0.25), "b": ("v", 0.5), "c": ("v", 0.999)}, ["g"]).collect()}
+    assert set(got) == {"hot", "one", "wide"}
+    for g, r in got.items():
+        values = [v for k, v in rows if k == g]
+        assert [r.a, r.b, r.c] == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.999])), rel=1e-12)
+    whole = [v for _, v in rows if v is not None]
+    assert group_quantiles(df, {"q": ("v", 0.4)}).first().q == pytest.approx(np.quantile(whole, 0.4), rel=1e-12)
+    ranked = average_percent_ranks(df, {"v": "pct"}).collect()
+    assert len(ranked) == len(rows)
+    for r in ranked[::97]:
+        want = None if r.v is None else (sum(x < r.v for x in whole) + (sum(x == r.v for x in whole) + 1) / 2) / len(whole)
+        assert r.pct == (want if want is None else pytest.approx(want))

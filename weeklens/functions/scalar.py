@@ -10,13 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def quantile(c: str, p: float, approx: bool = False, accuracy: int = 10000) -> Column:
-    """Exact linear-interpolated quantile (default), or the sketch-based estimate.
-
-    The exact aggregate keeps a value -> count map per group; for groups with a
-    very large number of distinct values ``approx=True`` bounds the memory.
-    """
-    return F.percentile_approx(c, p, accuracy) if approx else F.percentile(c, p)
+def approx_quantile(c: str, p: float, accuracy: int = 10000) -> Column:
+    """The sketch-based estimate of a quantile (exact ones: ``operators.scale.group_quantiles``)."""
+    return F.percentile_approx(c, p, accuracy)
 
 
 def pct_change_abs(v_from: Column, v_to: Column) -> Column:

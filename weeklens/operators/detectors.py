@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS
 from ..frames import Frames
-from ..functions.scalar import clamp, out_of_range, peer_key, quantile, robust_pct_change
+from ..functions.scalar import clamp, out_of_range, peer_key, approx_quantile, robust_pct_change
+from .scale import group_quantiles
 from .streaks import trend_rows
 
 LOWER_IDS = {"ZONE": "zone", "COUNTRY": "country", "CITY": "city",
@@ -281,10 +282,11 @@ def opportunity_rows(fr: Frames, week: str = "L0W", n_weeks_growth: int = 4,
         F.col(start).alias("orders_base"),
     )
     merged = merged.join(growth, IDS, "left").withColumn("peer_key", peer_key(F.col("COUNTRY"), F.col("ZONE_TYPE")))
-    peers = merged.groupBy("peer_key").agg(
-        quantile("lead_pen", 0.75, approx).alias("lead_peer_p75"),
-        quantile("perfect_orders", 0.40, approx).alias("perf_peer_p40"),
-    )
+    wanted = {"lead_peer_p75": ("lead_pen", 0.75), "perf_peer_p40": ("perfect_orders", 0.40)}
+    if approx:
+        peers = merged.groupBy("peer_key").agg(*[approx_quantile(c, p).alias(n) for n, (c, p) in wanted.items()])
+    else:
+        peers = group_quantiles(merged, wanted, ["peer_key"])
     return merged.join(peers, "peer_key", "inner")
 
 

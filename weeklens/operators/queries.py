@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 
 from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
-from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, quantile
+from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, approx_quantile
 from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default
-from ..session import ensure_checkpoint_dir
-from .scale import average_percent_rank
+from .scale import average_percent_ranks, group_quantiles
 
 GROUP_COLUMNS = {
     "zone_type": "ZONE_TYPE",
@@ -102,11 +101,14 @@ def compare_groups(
         excluded = F.lit(False)
     df = apply_filters(df, filters)
     df = df.filter(F.col(week).isNotNull() & F.col(gcol).isNotNull())
-    fn = {"median": F.median, "sum": F.sum}.get(agg, F.avg)
-    return df.groupBy(F.col(gcol).alias("group")).agg(
-        fn(week).alias("value"),
-        F.count(F.lit(1)).cast("bigint").alias("n_zones"),
-    ).select(
+    df = df.select(F.col(gcol).alias("group"), F.col(week).alias("value"))
+    if agg == "median":
+        counts = df.groupBy("group").agg(F.count(F.lit(1)).cast("bigint").alias("n_zones"))
+        grouped = group_quantiles(df, {"median": ("value", 0.5)}, ["group"]).withColumnRenamed("median", "value").join(counts, "group")
+    else:
+        fn = F.sum if agg == "sum" else F.avg
+        grouped = df.groupBy("group").agg(fn("value").alias("value"), F.count(F.lit(1)).cast("bigint").alias("n_zones"))
+    return grouped.select(
         "group", "value", "n_zones",
         F.lit(metric).alias("metric"),
         F.lit(week).alias("week"),
@@ -259,27 +261,18 @@ def high_low(
     if metric_a == fr.catalog.lead:
         merged = merged.filter(F.col("value_a") < fr.catalog.outlier_limit())
     # Exact linear-interpolated quantiles, all four in one scalar subquery (no join)
-    th = merged.select(F.struct(
-        quantile("value_a", percentile_high, approx).alias("a_high"),
-        quantile("value_b", percentile_low, approx).alias("b_low"),
-        quantile("value_a", 1 - percentile_high, approx).alias("a_low"),
-        quantile("value_b", 1 - percentile_low, approx).alias("b_high"),
-    )).scalar()
+    wanted = {"a_high": ("value_a", percentile_high), "b_low": ("value_b", percentile_low),
+              "a_low": ("value_a", 1 - percentile_high), "b_high": ("value_b", 1 - percentile_low)}
+    found = (merged.select(*[approx_quantile(c, p).alias(n) for n, (c, p) in wanted.items()]) if approx
+             else group_quantiles(merged, wanted))
+    th = found.select(F.struct(*wanted)).scalar()
     mask_a = F.col("value_a") >= th["a_high"] if direction_a == "high" else F.col("value_a") <= th["a_low"]
     mask_b = F.col("value_b") <= th["b_low"] if direction_b == "low" else F.col("value_b") >= th["b_high"]
     result = merged.filter(mask_a & mask_b).select(
         *IDS, "ZONE_TYPE", "ZONE_PRIORITIZATION", "value_a", "value_b",
         th["a_high"].alias("threshold_a"), th["b_low"].alias("threshold_b"),
     )
-    # the selection is bounded by the quantile intersection; cut its lineage
-    # (reliable checkpoint) so the two rank computations below do not re-plan it
-    ensure_checkpoint_dir(fr.spark)
-    result = result.checkpoint(eager=True)
-    spec_a, spec_b = fr.catalog.get(metric_a), fr.catalog.get(metric_b)
-    ra = (spec_a.lo, spec_a.hi) if spec_a else (0.0, 1.0)
-    rb = (spec_b.lo, spec_b.hi) if spec_b else (0.0, 1.0)
-    result = average_percent_rank(result, "value_a", "percentile_a", *ra)
-    result = average_percent_rank(result, "value_b", "percentile_b", *rb)
+    result = average_percent_ranks(result, {"value_a": "percentile_a", "value_b": "percentile_b"})
     return result.select(
         *IDS, "ZONE_TYPE", "ZONE_PRIORITIZATION",
         "value_a",

@@ -1,48 +1,73 @@
 """Distributed building blocks for order-dependent computations.
 
-A window without ``partitionBy`` moves every row into one task. The helper
-here computes a global average-method percent rank with range buckets
-instead: a monotone bucket function over the value domain (fixed-width grid
-over the metric's known range, clamped at the edges) splits the work into a
-bounded number of buckets; a tiny per-bucket table holds prefix counts, and
-values are ranked inside their bucket against per-value counts (one row per
-distinct value), so a hot value never becomes a hot task.
+A window without ``partitionBy``, or an aggregate that keeps every value of a group, moves a whole
+group into one task. The helpers here rank exactly instead with ranges whose boundaries come from the
+data: values are counted per (group, value) with map-side combine, an approximate percentile of the
+distinct values of each group gives ``CUTS`` boundaries, prefix sums over the ranges' counts say how
+many rows lie below each range, and only inside a range are distinct values put in order. A hot value is
+one counted row, a hot group is many ranges, and the boundaries only shape the work: ranks and
+quantiles are exact whatever they are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+CUTS = 64
 
-def average_percent_rank(
-    df: DataFrame, col: str, out: str, lo: float, hi: float, buckets: int = 64
-) -> DataFrame:
-    """Add ``out`` = pandas ``rank(pct=True)`` (average method) of non-null ``col``.
 
-    rank(v) = #(values < v) + (#(values == v) + 1) / 2, divided by the count.
-    ``lo``/``hi`` only shape the buckets; values outside them land in the edge
-    buckets, which keeps the bucket function monotone and the result exact.
+def value_ranks(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """(keys..., _col, _v, _n, _below, _total): every distinct non-null value of ``columns`` by group, with
+    its number of rows, the rows of the group below it, and the rows of the group."""
+    keys = keys or []
+    by = [*keys, "_col"]
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_v")) for c in columns]))
+    long = df.select(*keys, cells.alias("_x")).select(*keys, "_x._col", "_x._v").filter("_v is not null")
+    counts = long.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    shares = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    bounds = counts.groupBy(*by).agg(
+        F.percentile_approx("_v", shares, F.lit(10 * CUTS)).alias("_cuts"), F.sum("_n").alias("_total"))
+    placed = counts.join(bounds, by).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+    sizes = placed.groupBy(*by, "_range").agg(F.sum("_n").alias("_rows"))
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # CUTS rows at most
+    offsets = sizes.select(*by, "_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.col("_offset") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
+    return placed.join(offsets, [*by, "_range"]).select(*by, "_v", "_n", below.alias("_below"), "_total")
+
+
+def group_quantiles(df: DataFrame, wanted: dict[str, tuple[str, float]], keys: list[str] | None = None) -> DataFrame:
+    """One row per group (one in all without ``keys``): exact, linearly interpolated quantiles.
+
+    ``wanted``: output name -> (column, share). Null values are ignored; groups with a null key, or
+    without any value, have no row.
     """
-    width = (hi - lo) / buckets if hi > lo else 1.0
-    bucket = F.least(F.greatest(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(buckets - 1))
-    per_value = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(bucket.cast("int").alias("_bucket"), F.col(col).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    in_bucket = Window.partitionBy("_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    per_value = per_value.withColumn("_below_in_bucket", F.coalesce(F.sum("_n").over(in_bucket), F.lit(0)))
-    bucket_sizes = per_value.groupBy("_bucket").agg(F.sum("_n").alias("_bn"))
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most `buckets` rows: a proven bound, so the window and the broadcast are tiny
-    offsets = bucket_sizes.select(
-        "_bucket",
-        F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_bn").over(Window.partitionBy(F.lit(1))).alias("_total"),
-    )
-    ranks = per_value.join(F.broadcast(offsets), "_bucket").select(
-        F.col("_v"),
-        ((F.col("_offset") + F.col("_below_in_bucket") + (F.col("_n") + 1) / 2.0) / F.col("_total")).alias(out),
-    )
-    return df.join(ranks, df[col].eqNullSafe(ranks["_v"]), "left").drop("_v")
+    keys = keys or []
+    ranks = value_ranks(df, sorted({c for c, _ in wanted.values()}), keys)
+
+    def at(column: str, position: Column) -> Column:
+        holds = (F.col("_col") == column) & (F.col("_below") <= position) & (position < F.col("_below") + F.col("_n"))
+        return F.max(F.when(holds, F.col("_v")))
+
+    parts, out = [], []
+    for name, (column, share) in wanted.items():
+        position = F.lit(float(share)) * (F.col("_total") - 1)
+        parts += [
+            at(column, F.floor(position)).alias(f"{name}_lo"), at(column, F.ceil(position)).alias(f"{name}_hi"),
+            F.max(F.when(F.col("_col") == column, position)).alias(f"{name}_at"),
+        ]
+        lo, hi, p = F.col(f"{name}_lo"), F.col(f"{name}_hi"), F.col(f"{name}_at")
+        out.append(F.when(F.floor(p) == F.ceil(p), lo).otherwise((F.ceil(p) - p) * lo + (p - F.floor(p)) * hi).alias(name))
+    return ranks.groupBy(*keys).agg(*parts).select(*keys, *out)
+
+
+def average_percent_ranks(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Add for every column -> output the average-method percent rank of its non-null values:
+    (values below + (equal values + 1) / 2) / values."""
+    ranks = value_ranks(df, sorted(columns))
+    share = (F.col("_below") + (F.col("_n") + 1) / 2.0) / F.col("_total")
+    for column, out in columns.items():
+        own = ranks.filter(F.col("_col") == column).select(F.col("_v").alias(f"_{out}_v"), share.alias(out))
+        df = df.join(own, F.col(column) == F.col(f"_{out}_v"), "left").drop(f"_{out}_v")
+    return df
