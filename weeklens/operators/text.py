@@ -4,8 +4,8 @@ The original resolves one typed question at a time; here every job runs over a
 whole table. Dictionary lookups are joins against the catalogue-sized alias
 dictionary (broadcast: its size is fixed by the catalogue). Place names come
 from the data, so they are *not* broadcast by hint: the gazetteer match is an
-exact substring search turned into an equi-join on 4-character anchors
-(q-gram index), verified by a substring comparison, instead of a nested loop
+exact substring search turned into an equi-join on each name's rarest
+4-character gram, verified by a substring comparison, instead of a nested loop
 over every (text, name) pair. Context carried across conversation turns uses a
 two-level running "last value" (within fixed-size turn chunks, then across
 chunk summaries), so a very long conversation never sits in one window task.
@@ -151,41 +151,37 @@ def concept_tag(messages: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ X9 gazetteer
+def _grams(c: Column) -> Column:
+    """The distinct runs of ANCHOR characters of a text, by one pass over it."""
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{ANCHOR}}}))"), F.lit(1)))
+
+
 def gazetteer(metrics_wide: DataFrame) -> DataFrame:
     """Known place names (lower-cased zones and cities, length >= 4) with their kind.
 
-    The anchor is the name's last four characters (more selective than a prefix,
-    which place names often share)."""
+    The anchor of a name is its rarest gram among all names (ties by the gram itself): names that share
+    beginnings or ends still get keys that few other names have."""
     zones = metrics_wide.select(F.lower("ZONE").alias("name"), F.lit("zone").alias("kind"))
     cities = metrics_wide.select(F.lower("CITY").alias("name"), F.lit("city").alias("kind"))
     g = zones.unionByName(cities).distinct().filter(F.length("name") >= ANCHOR)
-    return g.withColumns({"anchor": F.substring("name", -ANCHOR, ANCHOR), "name_len": F.length("name")})
+    grams = g.select("name", "kind", F.explode(_grams(F.col("name"))).alias("gram"))
+    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_names"))
+    rarest = F.min(F.struct("n_names", "gram")).getField("gram")
+    anchors = grams.join(shared, "gram").groupBy("name", "kind").agg(rarest.alias("anchor"))
+    return anchors.withColumn("name_len", F.length("name"))
 
 
 def gazetteer_tag(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
     """Longest zone name contained in the text, else longest city name.
 
-    Exact substring semantics without a (text x name) nested loop: every text
-    position yields its 4-character gram (only the gram and its position move
-    through the shuffle), grams are equi-joined to name anchors, and the few
-    candidates are verified against the text.
+    Exact substring semantics without a (text x name) nested loop: a text's distinct grams (without the
+    text) are equi-joined to the names' anchors, and the few candidates are verified against the text.
     """
-    grams = messages.select(
-        "conv_id", "turn",
-        F.posexplode(F.split(F.col("q"), "")).alias("p0", "ch"),
-        F.col("q"),
-    ).select("conv_id", "turn", (F.col("p0") + 1).alias("pos"),
-             F.substring(F.col("q"), F.col("p0") + 1, ANCHOR).alias("anchor"))
-    grams = grams.filter(F.length("anchor") == ANCHOR)
-    g = gazetteer(metrics_wide)
-    cand = grams.join(g, "anchor").select(
-        "conv_id", "turn", "name", "kind", "name_len",
-        (F.col("pos") - F.col("name_len") + ANCHOR).alias("start"),
-    ).filter(F.col("start") >= 1)
+    grams = messages.select("conv_id", "turn", F.explode(_grams(F.col("q"))).alias("anchor"))
+    cand = grams.join(gazetteer(metrics_wide), "anchor").select("conv_id", "turn", "name", "kind", "name_len")
     texts = messages.select("conv_id", "turn", "q")
-    hits = cand.join(texts, ["conv_id", "turn"]).filter(
-        F.substring(F.col("q"), F.col("start"), F.col("name_len")) == F.col("name")
-    ).select("conv_id", "turn", "name", "kind", "name_len").distinct()
+    hits = cand.join(texts, ["conv_id", "turn"]).filter(F.col("q").contains(F.col("name"))).select(
+        "conv_id", "turn", "name", "kind", "name_len").distinct()
     key = F.struct(-F.col("name_len"), F.col("name"))
     best = hits.groupBy("conv_id", "turn").agg(
         F.min_by(F.when(F.col("kind") == "zone", F.col("name")), F.when(F.col("kind") == "zone", key)).alias("zone"),
