@@ -24,8 +24,6 @@ import sys
 import types
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -146,7 +144,8 @@ class _Memory(dict):
 class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
-        self.of_unit = _Memory(self._ids)
+        self.of_unit = _Memory(self._packed)
+        self.of_word = _Memory(lambda word: self._packed(MARK + word))
         self.holds = _Memory(lambda ab: merge(ab[0] + ab[1], vocabulary.scores) == list(ab))
         self.stands = _Memory(lambda a: merge(a, vocabulary.scores) == [a])
 
@@ -169,14 +168,19 @@ class Encoder:
                 out.append(self.v.unknown)
         return tuple(out)
 
-    def _ids(self, unit: str) -> tuple[int, ...]:
-        return self.piece_ids(merge(unit, self.v.scores))
+    def _packed(self, unit: str) -> bytes:
+        return np.array(self.piece_ids(merge(unit, self.v.scores)), "<i4").tobytes()
 
-    def units(self, marked: str) -> list[int]:
-        return list(chain.from_iterable(map(self.of_unit.__getitem__, UNIT.findall(marked))))
+    def units(self, marked: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.of_unit.__getitem__, UNIT.findall(marked))), "<i4")
 
-    def encode(self, text: str | None) -> list[int]:
-        return self.units(mark(text)) if text else []
+    def encode(self, text: str | None) -> np.ndarray:
+        if not text:
+            return np.zeros(0, np.int32)
+        if text[0] == " " or "  " in text or MARK in text:
+            return self.units(mark(text))
+        # without runs of blanks every unit is a mark and a word
+        return np.frombuffer(b"".join(map(self.of_word.__getitem__, text.split(" "))), "<i4")
 
     def weight(self, piece: str) -> float:
         return self.v.scores.get(piece, 0.0)  # an unknown character is the only path through itself
@@ -242,14 +246,15 @@ class Encoder:
             return self._meet(front, exits[0][0], n)[:, None]
         return np.stack([front.get(end, {}).get(piece, np.full(n, NEVER)) for end, piece in exits], axis=1)
 
-    def trace(self, s: str, lo: int, hi: int, entry: int, exit_: int) -> list[int]:
+    def trace(self, s: str, lo: int, hi: int, entry: int, exit_: int) -> np.ndarray:
         """Token ids of the pieces that start in [lo, hi), between an entry and an exit state."""
         begin, end = self.states(s, lo)[entry], self.states(s, hi)[exit_]
         first, last = _first_unit(s, lo, hi), _last_unit(s, lo, hi)
         if first is None:
-            return list(self.piece_ids(self._path(s, begin, end, hi)))
-        out = list(self.piece_ids(self._path(s, begin, (first, None), first))) + self.units(s[first:last])
-        return out + list(self.piece_ids(self._path(s, (last, None), end, hi)))
+            return np.array(self.piece_ids(self._path(s, begin, end, hi)), np.int32)
+        head = self.piece_ids(self._path(s, begin, (first, None), first))
+        tail = self.piece_ids(self._path(s, (last, None), end, hi))
+        return np.concatenate((np.array(head, np.int32), self.units(s[first:last]), np.array(tail, np.int32)))
 
     def _path(self, s: str, begin: tuple, end: tuple, stop: int) -> list[str]:
         """The best path of pieces starting before ``stop`` from one state to another (a None piece: any)."""
@@ -364,7 +369,7 @@ def encode(docs: DataFrame, model: str | Vocabulary, id_col: str = "doc_id", tex
 
     def whole(texts: pd.Series) -> pd.Series:
         encoder = Encoder.of(shared.value)
-        return texts.map(lambda t: np.array(encoder.encode(t), np.int32))
+        return texts.map(encoder.encode)
 
     short = src.filter(~giant).select(*names, F.pandas_udf(whole, "array<int>")("t").alias("token_ids"))
     chunks = _chunks(src.filter(giant), names, shared, chunk_chars)
@@ -374,7 +379,7 @@ def encode(docs: DataFrame, model: str | Vocabulary, id_col: str = "doc_id", tex
 
     def traced(s: pd.Series, lo: pd.Series, hi: pd.Series, entry: pd.Series, exit_: pd.Series) -> pd.Series:
         encoder = Encoder.of(shared.value)
-        return pd.Series([np.array(encoder.trace(*x), np.int32) for x in zip(s, lo, hi, entry, exit_, strict=True)], dtype=object)
+        return pd.Series([encoder.trace(*x) for x in zip(s, lo, hi, entry, exit_, strict=True)], dtype=object)
 
     ids = F.pandas_udf(traced, "array<int>")("s", "lo", "hi", "entry", "exit")
     parts = placed.select(*names, "text", "chunk", ids.alias("ids"))
@@ -387,14 +392,31 @@ def encode(docs: DataFrame, model: str | Vocabulary, id_col: str = "doc_id", tex
 def decode(token_ids: Column, model: str | Vocabulary, spark) -> Column:
     """The text of a column of token ids (null: null). Bytes that are no UTF-8 become U+FFFD."""
     vocabulary = model if isinstance(model, Vocabulary) else load_vocabulary(model)
-    shared = spark.sparkContext.broadcast((vocabulary.surfaces,))
+    shared = spark.sparkContext.broadcast(vocabulary.surfaces)
 
     def run(rows: pd.Series) -> pd.Series:
-        return rows.map(lambda ids: None if ids is None else decode_ids(ids, shared.value[0]))
+        surfaces = Surfaces(shared.value)
+        return rows.map(lambda ids: None if ids is None else surfaces.text(ids))
 
     return F.pandas_udf(run, "string")(token_ids)
 
 
-def decode_ids(ids, surfaces: tuple[bytes, ...]) -> str:
-    out = b"".join(map(surfaces.__getitem__, ids.tolist() if hasattr(ids, "tolist") else ids))
-    return out.removeprefix(b" ").decode("utf-8", "replace")
+class Surfaces:
+    """The pieces' bytes in one row, so a text is gathered from it at once."""
+
+    #: Tokens gathered at once: bounds the memory that a very long text takes.
+    AT_ONCE = 1 << 18
+
+    def __init__(self, surfaces: tuple[bytes, ...]) -> None:
+        self.all = np.frombuffer(b"".join(surfaces), np.uint8)
+        self.sizes = np.fromiter(map(len, surfaces), np.int64, len(surfaces))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def text(self, ids) -> str:
+        ids, parts = np.asarray(ids, np.int64), []
+        for lo in range(0, len(ids), self.AT_ONCE):
+            part = ids[lo : lo + self.AT_ONCE]
+            sizes = self.sizes[part]
+            shift = self.starts[part] - (np.cumsum(sizes) - sizes)
+            parts.append(self.all[np.repeat(shift, sizes) + np.arange(int(sizes.sum()))].tobytes())
+        return b"".join(parts).removeprefix(b" ").decode("utf-8", "replace")
