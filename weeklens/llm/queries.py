@@ -68,14 +68,15 @@ def op6_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every whole text, decodes the ids again, and compares."""
-    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.char_length(text).cast("long").alias("chars"), F.sha2(text.cast("binary"), 256).alias("sha256"))
     vocabulary = spm.load_vocabulary(SENTENCEPIECE_MODEL)
-    coded = spm.encode(docs, vocabulary, keep=("text",))
-    back = spm.decode(F.col("token_ids"), vocabulary, spark)
+    coded = spm.encode(docs, vocabulary, keep=("chars", "sha256"))
+    back = F.sha2(spm.decode(F.col("token_ids"), vocabulary, spark).cast("binary"), 256)
     return coded.select(
-        "doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
-        F.size("token_ids").cast("long").alias("n_tokens"), F.xxhash64("token_ids").alias("ids_xxh64"),
-        (back == F.coalesce("text", F.lit(""))).alias("round_trip"))
+        "doc_id", F.col("chars").alias("n_chars"), F.size("token_ids").cast("long").alias("n_tokens"),
+        F.xxhash64("token_ids").alias("ids_xxh64"), back.alias("decoded_sha256"), (back == F.col("sha256")).alias("round_trip"))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ not hold. At a chunk's border the state is the piece that ends at or reaches ove
 alone, gives the matrix of best weights from each entry state to each exit state; the matrices are
 combined by the (max, +) product, which is associative, the best path fixes one state per border, and
 every chunk is traced back by itself between its two states. Where a border or a chunk contains a
-start of a unit, all paths meet there and the matrix is the sum of two vectors.
+start of a unit, all paths meet there and the matrix is the sum of two vectors (what lies between two
+meeting points weighs the same on every path and is left out).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import stash
+from .common import shuffle_width, stash
 
 MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -223,16 +224,15 @@ class Encoder:
         return front
 
     def matrix(self, s: str, lo: int, hi: int) -> np.ndarray:
-        """Best weights of the pieces that start in [lo, hi): entry states x exit states."""
+        """Best weights of the pieces that start in [lo, hi): entry states x exit states, without what is common to all."""
         entries, exits = self.states(s, lo), self.states(s, hi)
         meets = [i for i in (_first_unit(s, lo, hi), _last_unit(s, lo, hi)) if i is not None]
         if not meets:
             return self._exit(self._spread(s, entries, hi), exits, len(entries))
         first, last = meets
         head = self._meet(self._spread(s, entries, first), first, len(entries))
-        middle = sum(self.weight(p) for u in UNIT.findall(s[first:last]) for p in merge(u, self.v.scores))
         tail = self._exit(self._spread(s, [(last, None)], hi), exits, 1)[0]
-        return head[:, None] + middle + tail[None]
+        return head[:, None] + tail[None]
 
     @staticmethod
     def _meet(front: dict, at: int, n: int) -> np.ndarray:
@@ -326,13 +326,13 @@ def _chunks(giants: DataFrame, names: list[str], shared, chunk_chars: int) -> Da
         for part in parts:
             for row in range(part.num_rows):
                 s, rows, text = mark(part.column("t")[row].as_py()), [], secrets.randbits(62)
-                own = {n: part.column(n)[row].as_py() for n in names}
+                own = {n: part.column(n)[row].as_py() for n in names}  # on the first chunk only
                 for k, at in enumerate(range(0, len(s), chunk_chars)):
                     # the margins hold every piece that reaches over a border, and what says if a unit starts there
                     lo, hi = max(0, at - margin), min(len(s), at + chunk_chars + margin)
                     piece, a, b = s[lo:hi], at - lo, min(len(s), at + chunk_chars) - lo
                     m = encoder.matrix(piece, a, b)
-                    rows.append(own | {"text": text, "chunk": k, "s": piece, "lo": a, "hi": b, "matrix": m.tobytes(), "n_in": len(m)})
+                    rows.append((own if k == 0 else {}) | {"text": text, "chunk": k, "s": piece, "lo": a, "hi": b, "matrix": m.tobytes(), "n_in": len(m)})
                     if len(rows) == 64:
                         yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
@@ -373,7 +373,8 @@ def encode(docs: DataFrame, model: str | Vocabulary, id_col: str = "doc_id", tex
 
     short = src.filter(~giant).select(*names, F.pandas_udf(whole, "array<int>")("t").alias("token_ids"))
     chunks = _chunks(src.filter(giant), names, shared, chunk_chars)
-    states = chunks.select("text", "chunk", "matrix", "n_in").groupBy("text").applyInPandas(
+    narrow = chunks.select("text", "chunk", "matrix", "n_in").repartition(shuffle_width(docs.sparkSession), "text")
+    states = narrow.groupBy("text").applyInPandas(
         _scan, "text2 long, chunk2 int, entry int, exit int")
     placed = chunks.drop("matrix", "n_in").join(states, (F.col("text") == F.col("text2")) & (F.col("chunk") == F.col("chunk2")))
 
@@ -384,7 +385,7 @@ def encode(docs: DataFrame, model: str | Vocabulary, id_col: str = "doc_id", tex
     ids = F.pandas_udf(traced, "array<int>")("s", "lo", "hi", "entry", "exit")
     parts = placed.select(*names, "text", "chunk", ids.alias("ids"))
     long = parts.groupBy("text").agg(  # the chunks of one text
-        *[F.first(n).alias(n) for n in names], F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("all"))
+        *[F.min_by(n, "chunk").alias(n) for n in names], F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("all"))
     long = long.select(*names, F.flatten(F.col("all.ids")).alias("token_ids"))
     return short.unionByName(long).select(*[F.col(k).alias(c) for k, c in zip(names, cols, strict=True)], "token_ids")
 
