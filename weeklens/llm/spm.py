@@ -38,8 +38,10 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 UNKNOWN_SURFACE = " ⁇ "
-#: Units and pairs remembered per Python worker.
-MEMORY = 400_000
+#: Units, and pairs, remembered per Python worker (about 300 bytes each).
+MEMORY = 100_000
+#: Rows whose tokens are held at once.
+ROWS = 256
 NEVER = float("-inf")
 
 
@@ -367,11 +369,18 @@ def encode(docs: DataFrame, model: str | Vocabulary, id_col: str = "doc_id", tex
                       F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     giant = F.char_length("t") >= chunk_chars
 
-    def whole(texts: pd.Series) -> pd.Series:
+    def whole(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(shared.value)
-        return texts.map(encoder.encode)
-
-    short = src.filter(~giant).select(*names, F.pandas_udf(whole, "array<int>")("t").alias("token_ids"))
+        for part in parts:
+            for lo in range(0, part.num_rows, ROWS):
+                rows = part.slice(lo, ROWS)
+                ids = [encoder.encode(t) for t in rows.column("t").to_pylist()]
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+                yield pa.RecordBatch.from_arrays([*(rows.column(n) for n in names), tokens], names=[*names, "token_ids"])
+
+    kinds = ", ".join(f"{n} {src.schema[n].dataType.simpleString()}" for n in names)
+    short = src.filter(~giant).mapInArrow(whole, f"{kinds}, token_ids array<int>")
     chunks = _chunks(src.filter(giant), names, shared, chunk_chars)
     narrow = chunks.select("text", "chunk", "matrix", "n_in").repartition(shuffle_width(docs.sparkSession), "text")
     states = narrow.groupBy("text").applyInPandas(
