@@ -10,9 +10,9 @@ those among the sample's distinct texts.
 
 Index. Examples are grouped into blocks of ``block`` in order of their heaviest term; a term's
 posting list is cut by block, and each (term, block) keeps its largest weight. A query takes the sum
-of its weights times these maxima as a bound for every block and visits blocks in falling order of
-the bound until it falls below the k-th best cosine: the neighbours are exactly those of a full
-comparison (ties by example id).
+of its weights times these maxima as a bound for every block, scores the blocks of the highest bounds,
+and then only those whose bound reaches the k-th best cosine found: the neighbours are exactly those of
+a full comparison (ties by example id).
 
 Score. The k neighbours vote with weight cosine ** 2. A logistic curve, fitted on the examples
 themselves (each judged by the others, never by copies of its own text, and weighed to the class
@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold_of
+from .common import cut, fold_of, shuffle_width
 
 TERM = re.compile(r"[^\W\d_]+")
 
@@ -52,7 +52,7 @@ class Index:
     toxic: np.ndarray  # the term is more frequent in the toxic class
     ids: np.ndarray
     labels: np.ndarray
-    texts: np.ndarray  # a hash of each example's text
+    texts: np.ndarray  # a 60-bit hash of each example's text
     starts: np.ndarray  # of each (term, block) in the postings
     example: np.ndarray
     weight: np.ndarray
@@ -94,7 +94,7 @@ def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.nda
     return t, w / np.sqrt((w * w).sum())
 
 
-def build_index(examples: list[tuple[int, int, str, dict[int, int]]], terms: dict[str, int], df: np.ndarray,
+def build_index(examples: list[tuple[int, int, int, dict[int, int]]], terms: dict[str, int], df: np.ndarray,
                 toxic: np.ndarray, n_texts: int, block: int = 64) -> Index:
     """examples: (id, label, hash of the text, counts by term number); each has a term at least."""
     idf = np.log(1 + n_texts / np.maximum(df, 1))
@@ -114,31 +114,49 @@ def build_index(examples: list[tuple[int, int, str, dict[int, int]]], terms: dic
     most = np.zeros(len(terms) * blocks)
     np.maximum.at(most, cell, w)
     return Index(terms, idf, toxic, np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64),
-                 np.array([r[3] for r in rows], object), starts, e, w, most.reshape(len(terms), blocks), block, (0.0,) * 4)
+                 np.array([r[3] for r in rows], np.int64), starts, e, w, most.reshape(len(terms), blocks), block, (0.0,) * 4)
 
 
-def nearest(index: Index, counts: dict[int, int], k: int, but: str | None = None) -> list[tuple[float, int]]:
-    """The k examples of the largest positive cosine: (cosine, position), ties by example id; none with the text ``but``."""
+def _cosines(index: Index, t: np.ndarray, q: np.ndarray, keep: np.ndarray) -> np.ndarray:
+    """Cosines with the examples of the blocks in ``keep``; 0 elsewhere."""
+    blocks, out = index.most.shape[1], np.zeros(len(index.ids))
+    for x, weight in zip(t.tolist(), q.tolist(), strict=True):
+        at = slice(index.starts[x * blocks], index.starts[(x + 1) * blocks])
+        example, w = index.example[at], index.weight[at]
+        held = keep[example // index.block]
+        out[example[held]] += weight * w[held]
+    return out
+
+
+def nearest(index: Index, counts: dict[int, int], k: int, but: int | None = None) -> list[tuple[float, int]]:
+    """The k examples of the largest positive cosine: (cosine, position), ties by example id; none with the text ``but``.
+
+    The blocks of the highest bounds are scored first; only blocks whose bound reaches the k-th best
+    cosine found there are scored at all.
+    """
     t, q = _vector(counts, index.idf)
     if not len(t) or not len(index.ids):
         return []
-    blocks = index.most.shape[1]
     bound = q @ index.most[t]
-    best: list[tuple[float, int, int]] = []  # (-cosine, id, position)
-    for b in np.argsort(-bound, kind="stable").tolist():
-        if bound[b] <= 0 or len(best) >= k and bound[b] < -best[-1][0] - 1e-9:
-            break
-        cosine = np.zeros(min(index.block, len(index.ids) - b * index.block))
-        for x, weight in zip(t.tolist(), q.tolist(), strict=True):
-            at = slice(index.starts[x * blocks + b], index.starts[x * blocks + b + 1])
-            cosine[index.example[at] - b * index.block] += weight * index.weight[at]
-        for p in np.flatnonzero(cosine > 0).tolist():
-            if but is not None and index.texts[b * index.block + p] == but:
-                continue
-            best.append((-round(float(cosine[p]), 9), int(index.ids[b * index.block + p]), b * index.block + p))
-        best.sort()
-        del best[k:]
-    return [(-c, p) for c, _, p in best]
+    first = np.zeros(len(bound), bool)
+    first[np.argsort(-bound, kind="stable")[: 1 + -(-2 * k // index.block)]] = True
+
+    def best(keep: np.ndarray) -> np.ndarray:
+        cosine = np.round(_cosines(index, t, q, keep), 9)
+        if but is not None:
+            cosine[index.texts == but] = 0.0
+        return cosine
+
+    cosine = best(first)
+    least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
+    more = (bound >= least - 1e-8) & (bound > 0)
+    if (more & ~first).any():
+        cosine = best(more | first)
+    found = np.flatnonzero(cosine > 0)
+    if len(found) > k:
+        found = found[cosine[found] >= np.partition(cosine[found], -k)[-k]]
+    found = found[np.lexsort((index.ids[found], -cosine[found]))][:k]
+    return [(float(cosine[p]), int(p)) for p in found]
 
 
 def features(index: Index, near: list[tuple[float, int]], telling: int, words: int) -> tuple[float, ...]:
@@ -185,6 +203,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
         sample = part if sample is None else sample.unionAll(part)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
     rows = cut(rows.join(F.broadcast(sample), F.col("doc") == F.col("id")).select("id", "y", "body", F.md5("body").alias("h")))
+    text_hash = F.conv(F.substring("h", 1, 15), 16, 10).cast("long")
     texts = rows.dropDuplicates(["h", "y"]).select("y", "body")  # copies count once
     n1, n0 = texts.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
 
@@ -207,19 +226,27 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     terms = {r["term"]: i for i, r in enumerate(passing)}
     toxic = np.array([r["a"] * n0 > (r["df"] - r["a"]) * n1 for r in passing], bool)
 
-    def count(bodies: pd.Series) -> pd.DataFrame:
-        counts = Counts(terms, toxic)
-        return pd.DataFrame([counts.of(body) for body in bodies], columns=["counts", "telling", "words"])
-
-    counted = F.pandas_udf(count, "counts map<int,int>, telling int, words int")
-    vectors = rows.select("id", "y", "h", counted("body").alias("c")).select("id", "y", "h", "c.*").collect()
+    counted = F.pandas_udf(lambda col: col.map(lambda body: dict(Counts(terms).of(body)[0])), "map<int,int>")
+    vectors = rows.select("id", "y", text_hash.alias("h"), counted("body").alias("counts")).filter(F.size("counts") > 0).collect()
     examples = sorted((r["id"], r["y"], r["h"], tuple(sorted(r["counts"].items()))) for r in vectors)
-    index = build_index([(i, y, h, dict(c)) for i, y, h, c in examples if c], terms,
+    index = build_index([(i, y, h, dict(c)) for i, y, h, c in examples], terms,
                         np.array([r["df"] for r in passing], float), toxic, n1 + n0, block)
-    if not vectors:
+    shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # bounded by the sample and max_terms
+
+    def judged(bodies: pd.Series, hashes: pd.Series) -> pd.DataFrame:
+        ix = Index(**shared.value)
+        counts, out = Counts(ix.terms, ix.toxic), []
+        for body, h in zip(bodies, hashes, strict=True):
+            found, telling, words = counts.of(body)
+            out.append(features(ix, nearest(ix, found, k, h), telling, words))
+        return pd.DataFrame(out, columns=["a", "b", "c", "d"])
+
+    spread = rows.select("id", "y", "body", text_hash.alias("h")).repartition(shuffle_width(docs.sparkSession), "id")
+    told_by = spread.select("y", F.pandas_udf(judged, "a double, b double, c double, d double")("body", "h").alias("x")).collect()
+    if not told_by:
         return index
-    x = np.array([features(index, nearest(index, r["counts"], k, r["h"]), r["telling"], r["words"]) for r in vectors])
-    y = np.array([r["y"] for r in vectors], float)
+    x = np.array([tuple(r["x"]) for r in told_by])  # four numbers for each row of the sample
+    y = np.array([r["y"] for r in told_by], float)
     share = {v: per_class.get(v, 0) / max(1, int((y == v).sum())) for v in (0, 1)}
     weight = np.where(y == 1, share[1], share[0])
     return replace(index, curve=fit_curve(x, y, weight * len(y) / weight.sum()))
