@@ -27,7 +27,7 @@ def _rows(cols, recs):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ["region", "nation", "customer", "orders", "lineitem", "conversations"]:
+    for t in ["region", "nation", "customer", "supplier", "orders", "lineitem", "conversations"]:
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     return c
 
