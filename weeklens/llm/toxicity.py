@@ -66,24 +66,24 @@ def word_terms(word: str) -> list[str]:
 
 
 class Counts(dict):
-    """Term numbers of words, remembered by word (forgotten when too many)."""
+    """Term numbers of words, and if one is a toxic term; remembered by word (forgotten when too many)."""
 
     def __init__(self, terms: dict[str, int], toxic: np.ndarray | None = None) -> None:
         super().__init__()
-        self.terms, self.toxic = terms, toxic
+        self.terms, self.toxic = terms, [] if toxic is None else toxic.tolist()
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], bool]:
         if len(self) > 200_000:
             self.clear()
-        out = self[word] = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
+        found = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
+        out = self[word] = (found, bool(self.toxic) and any(self.toxic[x] for x in found))
         return out
 
     def of(self, text: str | None) -> tuple[dict[int, int], int, int]:
         """Term counts of a text, its words that carry a toxic term, and all its words."""
         words = TERM.findall(text.lower()) if text else []
-        found = [t for t in map(self.__getitem__, words) if t]
-        telling = sum(any(self.toxic[x] for x in t) for t in found) if self.toxic is not None else 0
-        return Counter(chain.from_iterable(found)), telling, len(words)
+        found = [x for x in map(self.__getitem__, words) if x[0]]
+        return Counter(chain.from_iterable(t for t, _ in found)), sum(flag for _, flag in found), len(words)
 
 
 def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,12 +119,17 @@ def build_index(examples: list[tuple[int, int, int, dict[int, int]]], terms: dic
 
 def _cosines(index: Index, t: np.ndarray, q: np.ndarray, keep: np.ndarray) -> np.ndarray:
     """Cosines with the examples of the blocks in ``keep``; 0 elsewhere."""
-    blocks, out = index.most.shape[1], np.zeros(len(index.ids))
+    blocks, out, chosen = len(keep), np.zeros(len(index.ids)), np.flatnonzero(keep)
     for x, weight in zip(t.tolist(), q.tolist(), strict=True):
-        at = slice(index.starts[x * blocks], index.starts[(x + 1) * blocks])
-        example, w = index.example[at], index.weight[at]
-        held = keep[example // index.block]
-        out[example[held]] += weight * w[held]
+        starts = index.starts[x * blocks : (x + 1) * blocks + 1]
+        if 4 * len(chosen) < blocks:  # few blocks: their parts of the posting list
+            parts = [slice(starts[b], starts[b + 1]) for b in chosen]
+        else:  # most of them: the whole list; what lies outside is cleared below
+            parts = [slice(starts[0], starts[-1])]
+        for at in parts:
+            out[index.example[at]] += weight * index.weight[at]
+    if len(chosen) < blocks:
+        out[~np.repeat(keep, index.block)[: len(out)]] = 0.0
     return out
 
 
