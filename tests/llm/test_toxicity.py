@@ -89,3 +89,27 @@ def test_held_out_accuracy_on_the_tables(spark):
     pos, neg = [s for s, y in held if y], [s for s, y in held if not y]
     auc = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / len(pos) / len(neg)
     assert auc > 0.8 and sum(s >= 0.5 for s in neg) <= 0.03 * len(neg)
+
+
+def test_every_example_is_indexed_on_all_its_terms(spark):
+    """Labels too few for any statistic: each example still stands in the index, and held-out texts have neighbours."""
+    rows = [(i, t) for i, t in enumerate(["one lonely sentence", "vile nastything here", "plain words only", "grossstuff and more", ""])]
+    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, [(i, 1, int(i in (1, 3))) for i in range(5)]))
+    assert sorted(index.ids.tolist()) == list(range(5))
+    words = {t for _, text in rows for w in text.split() for t in toxicity.word_terms(w)}
+    assert set(index.terms) == words and len(index.example) == sum(
+        len({t for w in text.split() for t in toxicity.word_terms(w)}) for _, text in rows)
+    near = toxicity.nearest(index, toxicity.Counts(index.terms).of("a nastything")[0], 3)
+    assert [int(index.ids[p]) for _, p in near] == [1]
+    sf_index = toxicity.fit(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")))
+    assert len(sf_index.ids) == spark.read.parquet(f"{SF}/labels.parquet").count() and len(sf_index.terms) > 1000
+
+
+def test_neighbours_are_exact_over_the_whole_vocabulary(spark):
+    rows, labels = corpus()
+    rows = [(i, f"{text} {' '.join(vocabulary(i, 5))}") for i, text in rows]
+    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, labels), block=16)
+    assert len(index.ids) == len(rows) and 0 < index.common.shape[1] < len(index.terms)
+    counts = toxicity.Counts(index.terms)
+    texts = [counts.of(text)[0] for _, text in rows[::15]]
+    assert toxicity.nearest_of_each(index, texts, 7) == [brute_nearest(index, c, 7) for c in texts]

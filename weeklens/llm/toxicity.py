@@ -2,22 +2,25 @@
 
 Examples. A sample of labelled rows is drawn by hash of the id, at most ``max_per_class`` of each
 class (the documented bound: everything that is collected or broadcast is limited by it). A term is
-a word (a run of letters, lower-cased) or a beginning of 4 to 7 letters of a longer word. Terms are
-used that occur in ``min_df`` different example texts or more and whose log-likelihood ratio between
-the classes is at least ``min_g2``, so cosines compare what tells the classes apart and not the common
-vocabulary. Weights are (1 + ln tf) * ln(1 + N / df), normalised to length 1; document frequencies are
-those among the sample's distinct texts.
+a word (a run of letters, lower-cased) or a beginning of 4 to 7 letters of a longer word. Every
+example stands in the index with every term it has: nothing is selected by class, count or rank.
+Weights are (1 + ln tf) * ln(1 + N / df), normalised to length 1; document frequencies are those
+among the sample's distinct texts.
 
 Index. Examples are grouped into blocks of ``block`` in order of their heaviest term; a term's
 posting list is cut by block, and each (term, block) keeps its largest weight. A query takes the sum
-of its weights times these maxima as a bound for every block, scores the blocks of the highest bounds,
-and then only those whose bound reaches the k-th best cosine found: the neighbours are exactly those of
-a full comparison (ties by example id).
+of its weights times these maxima as a bound for every block and scores blocks in order of the bound
+until none can reach the k-th best cosine found. Terms of more than a ``COMMON`` part of the examples
+also stand in a dense table, so that many queries meet them in one matrix product; what comes within
+its rounding of the k-th best is scored again in double precision. The neighbours are exactly those
+of a full comparison (ties by example id).
 
 Score. The k neighbours vote with weight cosine ** 2. A logistic curve, fitted on the examples
-themselves (each judged by the others, never by copies of its own text, and weighed to the class
-sizes of the whole training fold), turns the vote and the share of the text's words that carry terms
-of the toxic class into a probability. A text near nothing (an empty one too) has no votes; it gets
+themselves (each judged by the others, never by its own text or copies of it, and weighed to the class
+sizes of the whole training fold), turns the vote and the weight of telling terms by word into a probability.
+A term is telling by as much as the log ratio of its rates in the two classes, after ``prior`` texts
+that hold it are added in the classes' proportion, exceeds ln ``ratio``: an effect, no test of
+significance that any term passes or fails by the number of labels. A text near nothing (an empty one too) has no votes; it gets
 the curve's value for that.
 """
 
@@ -27,7 +30,6 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,6 +44,12 @@ TERM = re.compile(r"[^\W\d_]+")
 #: Lengths of the word beginnings that are terms of their own.
 BEGINNINGS = (4, 5, 6, 7)
 
+#: Terms in more than this part of the examples stand in the dense table too, the most frequent MOST_COMMON of them.
+COMMON, MOST_COMMON = 1 / 16, 1024
+
+#: Queries that meet the dense table at once.
+AT_ONCE = 64
+
 
 @dataclass(frozen=True)
 class Index:
@@ -49,7 +57,7 @@ class Index:
 
     terms: dict[str, int]
     idf: np.ndarray
-    toxic: np.ndarray  # the term is more frequent in the toxic class
+    toxic: np.ndarray  # how telling the term is, else 0
     ids: np.ndarray
     labels: np.ndarray
     texts: np.ndarray  # a 60-bit hash of each example's text
@@ -59,6 +67,8 @@ class Index:
     most: np.ndarray  # largest weight of each (term, block)
     block: int
     curve: tuple[float, ...]  # of the logistic calibration
+    column: np.ndarray  # of a common term in the dense table, else -1
+    common: np.ndarray  # weights of the common terms by example
 
 
 def word_terms(word: str) -> list[str]:
@@ -66,106 +76,134 @@ def word_terms(word: str) -> list[str]:
 
 
 class Counts(dict):
-    """Term numbers of words, and if one is a toxic term; remembered by word (forgotten when too many)."""
+    """Term numbers of words, and how telling the most telling is; remembered by word (forgotten when too many)."""
 
     def __init__(self, terms: dict[str, int], toxic: np.ndarray | None = None) -> None:
         super().__init__()
         self.terms, self.toxic = terms, [] if toxic is None else toxic.tolist()
 
-    def __missing__(self, word: str) -> tuple[tuple[int, ...], bool]:
+    def __missing__(self, word: str) -> tuple[tuple[int, ...], float]:
         if len(self) > 200_000:
             self.clear()
         found = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
-        out = self[word] = (found, bool(self.toxic) and any(self.toxic[x] for x in found))
+        out = self[word] = (found, max((self.toxic[x] for x in found), default=0.0) if self.toxic else 0.0)
         return out
 
-    def of(self, text: str | None) -> tuple[dict[int, int], int, int]:
-        """Term counts of a text, its words that carry a toxic term, and all its words."""
-        words = TERM.findall(text.lower()) if text else []
-        found = [x for x in map(self.__getitem__, words) if x[0]]
-        return Counter(chain.from_iterable(t for t, _ in found)), sum(flag for _, flag in found), len(words)
+    def of(self, text: str | None) -> tuple[dict[int, int], float, int]:
+        """Term counts of a text, how telling its words are in sum, and how many they are."""
+        words = Counter(TERM.findall(text.lower())) if text else {}
+        counts: dict[int, int] = {}
+        telling = 0.0
+        for word, n in words.items():
+            found, weight = self[word]
+            for t in found:
+                counts[t] = counts.get(t, 0) + n
+            telling += n * weight
+        return counts, telling, sum(words.values())
 
 
 def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not counts:
         return np.zeros(0, np.int64), np.zeros(0)
-    t = np.array(sorted(counts), np.int64)
-    w = (1 + np.log([counts[x] for x in t.tolist()])) * idf[t]
+    t = np.fromiter(counts, np.int64, len(counts))
+    n = np.fromiter(counts.values(), np.float64, len(counts))
+    order = np.argsort(t)
+    t = t[order]
+    w = (1 + np.log(n[order])) * idf[t]
     return t, w / np.sqrt((w * w).sum())
 
 
-def build_index(examples: list[tuple[int, int, int, dict[int, int]]], terms: dict[str, int], df: np.ndarray,
-                toxic: np.ndarray, n_texts: int, block: int = 64) -> Index:
-    """examples: (id, label, hash of the text, counts by term number); each has a term at least."""
-    idf = np.log(1 + n_texts / np.maximum(df, 1))
-    rows = []
-    for i, label, text, counts in examples:
-        t, w = _vector(counts, idf)
-        rows.append((int(t[np.argmax(w)]), i, label, text, t, w))
-    rows.sort(key=lambda r: r[:4])
-    n, blocks = len(rows), max(1, -(-len(rows) // block))
-    t = np.concatenate([r[4] for r in rows]) if rows else np.zeros(0, np.int64)
-    w = np.concatenate([r[5] for r in rows]) if rows else np.zeros(0)
-    e = np.repeat(np.arange(n), [len(r[4]) for r in rows])
-    order = np.lexsort((e, t))
-    t, e, w = t[order], e[order], w[order]
-    cell = t * blocks + e // block
-    starts = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-    most = np.zeros(len(terms) * blocks)
-    np.maximum.at(most, cell, w)
-    return Index(terms, idf, toxic, np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64),
-                 np.array([r[3] for r in rows], np.int64), starts, e, w, most.reshape(len(terms), blocks), block, (0.0,) * 4)
-
-
-def _cosines(index: Index, t: np.ndarray, q: np.ndarray, keep: np.ndarray) -> np.ndarray:
-    """Cosines with the examples of the blocks in ``keep``; 0 elsewhere."""
-    blocks, out, chosen = len(keep), np.zeros(len(index.ids)), np.flatnonzero(keep)
-    for x, weight in zip(t.tolist(), q.tolist(), strict=True):
-        starts = index.starts[x * blocks : (x + 1) * blocks + 1]
-        if 4 * len(chosen) < blocks:  # few blocks: their parts of the posting list
-            parts = [slice(starts[b], starts[b + 1]) for b in chosen]
-        else:  # most of them: the whole list; what lies outside is cleared below
-            parts = [slice(starts[0], starts[-1])]
-        for at in parts:
-            out[index.example[at]] += weight * index.weight[at]
-    if len(chosen) < blocks:
-        out[~np.repeat(keep, index.block)[: len(out)]] = 0.0
+def build_index(examples: list[tuple[int, int, int, np.ndarray, np.ndarray]], terms: dict[str, int], idf: np.ndarray,
+                toxic: np.ndarray, block: int = 4096) -> Index:
+    """examples: (id, label, hash of the text, term numbers, their weights); an empty text has no term and is near nothing."""
+    examples = sorted(examples, key=lambda r: (int(r[3][np.argmax(r[4])]) if len(r[3]) else -1, *r[:3]))
+    n, blocks = len(examples), max(1, -(-len(examples) // block))
+    sizes = [len(r[3]) for r in examples]
+    t = np.concatenate([r[3] for r in examples]).astype(np.int32) if n else np.zeros(0, np.int32)
+    w = np.concatenate([r[4] for r in examples]).astype(np.float32) if n else np.zeros(0, np.float32)
+    order = np.argsort(t, kind="stable")
+    t, w = t[order], w[order]
+    e = np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
+    del order
+    cell = t.astype(np.int64) * blocks + e // block
+    held = np.bincount(t, minlength=len(terms))
+    frequent = np.flatnonzero(held > n * COMMON)
+    frequent = np.sort(frequent[np.argsort(-held[frequent], kind="stable")][:MOST_COMMON])
+    column = np.full(len(terms), -1, np.int32)
+    column[frequent] = np.arange(len(frequent))
+    common = np.zeros((n, len(frequent)), np.float32)
+    at = column[t] >= 0
+    common[e[at], column[t[at]]] = w[at]
+    starts = np.zeros(len(terms) * blocks + 1, np.int64)
+    np.cumsum(np.bincount(cell, minlength=len(terms) * blocks), out=starts[1:])
+    most = np.zeros(len(terms) * blocks, np.float32)
+    edges = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else np.zeros(0, np.int64)
+    if len(edges):
+        most[cell[edges]] = np.maximum.reduceat(w, edges)
+    return Index(terms, idf, toxic, np.array([r[0] for r in examples], np.int64), np.array([r[1] for r in examples], np.int64),
+                 np.array([r[2] for r in examples], np.int64), starts, e, w, most.reshape(len(terms), blocks), block, (0.0,) * 4,
+                 column, common)
+
+
+def _listed(index: Index, t: np.ndarray, q: np.ndarray, b: int, n: int) -> np.ndarray:
+    """What the posting lists of the terms ``t`` add to the cosines of the ``n`` examples of block ``b``."""
+    cell = t * index.most.shape[1] + b
+    start = index.starts[cell]
+    length = index.starts[cell + 1] - start
+    at = np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())
+    return np.bincount(index.example[at] - b * index.block, index.weight[at] * np.repeat(q, length), n)
+
+
+def nearest_of_each(index: Index, texts: list[dict[int, int]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
+    """Of each text the k examples of the largest positive cosine: (cosine, position), ties by example id; none with
+    the text hash ``but``."""
+    out = []
+    for first in range(0, len(texts), AT_ONCE):
+        vectors = [_vector(c, index.idf) for c in texts[first : first + AT_ONCE]]
+        dense = np.zeros((len(vectors), index.common.shape[1]))
+        for i, (t, q) in enumerate(vectors):
+            at = index.column[t]
+            dense[i, at[at >= 0]] = q[at >= 0]
+        near = dense.astype(np.float32) @ index.common.T
+        for i, (t, q) in enumerate(vectors):
+            out.append(_nearest(index, t, q, dense[i], near[i], k, None if but is None else but[first + i]))
     return out
 
 
-def nearest(index: Index, counts: dict[int, int], k: int, but: int | None = None) -> list[tuple[float, int]]:
-    """The k examples of the largest positive cosine: (cosine, position), ties by example id; none with the text ``but``.
-
-    The blocks of the highest bounds are scored first; only blocks whose bound reaches the k-th best
-    cosine found there are scored at all.
-    """
-    t, q = _vector(counts, index.idf)
+def _nearest(index: Index, t: np.ndarray, q: np.ndarray, dense: np.ndarray, near: np.ndarray, k: int,
+             but: int | None) -> list[tuple[float, int]]:
     if not len(t) or not len(index.ids):
         return []
     bound = q @ index.most[t]
-    first = np.zeros(len(bound), bool)
-    first[np.argsort(-bound, kind="stable")[: 1 + -(-2 * k // index.block)]] = True
-
-    def best(keep: np.ndarray) -> np.ndarray:
-        cosine = np.round(_cosines(index, t, q, keep), 9)
+    rare = index.column[t] < 0
+    t, q = t[rare], q[rare]
+    slack = 1e-4  # far above the rounding of the dense table's product
+    found, listed, least = np.zeros(0, np.int64), np.zeros(0), 0.0
+    for b in np.argsort(-bound, kind="stable").tolist():
+        if bound[b] <= 0 or bound[b] < least - slack:
+            break
+        at = slice(b * index.block, min((b + 1) * index.block, len(index.ids)))
+        part = _listed(index, t, q, b, at.stop - at.start)
+        about = part + near[at]
         if but is not None:
-            cosine[index.texts == but] = 0.0
-        return cosine
-
-    cosine = best(first)
-    least = np.partition(cosine, -k)[-k] if len(cosine) > k else 0.0
-    more = (bound >= least - 1e-8) & (bound > 0)
-    if (more & ~first).any():
-        cosine = best(more | first)
-    found = np.flatnonzero(cosine > 0)
-    if len(found) > k:
-        found = found[cosine[found] >= np.partition(cosine[found], -k)[-k]]
-    found = found[np.lexsort((index.ids[found], -cosine[found]))][:k]
-    return [(float(cosine[p]), int(p)) for p in found]
-
-
-def features(index: Index, near: list[tuple[float, int]], telling: int, words: int) -> tuple[float, ...]:
-    """1, the vote (-1 clean, 1 toxic, 0 without neighbours), the log share of telling words, and their product."""
+            about[index.texts[at] == but] = -1.0
+        here = np.flatnonzero(about > (least - slack if least > slack else -0.5))
+        if len(here) > k:
+            least = max(least, float(np.partition(about[here], -k)[-k]))
+            here = here[about[here] >= least - slack]
+        found, listed = np.concatenate((found, here + at.start)), np.concatenate((listed, part[here]))
+    cosine = np.round(listed + index.common[found].astype(np.float64) @ dense, 9)
+    found, cosine = found[cosine > 0], cosine[cosine > 0]
+    order = np.lexsort((index.ids[found], -cosine))[:k]
+    return [(float(cosine[p]), int(found[p])) for p in order]
+
+
+def nearest(index: Index, counts: dict[int, int], k: int, but: int | None = None) -> list[tuple[float, int]]:
+    return nearest_of_each(index, [counts], k, None if but is None else [but])[0]
+
+
+def features(index: Index, near: list[tuple[float, int]], telling: float, words: int) -> tuple[float, ...]:
+    """1, the vote (-1 clean, 1 toxic, 0 without neighbours), the log weight of telling words by word, and their product."""
     total = sum(c * c for c, _ in near)
     vote = sum(c * c * (2 * int(index.labels[p]) - 1) for c, p in near) / total if total else 0.0
     share = float(np.log((telling + 0.05) / (words + 10.0)) + 5.0)
@@ -191,13 +229,13 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_per_class: int = 8192, min_df: int = 3, min_g2: float = 30.0, max_terms: int = 4096, block: int = 64,
+        max_per_class: int = 8192, min_g2: float = 0.0, ratio: float = 4.0, prior: float = 2.0, block: int = 4096,
         k: int = 15) -> Index:
     """Index over a bounded sample of the labelled rows. ``labels`` holds the training fold only.
 
     Rows with a null id or label teach nothing; an id labelled twice counts as 1 if any label is 1.
-    At most ``2 * max_per_class`` ids are broadcast and as many sparse vectors collected; of the terms
-    that pass, the ``max_terms`` of the largest ratio are kept.
+    At most ``2 * max_per_class`` ids are broadcast and as many sparse vectors collected, with all
+    their terms. ``min_g2`` and ``ratio`` only say which terms are telling.
     """
     told = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("y")).dropna().groupBy("id").agg(
         F.max("y").cast("int").alias("y"))
@@ -220,34 +258,50 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             for y, c in df.items():
                 yield pd.DataFrame({"term": list(c.keys()), "df": list(c.values()), "a": [n * y for n in c.values()]})
 
-    passing = (
-        texts.mapInPandas(seen, "term string, df long, a long")
-        .groupBy("term").agg(F.sum("a").alias("a"), F.sum("df").alias("df"))
-        .filter(F.col("df") >= min_df)
-        .withColumn("g2", log_likelihood_ratio(F.col("a"), n1, F.col("df") - F.col("a"), n0))
-        .filter(F.col("g2") >= min_g2)
-        .orderBy(F.round("g2", 6).desc(), "term").limit(max_terms).collect()
+    def telling(a: Column, n1: int, b: Column, n0: int) -> Column:
+        if n1 < 1 or n0 < 1:
+            return F.lit(0.0)
+        rate = n1 / (n1 + n0)
+        above = F.log((a + prior * rate) * n0 / ((b + prior * (1 - rate)) * n1)) - float(np.log(ratio))
+        known = above > 0 if min_g2 <= 0 else (above > 0) & (log_likelihood_ratio(a, n1, b, n0) >= min_g2)
+        return F.when(known, above).otherwise(0.0)
+
+    one, b = F.lit(1), F.col("df") - F.col("a")
+    weights = [telling(F.col("a"), n1, b, n0),  # and without one clean text, without one toxic text that has the term
+               telling(F.col("a"), n1, F.greatest(b - one, F.lit(0)), n0 - 1), telling(F.greatest(F.col("a") - one, F.lit(0)), n1 - 1, b, n0)]
+    vocabulary = (
+        texts.mapInPandas(seen, "term string, df long, a long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("df").alias("df"))
+        .select("term", "df", *[x.alias(f"w{i}") for i, x in enumerate(weights)]).toArrow().sort_by("term")  # the terms of the sample's texts
     )
-    terms = {r["term"]: i for i, r in enumerate(passing)}
-    toxic = np.array([r["a"] * n0 > (r["df"] - r["a"]) * n1 for r in passing], bool)
-
-    counted = F.pandas_udf(lambda col: col.map(lambda body: dict(Counts(terms).of(body)[0])), "map<int,int>")
-    vectors = rows.select("id", "y", text_hash.alias("h"), counted("body").alias("counts")).filter(F.size("counts") > 0).collect()
-    examples = sorted((r["id"], r["y"], r["h"], tuple(sorted(r["counts"].items()))) for r in vectors)
-    index = build_index([(i, y, h, dict(c)) for i, y, h, c in examples], terms,
-                        np.array([r["df"] for r in passing], float), toxic, n1 + n0, block)
-    shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # bounded by the sample and max_terms
-
-    def judged(bodies: pd.Series, hashes: pd.Series) -> pd.DataFrame:
-        ix = Index(**shared.value)
-        counts, out = Counts(ix.terms, ix.toxic), []
-        for body, h in zip(bodies, hashes, strict=True):
-            found, telling, words = counts.of(body)
-            out.append(features(ix, nearest(ix, found, k, h), telling, words))
-        return pd.DataFrame(out, columns=["a", "b", "c", "d"])
+    terms = {t: i for i, t in enumerate(vocabulary["term"].to_pylist())}
+    toxic, *without = (vocabulary[f"w{i}"].to_numpy().astype(float) for i in range(3))
+    idf = np.log(1 + (n0 + n1) / np.maximum(vocabulary["df"].to_numpy().astype(float), 1))
+    known = docs.sparkSession.sparkContext.broadcast((terms, idf))
+
+    def weighed(bodies: pd.Series) -> pd.DataFrame:
+        counts = Counts(known.value[0])
+        vectors = [_vector(counts.of(body)[0], known.value[1]) for body in bodies]
+        return pd.DataFrame({"t": [t.astype("<i4").tobytes() for t, _ in vectors], "w": [w.astype("<f4").tobytes() for _, w in vectors]})
 
     spread = rows.select("id", "y", "body", text_hash.alias("h")).repartition(shuffle_width(docs.sparkSession), "id")
-    told_by = spread.select("y", F.pandas_udf(judged, "a double, b double, c double, d double")("body", "h").alias("x")).collect()
+    vectors = spread.select("id", "y", "h", F.pandas_udf(weighed, "t binary, w binary")("body").alias("v")).select(
+        "id", "y", "h", "v.t", "v.w").toArrow()
+    index = build_index([(i, y, h, np.frombuffer(t.as_buffer(), "<i4"), np.frombuffer(w.as_buffer(), "<f4"))
+                         for i, y, h, t, w in zip(*(vectors[c].to_pylist() for c in ("id", "y", "h")), vectors["t"], vectors["w"], strict=True)],
+                        terms, idf, toxic, block)
+    del vectors
+    known.destroy()
+    shared = docs.sparkSession.sparkContext.broadcast((vars(index), without))  # bounded by the sample
+
+    def judged(bodies: pd.Series, hashes: pd.Series, classes: pd.Series) -> pd.DataFrame:
+        ix = Index(**shared.value[0])
+        counts = [Counts(ix.terms, each) for each in shared.value[1]]
+        found = [counts[y].of(body) for body, y in zip(bodies, classes.tolist(), strict=True)]
+        near = nearest_of_each(ix, [c for c, _, _ in found], k, hashes.tolist())
+        out = [features(ix, x, telling, words) for x, (_, telling, words) in zip(near, found, strict=True)]
+        return pd.DataFrame(out, columns=["a", "b", "c", "d"])
+
+    told_by = spread.select("y", F.pandas_udf(judged, "a double, b double, c double, d double")("body", "h", "y").alias("x")).collect()
     if not told_by:
         return index
     x = np.array([tuple(r["x"]) for r in told_by])  # four numbers for each row of the sample
@@ -276,18 +330,18 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text: str = "te
     Only the text decides. Null and empty texts and texts without any term are near nothing and have
     no evidence; without any labelled row every score is 1/2. Repeated rows score alike. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # bounded by the sample and max_terms
+    shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # bounded by the sample
     cols = [id_col, *keep]
     src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(cols)], F.col(f"`{text}`").alias("t"))
 
     def votes(texts: pd.Series) -> pd.DataFrame:
         ix, out = Index(**shared.value), []
         counts = Counts(ix.terms, ix.toxic)
-        for body in texts:
-            found, telling, words = counts.of(body if isinstance(body, str) else None)
-            near = nearest(ix, found, k)
-            out.append((calibrated(ix, features(ix, near, telling, words)),
-                        [{"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]))
+        for at in range(0, len(texts), AT_ONCE):
+            found = [counts.of(body if isinstance(body, str) else None) for body in texts.iloc[at : at + AT_ONCE]]
+            for near, (_, telling, words) in zip(nearest_of_each(ix, [c for c, _, _ in found], k), found, strict=True):
+                out.append((calibrated(ix, features(ix, near, telling, words)),
+                            [{"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]))
         return pd.DataFrame(out, columns=["score", "evidence"])
 
     run = F.pandas_udf(votes, "score double, evidence array<struct<id long, cosine double, label int>>")
