@@ -82,3 +82,17 @@ def test_held_out_accuracy(spark):
     rows = quality.score(docs, ratios).join(labels.filter(fold_of(F.col("doc_id")) == 0), "doc_id").filter("not base_failed").collect()
     good, bad = [r["kept"] for r in rows if r["quality"] == 1], [r["kept"] for r in rows if r["quality"] == 0]
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
+
+
+def test_hash_space_grows_with_the_distinct_ngrams(spark):
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(2)
+    rows = [(i, " ".join(f"w{rnd.randrange(1 << 40)}" for _ in range(1000))) for i in range(130)]
+    df = docs_frame(spark, rows)
+    exact = len({h for _, t in rows for hs in quality.ngram_hashes(t) for h in hs.tolist()})
+    distinct, raw, trusted = quality.measure(df.select(F.col("text").alias("t"), (F.col("doc_id") < 13).alias("good")))
+    assert abs(distinct - exact) < 0.05 * exact and raw == 130 * 1999 and trusted == 13 * 1999
+    ratios = quality.fit(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
+    assert len(ratios) > 1 << 16 and len(ratios) * quality.LOAD >= 0.95 * exact
+    assert len(quality.fit(docs_frame(spark, rows[:3]), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))) == 1 << 16

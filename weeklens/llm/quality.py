@@ -8,7 +8,12 @@ rare for the target to tell anything weigh almost nothing, so texts outside the
 not held against it. A text's score is the mean over its n-grams; it is kept if the score is at least
 ``threshold``, a fixed number that treats every document alike.
 
-Tasks send one row per cell they have seen to a grouped sum; the model is 2 ** ``bits`` numbers.
+The hash space follows the corpus: a first pass estimates the distinct n-grams (a HyperLogLog sketch, one
+grouped maximum per register), and ``bits`` is the least number, from MIN_BITS on, with at most ``LOAD``
+of them to a cell, so a cell's ratio does not average more unrelated n-grams as the input grows.
+
+Tasks send one row per cell they have seen to a grouped sum; the model is 2 ** ``bits`` numbers and grows
+with the distinct n-grams.
 The target is taken from at most ``max_trusted`` labelled rows, drawn by hash of the id (the
 documented bound of the fitted sample); raw counts cover every document.
 """
@@ -30,17 +35,25 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
 #: Words hashed at once: bounds the memory that a very long text takes.
 WORDS_AT_ONCE = 1 << 18
+#: Distinct n-grams to a cell at most, the smallest hash space, and the sketch's registers (error about 0.8 %).
+LOAD, MIN_BITS, REGISTER_BITS = 2, 16, 14
 
 
-def ngram_cells(text: str | None, bits: int) -> Iterator[np.ndarray]:
-    """Cells of the text's words and word pairs, in pieces."""
+def ngram_hashes(text: str | None) -> Iterator[np.ndarray]:
+    """64-bit hashes of the text's words and word pairs, in pieces."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     for at in range(0, len(words), WORDS_AT_ONCE):
         part = words[at : at + WORDS_AT_ONCE + 1]  # one more: the pair across the edge
         h = np.fromiter(map(crc32, part), np.uint64, len(part))
         pairs = (h[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (h[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
         single = h[:WORDS_AT_ONCE] * np.uint64(0xD6E8FEB86659FD93)
-        yield (np.concatenate((single, pairs)) >> np.uint64(64 - bits)).astype(np.int64)
+        yield np.concatenate((single, pairs))
+
+
+def ngram_cells(text: str | None, bits: int) -> Iterator[np.ndarray]:
+    """Cells of the text's words and word pairs, in pieces."""
+    for hashes in ngram_hashes(text):
+        yield (hashes >> np.uint64(64 - bits)).astype(np.int64)
 
 
 def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
@@ -70,43 +83,84 @@ def _repeat_words(words: list[str], width: int = 5) -> int:
     return int((np.cumsum(hit)[:-1] > 0).sum())
 
 
-def count_cells(rows: DataFrame, bits: int) -> np.ndarray:
-    """Counts of n-gram cells over all rows (t): summed per task, then by a grouped sum."""
+def measure(rows: DataFrame) -> tuple[float, int, int]:
+    """rows (t, good) -> distinct n-grams (estimated), n-grams of all rows and of good rows."""
+    registers = 1 << REGISTER_BITS
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(1 << bits, np.int64)
+        rank, raw, trusted = np.zeros(registers, np.int64), 0, 0
         for pdf in parts:
-            for t in pdf["t"]:
-                for cells in ngram_cells(t if isinstance(t, str) else None, bits):
-                    total += np.bincount(cells, minlength=1 << bits) if len(cells) > 4096 else 0
-                    if len(cells) <= 4096:
-                        np.add.at(total, cells, 1)
-        seen = np.flatnonzero(total)
-        yield pd.DataFrame({"cell": seen, "n": total[seen]})
-
-    summed = rows.mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(1 << bits, np.int64)
-    for cell, n in summed.collect():  # 2 ** bits rows at most
-        out[cell] = n
-    return out
+            for t, good in zip(pdf["t"], pdf["good"], strict=True):
+                for h in ngram_hashes(t if isinstance(t, str) else None):
+                    raw, trusted = raw + len(h), trusted + len(h) * int(good)
+                    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+                    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+                    h ^= h >> np.uint64(33)
+                    low = (h & np.uint64((1 << 50) - 1)).astype(np.float64)
+                    np.maximum.at(rank, (h >> np.uint64(50)).astype(np.int64), 51 - np.frexp(low)[1])
+        seen = np.flatnonzero(rank)
+        first = np.arange(len(seen)) == 0
+        yield pd.DataFrame({"register": seen, "rank": rank[seen], "raw": first * raw, "trusted": first * trusted})
+
+    found = rows.mapInPandas(run, "register long, rank long, raw long, trusted long").groupBy("register").agg(
+        F.max("rank").alias("rank"), F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).collect()  # the registers
+    empty = registers - len(found)
+    estimate = 0.7213 / (1 + 1.079 / registers) * registers**2 / (empty + sum(2.0 ** -r["rank"] for r in found))
+    if estimate <= 2.5 * registers and empty:
+        estimate = registers * float(np.log(registers / empty))
+    return estimate, sum(r["raw"] for r in found), sum(r["trusted"] for r in found)
+
+
+def bits_for(distinct: float) -> int:
+    return max(MIN_BITS, int(np.ceil(np.log2(max(1.0, distinct / LOAD)))))
+
+
+def count_cells(rows: DataFrame, bits: int) -> DataFrame:
+    """rows (t, good) -> (cell, raw, trusted): counts over all rows and over good rows, summed per task, then by a grouped sum."""
 
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, 1 << bits), np.int32)
+        held = 0
 
-def log_ratios(raw: np.ndarray, trusted: np.ndarray, smoothing: float) -> np.ndarray:
-    """ln(p_target / p_raw) of every cell, shrunk; 0 everywhere if no row is trusted."""
-    expected = raw * (trusted.sum() / max(1, raw.sum()))
-    return np.log((trusted + smoothing) / (expected + smoothing))
+        def flush() -> Iterator[pd.DataFrame]:
+            seen = np.flatnonzero(total[0])
+            for at in range(0, len(seen), 1 << 18):
+                part = seen[at : at + (1 << 18)]
+                yield pd.DataFrame({"cell": part.astype(np.int32), "raw": total[0, part].astype(np.int64), "trusted": total[1, part].astype(np.int64)})
+            total[:] = 0
+
+        for pdf in parts:
+            for t, good in zip(pdf["t"], pdf["good"], strict=True):
+                for cells in ngram_cells(t if isinstance(t, str) else None, bits):
+                    np.add.at(total[0], cells, 1)
+                    if good:
+                        np.add.at(total[1], cells, 1)
+                    held += len(cells)
+                    if held > 1 << 30:  # before a count can pass 32 bits
+                        yield from flush()
+                        held = 0
+        yield from flush()
+
+    return rows.mapInPandas(run, "cell int, raw long, trusted long").groupBy("cell").agg(
+        F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", good: str = "quality",
-        bits: int = 16, smoothing: float = 30.0, max_trusted: int = 32768) -> np.ndarray:
-    """The log ratios by cell. Labels with a null id or value, or of unknown rows, say nothing."""
-    body = F.col(f"`{text}`").alias("t")
-    raw = count_cells(docs.select(body), bits)
+        bits: int | None = None, smoothing: float = 30.0, max_trusted: int = 32768) -> np.ndarray:
+    """The log ratios by cell, 0 where no text has it and everywhere if no row is trusted. Labels with a null id or
+    value, or of unknown rows, say nothing. ``bits``: by the distinct n-grams if None."""
     ids = labels.filter(F.col(f"`{good}`") == 1).select(F.col(f"`{id_col}`").alias("id")).dropna().distinct()
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_trusted)
-    trusted = docs.select(F.col(f"`{id_col}`").alias("doc"), body).join(
-        F.broadcast(ids), F.col("doc") == F.col("id"), "left_semi")  # no more than max_trusted ids
-    return log_ratios(raw, count_cells(trusted.select("t"), bits), smoothing)
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text}`").alias("t")).join(
+        F.broadcast(ids), F.col("doc") == F.col("id"), "left").select("t", F.col("id").isNotNull().alias("good"))  # no more than max_trusted ids
+    distinct, raw, trusted = measure(rows)
+    bits = bits_for(distinct) if bits is None else bits
+    expected = F.col("raw") * (trusted / max(1, raw))
+    told = count_cells(rows, bits).select(
+        "cell", F.log((F.col("trusted") + smoothing) / (expected + smoothing)).alias("ratio")).toArrow()  # 2 ** bits rows at most
+    out = np.zeros(1 << bits)
+    out[told["cell"].to_numpy()] = told["ratio"].to_numpy()
+    return out
 
 
 def score(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text: str = "text",
