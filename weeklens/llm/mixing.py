@@ -8,8 +8,9 @@ cap * size / weight.
 
 Sampling. A document of a source with ratio r = target / size takes floor(r) certain whole copies;
 the fraction f = r - floor(r) is its inclusion probability for one more. Documents are ranked by
-random odds over inclusion odds, (U / (1 - U)) / (priority * f / (1 - f)), with U drawn from a hash
-of seed, id and text, so reruns agree. The sample is of fixed size in words: the prefix of the
+random odds over ``priority``, (U / (1 - U)) / priority, with U drawn from a hash of seed, id and text,
+so reruns agree. A Pareto sample divides by f / (1 - f) too; f is equal inside a source, so that leaves
+the order as it is and is not done. Without ``priority`` this is a uniform order sample of each source. The sample is of fixed size in words: the prefix of the
 ranking whose words come nearest to what the certain copies leave open (off by at most half of one
 document).
 
