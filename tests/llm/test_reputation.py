@@ -87,3 +87,20 @@ def test_edge_rows(spark):
 
 def test_empty_table(spark):
     assert run(spark, [], [(1, 1)]) == []
+
+
+def test_planted_hosts_are_blocked_and_kept(spark):
+    """Bad and clean hosts of few and many outcomes, among ordinary ones, with the production threshold and no rules."""
+    hosts = {f"h{i}.ordinary{i}.org": (20, 17 + i % 3) for i in range(30)}
+    hosts |= {f"b{i}.spam{i}.biz": (40, 1) for i in range(10)}
+    hosts |= {"many.badhost.biz": (200, 4), "few.badhost.biz": (3, 0), "many.cleanhost.org": (200, 196), "few.cleanhost.org": (3, 3),
+              "one.unlucky.org": (1, 0)}
+    pages, outcomes = [], []
+    for host, (n, good) in hosts.items():
+        for i in range(n):
+            pages.append((len(pages), f"http://{host}/p{i}"))
+            outcomes.append((len(outcomes), int(i < good)))
+    out = reputation.judge_urls(spark.createDataFrame(pages, "page_id long, url string"),
+                     spark.createDataFrame(outcomes, "page_id long, good int"), ())
+    got = {r["host"]: r["verdict"] for r in out.select("host", "verdict").distinct().collect()}
+    assert {h for h, v in got.items() if v == "block"} == {h for h in hosts if h.endswith(".biz")}
