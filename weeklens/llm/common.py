@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +51,15 @@ def row_key(doc_id: Column, text: Column) -> Column:
 def fold_of(doc_id: Column, folds: int = 5) -> Column:
     """crc32(doc_id as text) mod ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def spans(data: bytes, size: int = 1 << 22) -> Iterator[bytes]:
+    """``data`` in parts of about ``size`` bytes, cut at spaces (a part ends before one): bounds the memory of a long text."""
+    at = 0
+    while len(data) - at > size:
+        end = data.find(b" ", at + size)
+        if end < 0:
+            break
+        yield data[at:end]
+        at = end
+    yield data[at:]

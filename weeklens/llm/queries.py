@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hmm, lz, quality, spm, toxicity
+from .collocations import collocations
 from .common import fold_of, table
 from .linededup import drop_common_lines
 from .mixing import mix
 from .reputation import Rule, judge_urls
+from .search import search
 from .simhash import simhash_components
 from .warc import archive_round_trip
 
@@ -96,6 +98,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lz": op2_lz,
@@ -107,4 +117,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_hmm": op9_hmm,
     "op10_warc": op10_warc,
+    "op11_search": op11_search,
+    "op12_collocations": op12_collocations,
 }
