@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from . import hmm, lz, quality, spm, toxicity
 from .collocations import collocations
 from .common import fold_of, table
+from .jaccard import jaccard_components
 from .linededup import drop_common_lines
 from .mixing import mix
 from .reputation import Rule, judge_urls
@@ -106,6 +107,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000)
 
 
+def op13_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), width=5, percent=80)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_lz": op2_lz,
@@ -119,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_search": op11_search,
     "op12_collocations": op12_collocations,
+    "op13_jaccard": op13_jaccard,
 }

@@ -174,4 +174,5 @@ ORACLE_SQL: dict[str, str] = {
     "op10_warc": OP10,
     "op11_search": OP11,
     "op12_collocations": OP12,
+    "op13_jaccard": OP13,
 }
