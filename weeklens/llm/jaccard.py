@@ -77,7 +77,11 @@ def token_set(data: bytes | None, width: int, hashes: WordHashes) -> np.ndarray:
     for j in range(size):  # a chain of splitmix steps: order counts
         out = (out ^ (out >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9) + h[j : len(h) - size + 1 + j]
     out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return np.unique(out ^ (out >> np.uint64(31)))
+    out ^= out >> np.uint64(31)
+    out.sort()
+    new = np.ones(len(out), bool)
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 def least_overlap(size: int, percent: int) -> int:
@@ -91,9 +95,12 @@ def margin(size: int, percent: int) -> int:
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
     """The first tokens in the common order: linked sets share ``margin`` of these at least."""
-    order = np.lexsort((tokens, levels[(tokens >> np.uint64(CELL_SHIFT)).astype(np.int64)]))
     size = len(tokens)
-    return tokens[order[: size - least_overlap(size, percent) + margin(size, percent)]]
+    first = size - least_overlap(size, percent) + margin(size, percent)
+    if first >= size:
+        return tokens
+    place = levels[(tokens >> np.uint64(CELL_SHIFT)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | tokens >> np.uint64(8)
+    return tokens[np.argpartition(place, first)[:first]]
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -192,7 +199,9 @@ def shared_tokens(docs: DataFrame, text: str, width: int, percent: int, levels)
 
 
 def candidates(docs: DataFrame, text: str, width: int, percent: int, levels, shared) -> DataFrame:
-    """(route, digest, n, tokens, hits): members that share enough prefix tokens to have a partner; hits are these tokens."""
+    """(route, digest, n, tokens, hits): members that share enough prefix tokens to have a partner; hits are these tokens.
+
+    A set that many documents have comes once from each task that meets it."""
     names = ["route", "digest", "n", "tokens", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,8 +225,7 @@ def candidates(docs: DataFrame, text: str, width: int, percent: int, levels, sha
             yield _batch(out, names)
 
     found = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "route long, digest binary, n long, tokens binary, hits array<long>")
-    once = found.repartition(shuffle_width(docs.sparkSession), "route").dropDuplicates(["route", "digest"])
-    return stash(once, "jaccard-members")
+    return stash(found, "jaccard-members")
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -360,6 +368,8 @@ def _link_table(keys: list[bytes], links: list[tuple[int, int]]) -> pa.Table:
 def small_block_links(placed: DataFrame, percent: int, bins: int) -> DataFrame:
     """Links inside small blocks; several blocks share a group of about TILE_TOKENS tokens."""
     def run(table: pa.Table) -> pa.Table:
+        order = {x: i for i, x in enumerate(table["digest"].to_pylist())}  # each set once
+        table = table.take(pa.array(list(order.values())))
         sets, block = _sets(table), table["block"].to_numpy()
         order = np.lexsort((table["n"].to_numpy(), np.array([s[0] for s in sets], np.uint64), block))  # like sets side by side
         sets, block, digests = [sets[i] for i in order.tolist()], block[order], table["digest"].to_pylist()
@@ -398,7 +408,7 @@ def tile_pair_links(tiles: DataFrame, pairs: DataFrame, percent: int) -> DataFra
 def large_block_links(placed: DataFrame, percent: int, tile_tokens: int) -> DataFrame:
     """Links inside blocks of many tiles. A linked pair's sizes lie in the same or in neighbouring bands."""
     band = F.floor(F.log("n") / float(np.log(100 / percent)) - 1e-9)
-    placed = placed.withColumn("band", band)
+    placed = placed.withColumn("band", band).dropDuplicates(["block", "digest"])
     parts = placed.groupBy("block", "band").agg(F.ceil(F.sum("n") / tile_tokens).alias("parts"))
     tiles = stash(placed.join(parts, ["block", "band"]).withColumn("part", F.pmod(F.xxhash64("digest"), F.col("parts"))).select(
         "block", "band", "part", "parts", "digest", "tokens"), "jaccard-tiles")
