@@ -1,4 +1,5 @@
 import random
+import re
 from zlib import crc32
 
 import numpy as np
@@ -45,7 +46,7 @@ def labels_frame(spark, labels):
 
 def test_neighbours_are_exact(spark):
     rows, labels = corpus()
-    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, labels), min_g2=3.0, block=8)
+    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, labels), block=8).index
     assert len(index.ids) > 60 and index.most.shape[1] > 5
     counts = toxicity.Counts(index.terms)
     for _, text in rows[:80]:
@@ -58,7 +59,7 @@ def test_held_out_accuracy_and_edge_rows(spark):
     told = labels_frame(spark, labels + [(None, 1, 1), (3, 1, None), (99999, 1, 1), (4, 1, 0)])
     df = docs_frame(spark, [*rows, (900, None), (901, ""), (None, "meanword nastything vileness"), (902, "x " * 100_000),
                             (903, "Meanword! NASTYTHING, vileness."), (903, "Meanword! NASTYTHING, vileness.")], extra=True)
-    index = toxicity.fit(df, toxicity.training_fold(told), min_g2=8.0)
+    index = toxicity.fit(df, toxicity.training_fold(told))
     out = toxicity.score(df, index, keep=("score", "t")).collect()
     names = out[0].asDict(recursive=True)
     assert len(out) == len(rows) + 6 and names["t"] == "x"
@@ -94,22 +95,67 @@ def test_held_out_accuracy_on_the_tables(spark):
 def test_every_example_is_indexed_on_all_its_terms(spark):
     """Labels too few for any statistic: each example still stands in the index, and held-out texts have neighbours."""
     rows = [(i, t) for i, t in enumerate(["one lonely sentence", "vile nastything here", "plain words only", "grossstuff and more", ""])]
-    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, [(i, 1, int(i in (1, 3))) for i in range(5)]))
+    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, [(i, 1, int(i in (1, 3))) for i in range(5)])).index
     assert sorted(index.ids.tolist()) == list(range(5))
     words = {t for _, text in rows for w in text.split() for t in toxicity.word_terms(w)}
     assert set(index.terms) == words and len(index.example) == sum(
         len({t for w in text.split() for t in toxicity.word_terms(w)}) for _, text in rows)
     near = toxicity.nearest(index, toxicity.Counts(index.terms).of("a nastything")[0], 3)
     assert [int(index.ids[p]) for _, p in near] == [1]
-    sf_index = toxicity.fit(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels")))
+    sf_index = toxicity.fit(*(spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))).index
     assert len(sf_index.ids) == spark.read.parquet(f"{SF}/labels.parquet").count() and len(sf_index.terms) > 1000
 
 
 def test_neighbours_are_exact_over_the_whole_vocabulary(spark):
     rows, labels = corpus()
     rows = [(i, f"{text} {' '.join(vocabulary(i, 5))}") for i, text in rows]
-    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, labels), block=16)
+    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, labels), block=16).index
     assert len(index.ids) == len(rows) and 0 < index.common.shape[1] < len(index.terms)
     counts = toxicity.Counts(index.terms)
     texts = [counts.of(text)[0] for _, text in rows[::15]]
     assert toxicity.nearest_of_each(index, texts, 7) == [brute_nearest(index, c, 7) for c in texts]
+
+
+def test_labels_of_one_class_and_wordless_texts(spark):
+    rows = [(i, t) for i, t in enumerate(["plain words", "", None, "123 456", "more plain words here"])] + [(9, "plain")]
+    for y in (0, 1):
+        model = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, [(i, 1, y) for i in range(5)]))
+        out = {r["doc_id"]: r for r in toxicity.score(docs_frame(spark, rows), model).collect()}
+        assert len(out) == 6 and all((r["score"] >= 0.5) == bool(y) for r in out.values())
+        assert out[1]["evidence"] == out[3]["evidence"] == [] and len(out[9]["evidence"]) == 2
+
+
+def test_idf_counts_every_document(spark):
+    rows = [(0, "rare word"), (1, "word"), *((i, "word plenty") for i in range(2, 12)), (20, None)]
+    index = toxicity.fit(docs_frame(spark, rows), labels_frame(spark, [(0, 1, 1), (1, 1, 0)])).index
+    assert np.allclose(index.idf[[index.terms["rare"], index.terms["word"]]], np.log([1 + 13 / 1, 1 + 13 / 12]))
+
+
+def test_score_is_the_calibrated_vote_of_brute_force_neighbours(spark):
+    """Vectors, cosines, votes and curve values from the texts alone, without the index."""
+    rows, labels = corpus(120)
+    df, told = docs_frame(spark, rows), [x for x in labels if crc32(str(x[0]).encode()) % 5]
+    model = toxicity.fit(df, labels_frame(spark, told))
+    terms = {i: [t for w in re.findall(r"[^\W\d_]+", text.lower()) for t in (w, *(w[:n] + "*" for n in (4, 5, 6, 7) if len(w) > n))]
+             for i, text in rows}
+    held = {}
+    for found in terms.values():
+        for t in set(found):
+            held[t] = held.get(t, 0) + 1
+    known = {t for i, *_ in told for t in terms[i]}
+    vectors = {}
+    for i, found in terms.items():
+        v = {t: (1 + np.log(found.count(t))) * np.log(1 + len(rows) / held[t]) for t in set(found) & known}
+        norm = np.sqrt(sum(x * x for x in v.values()))
+        vectors[i] = {t: x / norm for t, x in v.items()}
+    truth = {i: y for i, _, y in told}
+    odds = sum(y == 0 for y in truth.values()) / sum(truth.values())
+    for r in toxicity.score(df, model).collect():
+        q = vectors[r["doc_id"]]
+        near = sorted((-sum(x * vectors[i].get(t, 0) for t, x in q.items()), i) for i in truth)[: toxicity.NEIGHBOURS]
+        near = [(-c, i) for c, i in near if c < 0]
+        bad, all_ = sum(c for c, i in near if truth[i]), sum(c for c, _ in near)
+        little = 0.02 * near[0][0]
+        vote = np.log((bad * odds + little) / (all_ - bad + little))
+        z = np.dot(model.curve, (1, vote, near[0][0], vote * near[0][0]))
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-4

@@ -4,8 +4,8 @@ Examples. A sample of labelled rows is drawn by hash of the id, at most ``max_pe
 class (the documented bound: everything that is collected or broadcast is limited by it). A term is
 a word (a run of letters, lower-cased) or a beginning of 4 to 7 letters of a longer word. Every
 example stands in the index with every term it has: nothing is selected by class, count or rank.
-Weights are (1 + ln tf) * ln(1 + N / df), normalised to length 1; document frequencies are those
-among the sample's distinct texts.
+Weights are (1 + ln tf) * ln(1 + N / df), normalised to length 1; N and the document frequencies of
+the examples' terms are those of all documents.
 
 Index. Examples are grouped into blocks of ``block`` in order of their heaviest term; a term's
 posting list is cut by block, and each (term, block) keeps its largest weight. A query takes the sum
@@ -13,15 +13,14 @@ of its weights times these maxima as a bound for every block and scores blocks i
 until none can reach the k-th best cosine found. Terms of more than a ``COMMON`` part of the examples
 also stand in a dense table, so that many queries meet them in one matrix product; what comes within
 its rounding of the k-th best is scored again in double precision. The neighbours are exactly those
-of a full comparison (ties by example id).
-
-Score. The k neighbours vote with weight cosine ** 2. A logistic curve, fitted on the examples
-themselves (each judged by the others, never by its own text or copies of it, and weighed to the class
-sizes of the whole training fold), turns the vote and the weight of telling terms by word into a probability.
-A term is telling by as much as the log ratio of its rates in the two classes, after ``prior`` texts
-that hold it are added in the classes' proportion, exceeds ln ``ratio``: an effect, no test of
-significance that any term passes or fails by the number of labels. A text near nothing (an empty one too) has no votes; it gets
-the curve's value for that.
+of a full comparison (ties by example id). What is broadcast are the examples' term counts alone,
+once for fitting and scoring; a worker builds the lists, maxima and dense table from them.
+
+Score. The k neighbours vote with their cosines as weights, those of either class weighed to the class sizes
+of the sample. A logistic curve of the vote and the largest cosine, fitted on the examples themselves
+(each judged by the others, never by its own text or copies of it, and weighed to the class sizes of the
+whole training fold), turns them into a probability. A text near nothing (an empty one too) has no
+votes; it gets the curve's value for that.
 """
 
 from __future__ import annotations
@@ -29,11 +28,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, fold_of, shuffle_width
@@ -47,17 +48,19 @@ BEGINNINGS = (4, 5, 6, 7)
 #: Terms in more than this part of the examples stand in the dense table too, the most frequent MOST_COMMON of them.
 COMMON, MOST_COMMON = 1 / 16, 1024
 
+#: Neighbours that vote: picked, with the weight of a vote, by leave-one-out on the training fold.
+NEIGHBOURS = 50
+
 #: Queries that meet the dense table at once.
 AT_ONCE = 64
 
 
 @dataclass(frozen=True)
 class Index:
-    """terms: term -> number; idf and leaning by term; examples in block order; postings cut by block."""
+    """terms: term -> number; idf by term; examples in block order; postings cut by block."""
 
     terms: dict[str, int]
     idf: np.ndarray
-    toxic: np.ndarray  # how telling the term is, else 0
     ids: np.ndarray
     labels: np.ndarray
     texts: np.ndarray  # a 60-bit hash of each example's text
@@ -66,40 +69,83 @@ class Index:
     weight: np.ndarray
     most: np.ndarray  # largest weight of each (term, block)
     block: int
-    curve: tuple[float, ...]  # of the logistic calibration
     column: np.ndarray  # of a common term in the dense table, else -1
     common: np.ndarray  # weights of the common terms by example
 
 
+@dataclass
+class Examples:
+    """What is broadcast: the vocabulary (one string), idf, and of each example its id, label, text hash and term counts."""
+
+    words: str
+    idf: np.ndarray
+    ids: np.ndarray
+    labels: np.ndarray
+    texts: np.ndarray
+    sizes: np.ndarray  # terms of each example
+    term: np.ndarray
+    tf: np.ndarray
+    block: int
+    built: Index | None = field(default=None, repr=False)
+
+    def __getstate__(self) -> dict:
+        return vars(self) | {"built": None}
+
+    def index(self) -> Index:
+        """Built once in each process."""
+        if self.built is None:
+            edges = np.cumsum(self.sizes)[:-1]
+            terms = _numbered(self.words)
+            weights = [(1 + np.log(tf.astype(np.float64))) * self.idf[t] for t, tf in
+                       zip(np.split(self.term, edges), np.split(self.tf, edges), strict=True)] if len(self.ids) else []
+            parts = np.split(self.term, edges) if len(self.ids) else []
+            examples = [(int(i), int(y), int(h), t.astype(np.int64), w / np.sqrt((w * w).sum()) if len(w) else w)
+                        for i, y, h, t, w in zip(self.ids, self.labels, self.texts, parts, weights, strict=True)]
+            self.built = build_index(examples, terms, self.idf, self.block)
+        return self.built
+
+
+@dataclass(frozen=True)
+class Model:
+    """The broadcast examples and the logistic curve. ``index`` is the index over the examples."""
+
+    shared: Broadcast
+    curve: tuple[float, ...]
+
+    @property
+    def index(self) -> Index:
+        return self.shared.value.index()
+
+
+def _numbered(words: str) -> dict[str, int]:
+    return {t: i for i, t in enumerate(words.split("\n"))} if words else {}
+
+
 def word_terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
 class Counts(dict):
-    """Term numbers of words, and how telling the most telling is; remembered by word (forgotten when too many)."""
+    """Term numbers of words, remembered by word (forgotten when too many)."""
 
-    def __init__(self, terms: dict[str, int], toxic: np.ndarray | None = None) -> None:
+    def __init__(self, terms: dict[str, int]) -> None:
         super().__init__()
-        self.terms, self.toxic = terms, [] if toxic is None else toxic.tolist()
+        self.terms = terms
 
-    def __missing__(self, word: str) -> tuple[tuple[int, ...], float]:
+    def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) > 200_000:
             self.clear()
-        found = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
-        out = self[word] = (found, max((self.toxic[x] for x in found), default=0.0) if self.toxic else 0.0)
+        out = self[word] = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
         return out
 
-    def of(self, text: str | None) -> tuple[dict[int, int], float, int]:
-        """Term counts of a text, how telling its words are in sum, and how many they are."""
-        words = Counter(TERM.findall(text.lower())) if text else {}
+    def of(self, text: str | None) -> tuple[dict[int, int], int]:
+        """Term counts of a text and how many words it has."""
+        words = Counter(TERM.findall(text.lower())) if text else Counter()
         counts: dict[int, int] = {}
-        telling = 0.0
         for word, n in words.items():
-            found, weight = self[word]
-            for t in found:
+            for t in self[word]:
                 counts[t] = counts.get(t, 0) + n
-            telling += n * weight
-        return counts, telling, sum(words.values())
+        return counts, words.total()
 
 
 def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,7 +160,7 @@ def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def build_index(examples: list[tuple[int, int, int, np.ndarray, np.ndarray]], terms: dict[str, int], idf: np.ndarray,
-                toxic: np.ndarray, block: int = 4096) -> Index:
+                block: int = 4096) -> Index:
     """examples: (id, label, hash of the text, term numbers, their weights); an empty text has no term and is near nothing."""
     examples = sorted(examples, key=lambda r: (int(r[3][np.argmax(r[4])]) if len(r[3]) else -1, *r[:3]))
     n, blocks = len(examples), max(1, -(-len(examples) // block))
@@ -140,9 +186,8 @@ def build_index(examples: list[tuple[int, int, int, np.ndarray, np.ndarray]], te
     edges = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else np.zeros(0, np.int64)
     if len(edges):
         most[cell[edges]] = np.maximum.reduceat(w, edges)
-    return Index(terms, idf, toxic, np.array([r[0] for r in examples], np.int64), np.array([r[1] for r in examples], np.int64),
-                 np.array([r[2] for r in examples], np.int64), starts, e, w, most.reshape(len(terms), blocks), block, (0.0,) * 4,
-                 column, common)
+    return Index(terms, idf, np.array([r[0] for r in examples], np.int64), np.array([r[1] for r in examples], np.int64),
+                 np.array([r[2] for r in examples], np.int64), starts, e, w, most.reshape(len(terms), blocks), block, column, common)
 
 
 def _listed(index: Index, t: np.ndarray, q: np.ndarray, b: int, n: int) -> np.ndarray:
@@ -202,19 +247,29 @@ def nearest(index: Index, counts: dict[int, int], k: int, but: int | None = None
     return nearest_of_each(index, [counts], k, None if but is None else [but])[0]
 
 
-def features(index: Index, near: list[tuple[float, int]], telling: float, words: int) -> tuple[float, ...]:
-    """1, the vote (-1 clean, 1 toxic, 0 without neighbours), the log weight of telling words by word, and their product."""
-    total = sum(c * c for c, _ in near)
-    vote = sum(c * c * (2 * int(index.labels[p]) - 1) for c, p in near) / total if total else 0.0
-    share = float(np.log((telling + 0.05) / (words + 10.0)) + 5.0)
-    return 1.0, vote, share, vote * share
+def features(index: Index, near: list[tuple[float, int]], odds: float) -> tuple[float, ...]:
+    """1, the log odds of the distance-weighted votes (0 without neighbours), the largest cosine, and their product.
 
+    ``odds``: clean over toxic examples of the sample, so that a vote counts against what chance would give."""
+    toxic = sum(c for c, p in near if index.labels[p])
+    clean = sum(c for c, p in near) - toxic
+    if not near:
+        return 1.0, 0.0, 0.0, 0.0
+    little = 0.02 * near[0][0]
+    vote = float(np.log((toxic * odds + little) / (clean + little)))
+    return 1.0, vote, near[0][0], vote * near[0][0]
 
-def calibrated(index: Index, x: tuple[float, ...]) -> float:
-    z = sum(a * b for a, b in zip(index.curve, x, strict=True))
+
+def calibrated(curve: tuple[float, ...], x: tuple[float, ...]) -> float:
+    z = sum(a * b for a, b in zip(curve, x, strict=True))
     return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
 
 
+def class_odds(labels: np.ndarray) -> float:
+    toxic = float((labels == 1).sum())
+    return (len(labels) - toxic) / toxic if 0 < toxic < len(labels) else 1.0
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
     """Weighted logistic regression by Newton steps, with a ridge on all but the constant."""
     b, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
@@ -228,15 +283,45 @@ def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return tuple(b.tolist())
 
 
+def _terms_of(texts: DataFrame) -> DataFrame:
+    """The distinct terms of the texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = {w for body in batch.column(0).to_pylist() for w in TERM.findall(body.lower())}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted({t for w in words for t in word_terms(w)}), pa.string())], ["term"])
+
+    return texts.select("body").mapInArrow(run, "term string").distinct()
+
+
+def _document_frequencies(docs: DataFrame, text: str, words: Broadcast, width: int) -> tuple[int, np.ndarray]:
+    """How many documents there are, and of each term how many hold it: one pass, partial sums by task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, df, n = Counts(_numbered(words.value)), np.zeros(width, np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            for body in batch.column(0).to_pylist():
+                found = {t for w in set(TERM.findall(body.lower())) for t in counts[w]} if body else ()
+                df[np.fromiter(found, np.int64, len(found))] += 1
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))], ["term", "df"])
+
+    counted = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "term long, df long")
+    found = counted.groupBy("term").agg(F.sum("df").alias("df")).toArrow()  # at most one row a term of the sample
+    term, df = found["term"].to_numpy(), found["df"].to_numpy()
+    out = np.ones(width)
+    out[term[term >= 0]] = df[term >= 0]
+    return int(df[term < 0].sum()), out
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_per_class: int = 8192, min_g2: float = 0.0, ratio: float = 4.0, prior: float = 2.0, block: int = 4096,
-        k: int = 15) -> Index:
-    """Index over a bounded sample of the labelled rows. ``labels`` holds the training fold only.
+        max_per_class: int = 8192, block: int = 4096, k: int = NEIGHBOURS) -> Model:
+    """Model over a bounded sample of the labelled rows. ``labels`` holds the training fold only.
 
-    Rows with a null id or label teach nothing; an id labelled twice counts as 1 if any label is 1.
-    At most ``2 * max_per_class`` ids are broadcast and as many sparse vectors collected, with all
-    their terms. ``min_g2`` and ``ratio`` only say which terms are telling.
+    Rows with a null id or label teach nothing; an id labelled twice counts as 1 if any label is 1; null,
+    empty and wordless texts may be labelled (they are near nothing), and either class may be missing.
+    At most ``2 * max_per_class`` ids are broadcast and as many term-count vectors collected.
     """
+    spark = docs.sparkSession
     told = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("y")).dropna().groupBy("id").agg(
         F.max("y").cast("int").alias("y"))
     per_class = {r["y"]: r["count"] for r in told.groupBy("y").count().collect()}  # two rows
@@ -247,100 +332,67 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"))
     rows = cut(rows.join(F.broadcast(sample), F.col("doc") == F.col("id")).select("id", "y", "body", F.md5("body").alias("h")))
     text_hash = F.conv(F.substring("h", 1, 15), 16, 10).cast("long")
-    texts = rows.dropDuplicates(["h", "y"]).select("y", "body")  # copies count once
-    n1, n0 = texts.agg(F.count_if(F.col("y") == 1), F.count_if(F.col("y") == 0)).first()
-
-    def seen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            df: dict[int, Counter] = {0: Counter(), 1: Counter()}
-            for y, body in zip(pdf["y"], pdf["body"], strict=True):
-                df[int(y)].update({t for w in set(TERM.findall(body.lower())) for t in word_terms(w)})
-            for y, c in df.items():
-                yield pd.DataFrame({"term": list(c.keys()), "df": list(c.values()), "a": [n * y for n in c.values()]})
-
-    def telling(a: Column, n1: int, b: Column, n0: int) -> Column:
-        if n1 < 1 or n0 < 1:
-            return F.lit(0.0)
-        rate = n1 / (n1 + n0)
-        above = F.log((a + prior * rate) * n0 / ((b + prior * (1 - rate)) * n1)) - float(np.log(ratio))
-        known = above > 0 if min_g2 <= 0 else (above > 0) & (log_likelihood_ratio(a, n1, b, n0) >= min_g2)
-        return F.when(known, above).otherwise(0.0)
-
-    one, b = F.lit(1), F.col("df") - F.col("a")
-    weights = [telling(F.col("a"), n1, b, n0),  # and without one clean text, without one toxic text that has the term
-               telling(F.col("a"), n1, F.greatest(b - one, F.lit(0)), n0 - 1), telling(F.greatest(F.col("a") - one, F.lit(0)), n1 - 1, b, n0)]
-    vocabulary = (
-        texts.mapInPandas(seen, "term string, df long, a long").groupBy("term").agg(F.sum("a").alias("a"), F.sum("df").alias("df"))
-        .select("term", "df", *[x.alias(f"w{i}") for i, x in enumerate(weights)]).toArrow().sort_by("term")  # the terms of the sample's texts
-    )
-    terms = {t: i for i, t in enumerate(vocabulary["term"].to_pylist())}
-    toxic, *without = (vocabulary[f"w{i}"].to_numpy().astype(float) for i in range(3))
-    idf = np.log(1 + (n0 + n1) / np.maximum(vocabulary["df"].to_numpy().astype(float), 1))
-    known = docs.sparkSession.sparkContext.broadcast((terms, idf))
-
-    def weighed(bodies: pd.Series) -> pd.DataFrame:
-        counts = Counts(known.value[0])
-        vectors = [_vector(counts.of(body)[0], known.value[1]) for body in bodies]
-        return pd.DataFrame({"t": [t.astype("<i4").tobytes() for t, _ in vectors], "w": [w.astype("<f4").tobytes() for _, w in vectors]})
-
-    spread = rows.select("id", "y", "body", text_hash.alias("h")).repartition(shuffle_width(docs.sparkSession), "id")
-    vectors = spread.select("id", "y", "h", F.pandas_udf(weighed, "t binary, w binary")("body").alias("v")).select(
-        "id", "y", "h", "v.t", "v.w").toArrow()
-    index = build_index([(i, y, h, np.frombuffer(t.as_buffer(), "<i4"), np.frombuffer(w.as_buffer(), "<f4"))
-                         for i, y, h, t, w in zip(*(vectors[c].to_pylist() for c in ("id", "y", "h")), vectors["t"], vectors["w"], strict=True)],
-                        terms, idf, toxic, block)
-    del vectors
-    known.destroy()
-    shared = docs.sparkSession.sparkContext.broadcast((vars(index), without))  # bounded by the sample
-
-    def judged(bodies: pd.Series, hashes: pd.Series, classes: pd.Series) -> pd.DataFrame:
-        ix = Index(**shared.value[0])
-        counts = [Counts(ix.terms, each) for each in shared.value[1]]
-        found = [counts[y].of(body) for body, y in zip(bodies, classes.tolist(), strict=True)]
-        near = nearest_of_each(ix, [c for c, _, _ in found], k, hashes.tolist())
-        out = [features(ix, x, telling, words) for x, (_, telling, words) in zip(near, found, strict=True)]
-        return pd.DataFrame(out, columns=["a", "b", "c", "d"])
-
-    told_by = spread.select("y", F.pandas_udf(judged, "a double, b double, c double, d double")("body", "h", "y").alias("x")).collect()
-    if not told_by:
-        return index
-    x = np.array([tuple(r["x"]) for r in told_by])  # four numbers for each row of the sample
-    y = np.array([r["y"] for r in told_by], float)
+    spread = rows.select("id", "y", "body", text_hash.alias("h")).repartition(shuffle_width(spark), "id")
+
+    terms = sorted(_terms_of(rows).toArrow()["term"].to_pylist())  # the terms of the sample's texts
+    words = spark.sparkContext.broadcast("\n".join(terms))
+    n_docs, df = _document_frequencies(docs, text, words, len(terms))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = Counts(_numbered(words.value))
+        for batch in batches:
+            found = [sorted(counts.of(body)[0].items()) for body in batch.column(3).to_pylist()]
+            packed = [np.array(x, "<u4").reshape(-1, 2).T.tobytes() for x in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], ["id", "y", "h", "v"])
+
+    vectors = spread.select("id", "y", "h", "body").mapInArrow(counted, "id long, y int, h long, v binary").toArrow().sort_by("id")
+    pairs = [np.frombuffer(v.as_buffer(), "<u4").reshape(2, -1) for v in vectors["v"]]
+    every = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.uint32)
+    tf = every[1] if every[1].max(initial=0) > 0xFFFF else every[1].astype(np.uint16)
+    y = vectors["y"].to_numpy()
+    shared = spark.sparkContext.broadcast(Examples(
+        "\n".join(terms), np.log(1 + n_docs / df), vectors["id"].to_numpy(), y.astype(np.int8), vectors["h"].to_numpy(),
+        np.array([p.shape[1] for p in pairs], np.int64), every[0].astype(np.int32), tf, block))
+    del vectors, pairs, every
+    words.destroy()
+    if not len(y):
+        return Model(shared, (0.0,) * 4)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ix = shared.value.index()
+        counts, odds = Counts(ix.terms), class_odds(ix.labels)
+        for batch in batches:
+            found = [counts.of(body)[0] for body in batch.column(2).to_pylist()]
+            x = [features(ix, near, odds) for near in nearest_of_each(ix, found, k, batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in x], pa.float64()) for i in (1, 2, 3)]],
+                                             ["y", "a", "b", "c"])
+
+    told_by = spread.select("y", "h", "body").mapInArrow(judged, "y int, a double, b double, c double").toArrow()
+    y = told_by["y"].to_numpy().astype(float)  # four numbers for each row of the sample
+    x = np.column_stack([np.ones(len(y)), *[told_by[c].to_numpy() for c in ("a", "b", "c")]])
     share = {v: per_class.get(v, 0) / max(1, int((y == v).sum())) for v in (0, 1)}
     weight = np.where(y == 1, share[1], share[0])
-    return replace(index, curve=fit_curve(x, y, weight * len(y) / weight.sum()))
-
-
-def log_likelihood_ratio(a: Column, n1: int, b: Column, n0: int) -> Column:
-    """G2 of a term in ``a`` of ``n1`` texts of one class and ``b`` of ``n0`` of the other (presence or not)."""
-    if not n1 or not n0:
-        return F.lit(0.0)
-    rate = (a + b) / float(n1 + n0)
-
-    def part(x: Column, expected: Column) -> Column:
-        return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
-
-    return 2 * (part(a, n1 * rate) + part(n1 - a, n1 * (1 - rate)) + part(b, n0 * rate) + part(n0 - b, n0 * (1 - rate)))
+    return Model(shared, fit_curve(x, y, weight * len(y) / weight.sum()))
 
 
-def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text: str = "text", k: int = 15,
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text", k: int = NEIGHBOURS,
           evidence: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: ``id_col``, ``keep``, score (0 to 1), evidence (ids and cosines of the nearest examples).
 
     Only the text decides. Null and empty texts and texts without any term are near nothing and have
     no evidence; without any labelled row every score is 1/2. Repeated rows score alike. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vars(index))  # bounded by the sample
     cols = [id_col, *keep]
     src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(cols)], F.col(f"`{text}`").alias("t"))
+    shared, curve = model.shared, model.curve
 
     def votes(texts: pd.Series) -> pd.DataFrame:
-        ix, out = Index(**shared.value), []
-        counts = Counts(ix.terms, ix.toxic)
+        ix, out = shared.value.index(), []
+        counts, odds = Counts(ix.terms), class_odds(ix.labels)
         for at in range(0, len(texts), AT_ONCE):
-            found = [counts.of(body if isinstance(body, str) else None) for body in texts.iloc[at : at + AT_ONCE]]
-            for near, (_, telling, words) in zip(nearest_of_each(ix, [c for c, _, _ in found], k), found, strict=True):
-                out.append((calibrated(ix, features(ix, near, telling, words)),
+            found = [counts.of(body if isinstance(body, str) else None)[0] for body in texts.iloc[at : at + AT_ONCE]]
+            for near in nearest_of_each(ix, found, k):
+                out.append((calibrated(curve, features(ix, near, odds)),
                             [{"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]))
         return pd.DataFrame(out, columns=["score", "evidence"])
 
