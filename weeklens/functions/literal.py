@@ -8,15 +8,23 @@ Catalyst folds into a local relation evaluated entirely in the JVM.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+#: Rows beyond which a table goes as one Arrow batch instead of literals in the plan.
+MANY = 1000
 
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     fields = schema.fields
+    if len(rows) > MANY:
+        columns = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
+        return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
     structs = [
         F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields)]) for r in rows
     ]

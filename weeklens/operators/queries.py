@@ -15,7 +15,7 @@ from ..catalog import IDS, WEEK_LABELS
 from ..frames import Frames
 from ..functions.scalar import floored_pct_change, improvement, pct_change_abs, approx_quantile
 from .filters import WEEK_INDEX, Filters, apply_filters, week_or_default
-from .scale import average_percent_ranks, group_quantiles
+from .scale import average_percent_ranks, cut, group_quantiles
 
 GROUP_COLUMNS = {
     "zone_type": "ZONE_TYPE",
@@ -103,8 +103,7 @@ def compare_groups(
     df = df.filter(F.col(week).isNotNull() & F.col(gcol).isNotNull())
     df = df.select(F.col(gcol).alias("group"), F.col(week).alias("value"))
     if agg == "median":
-        counts = df.groupBy("group").agg(F.count(F.lit(1)).cast("bigint").alias("n_zones"))
-        grouped = group_quantiles(df, {"median": ("value", 0.5)}, ["group"]).withColumnRenamed("median", "value").join(counts, "group")
+        grouped = group_quantiles(df, {"median": ("value", 0.5)}, ["group"], count="n_zones").withColumnRenamed("median", "value")
     else:
         fn = F.sum if agg == "sum" else F.avg
         grouped = df.groupBy("group").agg(fn("value").alias("value"), F.count(F.lit(1)).cast("bigint").alias("n_zones"))
@@ -239,6 +238,25 @@ def trend_summary(
 
 
 # ------------------------------------------------------------------ Q5 high/low
+def _high_low_pairs(fr: Frames, metric_a: str, metric_b: str, week: str, filters: Filters | None) -> DataFrame:
+    """The zones that have both metrics in the week."""
+    a = apply_filters(fr.wide(metric_a), filters)
+    b = apply_filters(fr.wide(metric_b), filters)
+    week = week_or_default(a, week)
+    a = a.select(*IDS, F.col(week).alias("value_a"), "ZONE_TYPE", "ZONE_PRIORITIZATION")
+    b = b.select(*IDS, F.col(week).alias("value_b"))
+    return a.join(b, IDS, "inner").filter(F.col("value_a").isNotNull() & F.col("value_b").isNotNull())
+
+
+def high_low_outliers(fr: Frames, metric_a: str, metric_b: str, week: str = "L0W", filters: Filters | None = None) -> DataFrame:
+    """Q5: the zones that high/low leaves out because metric_a (the lead metric) is at its limit or above, and how many
+    they are; no rows for other metrics."""
+    merged = _high_low_pairs(fr, metric_a, metric_b, week, filters)
+    limit = fr.catalog.outlier_limit() if metric_a == fr.catalog.lead else None
+    out = merged.filter(F.col("value_a") >= limit) if limit is not None else merged.filter(F.lit(False))
+    return out.withColumn("n_outliers", out.select(F.count(F.lit(1))).scalar())
+
+
 def high_low(
     fr: Frames,
     metric_a: str,
@@ -252,14 +270,10 @@ def high_low(
     approx: bool = False,
 ) -> DataFrame:
     """Q5: zones where metric_a is high (or low) and metric_b low (or high), by global quantiles."""
-    a = apply_filters(fr.wide(metric_a), filters)
-    b = apply_filters(fr.wide(metric_b), filters)
-    week = week_or_default(a, week)
-    a = a.select(*IDS, F.col(week).alias("value_a"), "ZONE_TYPE", "ZONE_PRIORITIZATION")
-    b = b.select(*IDS, F.col(week).alias("value_b"))
-    merged = a.join(b, IDS, "inner").filter(F.col("value_a").isNotNull() & F.col("value_b").isNotNull())
+    merged = _high_low_pairs(fr, metric_a, metric_b, week, filters)
     if metric_a == fr.catalog.lead:
         merged = merged.filter(F.col("value_a") < fr.catalog.outlier_limit())
+    merged = cut(merged)  # read by the thresholds and by the selection
     # Exact linear-interpolated quantiles, all four in one scalar subquery (no join)
     wanted = {"a_high": ("value_a", percentile_high), "b_low": ("value_b", percentile_low),
               "a_low": ("value_a", 1 - percentile_high), "b_high": ("value_b", 1 - percentile_low)}

@@ -1,12 +1,11 @@
 """Batch text jobs over tables of labels, messages and requests.
 
 The original resolves one typed question at a time; here every job runs over a
-whole table. Dictionary lookups are joins against the catalogue-sized alias
-dictionary (broadcast: its size is fixed by the catalogue). Place names come
-from the data, so they are *not* broadcast by hint: the gazetteer match is an
-exact substring search turned into an equi-join on each name's rarest
-4-character gram, verified by a substring comparison, instead of a nested loop
-over every (text, name) pair. Context carried across conversation turns uses a
+whole table. Dictionary lookups are equi-joins (``similarity.py``): on the string
+itself, on substrings for containment, on segments for the edit distance. Place
+names come from the data: a text's substrings of the names' distinct lengths are
+equi-joined to the whole names and verified, instead of a nested loop over every
+(text, name) pair. Context carried across conversation turns uses a
 two-level running "last value" (within fixed-size turn chunks, then across
 chunk summaries), so a very long conversation never sits in one window task.
 """
@@ -20,8 +19,9 @@ from ..catalog import REFERENCE_CATALOG, Catalog
 from ..functions import text_rules as T
 from ..functions.literal import literal_table
 from .prep import strip_all
+from .similarity import contained, runs, similar
 
-ANCHOR = 4  # names shorter than this are never matched (original rule: len >= 4)
+MIN_NAME = 4  # names shorter than this are never matched (original rule: len >= 4)
 
 
 def _norm(c: Column) -> Column:
@@ -38,46 +38,21 @@ def metric_entries(spark: SparkSession, catalog: Catalog = REFERENCE_CATALOG) ->
     return literal_table(spark, rows, "canonical string, metric_pos int, entry string, kind string, sub_pos int")
 
 
-def _similarity(fa: Column, fb: Column, la: Column, lb: Column) -> Column:
-    """1 - edit distance / longer length of accent-folded strings; NULL when the
-    lengths alone rule out >= 0.6 (distance >= |la - lb|), so the edit distance
-    is only computed for strings of similar length."""
-    longer = F.greatest(la, lb)
-    return F.when(F.least(la, lb) >= longer * 0.6, 1.0 - F.levenshtein(fa, fb) / longer)
-
-
 def resolve_metric_table(values: DataFrame, col: str, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
     """Distinct raw values of ``col`` -> canonical metric (ordered steps 1-4), as (col, canonical, step).
 
-    Folding and lengths are computed once per distinct value and once per
-    dictionary entry, so the per-pair work in the (catalogue-sized) broadcast
-    join is a few comparisons."""
-    spark = values.sparkSession
-    entries = metric_entries(spark, catalog)
-    entries = entries.withColumns({"ef": T.fold(F.col("entry")), "el": F.length("entry")})
-    d = F.broadcast(entries)  # catalogue-sized
+    Steps 1 to 3 (equality and containment) are one equi-join on substrings; only what they leave open
+    takes the similarity join of step 4."""
+    entries = metric_entries(values.sparkSession, catalog).withColumn("ef", T.fold(F.col("entry")))
+    lengths = sorted({len(a) for m in catalog.metrics for a in m.aliases})
     raw = values.select(F.col(col).alias("_raw")).filter(F.col("_raw").isNotNull() & (F.col("_raw") != "")) \
         .distinct().withColumn("_r", _norm(F.col("_raw")))
-    raw = raw.withColumns({"_rf": T.fold(F.col("_r")), "_rl": F.length("_r")})
-    r, e, kind = F.col("_r"), F.col("entry"), F.col("kind")
-    sim = _similarity(F.col("_rf"), F.col("ef"), F.col("_rl"), F.col("el"))
-    step = (
-        F.when((kind == "canonical") & (r == e), 1)
-        .when((kind == "alias") & (r == e), 2)
-        .when((kind == "canonical") & e.contains(r), 3)
-        .when((kind == "alias") & (e.contains(r) | r.contains(e)), 3)
-        .when((kind == "alias") & (sim >= 0.6), 4)
-    )
-    cand = raw.join(d, step.isNotNull()).select("_raw", "canonical", "metric_pos", "sub_pos", step.alias("step"),
-                                                 F.when(step == 4, sim).alias("sim"))
-    key = F.struct(
-        F.col("step"), F.when(F.col("step") == 4, -F.col("sim")).otherwise(F.lit(0.0)),
-        F.col("metric_pos"), F.col("sub_pos"),
-    )
-    return cand.groupBy("_raw").agg(F.min_by(F.struct("canonical", "step"), key).alias("_best")).select(
-        F.col("_raw").alias(col), F.col("_best.canonical").alias("canonical"),
-        F.col("_best.step").cast("int").alias("step"),
-    )
+    direct = contained(raw, entries, lengths)
+    rest = raw.join(direct, "_raw", "left_anti").select("_raw", T.fold(F.col("_r")).alias("_rf"))
+    fuzzy = similar(rest, entries.filter("kind = 'alias'"), lengths)
+    out = direct.select("_raw", "best.canonical", F.col("best.step").cast("int").alias("step")).unionByName(
+        fuzzy.select("_raw", "best.canonical", F.lit(4).alias("step")))
+    return out.withColumnRenamed("_raw", col)
 
 
 def resolve_labels(labels: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
@@ -151,37 +126,32 @@ def concept_tag(messages: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ X9 gazetteer
-def _grams(c: Column) -> Column:
-    """The distinct runs of ANCHOR characters of a text, by one pass over it."""
-    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{ANCHOR}}}))"), F.lit(1)))
-
-
 def gazetteer(metrics_wide: DataFrame) -> DataFrame:
-    """Known place names (lower-cased zones and cities, length >= 4) with their kind.
-
-    The anchor of a name is its rarest gram among all names (ties by the gram itself): names that share
-    beginnings or ends still get keys that few other names have."""
+    """Known place names (lower-cased zones and cities, length >= 4) with their kind and length."""
     zones = metrics_wide.select(F.lower("ZONE").alias("name"), F.lit("zone").alias("kind"))
     cities = metrics_wide.select(F.lower("CITY").alias("name"), F.lit("city").alias("kind"))
-    g = zones.unionByName(cities).distinct().filter(F.length("name") >= ANCHOR)
-    grams = g.select("name", "kind", F.explode(_grams(F.col("name"))).alias("gram"))
-    shared = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_names"))
-    rarest = F.min(F.struct("n_names", "gram")).getField("gram")
-    anchors = grams.join(shared, "gram").groupBy("name", "kind").agg(rarest.alias("anchor"))
-    return anchors.withColumn("name_len", F.length("name"))
+    names = zones.unionByName(cities).distinct().withColumn("name_len", F.length("name"))
+    return names.filter(F.col("name_len") >= MIN_NAME)
 
 
 def gazetteer_tag(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
     """Longest zone name contained in the text, else longest city name.
 
-    Exact substring semantics without a (text x name) nested loop: a text's distinct grams (without the
-    text) are equi-joined to the names' anchors, and the few candidates are verified against the text.
+    Exact substring semantics without a (text x name) nested loop: a text's substrings of the names' few
+    distinct lengths (read once, bounded by the longest name) are hashed and equi-joined to the whole names, so
+    the candidates of a text are bounded by its length times these lengths, whatever the names; a substring
+    comparison then rules out equal hashes of different strings.
     """
-    grams = messages.select("conv_id", "turn", F.explode(_grams(F.col("q"))).alias("anchor"))
-    cand = grams.join(gazetteer(metrics_wide), "anchor").select("conv_id", "turn", "name", "kind", "name_len")
+    names = gazetteer(metrics_wide)
+    lengths = sorted(r["name_len"] for r in names.select("name_len").distinct().collect())
+    q = F.col("q")
+    keys = [F.when(F.length(q) >= n, F.transform(runs(q, n), lambda x: F.xxhash64(x))) for n in lengths]
+    none = F.array().cast("array<bigint>")
+    keys = F.array_distinct(F.concat(none, *[F.coalesce(k, none) for k in keys]))
+    probe = messages.select("conv_id", "turn", F.explode(keys).alias("key"))
+    cand = probe.join(names.withColumn("key", F.xxhash64("name")), "key").select("conv_id", "turn", "name", "kind", "name_len")
     texts = messages.select("conv_id", "turn", "q")
-    hits = cand.join(texts, ["conv_id", "turn"]).filter(F.col("q").contains(F.col("name"))).select(
-        "conv_id", "turn", "name", "kind", "name_len").distinct()
+    hits = cand.join(texts, ["conv_id", "turn"]).filter(q.contains(F.col("name")))
     key = F.struct(-F.col("name_len"), F.col("name"))
     best = hits.groupBy("conv_id", "turn").agg(
         F.min_by(F.when(F.col("kind") == "zone", F.col("name")), F.when(F.col("kind") == "zone", key)).alias("zone"),

@@ -506,6 +506,11 @@ FROM hl_m, hl_t WHERE value_a >= ta AND value_b <= tb""",
   WHERE a.METRIC = {_lit(LEAD)} AND b.METRIC = {_lit(QUAL)} AND a.L0W IS NOT NULL AND b.L0W IS NOT NULL
     AND a.L0W < {LIMIT}),
 hl_t AS (SELECT quantile_cont(value_a, 0.75) AS ta, quantile_cont(value_b, 0.25) AS tb FROM hl_m)""")
+    S["high_low_outliers"] = q(f"""
+SELECT a.COUNTRY, a.CITY, a.ZONE, a.ZONE_TYPE, a.ZONE_PRIORITIZATION, round(a.L0W, 6) AS value_a, round(b.L0W, 6) AS value_b,
+  count(*) OVER () AS n_outliers
+FROM mw a JOIN mw b ON a.COUNTRY = b.COUNTRY AND a.CITY = b.CITY AND a.ZONE = b.ZONE
+WHERE a.METRIC = {_lit(LEAD)} AND b.METRIC = {_lit(QUAL)} AND a.L0W IS NOT NULL AND b.L0W IS NOT NULL AND a.L0W >= {LIMIT}""")
     S["fastest_growing"] = q("SELECT COUNTRY, CITY, ZONE, round(growth_pct, 6) AS growth_pct, orders_start, orders_end,"
                              " orders_abs_growth FROM gtop", _growth_top())
     S["growth_explain"] = q("""

@@ -179,6 +179,7 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trend_zone": lambda s, sf: Q.trend(_fr(s, sf), QUAL, Filters(zone=TREND_ZONE)),
     "trend_from_wide": lambda s, sf: Q.trend_from_wide(_fr(s, sf), PROFIT, Filters(zone=TREND_ZONE)),
     "high_low": lambda s, sf: Q.high_low(_fr(s, sf), LEAD, QUAL),
+    "high_low_outliers": lambda s, sf: Q.high_low_outliers(_fr(s, sf), LEAD, QUAL),
     "fastest_growing": lambda s, sf: Q.fastest_growing(_fr(s, sf), 5, None, 5, MIN_BASE),
     "growth_explain": lambda s, sf: Q.growth_explain(_fr(s, sf), 5, None, 5, MIN_BASE),
     "pct_change_abs": lambda s, sf: Q.pct_change_table(_fr(s, sf)),
