@@ -70,8 +70,8 @@ def test_context_carry_and_gazetteer(spark):
     mw = spark.createDataFrame([("CO", "Bogota", "Chapinero")], "COUNTRY string, CITY string, ZONE string")
     rows = {r.turn: r for r in X.context_carry(msgs, mw).collect()}
     assert rows[0].metric == "Lead Penetration" and rows[0].country == "CO"
-    assert rows[1].metric == "Lead Penetration" and rows[1].country == "CO" and rows[1].zone == "chapinero"
-    assert rows[2].zone == "chapinero"
+    assert rows[1].metric == "Lead Penetration" and rows[1].country == "CO" and rows[1].zone == "Chapinero"
+    assert rows[2].zone == "Chapinero"
 
 
 def test_carry_last_across_chunks(spark):

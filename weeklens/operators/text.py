@@ -5,9 +5,8 @@ whole table. Dictionary lookups are equi-joins (``similarity.py``): on the strin
 itself, on substrings for containment, on segments for the edit distance. Place
 names come from the data: a text's substrings of the names' distinct lengths are
 equi-joined to the whole names and verified, instead of a nested loop over every
-(text, name) pair. Context carried across conversation turns uses a
-two-level running "last value" (within fixed-size turn chunks, then across
-chunk summaries), so a very long conversation never sits in one window task.
+(text, name) pair. The state of a conversation is combined from summaries of fixed-size turn
+chunks, so a very long conversation never sits in one window task.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from ..catalog import REFERENCE_CATALOG, Catalog
 from ..functions import text_rules as T
 from ..functions.literal import literal_table
 from .prep import strip_all
+from .scale import cut
 from .similarity import contained, runs, similar
 
 MIN_NAME = 4  # names shorter than this are never matched (original rule: len >= 4)
@@ -258,26 +258,90 @@ def carry_last(df: DataFrame, part: str, order: str, cols: list[str], chunk: int
         "_chunk", *[f"_in_{c}" for c in cols], *[f"_prev_{c}" for c in cols])
 
 
-def context_carry(messages: DataFrame, metrics_wide: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
-    """Metric carries when absent; country only after a follow-up phrase; zone after 'same'.
+def _resolved(known: Column, symbolic: Column, country: Column, latest: bool) -> Column:
+    """The later (or earlier) of a known event (turn, value) and of one whose value is ``country`` (none if null)."""
+    wins = known["turn"].isNull() | (symbolic > known["turn"] if latest else symbolic < known["turn"])
+    return F.when(symbolic.isNotNull() & country.isNotNull() & wins, country).otherwise(known["value"])
+
+
+def conversation_state(turns: DataFrame, zones: DataFrame, chunk: int = 4096) -> DataFrame:
+    """The state that a row-by-row replay of every conversation gives, without replaying it.
+
+    turns: conv_id, turn, intent, metric, country, zone, city (what the turn itself names), follow_country and
+    follow_zone (whether it has a follow-up phrase). zones: zone_lower, ZONE, CITY, COUNTRY of the unique zone names.
 
-    Only the user's turns are questions: other roles neither feed the state nor get a row.
+    A turn's location is repaired before it becomes state: a zone name that stands for one place takes its spelling and,
+    where the turn has none, its city and country. A turn acts on the state in one of few ways: it sets the metric, it
+    sets the zone, it sets the country whatever it was (named, or of the repaired zone), or it sets the country only if
+    there is none yet (the zone's, when a follow-up phrase prefers the old one). A run of turns is summed up by its last
+    metric, zone and country and its first optional country; sums combine associatively, so turns are summed up by chunks
+    of ``chunk`` and the chunks by conversation. A turn that takes up the zone from before its chunk has an open
+    country; it is kept as a turn number and filled in when the chunk's incoming zone is known.
     """
-    messages = messages.filter(F.col("role") == "user")
-    params = extract_params(messages, metrics_wide, keep_text=True)
-    metrics = metric_tag(messages, catalog)
-    df = params.join(metrics, ["conv_id", "turn"])
-    multi = F.col("intent") == "multivariable"
-    df = df.withColumn("ctx_metric", F.when(~multi, F.col("metric")))
-    df = carry_last(df, "conv_id", "turn", ["ctx_metric", "country", "zone"])
-    q = F.col("q")
+    place = zones.select(F.col("zone_lower").alias("_zl"), F.struct(
+        F.col("ZONE").alias("zone"), F.col("COUNTRY").alias("country"), F.col("CITY").alias("city")).alias("_place"))
+    df = turns.join(place, _norm(F.col("zone")) == F.col("_zl"), "left")
+    named = F.struct(F.col("zone").alias("zone"), F.lit(None).cast("string").alias("country"), F.lit(None).cast("string").alias("city"))
+    df = df.withColumn("_z", F.when(F.col("zone").isNotNull(), F.coalesce("_place", named)))
+    df = df.withColumn("_m", F.when(F.col("intent") != "multivariable", F.col("metric"))).withColumn("_chunk", F.floor(F.col("turn") / chunk))
+    before = Window.partitionBy("conv_id", "_chunk").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+
+    def last(c: Column | str, w) -> Column:
+        return F.last(c, ignorenulls=True).over(w)
+
+    def first(c: Column | str, w) -> Column:
+        return F.first(c, ignorenulls=True).over(w)
+
+    df = df.withColumns({"_z_in": last("_z", before), "_m_in": last("_m", before)})
+    df = df.withColumn("_zt", F.coalesce("_z", F.when(F.col("follow_zone"), F.col("_z_in"))))
+    open_ = F.col("zone").isNull() & F.col("follow_zone") & F.col("_z_in").isNull()
+    follow, unnamed = F.col("follow_country"), F.col("country").isNull()
+    hard = F.coalesce("country", F.when(~follow, F.col("_zt.country")))
+    soft = F.when(unnamed & follow, F.col("_zt.country"))
+
+    def event(value: Column) -> Column:
+        return F.when(value.isNotNull(), F.struct("turn", value.alias("value")))
+
+    df = df.withColumns({"_open": open_, "_hard": event(hard), "_soft": event(soft),
+                         "_hard_open": F.when(open_ & unnamed & ~follow, F.col("turn")),
+                         "_soft_open": F.when(open_ & unnamed & follow, F.col("turn"))})
+    df = df.withColumns({"_hard_b": last("_hard", before), "_hard_open_b": last("_hard_open", before),
+                         "_soft_b": first("_soft", before), "_soft_open_b": first("_soft_open", before)})
+    sums = df.groupBy("conv_id", "_chunk").agg(
+        F.max_by("_z", F.when(F.col("_z").isNotNull(), F.col("turn"))).alias("z"),
+        F.max_by("_m", F.when(F.col("_m").isNotNull(), F.col("turn"))).alias("m"),
+        F.max("_hard").alias("hard"), F.max("_hard_open").alias("hard_open"),
+        F.min("_soft").alias("soft"), F.min("_soft_open").alias("soft_open"))
+    chunks = Window.partitionBy("conv_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumns({"z0": last("z", chunks), "m0": last("m", chunks)})
+    sums = sums.withColumns({"hard": _resolved(F.col("hard"), F.col("hard_open"), F.col("z0.country"), True),
+                             "soft": _resolved(F.col("soft"), F.col("soft_open"), F.col("z0.country"), False)})
+    sums = sums.select("conv_id", "_chunk", "z0", "m0", last("hard", chunks).alias("hard0"), first("soft", chunks).alias("soft0"))
+
+    df = df.join(sums, ["conv_id", "_chunk"])
+    zone = F.coalesce("_zt", F.when(F.col("_open"), F.col("z0")))
+    hard = F.coalesce(_resolved(F.col("_hard_b"), F.col("_hard_open_b"), F.col("z0.country"), True), "hard0")
+    soft = F.coalesce("soft0", _resolved(F.col("_soft_b"), F.col("_soft_open_b"), F.col("z0.country"), False))
     return df.select(
         "conv_id", "turn", "intent",
-        F.when(multi, F.lit(None)).otherwise(F.coalesce("metric", "ctx_metric_before")).alias("metric"),
-        F.coalesce(F.col("country"), F.when(T.any_in(q, T.COUNTRY_FOLLOWUP), F.col("country_before")))
-        .alias("country"),
-        F.coalesce(F.col("zone"), F.when(T.any_in(q, T.ZONE_FOLLOWUP), F.col("zone_before"))).alias("zone"),
-    )
+        F.when(F.col("intent") != "multivariable", F.coalesce("metric", "_m_in", "m0")).alias("metric"),
+        F.coalesce("country", F.when(follow, F.coalesce(hard, soft)), zone["country"]).alias("country"),
+        F.coalesce("city", zone["city"]).alias("city"), zone["zone"].alias("zone"))
+
+
+def context_carry(messages: DataFrame, metrics_wide: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
+    """Metric carries when absent; country only after a follow-up phrase; zone after 'same'; on repaired locations.
+
+    Only the user's turns are questions: other roles neither feed the state nor get a row. The messages are
+    read once; the tags of all turns are written once and the state is computed from them.
+    """
+    own = cut(messages.filter(F.col("role") == "user").select("conv_id", "turn", "q"))
+    params = extract_params(own, metrics_wide, keep_text=True)
+    q = F.col("q")
+    turns = params.join(metric_tag(own, catalog), ["conv_id", "turn"]).select(
+        "conv_id", "turn", "intent", "metric", "country", "zone", "city",
+        T.any_in(q, T.COUNTRY_FOLLOWUP).alias("follow_country"), T.any_in(q, T.ZONE_FOLLOWUP).alias("follow_zone"))
+    return conversation_state(cut(turns), unique_zones(metrics_wide))
 
 
 # ------------------------------------------------------------------ X11, X12
@@ -288,6 +352,13 @@ def zone_catalog(metrics_wide: DataFrame) -> DataFrame:
     return ids.join(counts, "zone_lower").withColumn("is_unique", F.col("n_places") == 1)
 
 
+def unique_zones(metrics_wide: DataFrame) -> DataFrame:
+    """The zone names that stand for one place: (zone_lower, ZONE, CITY, COUNTRY)."""
+    place = F.struct("ZONE", "CITY", "COUNTRY")
+    ends = metrics_wide.groupBy(F.lower("ZONE").alias("zone_lower")).agg(F.min(place).alias("a"), F.max(place).alias("b"))
+    return ends.filter(F.col("a").eqNullSafe(F.col("b"))).select("zone_lower", "a.ZONE", "a.CITY", "a.COUNTRY")
+
+
 def repair_location(requests: DataFrame, metrics_wide: DataFrame) -> DataFrame:
     """A 'city' that is only a zone becomes the zone; a unique zone fills city/country/casing."""
     zone_names = metrics_wide.select(F.lower("ZONE").alias("_zn")).distinct()

@@ -813,15 +813,25 @@ FROM msg""", tp)
     S["extract_params"] = q("SELECT * FROM params", tp + "," + _params_cte())
     S["metric_tag"] = q("SELECT * FROM mtag", tp + "," + _metric_tag_cte())
     S["context_carry"] = q(f"""
-SELECT conv_id, turn, intent,
-  CASE WHEN intent = 'multivariable' THEN NULL ELSE coalesce(metric,
-    last_value(CASE WHEN intent <> 'multivariable' THEN metric END IGNORE NULLS) OVER w) END AS metric,
-  coalesce(country, CASE WHEN {_any('q', TR.COUNTRY_FOLLOWUP)} THEN last_value(country IGNORE NULLS) OVER w END)
-    AS country,
-  coalesce(zone, CASE WHEN {_any('q', TR.ZONE_FOLLOWUP)} THEN last_value(zone IGNORE NULLS) OVER w END) AS zone
-FROM params JOIN mtag USING (conv_id, turn) JOIN msg USING (conv_id, turn) WHERE role = 'user'
-WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
-        tp + "," + _params_cte() + "," + _metric_tag_cte())
+SELECT conv_id, turn, intent, CASE WHEN intent <> 'multivariable' THEN m END AS metric, country, city, zone
+FROM replay WHERE ord > 0""", tp + "," + _params_cte() + "," + _metric_tag_cte() + f""",
+one_place AS (SELECT lower(ZONE) AS zl, any_value(ZONE) AS uz, any_value(CITY) AS uc, any_value(COUNTRY) AS uk
+              FROM (SELECT DISTINCT ZONE, CITY, COUNTRY FROM mw) GROUP BY 1 HAVING count(*) = 1),
+turns AS (
+  SELECT conv_id, turn, intent, metric, country, zone, city, {_any('q', TR.COUNTRY_FOLLOWUP)} AS fc, {_any('q', TR.ZONE_FOLLOWUP)} AS fz,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS ord
+  FROM params JOIN mtag USING (conv_id, turn) JOIN msg USING (conv_id, turn) WHERE role = 'user'),
+replay(conv_id, ord, turn, intent, country, city, zone, m, k, z) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, NULL::BIGINT, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR,
+         NULL::VARCHAR, NULL::VARCHAR, NULL::VARCHAR FROM turns
+  UNION ALL
+  SELECT conv_id, ord, turn, intent, country2, coalesce(city, uc), zone2, coalesce(CASE WHEN intent <> 'multivariable' THEN metric END, m),
+         coalesce(country2, k), coalesce(zone2, z)
+  FROM (SELECT t.conv_id, t.ord, t.turn, t.intent, t.metric, t.city, u.uc, r.m, r.k, r.z,
+               coalesce(t.country, CASE WHEN t.fc THEN r.k END, u.uk) AS country2,
+               coalesce(u.uz, t.zone, CASE WHEN t.fz THEN r.z END) AS zone2
+        FROM replay r JOIN turns t ON t.conv_id = r.conv_id AND t.ord = r.ord + 1
+        LEFT JOIN one_place u ON u.zl = lower(coalesce(t.zone, CASE WHEN t.fz THEN r.z END))))""").replace("WITH", "WITH RECURSIVE", 1)
     found = "flatten([" + ", ".join(f"CASE WHEN contains(q, {_lit(n.lower())}) THEN [{_lit(n)}] ELSE [] END"
                                    for n in RCAT.names) + "])"
     lead, qual = RCAT.lead, RCAT.quality
