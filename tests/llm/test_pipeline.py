@@ -5,7 +5,9 @@ from llm_helpers import SF, docs_frame
 from test_linededup import brute as brute_lines
 from test_mixing import brute_targets
 from test_simhash import brute_components, brute_fp
+from pyspark.sql import functions as F
 from weeklens.llm import toxicity
+from weeklens.llm.common import row_key
 
 FIVE = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -63,3 +65,22 @@ def test_empty_table_passes_every_stage(spark):
     for _, stage in P.STAGES:
         docs = P.stash(stage(spark, docs, SF), "test")
     assert docs.collect() == []
+
+
+def test_row_keys_tell_nulls_and_columns_apart(spark):
+    rows = [("5", None), (None, "5"), ("5", ""), ("", "5"), (None, None), ("1:", "a"), ("1", ":a"), ("-", None), (None, "-")]
+    df = spark.createDataFrame(rows, "a string, b string").select(row_key(F.col("a"), F.col("b")).alias("k"))
+    assert df.distinct().count() == len(rows)
+
+
+def test_equal_texts_of_different_sources_keep_their_sources(spark):
+    """Rows equal in id and text: dedup keeps one whole row, the same in every run; mixing takes each source's own words."""
+    rows = [(1, "a b c d e f", "s1"), (1, "a b c d e f", "s2"), (2, "other words that stand alone here", "s3")]
+    df = docs_frame(spark, rows)
+    kept = {tuple(r) for r in P.near_dedup(spark, df, SF).collect()}
+    assert len(kept) == 2 and kept == {tuple(r) for r in P.near_dedup(spark, docs_frame(spark, rows[::-1]).repartition(3), SF).collect()}
+    taken = {}
+    for r in P.mix_sources(spark, df, SF).collect():
+        taken[r["source"]] = taken.get(r["source"], 0) + len(r["text"].split())
+    targets = brute_targets({"s1": 6, "s2": 6, "s3": 6})
+    assert all(abs(taken.get(s, 0) - t) <= 3 for s, t in targets.items())

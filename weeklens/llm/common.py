@@ -43,9 +43,13 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
-def row_key(doc_id: Column, text: Column) -> Column:
-    """128-bit key of a row by content: rows of equal id and text share it."""
-    return F.unhex(F.md5(F.concat_ws("\x00", doc_id.cast("string"), text).cast("binary")))
+def row_key(*columns: Column) -> Column:
+    """128-bit key of a row by content: rows of equal columns share it, a null differs from every text."""
+    def part(c: Column) -> Column:
+        text = c.cast("string")
+        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+    return F.unhex(F.md5(F.concat(*[part(c) for c in columns]).cast("binary")))
 
 
 def fold_of(doc_id: Column, folds: int = 5) -> Column:

@@ -93,7 +93,7 @@ def common_lines(docs: DataFrame, text: str, min_chars: int, min_docs: int, batc
     """(key): hashes of the line keys found in ``min_docs`` rows or more, checkpointed."""
     spark = docs.sparkSession
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    batch = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith("map")]), F.lit(batches))
+    batch = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind]), F.lit(batches))
     keys = F.array_distinct(_hashes(F.split(t, "\n", -1), min_chars))
     counted = (
         docs.select(batch.cast("int").alias("batch"), F.explode(keys).alias("key"))
