@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, shuffle_width, spans, stash
@@ -47,6 +47,8 @@ FILTER_BITS, FILTER_SHIFT = 1 << 27, 37
 #: Tokens that a tile or a group of small blocks holds about (8 bytes each).
 TILE_TOKENS = 1 << 21
 FAN = 8
+#: Slices of a token's nodes when they are chained, and rows of the node table up to which it is broadcast (24 bytes each).
+SLICES, BROADCAST_ROWS = 16, 1 << 19
 #: Node pairs looked at once.
 PAIRS = 1 << 13
 #: Words whose hashes a worker remembers, and digests by which a task drops copies.
@@ -93,14 +95,18 @@ def margin(size: int, percent: int) -> int:
     return max(1, (size - least_overlap(size, percent) + 1) // 4)
 
 
+def places(tokens: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The common order of tokens: those of crowded cells last, by hash within a level."""
+    return levels[(tokens >> np.uint64(CELL_SHIFT)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | tokens >> np.uint64(8)
+
+
 def prefix(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
     """The first tokens in the common order: linked sets share ``margin`` of these at least."""
     size = len(tokens)
     first = size - least_overlap(size, percent) + margin(size, percent)
     if first >= size:
         return tokens
-    place = levels[(tokens >> np.uint64(CELL_SHIFT)).astype(np.int64)].astype(np.uint64) << np.uint64(56) | tokens >> np.uint64(8)
-    return tokens[np.argpartition(place, first)[:first]]
+    return tokens[np.argpartition(places(tokens, levels), first)[:first]]
 
 
 def digest(tokens: np.ndarray) -> bytes:
@@ -199,10 +205,11 @@ def shared_tokens(docs: DataFrame, text: str, width: int, percent: int, levels)
 
 
 def candidates(docs: DataFrame, text: str, width: int, percent: int, levels, shared) -> DataFrame:
-    """(route, digest, n, tokens, hits): members that share enough prefix tokens to have a partner; hits are these tokens.
+    """(cell, digest, n, tokens, hits): members that share enough prefix tokens to have a partner; hits are these tokens,
+    cell is the first of them in the common order.
 
     A set that many documents have comes once from each task that meets it."""
-    names = ["route", "digest", "n", "tokens", "hits"]
+    names = ["cell", "digest", "n", "tokens", "hits"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, out, size = WordHashes(), Seen(), [], 0
@@ -216,7 +223,8 @@ def candidates(docs: DataFrame, text: str, width: int, percent: int, levels, sha
                 hits = first[shared.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1 == 1]
                 key = digest(tokens)
                 if len(hits) >= margin(least_overlap(len(tokens), percent), percent) and seen.new(key):
-                    out.append((route(key), key, len(tokens), tokens.tobytes(), hits.view(np.int64)))
+                    least = hits[np.argmin(places(hits, levels.value))]
+                    out.append((int(least.view(np.int64)), key, len(tokens), tokens.tobytes(), hits.view(np.int64)))
                     size += tokens.nbytes
                 if size > AT_ONCE:
                     yield _batch(out, names)
@@ -224,22 +232,33 @@ def candidates(docs: DataFrame, text: str, width: int, percent: int, levels, sha
         if out:
             yield _batch(out, names)
 
-    found = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "route long, digest binary, n long, tokens binary, hits array<long>")
+    found = docs.select(F.col(f"`{text}`").alias("t")).mapInArrow(run, "cell long, digest binary, n long, tokens binary, hits array<long>")
     return stash(found, "jaccard-members")
 
 
 def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
-    routes, keys, n, tokens, hits = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(routes, pa.int64()), pa.array(keys, pa.binary()), pa.array(n, pa.int64()),
+    cells, keys, n, tokens, hits = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(keys, pa.binary()), pa.array(n, pa.int64()),
                                        pa.array(tokens, pa.binary()), pa.array(hits, pa.list_(pa.int64()))], names)
 
 
 def blocks(members: DataFrame) -> DataFrame:
-    """(route, block): members that share a prefix token, directly or through others; lone members are left out."""
-    hits = members.select("route", F.explode("hits").alias("token"))
-    least = hits.groupBy("token").agg(F.min("route").alias("to"), F.max("route").alias("last")).filter("to <> last").select("token", "to")
-    edges = hits.join(least, "token").filter("route <> to").select(F.col("route").alias("u"), F.col("to").alias("v")).distinct()
-    return components(cut(edges)).select(F.col("node").alias("route"), F.col("root").alias("block"))
+    """(cell, block, weight): members that share a prefix token, directly or through others, with the tokens of the block;
+    blocks of one member are left out.
+
+    Members of equal first token start as one node (merging more than needed loses no link). The nodes of a token are
+    chained in their order within slices of the token, and the slices' smallest nodes with each other."""
+    hits = members.select("cell", F.explode("hits").alias("token"))
+    hits = hits.withColumn("slice", F.pmod(F.xxhash64("cell"), F.lit(SLICES)))
+    chain = F.lag("cell").over(Window.partitionBy("token", "slice").orderBy("cell"))
+    least = hits.groupBy("token", "slice").agg(F.min("cell").alias("cell"))
+    heads = F.lag("cell").over(Window.partitionBy("token").orderBy("cell"))  # SLICES rows at most
+    edges = hits.select("cell", chain.alias("to")).unionAll(least.select("cell", heads.alias("to"))).filter("cell <> to")
+    roots = components(cut(edges.select(F.col("cell").alias("u"), F.col("to").alias("v")).distinct()))
+    cells = members.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
+    named = cells.join(roots.select(F.col("node").alias("cell"), "root"), "cell", "left").withColumn("block", F.coalesce("root", "cell"))
+    sizes = named.groupBy("block").agg(F.sum("members").alias("members"), F.sum("tokens").alias("weight")).filter("members > 1")
+    return named.select("cell", "block").join(sizes.select("block", "weight"), "block")
 
 
 class Tree:
@@ -431,14 +450,15 @@ def large_block_links(placed: DataFrame, percent: int, tile_tokens: int) -> Data
 
 def links(members: DataFrame, percent: int, tile_tokens: int = TILE_TOKENS) -> DataFrame:
     """(u, v) of digests: connects just what all links between the members connect."""
-    placed = members.select("route", "digest", "n", "tokens").join(cut(blocks(members)), "route")
-    sizes = cut(placed.groupBy("block").agg(F.sum("n").alias("weight")))
+    place = cut(blocks(members))
+    n_cells = place.count()
+    sizes = place.select("block", "weight").distinct()
     small, large = sizes.agg(F.sum(F.when(F.col("weight") <= tile_tokens, F.col("weight"))), F.count_if(F.col("weight") > tile_tokens)).first()
+    placed = members.select("cell", "digest", "n", "tokens").join(F.broadcast(place) if n_cells <= BROADCAST_ROWS else place, "cell")
     bins = max(shuffle_width(members.sparkSession), -(-(small or 0) // tile_tokens))
-    if not large:
-        return small_block_links(placed, percent, bins)
-    placed = stash(placed.join(sizes, "block"), "jaccard-blocks")
     within = small_block_links(placed.filter(F.col("weight") <= tile_tokens), percent, bins)
+    if not large:
+        return within
     return within.unionAll(large_block_links(placed.filter(F.col("weight") > tile_tokens), percent, tile_tokens))
 
 
