@@ -314,7 +314,7 @@ def _document_frequencies(docs: DataFrame, text: str, words: Broadcast, width: i
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
-        max_per_class: int = 8192, block: int = 4096, k: int = NEIGHBOURS) -> Model:
+        max_per_class: int = 2048, block: int = 4096, k: int = NEIGHBOURS) -> Model:
     """Model over a bounded sample of the labelled rows. ``labels`` holds the training fold only.
 
     Rows with a null id or label teach nothing; an id labelled twice counts as 1 if any label is 1; null,
