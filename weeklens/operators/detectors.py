@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..catalog import IDS
 from ..frames import Frames
 from ..functions.scalar import clamp, out_of_range, peer_key, approx_quantile, robust_pct_change
+from .pairs import pairwise_correlations
 from .scale import group_quantiles
 from .streaks import trend_rows
 
@@ -179,69 +180,36 @@ def benchmarking_all(fr: Frames, metrics: list[str] | None = None, week: str = "
 
 
 # ---------------------------------------------------------------- D4 correlations
-def _in_range_incl(c: Column, lo: float, hi: float) -> Column:
-    return (c >= lo) & (c <= hi)
+def _metric_cells(fr: Frames, week: str) -> DataFrame:
+    """One value per zone and metric. Dealt by zone once: the metrics' statistics and the zones' rows both start here."""
+    rows = fr.metrics_wide.select(*IDS, "METRIC", F.col(week).alias("v")).repartition(*IDS)
+    return rows.groupBy(*IDS, "METRIC").agg(F.max("v").alias("v"))
 
 
-def correlation_stats(fr: Frames, week: str = "L0W") -> tuple[DataFrame, list[str]]:
-    """One global aggregate over the zone x metric pivot: per-metric cleanliness and
-    pairwise-complete Pearson r for every metric pair (E12-E14).
-
-    The pivot is a group-by on the zone ids; everything after it is a single
-    tree-reduced aggregate row, whatever the number of zones.
-    """
-    metrics = sorted(fr.metric_names())
-    pv = fr.metrics_wide.groupBy(*IDS).agg(
-        *[F.max(F.when(F.col("METRIC") == m, F.col(week))).alias(f"m_{i}") for i, m in enumerate(metrics)]
-    )
-    aggs = []
-    for i, m in enumerate(metrics):
-        spec = fr.catalog.get(m)
-        lo, hi = (spec.lo, spec.hi) if spec else fr.catalog.unknown_range
-        aggs += [
-            F.count(f"m_{i}").alias(f"n_{i}"),
-            F.avg(_in_range_incl(F.col(f"m_{i}"), lo, hi).cast("double")).alias(f"s_{i}"),
-        ]
-    pairs = [(i, j) for i in range(len(metrics)) for j in range(i + 1, len(metrics))]
-    for i, j in pairs:
-        a, b = F.col(f"m_{i}"), F.col(f"m_{j}")
-        both = a.isNotNull() & b.isNotNull()
-        aa, bb = F.when(both, a), F.when(both, b)
-        aggs += [
-            F.count_if(both).alias(f"np_{i}_{j}"),
-            F.try_divide(F.covar_pop(aa, bb), F.stddev_pop(aa) * F.stddev_pop(bb)).alias(f"r_{i}_{j}"),
-        ]
-    row = pv.agg(*aggs)
-    return row, metrics
+def _metric_cleanliness(fr: Frames, cells: DataFrame) -> DataFrame:
+    """Per metric its non-null zones, their share inside the range (inclusive) and their mean."""
+    known = _attrs(fr, cells)
+    inside = (F.col("v") >= F.col("range_lo")) & (F.col("v") <= F.col("range_hi"))
+    stats = known.groupBy("METRIC").agg(
+        F.count("v").alias("n_values"), F.avg(inside.cast("double")).alias("share_in_range"), F.avg("v").alias("mean"))
+    clean = (F.col("n_values") > 10) & F.coalesce(F.col("share_in_range") > 0.9, F.lit(False))
+    return stats.withColumn("is_clean", clean)
 
 
 def corr_clean_metrics(fr: Frames, week: str = "L0W") -> DataFrame:
-    """Metrics with > 10 non-null zones and > 90 % of values inside the range."""
-    row, metrics = correlation_stats(fr, week)
-    items = F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(f"n_{i}").cast("bigint").alias("n_values"),
-                 F.col(f"s_{i}").alias("share_in_range"))
-        for i, m in enumerate(metrics)
-    ])
-    out = row.select(F.explode(items).alias("x")).select("x.*")
-    return out.select(
-        "metric", "n_values", "share_in_range",
-        ((F.col("n_values") > 10) & F.coalesce(F.col("share_in_range") > 0.9, F.lit(False))).alias("is_clean"),
-    )
+    """Metrics with > 10 non-null zones and > 90 % of values inside the range; catalogued metrics without rows too."""
+    stats = _metric_cleanliness(fr, _metric_cells(fr, week))
+    listed = fr.mdim.filter(F.col("METRIC") != fr.volume).select("METRIC")
+    return stats.join(listed, "METRIC", "full").select(
+        F.col("METRIC").alias("metric"), F.coalesce("n_values", F.lit(0)).cast("bigint").alias("n_values"),
+        "share_in_range", F.coalesce("is_clean", F.lit(False)).alias("is_clean"))
 
 
 def correlations(fr: Frames, week: str = "L0W", top_n: int = 5, min_abs_r: float = 0.5) -> DataFrame:
     """Strongest Pearson correlations between clean metrics (|r| >= 0.5)."""
-    row, metrics = correlation_stats(fr, week)
-    clean = {i: (F.col(f"n_{i}") > 10) & F.coalesce(F.col(f"s_{i}") > 0.9, F.lit(False)) for i in range(len(metrics))}
-    items = []
-    for i in range(len(metrics)):
-        for j in range(i + 1, len(metrics)):
-            items.append(F.struct(
-                F.lit(metrics[i]).alias("metric_a"), F.lit(metrics[j]).alias("metric_b"),
-                F.when(clean[i] & clean[j] & (F.col(f"np_{i}_{j}") > 1), F.col(f"r_{i}_{j}")).alias("r"),
-            ))
-    pairs = row.select(F.explode(F.array(*items)).alias("x")).select("x.*")
+    cells = _metric_cells(fr, week)
+    clean = _metric_cleanliness(fr, cells).filter("is_clean")
+    pairs = pairwise_correlations(cells, clean, IDS)
     pairs = pairs.filter(F.col("r").isNotNull() & (F.abs("r") >= min_abs_r))
     order = [F.abs("r").desc(), F.col("metric_a"), F.col("metric_b")]
     top = pairs.orderBy(*order).limit(top_n)

@@ -9,11 +9,14 @@ Step rules: a step with a NULL side or a zero previous value resets the run;
 a deteriorating step (lower when higher is better, higher otherwise) extends
 it; anything else, equality included, resets it. The result is the longest
 run, while start/end values belong to the *last* run that occurred.
+
+Histories of any length (``long_streaks``) are kept as one row per period: chunks of periods are summed up
+on their own, and the summaries combine associatively, so no task ever holds a whole history.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import IDS, WEEK_LABELS
@@ -55,6 +58,79 @@ def with_streaks(wide: DataFrame, hib_col: str = "higher_is_better") -> DataFram
     ).drop("_run")
 
 
+#: Periods to a chunk of a long history.
+CHUNK = 1024
+
+
+def _one_period(x: Column) -> Column:
+    """Summary of a single period: no step, so every run is empty."""
+    none, zero = F.lit(None), F.lit(0).cast("bigint")
+    return F.struct(
+        x["period"].alias("first"), x["value"].alias("first_v"), x["period"].alias("last"), x["value"].alias("last_v"),
+        F.lit(True).alias("full"), zero.alias("prefix"), zero.alias("suffix"), zero.alias("best"),
+        none.cast("bigint").alias("run_first"), none.cast("double").alias("start"), none.cast("double").alias("end"))
+
+
+def _combine(a: Column, b: Column, hib: Column) -> Column:
+    """Summary of two neighbouring stretches of periods, ``a`` before ``b``; associative.
+
+    A summary holds its first and last period and value, whether all its steps deteriorate (``full``), the
+    runs at its beginning and end, the longest run, and where its last run began, with that run's values."""
+    p, c = a["last_v"], b["first_v"]
+    step = (b["first"] == a["last"] + 1) & (p != 0) & F.when(hib, c < p).otherwise(c > p)
+    ext = F.coalesce(step, F.lit(False))
+    zero = F.lit(0).cast("bigint")
+    across = F.when(ext, a["suffix"] + 1 + b["prefix"]).otherwise(zero)
+    # b's own last run stands unless it is the continuation of a's
+    own = b["run_first"].isNotNull() & ~(ext & (b["run_first"] == b["first"]))
+    opened = a["suffix"] > 0
+
+    def last(of_b: Column, of_step: Column, of_a: Column) -> Column:
+        return F.when(own, of_b).when(ext, of_step).otherwise(of_a)
+
+    return F.struct(
+        a["first"].alias("first"), a["first_v"].alias("first_v"), b["last"].alias("last"), b["last_v"].alias("last_v"),
+        (a["full"] & ext & b["full"]).alias("full"),
+        F.when(a["full"] & ext, a["prefix"] + 1 + b["prefix"]).otherwise(a["prefix"]).alias("prefix"),
+        F.when(b["full"] & ext, a["suffix"] + 1 + b["suffix"]).otherwise(b["suffix"]).alias("suffix"),
+        F.greatest(a["best"], b["best"], across).alias("best"),
+        last(b["run_first"], F.when(opened, a["run_first"]).otherwise(a["last"]), a["run_first"]).alias("run_first"),
+        last(b["start"], F.when(opened, a["start"]).otherwise(p), a["start"]).alias("start"),
+        last(b["end"], F.coalesce(b["end"], c), a["end"]).alias("end"))
+
+
+def _fold(parts: Column, hib: Column) -> Column:
+    """Ordered summaries (at least one) combined from the left."""
+    return F.aggregate(F.slice(parts, 2, F.size(parts)), F.element_at(parts, 1), lambda a, b: _combine(a, b, hib))
+
+
+def long_streaks(long: DataFrame, keys: list[str], period: str = "period", value: str = "value",
+                 higher_is_better: str | None = None, chunk: int = CHUNK) -> DataFrame:
+    """W7 over histories of any length: ``keys``, n_periods, consecutive (longest run), run_start, run_end.
+
+    ``long`` has one row per key and period (an integer, one more for each next period); a period without a row
+    or value breaks a run, as does a zero before the step; a repeated period breaks it too. Rows without a
+    period say nothing. ``higher_is_better`` is a boolean column that is constant for a key (null or absent:
+    true). Null keys are keys of their own; an empty table gives an empty result.
+
+    Two exchanges: by (key, chunk of periods), each group at most ``chunk`` periods, then one summary per chunk
+    by key."""
+    hib = F.coalesce(F.col(f"`{higher_is_better}`"), F.lit(True)) if higher_is_better else F.lit(True)
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = long.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], hib.alias("hib"),
+                       F.col(f"`{period}`").cast("bigint").alias("period"), F.col(f"`{value}`").cast("double").alias("value"))
+    rows = rows.filter(F.col("period").isNotNull()).withColumn("chunk", F.floor(F.col("period") / chunk))
+    chunks = rows.groupBy(*names, "hib", "chunk").agg(F.array_sort(F.collect_list(F.struct("period", "value"))).alias("x"))
+    chunks = chunks.select(*names, "hib", F.size("x").cast("bigint").alias("n"),
+                           _fold(F.transform("x", _one_period), F.col("hib")).alias("s"))
+    whole = chunks.groupBy(*names, "hib").agg(
+        F.sum("n").alias("n_periods"),
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("s.first"), F.col("s")))), lambda x: x["s"]).alias("parts"))
+    out = whole.select(*names, "n_periods", _fold(F.col("parts"), F.col("hib")).alias("s"))
+    return out.select(*[F.col(n).alias(k) for k, n in zip(keys, names, strict=True)], "n_periods",
+                      F.col("s.best").alias("consecutive"), F.col("s.start").alias("run_start"), F.col("s.end").alias("run_end"))
+
+
 def _with_attrs(fr: Frames, df: DataFrame) -> DataFrame:
     # catalogue-sized dimension: a proven bound, broadcast is safe
     return df.join(F.broadcast(fr.mdim), "METRIC", "left")

@@ -571,6 +571,30 @@ FROM go a JOIN go b ON a.rn = 1 AND b.rn = 2 WHERE a.n = 2""",
     S["anomalies"] = q("SELECT * FROM an", _anomaly_cte())
     S["trends_insight"] = q("SELECT * FROM tri", _trends_cte())
     S["benchmarking"] = q("SELECT * EXCLUDE (list_pos) FROM bench", _bench_all_cte())
+    S["sheet_audit"] = q("""
+SELECT COUNTRY, count_if(m AND o) AS n_both, count_if(m AND NOT o) AS n_without_orders,
+  count_if(NOT m AND o) AS n_without_metrics
+FROM (SELECT coalesce(a.COUNTRY, b.COUNTRY) AS COUNTRY, a.ZONE IS NOT NULL AS m, b.ZONE IS NOT NULL AS o
+      FROM (SELECT DISTINCT COUNTRY, CITY, ZONE FROM mw) a
+      FULL JOIN (SELECT DISTINCT COUNTRY, CITY, ZONE FROM ow) b USING (COUNTRY, CITY, ZONE))
+GROUP BY COUNTRY""")
+    S["long_streaks"] = """
+WITH units AS (
+  SELECT s_name AS ZONE, date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) // 7 AS period,
+    CAST(sum(CAST(round(l_quantity) AS BIGINT)) AS DOUBLE) AS value
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL),
+steps AS (
+  SELECT *, lag(value) OVER w AS prev, lag(period) OVER w AS before FROM units WINDOW w AS (PARTITION BY ZONE ORDER BY period)),
+bad AS (SELECT *, coalesce(before = period - 1 AND prev <> 0 AND value < prev, false) AS bad FROM steps),
+islands AS (SELECT *, sum(CASE WHEN bad THEN 0 ELSE 1 END) OVER (PARTITION BY ZONE ORDER BY period) AS grp FROM bad),
+runs AS (
+  SELECT ZONE, grp, count_if(bad) AS run, max(period) AS last_period, count(*) AS n,
+    arg_min(prev, period) FILTER (WHERE bad) AS rstart, arg_max(value, period) FILTER (WHERE bad) AS rend
+  FROM islands GROUP BY ZONE, grp)
+SELECT ZONE, CAST(sum(n) AS BIGINT) AS n_periods, CAST(max(run) AS BIGINT) AS consecutive,
+  arg_max(rstart, last_period) FILTER (WHERE run > 0) AS run_start,
+  arg_max(rend, last_period) FILTER (WHERE run > 0) AS run_end
+FROM runs GROUP BY ZONE HAVING max(run) >= 3"""
     S["correlations"] = q("SELECT * FROM corrs", _corr_ctes())
     S["corr_clean_metrics"] = q("SELECT * FROM ccl", _corr_ctes())
     S["opportunities"] = q("SELECT * FROM opps", _opp_ctes())

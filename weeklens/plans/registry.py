@@ -139,6 +139,16 @@ def _cards(spark, sf):
     return R.insight_card(R.insights_table(fr, min_orders_base=MIN_BASE), [CAT.profit])
 
 
+def _sheet_audit(spark, sf):
+    cells = testdata.order_cells(spark, sf)
+    return prep.sheet_audit(prep.clean_metrics(_raw_m(spark, sf, cells)), prep.clean_orders(_raw_o(spark, sf, cells)))
+
+
+def _long_streaks(spark, sf):
+    runs = S.long_streaks(testdata.weekly_units(spark, sf), ["ZONE"])
+    return runs.filter(F.col("consecutive") >= 3)
+
+
 def _expect(spark, sf):
     fr = _fr(spark, sf)
     return prep.expect_checks(fr.metrics_wide, fr.orders_wide, COUNTRIES, ZONE_TYPES)
@@ -159,6 +169,7 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_csv": _exported,
     "key_uniqueness": lambda s, sf: prep.key_uniqueness(_fr(s, sf).fact),
     "expect_checks": _expect,
+    "sheet_audit": _sheet_audit,
     # --- filters (B*)
     "filter_country": _filter_rows(Filters(country="america")),
     "filter_city": _filter_rows(Filters(city="nation_3")),
@@ -184,6 +195,7 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "growth_explain": lambda s, sf: Q.growth_explain(_fr(s, sf), 5, None, 5, MIN_BASE),
     "pct_change_abs": lambda s, sf: Q.pct_change_table(_fr(s, sf)),
     "deterioration": lambda s, sf: S.deterioration(_fr(s, sf), 3),
+    "long_streaks": _long_streaks,
     "deterioration_matrix": lambda s, sf: S.deterioration_matrix(_fr(s, sf), 3, 20),
     "zone_summary": lambda s, sf: Q.zone_summary(_fr(s, sf)),
     "zones_per_country": lambda s, sf: Q.zones_per_country(_fr(s, sf)),

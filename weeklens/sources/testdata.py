@@ -117,6 +117,16 @@ def raw_orders(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None)
     return _to_wide(long, ["COUNTRY", "CITY", "ZONE", "METRIC"], "")
 
 
+def weekly_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units per zone and calendar week over the whole history: ZONE, period (weeks since 1970), value."""
+    lines = read_table(spark, sf_dir, "lineitem").select("l_suppkey", "l_quantity", "l_shipdate")
+    week = F.floor(F.unix_date(F.col("l_shipdate").cast("date")) / 7)
+    units = lines.groupBy("l_suppkey", week.alias("period")).agg(
+        F.sum(F.round("l_quantity").cast("bigint")).cast("double").alias("value"))
+    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return units.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_name").alias("ZONE"), "period", "value")
+
+
 # ---------------------------------------------------------------------------
 # The same derivation as DuckDB SQL: prefix of every oracle query. Defines
 # mw (metrics_wide), ow (orders_wide), zd (zone dim), owe (orders enriched),
