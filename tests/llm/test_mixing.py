@@ -78,6 +78,50 @@ def test_priority_raises_the_odds(spark):
     assert rate[4.0] > rate[1.0] * 1.1
 
 
+def brute_scale(docs, left):
+    """docs: (priority, size); c with sum of min(1, c * p) * size = left, by halving."""
+    lo, hi = 0.0, 1e9
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if sum(min(1.0, mid * p) * n for p, n in docs) < left else (lo, mid)
+    return hi
+
+
+def test_inclusion_rates_follow_the_inclusion_odds(spark):
+    """Each priority's documents are taken as often as their inclusion probability says; certain ones always."""
+    rnd = random.Random(8)
+    kinds = [1.0, 2.0, 5.0, 400.0, None]
+    rows = [(i, " ".join(["w"] * rnd.randint(1, 5)), "a" if i % 4 else "b") for i in range(24_000)]
+    df = docs_frame(spark, rows).selectExpr(
+        "*", "array(1D, 2D, 5D, if(doc_id % 60 = 3, 400D, 1D), null)[cast(doc_id % 5 as int)] as p")
+    out = mixing.mix(df, weights=(1, 1), priority="p", keep=("p", "source")).collect()
+    docs, taken, said = {}, {}, {}
+    for r in out:
+        whole = int(r["target"] / r["source_size"])
+        key = (r["source"], r["p"])
+        docs.setdefault(r["source"], []).append((r["p"] or 1.0, r["size"]))
+        taken.setdefault(key, []).append(r["copies"] - whole)
+        said.setdefault(key, set()).add(r["inclusion"])
+    for r in {x["source"]: x for x in out}.values():
+        c = brute_scale(docs[r["source"]], r["target"] - int(r["target"] / r["source_size"]) * r["source_size"])
+        for p in kinds:
+            if (r["source"], p) not in taken:
+                continue
+            f, got = min(1.0, c * (p or 1.0)), taken[r["source"], p]
+            assert all(x == pytest.approx(f, rel=1e-6) for x in said[r["source"], p])
+            assert abs(sum(got) / len(got) - f) <= 4 * (f * (1 - f) / len(got)) ** 0.5 + 2 / len(got)
+            assert f < 1 or all(got)
+    assert any(f == 1.0 for fs in said.values() for f in fs)
+
+
+def test_odd_priorities(spark):
+    rows = [(i, "one two", "ab"[i % 2]) for i in range(60)]
+    df = docs_frame(spark, rows).selectExpr(
+        "*", "array(0D, -1D, double('NaN'), double('inf'), null, 1e300)[cast(doc_id % 6 as int)] as p")
+    out = mixing.mix(df, priority="p", keep=("source",)).collect()
+    check(rows, [r.asDict() for r in out])
+
+
 def test_targets_refill_after_caps(spark):
     sizes = {"a": 1000, "b": 1, "c": 1, "d": 50, "e": 0}
     df = spark.createDataFrame(list(sizes.items()), "src string, source_size long")
