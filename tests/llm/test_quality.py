@@ -84,15 +84,40 @@ def test_held_out_accuracy(spark):
     assert sum(good) >= 0.98 * len(good) and sum(bad) <= 0.2 * len(bad)
 
 
-def test_hash_space_grows_with_the_distinct_ngrams(spark):
+def test_hash_space_follows_the_trusted_ngrams_not_the_corpus(spark, monkeypatch):
     from pyspark.sql import functions as F
 
     rnd = random.Random(2)
-    rows = [(i, " ".join(f"w{rnd.randrange(1 << 40)}" for _ in range(1000))) for i in range(130)]
+    rows = [(i, " ".join(f"w{rnd.randrange(1 << 40)}" for _ in range(1000))) for i in range(130)] + [(130, None), (131, ""), (132, "a")]
     df = docs_frame(spark, rows)
-    exact = len({h for _, t in rows for hs in quality.ngram_hashes(t) for h in hs.tolist()})
-    distinct, raw, trusted = quality.measure(df.select(F.col("text").alias("t"), (F.col("doc_id") < 13).alias("good")))
-    assert abs(distinct - exact) < 0.05 * exact and raw == 130 * 1999 and trusted == 13 * 1999
-    ratios = quality.fit(df, spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
-    assert len(ratios) > 1 << 16 and len(ratios) * quality.LOAD >= 0.95 * exact
-    assert len(quality.fit(docs_frame(spark, rows[:3]), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))) == 1 << 16
+    counted = df.select("doc_id", quality.ngram_count(F.col("text")).alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in counted} == {d: sum(map(len, quality.ngram_hashes(t))) for d, t in rows}
+    monkeypatch.setattr(quality, "MIN_BITS", 8)
+    few = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    many = spark.createDataFrame([(i, 1) for i in range(100)], "doc_id long, quality int")
+    assert len(quality.fit(docs_frame(spark, rows[:3]), few)) == len(quality.fit(df, few)) == 512
+    assert len(quality.fit(df, many)) * quality.LOAD >= 100 * 1999
+
+
+def test_scores_equal_a_count_without_hashing(spark):
+    """Words and pairs counted as text, the ratio taken from the formula: only shared cells may differ."""
+    rnd, words = random.Random(4), vocabulary(4)
+    rows = [(i, " ".join(rnd.choices(words[: 200 + 200 * (i % 2)], k=rnd.randint(12, 80)))) for i in range(150)]
+    good = {i for i, _ in rows if i % 2 == 0}
+
+    def grams(text):
+        w = text.lower().split(" ")
+        return [*w, *zip(w, w[1:], strict=False)]
+
+    raw, trusted = Counter(), Counter()
+    for i, t in rows:
+        raw.update(grams(t))
+        if i in good:
+            trusted.update(grams(t))
+    share = sum(trusted.values()) / sum(raw.values())
+    labels = spark.createDataFrame([(i, 1) for i in good], "doc_id long, quality int")
+    df = docs_frame(spark, rows)
+    got = {r["doc_id"]: r["llr"] for r in quality.score(df, quality.fit(df, labels, bits=22)).collect()}
+    for i, t in rows:
+        want = np.mean([np.log((trusted[g] + 30) / (raw[g] * share + 30)) for g in grams(t)])
+        assert abs(got[i] - want) < 1e-3

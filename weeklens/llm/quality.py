@@ -8,14 +8,15 @@ rare for the target to tell anything weigh almost nothing, so texts outside the
 not held against it. A text's score is the mean over its n-grams; it is kept if the score is at least
 ``threshold``, a fixed number that treats every document alike.
 
-The hash space follows the corpus: a first pass estimates the distinct n-grams (a HyperLogLog sketch, one
-grouped maximum per register), and ``bits`` is the least number, from MIN_BITS on, with at most ``LOAD``
-of them to a cell, so a cell's ratio does not average more unrelated n-grams as the input grows.
-
-Tasks send one row per cell they have seen to a grouped sum; the model is 2 ** ``bits`` numbers and grows
-with the distinct n-grams.
-The target is taken from at most ``max_trusted`` labelled rows, drawn by hash of the id (the
-documented bound of the fitted sample); raw counts cover every document.
+The hash space follows the trusted n-grams, not the corpus. The expected counts of all cells sum to the number
+of trusted n-grams, however large the corpus is, so with at most ``LOAD`` trusted n-grams to a cell the n-grams
+that happen to share a cell add about LOAD counts to both sides of its ratio: they act like that much more
+smoothing, which does not grow with the input. ``bits`` is the least number, from MIN_BITS on, that gives this load.
+
+Tasks add up their counts by cell and send them in blocks of ``BLOCK`` cells (positions and counts, packed);
+blocks are dealt to tasks and summed as they stream in, so a task holds sums of whole blocks, never a list of
+contributions. The model is 4 bytes a cell. The target is taken from at most ``max_trusted`` labelled rows, drawn
+by hash of the id (the documented bound of the fitted sample); raw counts cover every document.
 """
 
 from __future__ import annotations
@@ -27,16 +28,18 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import WORD_PATTERN, cut
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOL = re.compile(r"[#*$%&|<>]")
 #: Words hashed at once: bounds the memory that a very long text takes.
 WORDS_AT_ONCE = 1 << 18
-#: Distinct n-grams to a cell at most, the smallest hash space, and the sketch's registers (error about 0.8 %).
-LOAD, MIN_BITS, REGISTER_BITS = 2, 16, 14
+#: Trusted n-grams to a cell at most, the smallest hash space, and the cells of one block of counts.
+LOAD, MIN_BITS, BLOCK = 4, 16, 1 << 16
 
 
 def ngram_hashes(text: str | None) -> Iterator[np.ndarray]:
@@ -83,55 +86,39 @@ def _repeat_words(words: list[str], width: int = 5) -> int:
     return int((np.cumsum(hit)[:-1] > 0).sum())
 
 
-def measure(rows: DataFrame) -> tuple[float, int, int]:
-    """rows (t, good) -> distinct n-grams (estimated), n-grams of all rows and of good rows."""
-    registers = 1 << REGISTER_BITS
+def ngram_count(text: Column) -> Column:
+    """How many n-grams ``ngram_hashes`` gives: every word, and every pair of neighbours."""
+    words = F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+    return F.greatest(2 * words - 1, F.lit(0))
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rank, raw, trusted = np.zeros(registers, np.int64), 0, 0
-        for pdf in parts:
-            for t, good in zip(pdf["t"], pdf["good"], strict=True):
-                for h in ngram_hashes(t if isinstance(t, str) else None):
-                    raw, trusted = raw + len(h), trusted + len(h) * int(good)
-                    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-                    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-                    h ^= h >> np.uint64(33)
-                    low = (h & np.uint64((1 << 50) - 1)).astype(np.float64)
-                    np.maximum.at(rank, (h >> np.uint64(50)).astype(np.int64), 51 - np.frexp(low)[1])
-        seen = np.flatnonzero(rank)
-        first = np.arange(len(seen)) == 0
-        yield pd.DataFrame({"register": seen, "rank": rank[seen], "raw": first * raw, "trusted": first * trusted})
 
-    found = rows.mapInPandas(run, "register long, rank long, raw long, trusted long").groupBy("register").agg(
-        F.max("rank").alias("rank"), F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).collect()  # the registers
-    empty = registers - len(found)
-    estimate = 0.7213 / (1 + 1.079 / registers) * registers**2 / (empty + sum(2.0 ** -r["rank"] for r in found))
-    if estimate <= 2.5 * registers and empty:
-        estimate = registers * float(np.log(registers / empty))
-    return estimate, sum(r["raw"] for r in found), sum(r["trusted"] for r in found)
-
-
-def bits_for(distinct: float) -> int:
-    return max(MIN_BITS, int(np.ceil(np.log2(max(1.0, distinct / LOAD)))))
+def bits_for(trusted: int) -> int:
+    return max(MIN_BITS, int(np.ceil(np.log2(max(1.0, trusted / LOAD)))))
 
 
 def count_cells(rows: DataFrame, bits: int) -> DataFrame:
-    """rows (t, good) -> (cell, raw, trusted): counts over all rows and over good rows, summed per task, then by a grouped sum."""
+    """rows (t, good) -> (block, raw, trusted): counts of every cell over all rows and over good rows, as packed
+    arrays of the block's cells. Blocks without counts are absent."""
+    width = min(BLOCK, 1 << bits)
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << bits), np.int32)
         held = 0
 
-        def flush() -> Iterator[pd.DataFrame]:
-            seen = np.flatnonzero(total[0])
-            for at in range(0, len(seen), 1 << 18):
-                part = seen[at : at + (1 << 18)]
-                yield pd.DataFrame({"cell": part.astype(np.int32), "raw": total[0, part].astype(np.int64), "trusted": total[1, part].astype(np.int64)})
+        def flush() -> Iterator[pa.RecordBatch]:
+            for block in range((1 << bits) // width):
+                raw, trusted = total[:, block * width : (block + 1) * width]
+                at = np.flatnonzero(raw)
+                if len(at):
+                    at = at.astype(np.uint16)
+                    row = [[block], [at.tobytes()], [raw[at].tobytes()], [trusted[at].tobytes() if trusted.any() else b""]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v, t) for v, t in zip(row, (pa.int32(), *[pa.binary()] * 3), strict=True)], ["block", "at", "raw", "trusted"])
             total[:] = 0
 
-        for pdf in parts:
-            for t, good in zip(pdf["t"], pdf["good"], strict=True):
-                for cells in ngram_cells(t if isinstance(t, str) else None, bits):
+        for batch in parts:
+            for t, good in zip(batch.column("t").to_pylist(), batch.column("good").to_pylist(), strict=True):
+                for cells in ngram_cells(t, bits):
                     np.add.at(total[0], cells, 1)
                     if good:
                         np.add.at(total[1], cells, 1)
@@ -141,25 +128,51 @@ def count_cells(rows: DataFrame, bits: int) -> DataFrame:
                         held = 0
         yield from flush()
 
-    return rows.mapInPandas(run, "cell int, raw long, trusted long").groupBy("cell").agg(
-        F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in parts:
+            for block, at, raw, trusted in zip(*(batch.column(c).to_pylist() for c in ("block", "at", "raw", "trusted")), strict=True):
+                total = sums.setdefault(block, np.zeros((2, width), np.int64))
+                cells = np.frombuffer(at, np.uint16)
+                total[0, cells] += np.frombuffer(raw, np.int32)
+                if trusted:
+                    total[1, cells] += np.frombuffer(trusted, np.int32)
+        for block, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), pa.array([total[0].tobytes()], pa.binary()), pa.array([total[1].tobytes()], pa.binary())],
+                ["block", "raw", "trusted"])
+
+    packed = rows.mapInArrow(count, "block int, at binary, raw binary, trusted binary")
+    return packed.repartition("block").mapInArrow(add, "block int, raw binary, trusted binary")
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", good: str = "quality",
         bits: int | None = None, smoothing: float = 30.0, max_trusted: int = 32768) -> np.ndarray:
     """The log ratios by cell, 0 where no text has it and everywhere if no row is trusted. Labels with a null id or
-    value, or of unknown rows, say nothing. ``bits``: by the distinct n-grams if None."""
+    value, or of unknown rows, say nothing. ``bits``: by the trusted n-grams if None."""
     ids = labels.filter(F.col(f"`{good}`") == 1).select(F.col(f"`{id_col}`").alias("id")).dropna().distinct()
     ids = ids.orderBy(F.xxhash64("id"), "id").limit(max_trusted)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc"), F.col(f"`{text}`").alias("t")).join(
         F.broadcast(ids), F.col("doc") == F.col("id"), "left").select("t", F.col("id").isNotNull().alias("good"))  # no more than max_trusted ids
-    distinct, raw, trusted = measure(rows)
-    bits = bits_for(distinct) if bits is None else bits
-    expected = F.col("raw") * (trusted / max(1, raw))
-    told = count_cells(rows, bits).select(
-        "cell", F.log((F.col("trusted") + smoothing) / (expected + smoothing)).alias("ratio")).toArrow()  # 2 ** bits rows at most
-    out = np.zeros(1 << bits)
-    out[told["cell"].to_numpy()] = told["ratio"].to_numpy()
+    if bits is None:
+        bits = bits_for(rows.filter("good").select(F.coalesce(F.sum(ngram_count(F.col("t"))), F.lit(0))).first()[0])
+    counts = cut(count_cells(rows, bits))
+    unpack = F.pandas_udf(lambda c: c.map(lambda x: int(np.frombuffer(x, np.int64).sum())), "long")
+    sums = counts.select(unpack("raw").alias("raw"), unpack("trusted").alias("trusted")).agg(F.sum("raw"), F.sum("trusted")).first()
+    share = (sums[1] or 0) / max(1, sums[0] or 0)
+
+    def ratios(raw: pd.Series, trusted: pd.Series) -> pd.Series:
+        out = []
+        for r, t in zip(raw, trusted, strict=True):
+            r, t = np.frombuffer(r, np.int64), np.frombuffer(t, np.int64)
+            out.append(np.log((t + smoothing) / (r * share + smoothing)).astype(np.float32).tobytes())
+        return pd.Series(out)
+
+    told = counts.select("block", F.pandas_udf(ratios, "binary")("raw", "trusted").alias("ratios"))
+    out = np.zeros(1 << bits, np.float32)
+    width = min(BLOCK, 1 << bits)
+    for row in told.toLocalIterator():  # 4 bytes a cell, 2 ** bits cells: bounded by the trusted n-grams
+        out[row["block"] * width : (row["block"] + 1) * width] = np.frombuffer(row["ratios"], np.float32)
     return out
 
 
@@ -181,7 +194,7 @@ def score(docs: DataFrame, ratios: np.ndarray, id_col: str = "doc_id", text: str
             t = t if isinstance(t, str) else None
             total, n = 0.0, 0
             for cells in ngram_cells(t, bits):
-                total, n = total + float(table[cells].sum()), n + len(cells)
+                total, n = total + float(table[cells].sum(dtype=np.float64)), n + len(cells)
             out.append((*base_counts(t), round(total / n, 9) if n else 0.0))
         return pd.DataFrame(out, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr"])
 
