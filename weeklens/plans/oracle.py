@@ -685,11 +685,11 @@ msg AS (SELECT conv_id, turn, role,
 wds AS (SELECT *, conv_id * 7 + turn AS k, string_split(coalesce(text, ''), ' ') AS ws FROM conversations),
 wd AS (SELECT *, ws[(k % len(ws)) + 1] AS w1,
          array_to_string(ws[(k % len(ws)) + 1:(k % len(ws)) + 2], ' ') AS w2 FROM wds),
-lab AS (SELECT conv_id, turn, {', '.join(
-        f"CASE WHEN k % 3 = 0 THEN {_pick(lst)} ELSE {w} END AS {c}" for lst, w, c in (
-            (RQ.LABELS, 'w2', 'label'), (RQ.COUNTRY_LABELS, 'w1', 'country_label'),
-            (RQ.ZONE_TYPE_LABELS, 'w1', 'zone_type_label'), (RQ.PRIORITY_LABELS, 'w1', 'priority_label')))}
-        FROM wd),
+lab AS (SELECT conv_id, turn, CASE WHEN k % 3 = 0 THEN {_pick(RQ.LABELS)} ELSE w2 END AS label FROM wd),
+alab AS (SELECT conv_id, turn, w AS country_label, w AS zone_type_label, w AS priority_label
+        FROM (SELECT conv_id, turn, unnest(list_distinct(
+                ws || [ws[i] || ' ' || ws[i + 1] for i in range(1, len(ws))]
+                || [{', '.join(_pick(x) for x in (RQ.COUNTRY_LABELS, RQ.ZONE_TYPE_LABELS, RQ.PRIORITY_LABELS))}])) AS w FROM wd)),
 req AS (SELECT conv_id, turn, {', '.join(
         f"CASE WHEN k % 2 = 1 THEN {own[f]} ELSE s.{f} END AS {f}" if f in own else f's.{f} AS {f}' for f in req_fields)}
         FROM (SELECT conv_id, turn, k, w2, lower(n_name) AS nation, s_name, list_extract([{structs}], CAST(((conv_id * 7 + turn) % {len(RQ.REQUESTS)}) + 1
@@ -806,7 +806,7 @@ def build_text(S: dict) -> None:
         fb = f"coalesce(a.hit, {fallback})" if fallback else "a.hit"
         return q(f"""
 SELECT l.conv_id, l.turn, l.{col}, CASE WHEN l.{col} IS NOT NULL AND l.{col} <> '' THEN {fb} END AS {out}
-FROM (SELECT *, lower({_strip(col)}) AS _r FROM lab) l
+FROM (SELECT *, lower({_strip(col)}) AS _r FROM alab) l
 LEFT JOIN (SELECT alias, arg_min(canonical, pos) AS hit FROM {table} GROUP BY alias) a ON a.alias = l._r""", tp)
     S["resolve_country"] = by_alias("country_label", "ctry", "country", None)
     S["resolve_zone_type"] = by_alias(

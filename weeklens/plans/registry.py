@@ -222,9 +222,9 @@ EXACT: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "format_change": _formats("change"),
     # --- text jobs over the conversations table (X*)
     "resolve_labels": lambda s, sf: X.resolve_labels(RQ.labels(s, sf)),
-    "resolve_country": lambda s, sf: X.resolve_country(RQ.labels(s, sf)),
-    "resolve_zone_type": lambda s, sf: X.resolve_zone_type(RQ.labels(s, sf)),
-    "resolve_priority": lambda s, sf: X.resolve_priority(RQ.labels(s, sf)),
+    "resolve_country": lambda s, sf: X.resolve_country(RQ.attribute_labels(s, sf)),
+    "resolve_zone_type": lambda s, sf: X.resolve_zone_type(RQ.attribute_labels(s, sf)),
+    "resolve_priority": lambda s, sf: X.resolve_priority(RQ.attribute_labels(s, sf)),
     "week_scope": lambda s, sf: X.week_scope(RQ.messages(s, sf)),
     "concept_tag": lambda s, sf: X.concept_tag(RQ.messages(s, sf)),
     "intent_tag": lambda s, sf: X.intent_tag(RQ.messages(s, sf), _fr(s, sf).metrics_wide),

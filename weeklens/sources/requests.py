@@ -101,21 +101,29 @@ def _words(n: int) -> Column:
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conv_id, turn and one raw label of each kind per conversation row: a word or two of the row's
-    text, or (every third row) an entry of the literal lists, so distinct labels grow with the data."""
-    c = conversations(spark, sf_dir)
+    """conv_id, turn and one raw metric label per conversation row: two neighbouring words of the row's
+    text, or (every third row) an entry of the literal list, so distinct labels grow with the data."""
     k = _key()
+    label = F.when(k % 3 == 0, pick(LABELS, k)).otherwise(_words(2))
+    return conversations(spark, sf_dir).select("conv_id", "turn", label.alias("label"))
 
-    def either(literals: list, n: int) -> Column:
-        return F.when(k % 3 == 0, pick(literals, k)).otherwise(_words(n))
 
-    return c.select(
-        "conv_id", "turn",
-        either(LABELS, 2).alias("label"),
-        either(COUNTRY_LABELS, 1).alias("country_label"),
-        either(ZONE_TYPE_LABELS, 1).alias("zone_type_label"),
-        either(PRIORITY_LABELS, 1).alias("priority_label"),
-    )
+def _phrases() -> Column:
+    """All single words and pairs of neighbouring words of the row's whole text."""
+    words = F.split(F.coalesce(F.col("text"), F.lit("")), " ", -1)
+    n = F.size(words) - 1
+    pairs = F.zip_with(F.slice(words, F.lit(1), n), F.slice(words, F.lit(2), n), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.concat(words, pairs)
+
+
+def attribute_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, turn and the raw labels of a conversation row, one row each: every distinct word and pair of
+    neighbouring words of its whole text, and one entry of each literal list besides. Every label is tried as
+    a country, a zone type and a priority."""
+    literals = F.array(*[pick(x, _key()) for x in (COUNTRY_LABELS, ZONE_TYPE_LABELS, PRIORITY_LABELS)])
+    label = F.explode(F.array_distinct(F.concat(_phrases(), literals)))
+    rows = conversations(spark, sf_dir).select("conv_id", "turn", label.alias("w"))
+    return rows.select("conv_id", "turn", *[F.col("w").alias(k) for k in ("country_label", "zone_type_label", "priority_label")])
 
 
 REQUEST_FIELDS = ["intent", "group_by", "city", "zone", "country", "zone_type", "prioritization",
