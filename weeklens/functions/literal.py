@@ -1,35 +1,22 @@
 """Small fixed tables as JVM-side literal relations.
 
-``createDataFrame`` on a Python list is an RDD of pickled rows: every scan
-needs Python workers. Catalogue-sized tables (metric dimension, alias
-dictionaries) are instead built from literal structs with ``inline``, which
-Catalyst folds into a local relation evaluated entirely in the JVM.
+``createDataFrame`` on a Python list is an RDD of pickled rows: every scan needs Python workers, and literals
+put into the plan one by one are analysed again with every step that follows. Catalogue-sized tables (metric
+dimension, alias dictionaries) go as one Arrow batch, which Spark keeps as a local relation of known size.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-#: Rows beyond which a table goes as one Arrow batch instead of literals in the plan.
-MANY = 1000
-
 
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    fields = schema.fields
-    if len(rows) > MANY:
-        columns = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(zip(*rows, strict=True), fields, strict=True)]
-        return spark.createDataFrame(pa.table(columns, names=schema.names), schema)
-    structs = [
-        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, fields)]) for r in rows
-    ]
-    if not structs:
+    if not rows:
         return spark.createDataFrame([], schema)
-    return spark.range(1).select(F.inline(F.array(*structs))).select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields]
-    )
+    columns = [pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(zip(*rows, strict=True), schema.fields, strict=True)]
+    return spark.createDataFrame(pa.table(columns, names=schema.names), schema)

@@ -19,7 +19,7 @@ from ..functions import text_rules as T
 from ..functions.literal import literal_table
 from .prep import strip_all
 from .scale import cut
-from .similarity import contained, runs, similar
+from .similarity import SMALL_DICTIONARY, contained, runs, similar
 
 MIN_NAME = 4  # names shorter than this are never matched (original rule: len >= 4)
 
@@ -42,14 +42,17 @@ def resolve_metric_table(values: DataFrame, col: str, catalog: Catalog = REFEREN
     """Distinct raw values of ``col`` -> canonical metric (ordered steps 1-4), as (col, canonical, step).
 
     Steps 1 to 3 (equality and containment) are one equi-join on substrings; only what they leave open
-    takes the similarity join of step 4."""
+    takes the similarity join of step 4. The distinct values and the direct hits are written once."""
     entries = metric_entries(values.sparkSession, catalog).withColumn("ef", T.fold(F.col("entry")))
     lengths = sorted({len(a) for m in catalog.metrics for a in m.aliases})
+    small = sum(len(x) for m in catalog.metrics for x in (m.name, *m.aliases)) <= SMALL_DICTIONARY
     raw = values.select(F.col(col).alias("_raw")).filter(F.col("_raw").isNotNull() & (F.col("_raw") != "")) \
         .distinct().withColumn("_r", _norm(F.col("_raw")))
-    direct = contained(raw, entries, lengths)
+    # read by both joins and the anti join; every value makes hundreds of keys, so few values still fill all cores
+    raw = cut(raw.repartition(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    direct = cut(contained(raw, entries, lengths, small))
     rest = raw.join(direct, "_raw", "left_anti").select("_raw", T.fold(F.col("_r")).alias("_rf"))
-    fuzzy = similar(rest, entries.filter("kind = 'alias'"), lengths)
+    fuzzy = similar(rest, entries.filter("kind = 'alias'"), lengths, small)
     out = direct.select("_raw", "best.canonical", F.col("best.step").cast("int").alias("step")).unionByName(
         fuzzy.select("_raw", "best.canonical", F.lit(4).alias("step")))
     return out.withColumnRenamed("_raw", col)
@@ -165,9 +168,15 @@ def gazetteer_tag(messages: DataFrame, metrics_wide: DataFrame) -> DataFrame:
 def metric_tag(messages: DataFrame, catalog: Catalog = REFERENCE_CATALOG) -> DataFrame:
     """First canonical name (dictionary order) in the text, else the first chunk that resolves."""
     q = F.col("q")
-    direct = F.lit(None).cast("string")
-    for name in reversed(catalog.names):
-        direct = F.when(q.contains(name.lower()), name).otherwise(direct)
+
+    def first_name(text: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for name in reversed(catalog.names):
+            out = F.when(text.contains(name.lower()), name).otherwise(out)
+        return out
+
+    # the lambda's argument is computed once; a pushed-down filter would repeat the text's expression for every name
+    direct = F.transform(F.array(q), first_name)[0]
     base = messages.select("conv_id", "turn", "q", direct.alias("direct"))
     chunks = base.filter(F.col("direct").isNull()).select(
         "conv_id", "turn", F.posexplode(F.regexp_extract_all(q, F.lit(T.CHUNK_PATTERN), 0)).alias("cpos", "chunk")
