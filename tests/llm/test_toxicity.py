@@ -159,3 +159,23 @@ def test_score_is_the_calibrated_vote_of_brute_force_neighbours(spark):
         vote = np.log((bad * odds + little) / (all_ - bad + little))
         z = np.dot(model.curve, (1, vote, near[0][0], vote * near[0][0]))
         assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-4
+
+
+def test_terms_of_parts_equal_terms_of_words(monkeypatch):
+    """Parts between blanks, stops and commas are looked up whole and forgotten now and then; counts are those of the words."""
+    rnd, words = random.Random(5), vocabulary(3, 300)
+    odd = ["ab_cd", "x1y2z", "don't", "ÉTÉ", "İstanbul", "中文字符", "²³", "a" * 200, "one.two,three", "tab\there", "\x1cend", "_", "7"]
+    texts = [" ".join(rnd.choices(words + odd, k=rnd.randint(0, 80))) for _ in range(200)] + [None, "", " . , "]
+    terms = {t: i for i, t in enumerate(sorted({t for w in words[::2] + ["été", "中文字符", "two"] for t in toxicity.word_terms(w)}))}
+    monkeypatch.setattr(toxicity, "REMEMBERED", 150)
+    counts = toxicity.Counts(terms)
+    for text in texts:
+        want = {}
+        for word in toxicity.TERM.findall((text or "").lower()):
+            for t in toxicity.word_terms(word):
+                if t in terms:
+                    want[terms[t]] = want.get(terms[t], 0) + 1
+        term, n = counts.of(text)[0]
+        assert list(zip(term.tolist(), n.tolist(), strict=True)) == sorted(want.items())
+        assert counts.known(text).tolist() == sorted(want)
+        assert len(counts) <= 150 + 2 * 93 and all(len(x) <= toxicity.SHORT for x in counts)

@@ -26,12 +26,11 @@ votes; it gets the curve's value for that.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
@@ -54,6 +53,9 @@ NEIGHBOURS = 50
 #: Queries that meet the dense table at once.
 AT_ONCE = 64
 
+#: Parts of texts whose terms a worker remembers (about 150 bytes each), and up to which length.
+REMEMBERED, SHORT = 1 << 18, 64
+
 
 @dataclass(frozen=True)
 class Index:
@@ -65,13 +67,20 @@ class Index:
     labels: np.ndarray
     texts: np.ndarray  # a 60-bit hash of each example's text
     starts: np.ndarray  # of each (term, block) in the postings
-    example: np.ndarray
-    weight: np.ndarray
+    posting: np.ndarray  # example and weight side by side: 64 bits, read at once
     most: np.ndarray  # largest weight of each (term, block)
     block: int
     column: np.ndarray  # of a common term in the dense table, else -1
     common: np.ndarray  # weights of the common terms by example
 
+    @property
+    def example(self) -> np.ndarray:
+        return self.posting.view(np.int32)[::2]
+
+    @property
+    def weight(self) -> np.ndarray:
+        return self.posting.view(np.float32)[1::2]
+
 
 @dataclass
 class Examples:
@@ -125,37 +134,95 @@ def word_terms(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
+@dataclass
+class Words:
+    """The broadcast vocabulary: its terms are numbered once in each process."""
+
+    words: str
+    numbers: dict[str, int] | None = field(default=None, repr=False)
+
+    def __getstate__(self) -> dict:
+        return vars(self) | {"numbers": None}
+
+    def terms(self) -> dict[str, int]:
+        if self.numbers is None:
+            self.numbers = _numbered(self.words)
+        return self.numbers
+
+
 class Counts(dict):
-    """Term numbers of words, remembered by word (forgotten when too many)."""
+    """Terms of texts by their parts between white space, full stops and commas (no word holds any). Numbers the parts
+    it meets; part i has the terms flat[ends[i] : ends[i + 1]].
+
+    Short parts are remembered; all is forgotten between two texts when too many. The vocabulary holds every beginning
+    of its words."""
 
     def __init__(self, terms: dict[str, int]) -> None:
         super().__init__()
-        self.terms = terms
+        self.terms, self.flat, self.ends = terms, array("i"), array("q", [0])
+
+    def __missing__(self, part: str) -> int:
+        for word in TERM.findall(part):
+            for n in BEGINNINGS:
+                if len(word) <= n:
+                    n = 0
+                    break
+                term = self.terms.get(word[:n] + "*")
+                if term is None:  # then no longer beginning is known, nor the word
+                    break
+                self.flat.append(term)
+            else:
+                n = 0
+            if not n and (term := self.terms.get(word)) is not None:
+                self.flat.append(term)
+        self.ends.append(len(self.flat))
+        out = len(self.ends) - 2
+        if len(part) <= SHORT:
+            self[part] = out
+        return out
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) > 200_000:
+    def terms_of(self, parts: list[str] | set[str]) -> np.ndarray:
+        """The known terms of all parts, ascending, repeats included."""
+        if len(self.ends) > REMEMBERED:
             self.clear()
-        out = self[word] = tuple(self.terms[t] for t in word_terms(word) if t in self.terms)
-        return out
+            self.flat, self.ends = array("i"), array("q", [0])
+        number = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
+        if not self.flat:
+            return np.zeros(0, np.int32)
+        ends = np.frombuffer(self.ends, np.int64)
+        start = ends[number]
+        return np.sort(np.frombuffer(self.flat, np.int32)[_ranges(start, ends[number + 1] - start)])
+
+    def known(self, text: str | None) -> np.ndarray:
+        """The distinct known terms of a text, ascending."""
+        found = self.terms_of(set(_parts(text)))
+        return found[np.flatnonzero(np.diff(found, prepend=-1))]
+
+    def of(self, text: str | None) -> tuple[tuple[np.ndarray, np.ndarray], int]:
+        """The distinct known terms of a text, ascending, with how often it holds each, and its number of parts."""
+        parts = _parts(text)
+        found = self.terms_of(parts)
+        at = np.flatnonzero(np.diff(found, prepend=-1))
+        return (found[at], np.diff(at, append=len(found))), len(parts)
+
+
+def _parts(text: str | None) -> list[str]:
+    """A text's parts between white space, full stops and commas."""
+    return text.lower().replace(".", " ").replace(",", " ").split() if text else []
+
 
-    def of(self, text: str | None) -> tuple[dict[int, int], int]:
-        """Term counts of a text and how many words it has."""
-        words = Counter(TERM.findall(text.lower())) if text else Counter()
-        counts: dict[int, int] = {}
-        for word, n in words.items():
-            for t in self[word]:
-                counts[t] = counts.get(t, 0) + n
-        return counts, words.total()
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places start[i] to start[i] + length[i] - 1 of every i, one after another."""
+    ends = np.cumsum(length)
+    return np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
 
 
-def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not counts:
+def _vector(counts: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    t, n = counts
+    if not len(t):
         return np.zeros(0, np.int64), np.zeros(0)
-    t = np.fromiter(counts, np.int64, len(counts))
-    n = np.fromiter(counts.values(), np.float64, len(counts))
-    order = np.argsort(t)
-    t = t[order]
-    w = (1 + np.log(n[order])) * idf[t]
+    t = t.astype(np.int64)
+    w = (1 + np.log(n)) * idf[t]
     return t, w / np.sqrt((w * w).sum())
 
 
@@ -186,8 +253,10 @@ def build_index(examples: list[tuple[int, int, int, np.ndarray, np.ndarray]], te
     edges = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else np.zeros(0, np.int64)
     if len(edges):
         most[cell[edges]] = np.maximum.reduceat(w, edges)
+    posting = np.empty(len(t), np.int64)
+    posting.view(np.int32)[::2], posting.view(np.float32)[1::2] = e, w
     return Index(terms, idf, np.array([r[0] for r in examples], np.int64), np.array([r[1] for r in examples], np.int64),
-                 np.array([r[2] for r in examples], np.int64), starts, e, w, most.reshape(len(terms), blocks), block, column, common)
+                 np.array([r[2] for r in examples], np.int64), starts, posting, most.reshape(len(terms), blocks), block, column, common)
 
 
 def _listed(index: Index, t: np.ndarray, q: np.ndarray, b: int, n: int) -> np.ndarray:
@@ -195,11 +264,12 @@ def _listed(index: Index, t: np.ndarray, q: np.ndarray, b: int, n: int) -> np.nd
     cell = t * index.most.shape[1] + b
     start = index.starts[cell]
     length = index.starts[cell + 1] - start
-    at = np.repeat(start - np.cumsum(length) + length, length) + np.arange(length.sum())
-    return np.bincount(index.example[at] - b * index.block, index.weight[at] * np.repeat(q, length), n)
+    found = index.posting.take(_ranges(start, length), mode="clip")  # all places exist
+    weight = found.view(np.float32)[1::2] * np.repeat(q, length)
+    return np.bincount(found.view(np.int32)[::2] - b * index.block, weight, n)
 
 
-def nearest_of_each(index: Index, texts: list[dict[int, int]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
+def nearest_of_each(index: Index, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
     """Of each text the k examples of the largest positive cosine: (cosine, position), ties by example id; none with
     the text hash ``but``."""
     out = []
@@ -243,7 +313,7 @@ def _nearest(index: Index, t: np.ndarray, q: np.ndarray, dense: np.ndarray, near
     return [(float(cosine[p]), int(found[p])) for p in order]
 
 
-def nearest(index: Index, counts: dict[int, int], k: int, but: int | None = None) -> list[tuple[float, int]]:
+def nearest(index: Index, counts: tuple[np.ndarray, np.ndarray], k: int, but: int | None = None) -> list[tuple[float, int]]:
     return nearest_of_each(index, [counts], k, None if but is None else [but])[0]
 
 
@@ -296,12 +366,12 @@ def _terms_of(texts: DataFrame) -> DataFrame:
 def _document_frequencies(docs: DataFrame, text: str, words: Broadcast, width: int) -> tuple[int, np.ndarray]:
     """How many documents there are, and of each term how many hold it: one pass, partial sums by task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, df, n = Counts(_numbered(words.value)), np.zeros(width, np.int64), 0
+        counts, df, n = Counts(words.value.terms()), np.zeros(width, np.int64), 0
         for batch in batches:
             n += batch.num_rows
-            for body in batch.column(0).to_pylist():
-                found = {t for w in set(TERM.findall(body.lower())) for t in counts[w]} if body else ()
-                df[np.fromiter(found, np.int64, len(found))] += 1
+            for at in range(0, batch.num_rows, AT_ONCE):
+                for body in batch.column(0).slice(at, AT_ONCE).to_pylist():
+                    df[counts.known(body)] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))], ["term", "df"])
 
@@ -335,14 +405,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     spread = rows.select("id", "y", "body", text_hash.alias("h")).repartition(shuffle_width(spark), "id")
 
     terms = sorted(_terms_of(rows).toArrow()["term"].to_pylist())  # the terms of the sample's texts
-    words = spark.sparkContext.broadcast("\n".join(terms))
+    words = spark.sparkContext.broadcast(Words("\n".join(terms)))
     n_docs, df = _document_frequencies(docs, text, words, len(terms))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(_numbered(words.value))
+        counts = Counts(words.value.terms())
         for batch in batches:
-            found = [sorted(counts.of(body)[0].items()) for body in batch.column(3).to_pylist()]
-            packed = [np.array(x, "<u4").reshape(-1, 2).T.tobytes() for x in found]
+            packed = [np.stack(counts.of(body)[0]).astype("<u4").tobytes() for body in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], ["id", "y", "h", "v"])
 
     vectors = spread.select("id", "y", "h", "body").mapInArrow(counted, "id long, y int, h long, v binary").toArrow().sort_by("id")
@@ -386,17 +455,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     src = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(cols)], F.col(f"`{text}`").alias("t"))
     shared, curve = model.shared, model.curve
 
-    def votes(texts: pd.Series) -> pd.DataFrame:
+    def votes(texts: pa.Array) -> pa.Array:
         ix, out = shared.value.index(), []
         counts, odds = Counts(ix.terms), class_odds(ix.labels)
-        for at in range(0, len(texts), AT_ONCE):
-            found = [counts.of(body if isinstance(body, str) else None)[0] for body in texts.iloc[at : at + AT_ONCE]]
+        for at in range(0, len(texts), AT_ONCE):  # few texts are Python strings at a time
+            found = [counts.of(body)[0] for body in texts.slice(at, AT_ONCE).to_pylist()]
             for near in nearest_of_each(ix, found, k):
-                out.append((calibrated(curve, features(ix, near, odds)),
-                            [{"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]))
-        return pd.DataFrame(out, columns=["score", "evidence"])
+                out.append({"score": calibrated(curve, features(ix, near, odds)), "evidence": [
+                    {"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]})
+        one = pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
+        return pa.array(out, pa.struct([("score", pa.float64()), ("evidence", pa.list_(one))]))
 
-    run = F.pandas_udf(votes, "score double, evidence array<struct<id long, cosine double, label int>>")
+    run = F.arrow_udf(votes, "score double, evidence array<struct<id long, cosine double, label int>>")
     scored = src.withColumn("r", run("t"))
     return scored.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(cols)], "r.score", "r.evidence")
 
