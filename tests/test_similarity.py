@@ -105,3 +105,17 @@ def test_gazetteer_candidates_do_not_grow_with_the_names(spark):
                    (3, 1): ("supplier#000000001", None), (3, 2): (None, "town29"), (4, 1): (None, None)}
     lengths = X.gazetteer(names).select("name_len").distinct().count()
     assert lengths == 3  # so a text has at most three keys for each of its characters
+
+
+def test_the_keys_of_the_similarity_are_not_shuffled_for_a_small_dictionary(spark):
+    """Only the best hit of each string is: a string has up to hundreds of keys, which spilled many times the input."""
+    from weeklens.functions import text_rules as T
+    from weeklens.operators.similarity import similar
+
+    entries = X.metric_entries(spark).filter("kind = 'alias'").withColumn("ef", T.fold(F.col("entry")))
+    lengths = sorted({len(a) for m in REFERENCE_CATALOG.metrics for a in m.aliases})
+    raw = spark.createDataFrame([(v, v) for v in ("turbo adoptoin", "lead penetracion", "aaaaaaaaaa", "")], "_raw string, _rf string")
+    out = similar(raw, entries, lengths, small=True)
+    assert {r._raw: r.best.canonical for r in out.collect()} == {"turbo adoptoin": "Turbo Adoption", "lead penetracion": "Lead Penetration"}
+    shuffled = [k.split(")")[0] for k in out._jdf.queryExecution().executedPlan().toString().split("hashpartitioning(")[1:]]
+    assert shuffled and all(k.startswith("_raw#") and "_rf" not in k and "seg" not in k for k in shuffled)
