@@ -76,3 +76,16 @@ def test_whole_query(spark, sp):
     got = {r["doc_id"]: r for r in QUERIES["op7_sentencepiece"](spark, SF).collect()}
     for d, t in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
         assert got[d]["n_tokens"] == len(sp.encode(t)) and got[d]["round_trip"] and got[d]["n_chars"] == len(t)
+
+
+def test_units_of_giant_texts_share_the_memory_of_words():
+    """What a chunk of a giant text and other texts have in common is encoded once; runs of marks still go by units."""
+    encoder = spm.Encoder(spm.load_vocabulary(SENTENCEPIECE_MODEL))
+    text = "some plain words and some more, naïve ones; plain words"
+    ids = encoder.encode(text).tolist()
+    known = len(encoder.of_word)
+    assert encoder.units(spm.mark(text)).tolist() == ids and len(encoder.of_word) == known and not encoder.of_unit
+    for odd in ("", "a  b", " a", "a ", "a", "  ", spm.MARK + "x", "x" + spm.MARK):
+        marked = spm.mark(odd)
+        want = [i for u in spm.UNIT.findall(marked) for i in encoder.piece_ids(spm._merge_long(u, encoder.v.scores))]
+        assert encoder.units(marked).tolist() == want and (not odd or encoder.encode(odd).tolist() == want)

@@ -23,6 +23,7 @@ import re
 import secrets
 import sys
 import types
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 import numpy as np
@@ -38,8 +39,8 @@ MARK = "▁"
 UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 UNKNOWN_SURFACE = " ⁇ "
-#: Units, and pairs, remembered per Python worker (about 300 bytes each).
-MEMORY = 100_000
+#: Words, and pairs, remembered per Python worker (about 200 and 300 bytes each).
+WORDS, MEMORY = 200_000, 100_000
 #: Rows whose tokens are held at once.
 ROWS = 256
 NEVER = float("-inf")
@@ -87,21 +88,17 @@ def merge(unit: str, scores: dict[str, float]) -> list[str]:
     """The model's merges: again and again the best-scored neighbours that form a piece, leftmost on ties."""
     if len(unit) > 48:
         return _merge_long(unit, scores)
-    symbols = list(unit)
-    found = [scores.get(a + b) for a, b in zip(symbols, symbols[1:], strict=False)]
-    while True:
-        best, at = None, -1
-        for i, s in enumerate(found):
-            if s is not None and (best is None or s > best):
-                best, at = s, i
-        if at < 0:
-            return symbols
-        symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+    symbols, score = list(unit), scores.get
+    found = [score(a + b, NEVER) for a, b in zip(symbols, unit[1:], strict=False)]
+    while found and (best := max(found)) != NEVER:
+        at = found.index(best)
+        both = symbols[at] = symbols[at] + symbols.pop(at + 1)
         del found[at]
         if at:
-            found[at - 1] = scores.get(symbols[at - 1] + symbols[at])
+            found[at - 1] = score(symbols[at - 1] + both, NEVER)
         if at < len(found):
-            found[at] = scores.get(symbols[at] + symbols[at + 1])
+            found[at] = score(both + symbols[at + 1], NEVER)
+    return symbols
 
 
 def _merge_long(unit: str, scores: dict[str, float]) -> list[str]:
@@ -131,15 +128,15 @@ def _merge_long(unit: str, scores: dict[str, float]) -> list[str]:
 
 
 class _Memory(dict):
-    """Results by key, computed when missing; stops growing at MEMORY entries."""
+    """Results by key, computed when missing; stops growing at ``most`` entries."""
 
-    def __init__(self, compute) -> None:
+    def __init__(self, compute, most: int = MEMORY) -> None:
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
 
     def __missing__(self, key):
         out = self.compute(key)
-        if len(self) < MEMORY:
+        if len(self) < self.most:
             self[key] = out
         return out
 
@@ -148,7 +145,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.v = vocabulary
         self.of_unit = _Memory(self._packed)
-        self.of_word = _Memory(lambda word: self._packed(MARK + word))
+        self.of_word = _Memory(lambda word: self._packed(MARK + word), WORDS)
         self.holds = _Memory(lambda ab: merge(ab[0] + ab[1], vocabulary.scores) == list(ab))
         self.stands = _Memory(lambda a: merge(a, vocabulary.scores) == [a])
 
@@ -172,9 +169,11 @@ class Encoder:
         return tuple(out)
 
     def _packed(self, unit: str) -> bytes:
-        return np.array(self.piece_ids(merge(unit, self.v.scores)), "<i4").tobytes()
+        return array("i", self.piece_ids(merge(unit, self.v.scores))).tobytes()
 
     def units(self, marked: str) -> np.ndarray:
+        if marked[:1] == MARK and MARK + MARK not in marked:  # a mark and a word each: remembered with those of other texts
+            return np.frombuffer(b"".join(map(self.of_word.__getitem__, marked[1:].split(MARK))), "<i4")
         return np.frombuffer(b"".join(map(self.of_unit.__getitem__, UNIT.findall(marked))), "<i4")
 
     def encode(self, text: str | None) -> np.ndarray:
