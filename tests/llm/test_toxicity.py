@@ -179,3 +179,12 @@ def test_terms_of_parts_equal_terms_of_words(monkeypatch):
         assert list(zip(term.tolist(), n.tolist(), strict=True)) == sorted(want.items())
         assert counts.known(text).tolist() == sorted(want)
         assert len(counts) <= 150 + 2 * 93 and all(len(x) <= toxicity.SHORT for x in counts)
+
+
+def test_workers_multiply_with_one_thread(spark):
+    import os
+
+    toxicity.fit(docs_frame(spark, [(1, "plain words")]), labels_frame(spark, [(1, 1, 0)]))
+    seen = spark.range(4, numPartitions=2).mapInPandas(
+        lambda parts: (p.assign(t=os.environ.get("OPENBLAS_NUM_THREADS")) for p in parts), "id long, t string").collect()
+    assert {r.t for r in seen} == {"1"}

@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold_of, shuffle_width
+from .common import cut, fold_of, one_thread_a_task, shuffle_width
 
 TERM = re.compile(r"[^\W\d_]+")
 
@@ -392,6 +392,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     At most ``2 * max_per_class`` ids are broadcast and as many term-count vectors collected.
     """
     spark = docs.sparkSession
+    one_thread_a_task(spark)
     told = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("y")).dropna().groupBy("id").agg(
         F.max("y").cast("int").alias("y"))
     per_class = {r["y"]: r["count"] for r in told.groupBy("y").count().collect()}  # two rows
