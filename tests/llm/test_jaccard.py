@@ -134,3 +134,23 @@ def test_linked_sets_share_the_margin_in_their_prefixes():
         shared = len(np.intersect1d(jaccard.prefix(a, levels, 80), jaccard.prefix(b, levels, 80)))
         for s in (a, b):
             assert shared >= jaccard.margin(jaccard.least_overlap(len(s), 80), 80)
+
+
+def test_blocks_hold_members_that_share_enough_tokens_not_chains_of_single_ones(spark):
+    """Pairs that share all they need are blocks of their own, though each shares a token with the next pair."""
+    import hashlib
+
+    def row(name, hits):
+        return hashlib.md5(name.encode()).digest(), 100, b"", hits  # 100 tokens: partners share 4 of the hits at least
+
+    pairs = [row(f"{k} {side}", [10 * k + j for j in range(1, 6)] + [10 * k, 10 * k + 10]) for k in range(40) for side in "ab"]
+    group = [row(f"group {i}", [5000 + j for j in range(6)]) for i in range(3 * jaccard.FEW)]  # frequent tokens alone
+    lone = [row(f"lone {i}", [5000, 5001, 5002, 9000 + i]) for i in range(5)]  # too few of them
+    rows = pairs + group + lone + pairs[:10]
+    frame = spark.createDataFrame(rows, "digest binary, n long, tokens binary, hits array<long>")
+    placed = jaccard.blocks(frame, 80).collect()
+    held = {}
+    for r in placed:
+        held.setdefault((r["block"], r["weight"]), set()).add(r["node"])
+    assert sorted(len(x) for x in held.values()) == [2] * 40 + [3 * jaccard.FEW]
+    assert all(weight == 100 * len(nodes) for (_, weight), nodes in held.items())

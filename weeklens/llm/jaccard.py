@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, shuffle_width, spans, stash
@@ -47,6 +47,8 @@ FILTER_BITS, FILTER_SHIFT = 1 << 27, 37
 #: Tokens that a tile or a group of small blocks holds about (8 bytes each).
 TILE_TOKENS = 1 << 21
 FAN = 8
+#: Members of a token up to which its pairs are counted.
+FEW = 16
 #: Slices of a token's nodes when they are chained, and rows of the node table up to which it is broadcast (24 bytes each).
 SLICES, BROADCAST_ROWS = 16, 1 << 19
 #: Node pairs looked at once.
@@ -242,23 +244,45 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
                                        pa.array(tokens, pa.binary()), pa.array(hits, pa.list_(pa.int64()))], names)
 
 
-def blocks(members: DataFrame) -> DataFrame:
-    """(cell, block, weight): members that share a prefix token, directly or through others, with the tokens of the block;
-    blocks of one member are left out.
-
-    Members of equal first token start as one node (merging more than needed loses no link). The nodes of a token are
-    chained in their order within slices of the token, and the slices' smallest nodes with each other."""
-    hits = members.select("cell", F.explode("hits").alias("token"))
-    hits = hits.withColumn("slice", F.pmod(F.xxhash64("cell"), F.lit(SLICES)))
-    chain = F.lag("cell").over(Window.partitionBy("token", "slice").orderBy("cell"))
-    least = hits.groupBy("token", "slice").agg(F.min("cell").alias("cell"))
-    heads = F.lag("cell").over(Window.partitionBy("token").orderBy("cell"))  # SLICES rows at most
-    edges = hits.select("cell", chain.alias("to")).unionAll(least.select("cell", heads.alias("to"))).filter("cell <> to")
-    roots = components(cut(edges.select(F.col("cell").alias("u"), F.col("to").alias("v")).distinct()))
-    cells = members.groupBy("cell").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"))
-    named = cells.join(roots.select(F.col("node").alias("cell"), "root"), "cell", "left").withColumn("block", F.coalesce("root", "cell"))
-    sizes = named.groupBy("block").agg(F.sum("members").alias("members"), F.sum("tokens").alias("weight")).filter("members > 1")
-    return named.select("cell", "block").join(sizes.select("block", "weight"), "block")
+def blocks(members: DataFrame, percent: int) -> DataFrame:
+    """(node, block, weight): members that may be linked, directly or through others, with the tokens of the block;
+    blocks of one member are left out. A node is the start of a digest (equal ones merge, which loses no link).
+
+    Linked members share at least as many hits as either needs, some of them tokens that FEW members or fewer have, or
+    all of them frequent ones. The pairs of each token of FEW members are counted, and those stay that reach this number
+    with the frequent hits that both could share. Members whose frequent hits alone reach it are also joined by these: they
+    are chained in their order within slices of the token, and the slices' smallest nodes with each other."""
+    # margin(least_overlap(n), percent), in integers
+    least = F.expr(f"(n * {percent} + 99) div 100")
+    needs = F.expr(f"greatest(1, (least - (least * {percent} + 99) div 100 + 1) div 4)")
+    once = members.select("digest", "n", "hits").dropDuplicates(["digest"])
+    known = once.select(node_of(F.col("digest")).alias("node"), "n", "hits")
+    known = cut(known.withColumn("least", least).withColumn("needs", needs).drop("least"))
+    hits = known.select("node", F.explode("hits").alias("token"))
+    many = cut(hits.groupBy("token").count().filter(F.col("count") > FEW).select(F.col("token").alias("frequent")))
+    many = F.broadcast(many) if many.count() <= BROADCAST_ROWS else many
+    hits = cut(hits.join(many, F.col("token") == F.col("frequent"), "left"))
+    rich = hits.filter("frequent is not null").groupBy("node").count().withColumnRenamed("count", "held")
+    sides = cut(known.select("node", "n", "needs").join(rich, "node", "left").fillna(0, ["held"]))
+    few = hits.filter("frequent is null").select("node", "token")
+    pairs = few.join(few.select(F.col("node").alias("to"), "token"), "token").filter("node < to").groupBy("node", "to").count()
+    other = sides.select(F.col("node").alias("to"), F.col("n").alias("n2"), F.col("needs").alias("needs2"), F.col("held").alias("held2"))
+    near = pairs.join(sides, "node").join(other, "to").filter("count + least(held, held2) >= greatest(needs, needs2)").filter(
+        f"100 * least(n, n2) >= {percent} * greatest(n, n2)").select("node", "to")
+    glued = hits.filter("frequent is not null").join(sides.filter("held >= needs").select("node"), "node", "left_semi")
+    glued = glued.withColumn("slice", F.pmod(F.xxhash64("node"), F.lit(SLICES)))
+    chain = F.lag("node").over(Window.partitionBy("token", "slice").orderBy("node"))
+    first = glued.groupBy("token", "slice").agg(F.min("node").alias("node"))
+    heads = F.lag("node").over(Window.partitionBy("token").orderBy("node"))  # SLICES rows at most
+    edges = near.unionAll(glued.select("node", chain.alias("to"))).unionAll(first.select("node", heads.alias("to"))).filter("node <> to")
+    roots = components(cut(edges.select(F.col("node").alias("u"), F.col("to").alias("v")).distinct()))
+    named = cut(sides.select("node", "n").join(roots.withColumnRenamed("root", "block"), "node"))  # others are alone
+    sizes = named.groupBy("block").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("weight")).filter("members > 1")
+    return named.select("node", "block").distinct().join(sizes.select("block", "weight"), "block")
+
+
+def node_of(digest: Column) -> Column:
+    return F.conv(F.hex(F.substring(digest, 1, 8)), 16, -10).cast("long")
 
 
 class Tree:
@@ -450,11 +474,12 @@ def large_block_links(placed: DataFrame, percent: int, tile_tokens: int) -> Data
 
 def links(members: DataFrame, percent: int, tile_tokens: int = TILE_TOKENS) -> DataFrame:
     """(u, v) of digests: connects just what all links between the members connect."""
-    place = cut(blocks(members))
-    n_cells = place.count()
+    place = cut(blocks(members, percent))
+    n_nodes = place.count()
     sizes = place.select("block", "weight").distinct()
     small, large = sizes.agg(F.sum(F.when(F.col("weight") <= tile_tokens, F.col("weight"))), F.count_if(F.col("weight") > tile_tokens)).first()
-    placed = members.select("cell", "digest", "n", "tokens").join(F.broadcast(place) if n_cells <= BROADCAST_ROWS else place, "cell")
+    placed = members.select(node_of(F.col("digest")).alias("node"), "digest", "n", "tokens").join(
+        F.broadcast(place) if n_nodes <= BROADCAST_ROWS else place, "node")
     bins = max(shuffle_width(members.sparkSession), -(-(small or 0) // tile_tokens))
     within = small_block_links(placed.filter(F.col("weight") <= tile_tokens), percent, bins)
     if not large:
