@@ -188,3 +188,57 @@ def test_workers_multiply_with_one_thread(spark):
     seen = spark.range(4, numPartitions=2).mapInPandas(
         lambda parts: (p.assign(t=os.environ.get("OPENBLAS_NUM_THREADS")) for p in parts), "id long, t string").collect()
     assert {r.t for r in seen} == {"1"}
+
+
+def test_terms_of_many_texts_at_once_equal_terms_of_words(monkeypatch):
+    """Corpus passes tell the words of many texts apart together; no dictionary of terms is kept in a worker."""
+    import pyarrow as pa
+
+    rnd, words = random.Random(6), vocabulary(3, 300)
+    odd = ["ab_cd", "x1y2z", "don't", "ÉTÉ", "İstanbul", "ΣΟΦΟΣ", "中文字符", "²³", "a" * 200, "one.two,three", "tab\there", "\x1cend",
+           "wide　blank", "_", "7"]
+    texts = [" ".join(rnd.choices(words + odd, k=rnd.randint(0, 80))) for _ in range(200)] + [None, "", " . , ", "end "]
+    names = sorted({t for w in words[::2] + ["été", "中文字符", "two", "σοφος"] for t in toxicity.word_terms(w)})
+    number = {t: i for i, t in enumerate(names)}
+    monkeypatch.setattr(toxicity, "LOOKED_UP", 900)
+    groups = list(toxicity._groups(pa.array(texts, pa.string())))
+    assert len(groups) > 5 and [t for g in groups for t in g] == texts
+    found = [c for g in groups for c in toxicity.counts_of_each(g, toxicity.vocabulary("\n".join(names)))]
+    for text, (term, n) in zip(texts, found, strict=True):
+        want = {}
+        for word in toxicity.TERM.findall((text or "").lower()):
+            for t in toxicity.word_terms(word):
+                if t in number:
+                    want[number[t]] = want.get(number[t], 0) + 1
+        assert list(zip(term.tolist(), n.tolist(), strict=True)) == sorted(want.items())
+    assert [len(t) for t, _ in toxicity.counts_of_each(["a b", None], toxicity.vocabulary(""))] == [0, 0]
+    assert list(toxicity._groups(pa.array([], pa.string()))) == []
+
+
+def test_index_is_built_in_place():
+    """A worker takes little more memory for the index than the index has: no lists of examples, sorts or dictionaries."""
+    import tracemalloc
+
+    rnd = np.random.default_rng(4)
+    n, held, width = 512, 400, 20_000
+    term = np.concatenate([np.sort(rnd.choice(width, held, replace=False)) for _ in range(n)]).astype(np.int32)
+    tf = rnd.integers(1, 4, len(term)).astype(np.uint16)
+    examples = toxicity.Examples("\n".join(f"w{i}" for i in range(width)), np.log(1 + rnd.integers(2, 90, width)), np.arange(n),
+                                 np.arange(n) % 2, np.arange(n) * 7, np.full(n, held), term, tf, 64)
+    tracemalloc.start()
+    index = examples.index()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * len(term) + 64 * index.most.size
+    blocks = index.most.shape[1]
+    assert blocks == 8 and len(index.posting) == len(term) and sorted(index.ids.tolist()) == list(range(n))
+    for t in range(0, width, 997):
+        for b in range(blocks):
+            at = slice(index.starts[t * blocks + b], index.starts[t * blocks + b + 1])
+            places, weights = index.example[at], index.weight[at]
+            assert (np.diff(places) > 0).all() and (places // 64 == b).all()
+            assert index.most[t, b] == weights.max(initial=0)
+            for p, w in zip(places.tolist(), weights.tolist(), strict=True):
+                own = slice(index.ids[p] * held, (index.ids[p] + 1) * held)
+                every = (1 + np.log(tf[own])) * index.idf[term[own]]
+                assert np.isclose(w, every[term[own] == t][0] / np.sqrt((every**2).sum()))

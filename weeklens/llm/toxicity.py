@@ -29,9 +29,12 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,15 +56,18 @@ NEIGHBOURS = 50
 #: Queries that meet the dense table at once.
 AT_ONCE = 64
 
+#: Bytes of texts whose parts are looked up at once.
+LOOKED_UP = 1 << 21
+
 #: Parts of texts whose terms a worker remembers (about 150 bytes each), and up to which length.
 REMEMBERED, SHORT = 1 << 18, 64
 
 
 @dataclass(frozen=True)
 class Index:
-    """terms: term -> number; idf by term; examples in block order; postings cut by block."""
+    """words: the terms by number; idf by term; examples in block order; postings cut by block."""
 
-    terms: dict[str, int]
+    words: str
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
@@ -73,6 +79,14 @@ class Index:
     column: np.ndarray  # of a common term in the dense table, else -1
     common: np.ndarray  # weights of the common terms by example
 
+    @cached_property
+    def terms(self) -> dict[str, int]:
+        return _numbered(self.words)
+
+    @cached_property
+    def vocabulary(self) -> pa.Array:
+        return vocabulary(self.words)
+
     @property
     def example(self) -> np.ndarray:
         return self.posting.view(np.int32)[::2]
@@ -103,14 +117,7 @@ class Examples:
     def index(self) -> Index:
         """Built once in each process."""
         if self.built is None:
-            edges = np.cumsum(self.sizes)[:-1]
-            terms = _numbered(self.words)
-            weights = [(1 + np.log(tf.astype(np.float64))) * self.idf[t] for t, tf in
-                       zip(np.split(self.term, edges), np.split(self.tf, edges), strict=True)] if len(self.ids) else []
-            parts = np.split(self.term, edges) if len(self.ids) else []
-            examples = [(int(i), int(y), int(h), t.astype(np.int64), w / np.sqrt((w * w).sum()) if len(w) else w)
-                        for i, y, h, t, w in zip(self.ids, self.labels, self.texts, parts, weights, strict=True)]
-            self.built = build_index(examples, terms, self.idf, self.block)
+            self.built = build_index(self)
         return self.built
 
 
@@ -130,24 +137,12 @@ def _numbered(words: str) -> dict[str, int]:
     return {t: i for i, t in enumerate(words.split("\n"))} if words else {}
 
 
-def word_terms(word: str) -> list[str]:
-    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
+def vocabulary(words: str) -> pa.Array:
+    return pc.split_pattern(pa.array([words] if words else [], pa.string()), "\n").flatten()
 
 
-@dataclass
-class Words:
-    """The broadcast vocabulary: its terms are numbered once in each process."""
-
-    words: str
-    numbers: dict[str, int] | None = field(default=None, repr=False)
-
-    def __getstate__(self) -> dict:
-        return vars(self) | {"numbers": None}
-
-    def terms(self) -> dict[str, int]:
-        if self.numbers is None:
-            self.numbers = _numbered(self.words)
-        return self.numbers
+def word_terms(word: str) -> list[str]:
+    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
 class Counts(dict):
@@ -217,6 +212,49 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in their order, about LOOKED_UP bytes at once."""
+    size = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    edges = np.flatnonzero(np.diff((np.cumsum(size) - size) // LOOKED_UP, prepend=-1, append=np.iinfo(np.int64).max))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield texts.slice(lo, hi - lo).to_pylist()
+
+
+def counts_of_each(texts: list[str | None], vocabulary: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the distinct known terms, ascending, with how often it holds each: the words of all texts together
+    are told apart and looked up once."""
+    plain = pa.array([t.lower().replace(".", " ").replace(",", " ") if t else "" for t in texts], pa.large_string())
+    parts = pc.ascii_split_whitespace(plain)
+    coded = parts.flatten().dictionary_encode()
+    distinct = coded.dictionary.cast(pa.string()) if coded.dictionary.nbytes < 1 << 30 else coded.dictionary
+    one = pc.and_(pc.string_is_ascii(distinct), pc.ascii_is_alpha(distinct))
+    other = pc.invert(one)
+    several = [TERM.findall(part) for part in distinct.filter(other).to_pylist()]
+    words = pa.concat_arrays([distinct.filter(one), pa.array([w for found in several for w in found], distinct.type)])
+    part = np.concatenate((np.flatnonzero(one), np.repeat(np.flatnonzero(other), np.array([len(x) for x in several], np.int64))))
+    asked, asker, length = [words], [part], pc.utf8_length(words).to_numpy()
+    for n in BEGINNINGS:
+        longer = length > n
+        asked.append(pc.binary_join_element_wise(pc.utf8_slice_codeunits(words.filter(pa.array(longer)), 0, n), "*", ""))
+        asker.append(part[longer])
+    term = pc.index_in(pa.concat_arrays(asked), vocabulary.cast(words.type))
+    known, asker = np.flatnonzero(term.is_valid()), np.concatenate(asker)
+    order = known[np.argsort(asker[known], kind="stable")]
+    term = pc.fill_null(term, 0).to_numpy()[order]
+    held = np.bincount(asker[order], minlength=len(distinct))
+    at, edges = coded.indices.to_numpy(), parts.offsets.to_numpy().tolist()
+    start, held = (np.cumsum(held) - held)[at], held[at]
+    for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+        found = np.sort(term[_ranges(start[lo:hi], held[lo:hi])])
+        first = np.flatnonzero(np.diff(found, prepend=-1))
+        yield found[first], np.diff(first, append=len(found))
+
+
+def _at_once(counts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    while found := list(islice(counts, AT_ONCE)):
+        yield found
+
+
 def _vector(counts: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     t, n = counts
     if not len(t):
@@ -226,37 +264,45 @@ def _vector(counts: tuple[np.ndarray, np.ndarray], idf: np.ndarray) -> tuple[np.
     return t, w / np.sqrt((w * w).sum())
 
 
-def build_index(examples: list[tuple[int, int, int, np.ndarray, np.ndarray]], terms: dict[str, int], idf: np.ndarray,
-                block: int = 4096) -> Index:
-    """examples: (id, label, hash of the text, term numbers, their weights); an empty text has no term and is near nothing."""
-    examples = sorted(examples, key=lambda r: (int(r[3][np.argmax(r[4])]) if len(r[3]) else -1, *r[:3]))
-    n, blocks = len(examples), max(1, -(-len(examples) // block))
-    sizes = [len(r[3]) for r in examples]
-    t = np.concatenate([r[3] for r in examples]).astype(np.int32) if n else np.zeros(0, np.int32)
-    w = np.concatenate([r[4] for r in examples]).astype(np.float32) if n else np.zeros(0, np.float32)
-    order = np.argsort(t, kind="stable")
-    t, w = t[order], w[order]
-    e = np.repeat(np.arange(n, dtype=np.int32), sizes)[order]
-    del order
-    cell = t.astype(np.int64) * blocks + e // block
-    held = np.bincount(t, minlength=len(terms))
+def build_index(examples: Examples) -> Index:
+    """The vectors of the examples (an empty text has no term and is near nothing), by block and by term."""
+    n, block, idf = len(examples.ids), examples.block, examples.idf
+    blocks, n_terms = max(1, -(-n // block)), len(idf)
+    ends = np.cumsum(examples.sizes)
+    spans = [slice(lo, hi) for lo, hi in zip((ends - examples.sizes).tolist(), ends.tolist(), strict=True)]
+    heaviest, w, held = np.full(n, -1, np.int64), np.empty(len(examples.term), np.float32), np.zeros(n_terms, np.int64)
+    for i, own in enumerate(spans):
+        if own.start < own.stop:
+            t, weight = _vector((examples.term[own], examples.tf[own].astype(np.float64)), idf)
+            heaviest[i], w[own] = t[np.argmax(weight)], weight
+            held[t] += 1
+    placed = np.lexsort((examples.texts, examples.labels, examples.ids, heaviest))
     frequent = np.flatnonzero(held > n * COMMON)
     frequent = np.sort(frequent[np.argsort(-held[frequent], kind="stable")][:MOST_COMMON])
-    column = np.full(len(terms), -1, np.int32)
+    column = np.full(n_terms, -1, np.int32)
     column[frequent] = np.arange(len(frequent))
     common = np.zeros((n, len(frequent)), np.float32)
-    at = column[t] >= 0
-    common[e[at], column[t[at]]] = w[at]
-    starts = np.zeros(len(terms) * blocks + 1, np.int64)
-    np.cumsum(np.bincount(cell, minlength=len(terms) * blocks), out=starts[1:])
-    most = np.zeros(len(terms) * blocks, np.float32)
-    edges = np.flatnonzero(np.diff(cell, prepend=-1)) if len(cell) else np.zeros(0, np.int64)
-    if len(edges):
-        most[cell[edges]] = np.maximum.reduceat(w, edges)
-    posting = np.empty(len(t), np.int64)
-    posting.view(np.int32)[::2], posting.view(np.float32)[1::2] = e, w
-    return Index(terms, idf, np.array([r[0] for r in examples], np.int64), np.array([r[1] for r in examples], np.int64),
-                 np.array([r[2] for r in examples], np.int64), starts, posting, most.reshape(len(terms), blocks), block, column, common)
+
+    def by_place() -> Iterator[tuple[int, slice, np.ndarray]]:
+        for place, i in enumerate(placed.tolist()):  # the terms of an example differ, so do their cells
+            yield place, spans[i], examples.term[spans[i]] * np.int64(blocks) + place // block
+
+    starts = np.zeros(n_terms * blocks + 1, np.int64)
+    for _, _, cell in by_place():
+        starts[cell + 1] += 1
+    np.cumsum(starts, out=starts)
+    free, most = starts[:-1].copy(), np.zeros(n_terms * blocks, np.float32)
+    posting = np.empty(len(w), np.int64)
+    example, weight = posting.view(np.int32)[::2], posting.view(np.float32)[1::2]
+    for place, own, cell in by_place():
+        at = free[cell]
+        free[cell] = at + 1
+        example[at], weight[at] = place, w[own]
+        most[cell] = np.maximum(most[cell], w[own])
+        at = column[examples.term[own]]
+        common[place, at[at >= 0]] = w[own][at >= 0]
+    return Index(examples.words, idf, examples.ids[placed], examples.labels[placed].astype(np.int64), examples.texts[placed],
+                 starts, posting, most.reshape(n_terms, blocks), block, column, common)
 
 
 def _listed(index: Index, t: np.ndarray, q: np.ndarray, b: int, n: int) -> np.ndarray:
@@ -366,12 +412,12 @@ def _terms_of(texts: DataFrame) -> DataFrame:
 def _document_frequencies(docs: DataFrame, text: str, words: Broadcast, width: int) -> tuple[int, np.ndarray]:
     """How many documents there are, and of each term how many hold it: one pass, partial sums by task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, df, n = Counts(words.value.terms()), np.zeros(width, np.int64), 0
+        known, df, n = vocabulary(words.value), np.zeros(width, np.int64), 0
         for batch in batches:
             n += batch.num_rows
-            for at in range(0, batch.num_rows, AT_ONCE):
-                for body in batch.column(0).slice(at, AT_ONCE).to_pylist():
-                    df[counts.known(body)] += 1
+            for texts in _groups(batch.column(0)):
+                for term, _ in counts_of_each(texts, known):
+                    df[term] += 1
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], n))], ["term", "df"])
 
@@ -406,13 +452,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     spread = rows.select("id", "y", "body", text_hash.alias("h")).repartition(shuffle_width(spark), "id")
 
     terms = sorted(_terms_of(rows).toArrow()["term"].to_pylist())  # the terms of the sample's texts
-    words = spark.sparkContext.broadcast(Words("\n".join(terms)))
+    words = spark.sparkContext.broadcast("\n".join(terms))
     n_docs, df = _document_frequencies(docs, text, words, len(terms))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = Counts(words.value.terms())
+        known = vocabulary(words.value)
         for batch in batches:
-            packed = [np.stack(counts.of(body)[0]).astype("<u4").tobytes() for body in batch.column(3).to_pylist()]
+            packed = [np.stack(c).astype("<u4").tobytes() for texts in _groups(batch.column(3)) for c in counts_of_each(texts, known)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], ["id", "y", "h", "v"])
 
     vectors = spread.select("id", "y", "h", "body").mapInArrow(counted, "id long, y int, h long, v binary").toArrow().sort_by("id")
@@ -430,9 +476,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = shared.value.index()
-        counts, odds = Counts(ix.terms), class_odds(ix.labels)
+        odds = class_odds(ix.labels)
         for batch in batches:
-            found = [counts.of(body)[0] for body in batch.column(2).to_pylist()]
+            found = [c for texts in _groups(batch.column(2)) for c in counts_of_each(texts, ix.vocabulary)]
             x = [features(ix, near, odds) for near in nearest_of_each(ix, found, k, batch.column(1).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[i] for r in x], pa.float64()) for i in (1, 2, 3)]],
                                              ["y", "a", "b", "c"])
@@ -457,15 +503,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
     shared, curve = model.shared, model.curve
 
     def votes(texts: pa.Array) -> pa.Array:
-        ix, out = shared.value.index(), []
-        counts, odds = Counts(ix.terms), class_odds(ix.labels)
-        for at in range(0, len(texts), AT_ONCE):  # few texts are Python strings at a time
-            found = [counts.of(body)[0] for body in texts.slice(at, AT_ONCE).to_pylist()]
-            for near in nearest_of_each(ix, found, k):
-                out.append({"score": calibrated(curve, features(ix, near, odds)), "evidence": [
-                    {"id": int(ix.ids[p]), "cosine": c, "label": int(ix.labels[p])} for c, p in near[:evidence]]})
-        one = pa.struct([("id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())])
-        return pa.array(out, pa.struct([("score", pa.float64()), ("evidence", pa.list_(one))]))
+        ix, scores, near = shared.value.index(), [], []
+        odds = class_odds(ix.labels)
+        for group in _groups(texts):
+            for found in _at_once(counts_of_each(group, ix.vocabulary)):
+                for best in nearest_of_each(ix, found, k):
+                    scores.append(calibrated(curve, features(ix, best, odds)))
+                    near.append(best[:evidence])
+        ends, place = np.cumsum([0, *map(len, near)]), np.array([p for best in near for _, p in best], np.int64)
+        one = pa.StructArray.from_arrays([pa.array(ix.ids[place]), pa.array([c for best in near for c, _ in best], pa.float64()),
+                                          pa.array(ix.labels[place].astype(np.int32))], ["id", "cosine", "label"])
+        return pa.StructArray.from_arrays([pa.array(scores, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), one)],
+                                          ["score", "evidence"])
 
     run = F.arrow_udf(votes, "score double, evidence array<struct<id long, cosine double, label int>>")
     scored = src.withColumn("r", run("t"))
