@@ -54,7 +54,7 @@ COMMON, MOST_COMMON = 1 / 16, 1024
 NEIGHBOURS = 50
 
 #: Queries that meet the dense table at once.
-AT_ONCE = 64
+AT_ONCE = 128
 
 #: Bytes of texts whose parts are looked up at once.
 LOOKED_UP = 1 << 21
@@ -220,9 +220,9 @@ def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
         yield texts.slice(lo, hi - lo).to_pylist()
 
 
-def counts_of_each(texts: list[str | None], vocabulary: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of each text the distinct known terms, ascending, with how often it holds each: the words of all texts together
-    are told apart and looked up once."""
+def _looked_up(texts: list[str | None], vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """The known terms of all distinct parts of the texts; where those of each part begin and how many they are; the edges
+    of the texts' parts. The words of all texts together are told apart and looked up once."""
     plain = pa.array([t.lower().replace(".", " ").replace(",", " ") if t else "" for t in texts], pa.large_string())
     parts = pc.ascii_split_whitespace(plain)
     coded = parts.flatten().dictionary_encode()
@@ -237,13 +237,23 @@ def counts_of_each(texts: list[str | None], vocabulary: pa.Array) -> Iterator[tu
         longer = length > n
         asked.append(pc.binary_join_element_wise(pc.utf8_slice_codeunits(words.filter(pa.array(longer)), 0, n), "*", ""))
         asker.append(part[longer])
-    term = pc.index_in(pa.concat_arrays(asked), vocabulary.cast(words.type))
-    known, asker = np.flatnonzero(term.is_valid()), np.concatenate(asker)
+    asked, asker = pa.concat_arrays(asked).dictionary_encode(), np.concatenate(asker)
+    place = pc.fill_null(pc.index_in(vocabulary.cast(words.type), asked.dictionary), -1).to_numpy()  # a small table is asked often
+    number = np.full(len(asked.dictionary), -1, np.int32)
+    number[place[place >= 0]] = np.flatnonzero(place >= 0)
+    term = number[asked.indices.to_numpy()]
+    known = np.flatnonzero(term >= 0)
     order = known[np.argsort(asker[known], kind="stable")]
-    term = pc.fill_null(term, 0).to_numpy()[order]
+    term = term[order]
     held = np.bincount(asker[order], minlength=len(distinct))
     at, edges = coded.indices.to_numpy(), parts.offsets.to_numpy().tolist()
-    start, held = (np.cumsum(held) - held)[at], held[at]
+    return term, (np.cumsum(held) - held)[at], held[at], edges
+
+
+def counts_of_each(texts: list[str | None], vocabulary: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the distinct known terms, ascending, with how often it holds each."""
+    term, start, held, edges = _looked_up(texts, vocabulary)
+    pa.default_memory_pool().release_unused()  # a worker lives on: what the look-up took would stay with it
     for lo, hi in zip(edges[:-1], edges[1:], strict=True):
         found = np.sort(term[_ranges(start[lo:hi], held[lo:hi])])
         first = np.flatnonzero(np.diff(found, prepend=-1))
@@ -312,7 +322,8 @@ def _listed(index: Index, t: np.ndarray, q: np.ndarray, b: int, n: int) -> np.nd
     length = index.starts[cell + 1] - start
     found = index.posting.take(_ranges(start, length), mode="clip")  # all places exist
     weight = found.view(np.float32)[1::2] * np.repeat(q, length)
-    return np.bincount(found.view(np.int32)[::2] - b * index.block, weight, n)
+    example = found.view(np.int32)[::2]
+    return np.bincount(example - b * index.block if b else example, weight, n)
 
 
 def nearest_of_each(index: Index, texts: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
